@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +24,17 @@ def session(app: str = "bitextile", master: str | None = None, **conf: object) -
     for k, v in conf.items():
         b = b.config(k.replace("_", "."), str(v))
     return b.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as --py-files would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_bitextile_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    to = Path(tempfile.mkdtemp(prefix="bitextile-")) / "bitextile.zip"
+    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    sc.addPyFile(str(to))
+    sc._bitextile_shipped = True
