@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import decontam, packing, quality, secrets, token_counts
+from . import chat, decontam, packing, pii, quality, secrets, syncmers, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
@@ -50,6 +55,16 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.preference(chat.contrasted(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op7_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -74,3 +89,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
 """
+
+ORACLES["op6_preference_format"] = r"""
+WITH own AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+last AS (SELECT conv_id, turn AS last, text AS answer FROM own WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1),
+t AS (SELECT o.conv_id AS pair_id, o.turn, o.role, o.text, CASE WHEN o.turn = l.last AND o.role = 'assistant' THEN n.answer ELSE o.text END AS other
+      FROM own o JOIN last l ON o.conv_id = l.conv_id JOIN last n ON n.conv_id = l.conv_id + 1 WHERE o.turn <= l.last),
+m AS (SELECT *, bool_and(text = other) OVER (PARTITION BY pair_id ORDER BY turn) AS shared FROM t),
+r AS (SELECT pair_id, turn, role, shared, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS c, '<|im_start|>' || role || chr(10) || other || '<|im_end|>' || chr(10) AS j FROM m),
+s AS (SELECT *, sum(CASE WHEN shared THEN 0 ELSE length(c) END) OVER (PARTITION BY pair_id ORDER BY turn) - length(c) AS cs, sum(CASE WHEN shared THEN 0 ELSE length(j) END) OVER (PARTITION BY pair_id ORDER BY turn) - length(j) AS js FROM r)
+SELECT pair_id, count(*) FILTER (shared)::BIGINT AS prompt_turns, coalesce(string_agg(c, '' ORDER BY turn) FILTER (shared), '') AS prompt,
+  coalesce(string_agg(c, '' ORDER BY turn) FILTER (NOT shared), '') AS chosen, coalesce(string_agg(j, '' ORDER BY turn) FILTER (NOT shared), '') AS rejected,
+  coalesce(string_agg((cs + 13 + length(role))::BIGINT || '-' || (cs + length(c) - 1)::BIGINT, ',' ORDER BY turn) FILTER (NOT shared AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg((js + 13 + length(role))::BIGINT || '-' || (js + length(j) - 1)::BIGINT, ',' ORDER BY turn) FILTER (NOT shared AND role = 'assistant'), '') AS rejected_mask
+FROM s GROUP BY 1
+"""
