@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import chat, decontam, packing, pii, quality, secrets, syncmers, token_counts
+from . import chat, decontam, ngram_join, packing, pii, quality, secrets, syncmers, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +65,11 @@ def op7_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
