@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import chat, decontam, ngram_join, packing, pii, quality, secrets, syncmers, token_counts
+from . import chat, decontam, ngram_join, packing, pii, quality, secrets, suffix_dedup, syncmers, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,11 @@ def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
