@@ -142,7 +142,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
 
     def matrix(ids: DataFrame) -> np.ndarray:
         rows = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text")  # ids: at most 2 * sample numbers
-        return rows.limit(4 * sample).mapInArrow(_rows, schema).toPandas().to_numpy()
+        return rows.mapInArrow(_rows, schema).limit(4 * sample).toPandas().to_numpy()
 
     positive = matrix(sampled(known.where("quality = 1").select("doc_id"), "doc_id", sample, 1))
     unlabelled = matrix(sampled(docs.select("doc_id"), "doc_id", sample, 2))
