@@ -7,11 +7,12 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 WORD = r"[\p{L}\p{M}]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def composed(s: pd.Series) -> pd.Series:
     """NFC without combining marks that stay by themselves. Spark has no built-in normal form."""
 
@@ -23,7 +24,7 @@ def composed(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def folded(s: pd.Series) -> pd.Series:
     """composed() in folded case."""
 

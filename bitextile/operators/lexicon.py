@@ -101,7 +101,7 @@ def attested_senses(pairs: DataFrame, rules: DataFrame | None = None) -> DataFra
 def rollup_view(lex: DataFrame, method: str, base_text: str, min_count: int = 1, min_hi: float = 0.0, min_share: float = 0.0) -> DataFrame:
     """One method and base text by number key and surface: counts, shares and the count-weighted hi_conf."""
     rows = lex.where((F.col("method") == method) & (F.col("base_text") == base_text) & (F.col("count") >= min_count) & (F.col("hi_conf") >= min_hi))
-    sums = rows.groupBy("strong", "surface").agg(F.sum("count").alias("count"), F.round(F.sum(F.col("hi_conf") * F.col("count")) / F.sum("count"), 6).alias("hi_conf"))
+    sums = rows.groupBy("strong", "surface").agg(F.sum("count").alias("count"), F.round(F.sum(F.col("hi_conf") * F.col("count")) / F.sum("count"), 9).alias("hi_conf"))
     return with_share(sums, ["strong"], digits=6).where(F.col("share") >= min_share)
 
 

@@ -49,7 +49,7 @@ def senses_excluded(spark: SparkSession, d: str) -> DataFrame:
     return L.attested_senses(pairs(spark, d), rules)
 
 
-@query(f"""WITH {PAIRS}, {LEX}, s AS (SELECT strong, surface, sum(count)::BIGINT AS count, round(sum(hi_conf * count) / sum(count), 6) AS hi_conf FROM lex WHERE method = 'eflomal' AND base_text = 'F' AND count >= 2 AND hi_conf >= 0.25 GROUP BY 1, 2),
+@query(f"""WITH {PAIRS}, {LEX}, s AS (SELECT strong, surface, sum(count)::BIGINT AS count, round(sum(hi_conf * count) / sum(count), 9) AS hi_conf FROM lex WHERE method = 'eflomal' AND base_text = 'F' AND count >= 2 AND hi_conf >= 0.25 GROUP BY 1, 2),
 t AS (SELECT *, round(count / sum(count) OVER (PARTITION BY strong), 6) AS share FROM s) SELECT * FROM t WHERE share >= 0.02""")
 def rollup_view(spark: SparkSession, d: str) -> DataFrame:
     return L.rollup_view(L.additive_union(pairs(spark, d)), "eflomal", "F", 2, 0.25, 0.02)
