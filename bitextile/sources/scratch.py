@@ -6,21 +6,19 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written under spark.checkpoint.dir and read back; removed when the driver ends.
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path under spark.checkpoint.dir, removed when the driver ends.
 
     Without that setting (tests, one machine) a new folder of this machine is set.
     """
-    spark = df.sparkSession
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
         top = tempfile.mkdtemp(prefix="bitextile-")
         spark.conf.set("spark.checkpoint.dir", top)
     path = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
 
     def drop() -> None:
         try:
@@ -30,4 +28,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
             return
 
     atexit.register(drop)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written to a new folder and read back."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
