@@ -6,11 +6,11 @@ log-likelihood ratio passes a threshold, in sum and for each character, is a sec
 to it.
 
 The models are counted by Spark from labelled samples: words of a bounded hash sample of documents, without what the base
-rules find, are ordinary; what the rules find there, and strings made from SHA-256 digests, are random. Only two tables
+rules find and without runs that are to be judged, are ordinary; what the rules find there, and strings made from SHA-256 digests, are random. Only two tables
 of character pairs, bounded by the alphabet, reach the driver. All else is built-in functions on every whole text.
 
-Defined results: a null or empty text has no spans; repeated rows give repeated results; with no text at all the models
-are uniform apart from the digests and add nothing that lacks digits and letters; other columns are kept out of report()
+Defined results: a null or empty text has no spans; repeated rows give repeated results; with no text at all the
+ordinary model is uniform, and a run is a secret only if it has letters and digits and the digests' model likes it; other columns are kept out of report()
 and kept by redact().
 """
 
@@ -52,7 +52,7 @@ def labelled(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     share = min(1.0, sample / max(rows, 1))
     some = documents.select(_text().alias("text"), F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1_000_000)) < math.ceil(share * 1e6))
     rest = F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    ordinary = some.select(F.lit(False).alias("random"), F.explode(F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9+/=_-]{4,}"), F.lit(0))).alias("word"))
+    ordinary = some.select(F.lit(False).alias("random"), F.explode(F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9+/=_-]{4,}"), F.lit(0))).alias("word")).where(~(F.length("word") >= 16) | ~F.col("word").rlike("[0-9]"))
     found = some.select(
         F.lit(True).alias("random"),
         F.explode(F.concat(F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda x: F.length(x) >= 12), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))).alias("word"),
@@ -68,12 +68,20 @@ def train(words: DataFrame) -> list[float]:
     """The log-likelihood ratio of each pair of characters, row by row of the alphabet."""
     pairs = words.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - 1, F.lit(1))), lambda i: F.substring(F.col("word"), i, F.lit(2)))).alias("pair"))
     counts = {(r["random"], r["pair"]): r["n"] for r in pairs.where("length(pair) = 2").groupBy("random", "pair").agg(F.count("*").alias("n")).where(F.col("pair").rlike("^[A-Za-z0-9+/=_-]{2}$")).collect()}
-    out = []
-    for a in ALPHABET:
-        row = {k: [counts.get((k, a + b), 0) + 0.5 for b in ALPHABET] for k in (True, False)}
-        total = {k: sum(v) for k, v in row.items()}
-        out += [math.log(p / total[True]) - math.log(q / total[False]) for p, q in zip(row[True], row[False], strict=True)]
-    return out
+    models = [_transitions({p: n for (r, p), n in counts.items() if r is random}) for random in (True, False)]
+    return [math.log(p) - math.log(q) for p, q in zip(*models, strict=True)]
+
+
+def _transitions(counts: dict[str, int], strength: float = 4.0) -> list[float]:
+    """P(b | a) for all pairs of the alphabet, smoothed towards how often b occurs at all."""
+    total = sum(counts.values())
+    second = {b: 0.1 for b in ALPHABET}
+    first = dict.fromkeys(ALPHABET, 0)
+    for pair, n in counts.items():
+        first[pair[0]] += n
+        second[pair[1]] += n
+    share = {b: n / (total + 0.1 * len(ALPHABET)) for b, n in second.items()}
+    return [(counts.get(a + b, 0) + strength * share[b]) / (first[a] + strength) for a in ALPHABET for b in ALPHABET]
 
 
 def ratio(word: Column, table: list[float]) -> Column:
