@@ -117,3 +117,15 @@ def state_diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFram
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """old without the keys of new, and new."""
     return old.join(new.select(*key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def id_join(ids: DataFrame, words: DataFrame) -> DataFrame:
+    """Rows whose source_id is 'n' and eleven digits meet word_id by number; other ids are left out."""
+    number = F.when(F.col("source_id").rlike("^n[0-9]{11}$"), F.substring("source_id", 2, 11).cast("long"))
+    return ids.withColumn("word_id", number).join(words, "word_id").drop("word_id")
+
+
+def first_match(rows: DataFrame, table: DataFrame, key: list[str], rank: str) -> DataFrame:
+    """rows joined with the row of least rank for their key."""
+    first = table.withColumn("__r", F.row_number().over(Window.partitionBy(*key).orderBy(rank))).where("__r = 1").drop("__r", rank)
+    return rows.join(first, key)

@@ -198,3 +198,18 @@ def content_hash(rows: DataFrame, group: str, columns: list[Column], order: list
     blocks = ranked.groupBy(group, F.floor((F.col("r") - 1) / 10_000).alias("b")).agg(F.sort_array(F.collect_list(F.struct("r", "line"))).alias("x"))
     digests = blocks.select(group, "b", F.size("x").alias("n"), F.sha2(F.array_join(F.transform("x", lambda s: s["line"]), "\n").cast("binary"), 256).alias("d"))
     return digests.groupBy(group).agg(F.sum("n").alias("rows"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "d"))), lambda s: s["d"]), "\n").cast("binary"), 256).alias("sha256"))
+
+
+def single_token(surface: Column) -> Column:
+    """Whether a target is one word."""
+    return ~F.trim(surface).contains(" ")
+
+
+def not_excluded(part: Column, excluded: str) -> Column:
+    """All parts but the excluded one; 'all' excludes none."""
+    return F.lit(True) if excluded == "all" else part != excluded
+
+
+def remapped(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """rows with `key`: the table's key of their lexeme, else their number key. table: lexeme, to_key."""
+    return rows.join(table, "lexeme", "left").withColumn("key", F.coalesce("to_key", "strong")).drop("to_key")

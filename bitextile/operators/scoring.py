@@ -127,3 +127,9 @@ def first_method(rows: DataFrame) -> DataFrame:
     """One row for each source token, of the method with the highest rank."""
     order = Window.partitionBy("ref", "h_idx").orderBy(F.desc(rank_of(F.col("method"))), F.desc("score"), F.asc("target"))
     return rows.withColumn("__r", F.row_number().over(order)).where("__r = 1").drop("__r")
+
+
+def precision_by(judged: DataFrame, keys: list[str]) -> DataFrame:
+    """Judged rows, hits and precision of each key."""
+    out = judged.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if("hit").alias("correct"))
+    return out.withColumn("precision", F.round(F.col("correct") / F.col("n"), 6))
