@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: shared folders, and hashing of Arrow batches of texts.
+"""What the operators of this subpackage share: written results, and hashing of Arrow batches of texts.
 
 Hashes are polynomials modulo 2**64 over a fixed random table of the 256 byte values. Prefix sums of one buffer give
 the hash of any slice of it in constant time, so words, word n-grams and byte windows of a whole batch of texts are
@@ -7,17 +7,16 @@ hashed without a Python loop.
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import folder
+
 CHUNK = 2_000_000  # bytes of text that are hashed at once; one longer text is a chunk by itself
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -25,31 +24,9 @@ TABLE = np.random.default_rng(20_240_501).integers(1, 1 << 64, 256, dtype=np.uin
 _powers: dict[int, np.ndarray] = {}
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, removed when the driver ends.
-
-    Only where that setting is missing (tests, a single machine) is a folder of this machine used.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = tempfile.mkdtemp(prefix="bitextile-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    path = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-    def drop() -> None:
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the session has ended before
-            return
-
-    atexit.register(drop)
-    return path
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back: cuts the lineage and outlives lost executors."""
-    path = scratch(df.sparkSession, name)
+    path = folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

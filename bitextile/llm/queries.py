@@ -121,3 +121,15 @@ SELECT pair_id, count(*) FILTER (shared)::BIGINT AS prompt_turns, coalesce(strin
   coalesce(string_agg((js + 13 + length(role))::BIGINT || '-' || (js + length(j) - 1)::BIGINT, ',' ORDER BY turn) FILTER (NOT shared AND role = 'assistant'), '') AS rejected_mask
 FROM s GROUP BY 1
 """
+
+ORACLES["op8_ngram_jaccard"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
+two AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+r AS (SELECT x, y FROM two UNION SELECT r.x, two.y FROM r JOIN two ON r.y = two.x),
+c AS (SELECT x, min(y) AS y FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.x = d.doc_id
+"""
