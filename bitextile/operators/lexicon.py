@@ -186,18 +186,26 @@ def manifest(lex: DataFrame, key: str = "iso") -> DataFrame:
     return lex.groupBy(key).agg(F.count("*").alias("rows"), *(F.countDistinct(c).alias(f"n_{c}") for c in ("surface", "lexeme", "strong")), F.count_if(F.col("hi_conf") >= 0.9).alias("hi_rows"), *by_method, parts.alias("testament"))
 
 
-def content_hash(rows: DataFrame, group: str, columns: list[Column], order: list[Column]) -> DataFrame:
-    """SHA-256 of each group's rows, tab-joined, in order, a line each.
+def canonical_hash(rows: DataFrame, group: str, columns: list[Column], order: list[str]) -> DataFrame:
+    """SHA-256 of each group's rows, tab-joined, in order, joined by newlines: the digest of a published file.
 
-    Rows are hashed in blocks of their rank so that no group is ever one string: the digest is that of the blocks'
-    digests, one line each.
+    A group is one string here, as the digest is defined so; for groups of any size use content_hash(). `order` are
+    names, with - in front for descending numbers.
     """
-    line = F.concat_ws("\t", *columns)
-    w = Window.partitionBy(group).orderBy(*order)
-    ranked = rows.select(group, line.alias("line"), F.row_number().over(w).alias("r"))
-    blocks = ranked.groupBy(group, F.floor((F.col("r") - 1) / 10_000).alias("b")).agg(F.sort_array(F.collect_list(F.struct("r", "line"))).alias("x"))
-    digests = blocks.select(group, "b", F.size("x").alias("n"), F.sha2(F.array_join(F.transform("x", lambda s: s["line"]), "\n").cast("binary"), 256).alias("d"))
-    return digests.groupBy(group).agg(F.sum("n").alias("rows"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "d"))), lambda s: s["d"]), "\n").cast("binary"), 256).alias("sha256"))
+    keys = [(-F.col(o[1:]) if o.startswith("-") else F.col(o)).alias(f"k{i}") for i, o in enumerate(order)]
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(*keys, F.concat_ws("\t", *columns).alias("line")))), lambda s: s["line"])
+    return rows.groupBy(group).agg(F.count("*").alias("rows"), F.sha2(F.array_join(lines, "\n").cast("binary"), 256).alias("sha256"))
+
+
+def content_hash(rows: DataFrame, group: str, columns: list[Column], digits: int = 2) -> DataFrame:
+    """A digest of each group's rows that does not depend on their order, for groups of any size.
+
+    Rows, tab-joined, are dealt into 16 ** digits blocks by their own MD5; each block's sorted lines have a SHA-256, and
+    the group's is that of the blocks' digests in order. No group is sorted or held as a whole.
+    """
+    lines = rows.select(group, F.concat_ws("\t", *columns).alias("line")).withColumn("b", F.left(F.md5(F.col("line").cast("binary")), F.lit(digits)))
+    blocks = lines.groupBy(group, "b").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("line")), "\n").cast("binary"), 256).alias("d"))
+    return blocks.groupBy(group).agg(F.sum("n").alias("rows"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "d"))), lambda s: s["d"]), "\n").cast("binary"), 256).alias("sha256"))
 
 
 def single_token(surface: Column) -> Column:

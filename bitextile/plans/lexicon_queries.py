@@ -104,12 +104,23 @@ def manifest_stats(spark: SparkSession, d: str) -> DataFrame:
     return L.manifest(L.additive_union(with_iso(spark, d, pairs(spark, d)), ["iso"]))
 
 
-@query(f"""WITH {IPAIRS}, {ILEX}, l AS (SELECT iso, concat_ws(chr(9), surface, lexeme, method, base_text, count, format('{{:.4f}}', hi_conf)) AS line, row_number() OVER (PARTITION BY iso ORDER BY surface, count DESC, lexeme, method, base_text) AS r FROM lex),
-b AS (SELECT iso, (r - 1) // 10000 AS b, count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY r)) AS d FROM l GROUP BY 1, 2) SELECT iso, sum(n)::BIGINT AS rows, sha256(string_agg(d, chr(10) ORDER BY b)) AS sha256 FROM b GROUP BY 1""")
-def content_hash(spark: SparkSession, d: str) -> DataFrame:
+LINE = "concat_ws(chr(9), surface, lexeme, method, base_text, count, format('{:.4f}', hi_conf))"
+
+
+def line_columns() -> list:
+    return [*map(F.col, L.LEX_KEYS), F.col("count").cast("string"), F.format_string("%.4f", "hi_conf")]
+
+
+@query(f"WITH {IPAIRS}, {ILEX} SELECT iso, count(*) AS rows, sha256(string_agg({LINE}, chr(10) ORDER BY surface, count DESC, lexeme, method, base_text)) AS sha256 FROM lex GROUP BY 1")
+def canonical_hash(spark: SparkSession, d: str) -> DataFrame:
     lex = L.additive_union(with_iso(spark, d, pairs(spark, d)), ["iso"])
-    columns = [*map(F.col, L.LEX_KEYS), F.col("count").cast("string"), F.format_string("%.4f", "hi_conf")]
-    return L.content_hash(lex, "iso", columns, [F.asc("surface"), F.desc("count"), F.asc("lexeme"), F.asc("method"), F.asc("base_text")])
+    return L.canonical_hash(lex, "iso", line_columns(), ["surface", "-count", "lexeme", "method", "base_text"])
+
+
+@query(f"""WITH {IPAIRS}, {ILEX}, l AS (SELECT iso, {LINE} AS line FROM lex), b AS (SELECT iso, left(md5(line), 2) AS b, count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY line)) AS d FROM l GROUP BY 1, 2)
+SELECT iso, sum(n)::BIGINT AS rows, sha256(string_agg(d, chr(10) ORDER BY b)) AS sha256 FROM b GROUP BY 1""")
+def content_hash(spark: SparkSession, d: str) -> DataFrame:
+    return L.content_hash(L.additive_union(with_iso(spark, d, pairs(spark, d)), ["iso"]), "iso", line_columns())
 
 
 STATS = """by_ AS (SELECT iso, lexeme, surface, count(*) AS c, count(*) FILTER (t_idx[2] - t_idx[1] = 1) AS m FROM ipairs WHERE content GROUP BY 1, 2, 3),
