@@ -17,7 +17,7 @@ ordered as the least id; extra columns are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .native import let
@@ -98,20 +98,31 @@ def with_next(rows: DataFrame, ids: DataFrame, carried: list[str], blocks: int)
     cuts = sorted(set(map(int, _quantiles(ids, blocks))))
     if not cuts:
         return rows.select("*", *(F.col(c).alias(f"next_{c}") for c in carried))
-    top = F.lit(",".join(map(str, cuts)))
-    bounds = F.split(top, ",").cast("array<bigint>")  # folded into one literal
-    block = F.size(F.filter(bounds, lambda b: b < F.col("__key")))
-    is_top = F.array_contains(bounds, F.col("__key"))
+    key_of = F.col("__key")
+    block = _place(cuts, key_of)
+    is_top = F.get(_numbers(cuts), F.col("__block")) == key_of
     over = F.when(is_top, F.array(F.col("__block"), (F.col("__block") + 1) % len(cuts))).otherwise(F.array("__block"))
     sent = rows.withColumn("__key", key).withColumn("__block", block).select("*", F.posexplode(over).alias("__ghost", "__to"))
     order = [F.col("__ghost"), F.col("__key").desc(), F.col("text").asc_nulls_first()]
-    from pyspark.sql import Window
-
     w = Window.partitionBy("__to").orderBy(*order)
     out = sent.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in carried))
     return out.where("__ghost = 0").drop("__key", "__block", "__to", "__ghost")
 
 
+def _numbers(values: list[int]) -> Column:
+    """An array of numbers; the optimizer folds it into one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _place(cuts: list[int], key: Column, step: int = 256) -> Column:
+    """How many of the sorted cuts are below the key: first among every step-th, then among those between."""
+    below = lambda c: F.size(F.filter(c, lambda x: x < key))
+    if len(cuts) <= 2 * step:
+        return below(_numbers(cuts))
+    base = lambda n: (n - 1) * step
+    return let(below(_numbers(cuts[::step])), lambda n: F.when(n == 0, 0).otherwise(base(n) + below(F.slice(_numbers(cuts), base(n) + 1, F.lit(step)))))
+
+
 def _quantiles(ids: DataFrame, blocks: int) -> list[int]:
     """At most blocks + 1 ids that occur, the greatest among them, about evenly spaced by rank."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))

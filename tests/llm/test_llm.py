@@ -107,6 +107,14 @@ def test_neighbours_with_equal_and_null_ids(spark):
     assert syncmers.edited_pairs(frame(spark, []), blocks=3).count() == 0
 
 
+def test_places_among_many_cuts(spark):
+    cuts = sorted(random.Random(4).sample(range(10_000), 1500))
+    df = spark.range(-5, 10_005, numPartitions=2).select("id", syncmers._place(cuts, F.col("id")).alias("n"))
+    import bisect
+
+    assert all(r["n"] == bisect.bisect_left(cuts, r["id"]) for r in df.collect())
+
+
 # -- repeated strings
 
 
