@@ -102,9 +102,9 @@ def edition_names(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS count, count(*) FILTER (value >= 50) AS high FROM events GROUP BY 1, 2")
 def stream_additive_union(spark: SparkSession, d: str) -> DataFrame:
     """The additive union kept by a stream over the events."""
-    from ..streaming.incremental import additive_counts, run_once
+    from ..streaming.incremental import additive_counts, run_once, stream_of
 
     events = table(spark, d, "events")
-    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet*").parquet(f"{d}/events.parquet*")
+    stream = stream_of(spark, f"{d}/events.parquet", events.schema)
     counts = additive_counts(stream.withColumn("hour", F.date_trunc("hour", "ts")), ["event_type", "hour"], F.col("value") >= 50)
     return run_once(spark, counts)

@@ -6,10 +6,20 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..sources.scratch import folder
 
 
+def stream_of(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A Parquet table as a stream, whether it is a folder of files or one file."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", at.getName()).parquet(f"{at.getParent().toString()}/*{at.getName()}")
+
+
 def additive_counts(stream: DataFrame, keys: list[str], high: Column, late: str | None = None, time: str = "ts") -> DataFrame:
     """count and high for each key, kept up to date; with `late` a watermark bounds the state by time."""
     rows = stream.withWatermark(time, late) if late else stream
