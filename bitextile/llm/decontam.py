@@ -22,9 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALPHANUMERIC, Words, chunks, lists, texts_of, window_min, words
+from .common import ALPHANUMERIC, Slices, Words, chunks, lists, materialize, texts_of, window_min, words
 
 WINDOW, K = 13, 5
+SENT = 1_000_000  # keys of contaminated texts that are broadcast at most; beyond it their join shuffles
 LIMIT = 2_000_000  # fingerprints and windows of test items that are sent to every executor (16 bytes each)
 
 
@@ -80,8 +81,7 @@ class Index:
                 at = at[isin(values, self.prints)[run]] if len(at) else at  # the join of fingerprints
                 if not len(at):
                     continue
-                hashes = Words(ws.hashes, ws.start, ws.end, ws.first)
-                h = _at(hashes, n, at)
+                h = _at(ws, n, at)
             else:  # whole items of fewer words than a window
                 h, at = ws.grams(n)
             ok = isin(h, table)
@@ -90,8 +90,6 @@ class Index:
 
 
 def _at(ws: Words, n: int, at: np.ndarray) -> np.ndarray:
-    from .common import Slices
-
     return Slices(ws.hashes).hash(at, at + n)
 
 
@@ -106,8 +104,6 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator
         start = np.concatenate([at, ws.first[short]])
         n = np.concatenate([np.full(len(at), window), counts[short]])
         prints = np.concatenate([least, np.zeros(len(short), np.uint64)])
-        from .common import Slices
-
         h = Slices(ws.hashes).hash(start, start + n)
         yield pa.RecordBatch.from_arrays(
             [pa.array(items[ws.text_of(start)]), pa.array(n, pa.int32()), pa.array(prints.view(np.int64)), pa.array(h.view(np.int64))],
@@ -235,5 +231,6 @@ def clean(documents: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
     """The documents that are not contaminated, with all their columns. Rows with a null doc_id are judged too."""
     keyed = documents.withColumn("__row", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     judged = report(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark, **how)
-    bad = judged.where("contaminated").select(F.col("doc_id").alias("__row")).distinct()
+    bad = materialize(judged.where("contaminated").select(F.col("doc_id").alias("__row")).distinct(), "contaminated")
+    bad = F.broadcast(bad) if bad.count() <= SENT else bad
     return keyed.join(bad, "__row", "left_anti").drop("__row")
