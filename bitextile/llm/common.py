@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import folder
 
-CHUNK = 2_000_000  # bytes of text that are hashed at once; one longer text is a chunk by itself
+CHUNK = 1_000_000  # bytes of text that are hashed at once; one longer text is a chunk by itself
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 TABLE = np.random.default_rng(20_240_501).integers(1, 1 << 64, 256, dtype=np.uint64)
