@@ -55,8 +55,9 @@ class Encoder:
         if self.fast is not None and not any(s in text for s in self.special):
             try:
                 return np.frombuffer(self.fast.encode_to_tiktoken_buffer(text, set()), "<u4")
-            except Exception:  # noqa: BLE001  texts on which its pattern engine gives up
-                pass
+            except BaseException as e:  # its pattern engine may panic on odd texts, which is no Exception
+                if isinstance(e, KeyboardInterrupt | SystemExit):
+                    raise
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4")
 
 
