@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from bitextile.operators import corpus, editions, em, gapfill, gloss, graph, induction, joins, kernels, lexicon, scoring, sequence
