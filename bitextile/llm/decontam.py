@@ -166,10 +166,10 @@ def _prints(batches: Iterator[pa.RecordBatch], window: int, k: int, lengths: lis
             h, at = fingerprints(ws, k, window) if n == window else ws.grams(n)
             if not len(at):
                 continue
-            values, run = _runs(h)
-            firsts = np.concatenate([[0], np.flatnonzero(np.diff(run)) + 1])
-            rows = np.asarray(c.column("row_id"))[ws.text_of(at[firsts])]
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.full(len(rows), n), pa.int32()), pa.array(values.view(np.int64))], ["row_id", "n", "print"])
+            text = ws.text_of(at)
+            new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))  # a run of equal prints ends with its text
+            rows = np.asarray(c.column("row_id"))[text[new]]
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.full(len(rows), n), pa.int32()), pa.array(h[new].view(np.int64))], ["row_id", "n", "print"])
 
 
 def _extend(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator[pa.RecordBatch]:

@@ -454,6 +454,18 @@ def test_decontamination(spark, limit):
     assert out == dict(enumerate(ten(texts, [x for x in items if x[0] is not None])))
 
 
+@pytest.mark.parametrize("limit", [decontam.LIMIT, 1])
+def test_decontamination_of_adjacent_copies(spark, limit):
+    """A text that begins with the print that the text before it ends with keeps that print."""
+    items = [(1, prose(13, 720)), (2, prose(6, 721)), (3, prose(21, 722))]
+    texts = [items[0][1]] * 4 + [items[1][1]] * 3 + [items[2][1]] * 3 + ["x " + items[0][1], items[0][1] + " y"]
+    docs = frame(spark, texts).coalesce(1)
+    out = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontam.report(docs, spark.createDataFrame(items, "item_id long, text string"), limit=limit).collect()}
+    assert out == dict(enumerate(ten(texts, items)))
+    assert all(x[4] for x in out.values())
+    assert decontam.clean(docs, spark.createDataFrame(items, "item_id long, text string"), limit=limit).count() == 0
+
+
 def test_decontamination_empty(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontam.report(frame(spark, ["a b", None]), bench).where("contaminated").count() == 0
