@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .native import let
+from .syncmers import with_next
 
 #: The ChatML form.
 OPEN, CLOSE, AFTER = "<|im_start|>", "<|im_end|>", "\n"
@@ -66,12 +67,16 @@ def contrasted(conversations: DataFrame) -> DataFrame:
     """Pairs from a table of conversations (conv_id, turn, role, text).
 
     Chosen is a conversation up to its last assistant turn; rejected is the same, but for the last assistant turn, which
-    is that of the conversation with the next conv_id. Conversations without such turns give no pair.
+    is that of the conversation with the next conv_id that has one, the first after the last. Conversations without
+    such turns give no pair, nor does one that has no other beside it.
     """
+    blocks = 4 * int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = conversations.where("conv_id is not null and turn is not null")
-    last = own.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("x")).select("conv_id", F.col("x.turn").alias("last"), F.col("x.text").alias("answer"))
-    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("answer").alias("wrong"))
-    joined = own.select("conv_id", "turn", "role", "text").join(last.join(other, "conv_id").select("conv_id", "last", "wrong"), "conv_id").where("turn <= last")
+    down = F.bitwise_not(F.col("conv_id").cast("long")).alias("doc_id")  # with_next() goes by descending doc_id
+    said = own.where("role = 'assistant'")
+    last = said.groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("x")).select("conv_id", down, F.col("x.turn").alias("last"), F.col("x.text").alias("text"))
+    other = with_next(last, said.select(down), ["conv_id", "text"], blocks).where("next_conv_id <> conv_id").select("conv_id", "last", F.col("next_text").alias("wrong"))
+    joined = own.select("conv_id", "turn", "role", "text").join(other, "conv_id").where("turn <= last")
     is_last = (F.col("turn") == F.col("last")) & (F.col("role") == "assistant")
     two = F.array(
         F.struct(F.lit("chosen").alias("side"), F.col("text").alias("text")),

@@ -254,6 +254,18 @@ def test_preference(spark):
     assert out[2]["chosen"] == "" and out[2]["rejected_mask"] == ""
 
 
+def test_every_usable_conversation_gives_a_pair(spark):
+    """Ids with gaps, conversations without an assistant turn, and the last one."""
+    ids, mute = [-3, 1, 2, 3, 7, 8, 1000, 10**12], {2, 8}
+    rows = [(i, 0, "user", f"q{i}") for i in ids] + [(i, 1, "assistant", f"a{i}") for i in ids if i not in mute] + [(None, 1, "assistant", "x"), (4, None, "assistant", "x")]
+    kind = "conv_id long, turn int, role string, text string"
+    out = {r["pair_id"]: (r["chosen"], r["rejected"]) for r in chat.preference(chat.contrasted(spark.createDataFrame(rows, kind))).collect()}
+    usable, said = [i for i in ids if i not in mute], "<|im_start|>assistant\na{}<|im_end|>\n".format
+    assert out == {i: (said(i), said(usable[(k + 1) % len(usable)])) for k, i in enumerate(usable)}
+    assert chat.contrasted(spark.createDataFrame([(5, 0, "assistant", "alone")], kind)).count() == 0
+    assert chat.contrasted(spark.createDataFrame([], kind)).count() == 0
+
+
 # -- personal data
 
 
