@@ -6,7 +6,8 @@ Two texts link when 100 * |A & B| >= 75 * |A | B| for their sets of 5-word shing
 2. Nodes that may link must meet under a key, one of their KEYS least shingles. The least KEYS elements of a union of two
    linked sets are each shared with a chance of 0.75, so two linked nodes miss each other with a chance under 0.42 ** 32
    (about 1e-12), and never where a set has at most KEYS elements. Hot shingles, found on a bounded sample, are no keys for
-   a node unless they are two fifths of it: the bound above holds for what is left, and a common line gathers no crowd.
+   a node unless they are 65 in 100 of it: up to there more cold keys, at most 83, keep that bound for what is left, and
+   neither a common line nor a template that is the smaller part of its texts gathers a crowd.
 3. Under each key, nodes hold a bitmap of their shingles. A signature tree joins them: inner nodes hold OR-combined
    bitmaps and size ranges, and pairs of tree nodes are dropped when the most overlap they allow is too small. Pairs of
    leaves left are dropped the same way. Of its possible partners each node is first compared with the least one.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import NOT_SPACE, Chunk, Slices, chunks, materialize, mix, texts_of, words
 
 N, PERCENT = 5, 75
-KEYS, HOT_DEPTH, HOT_SHARE = 32, 64, 0.4
+KEYS, HOT_DEPTH, HOT_SHARE, MISS = 32, 64, 0.65, 1e-12
 SAMPLE, HOT_COUNT, HOT_MOST = 50_000, 12, 200_000  # documents sampled for hot shingles, least count in it, most hot ones
 WIDTH, LEAF, FAN, TURNS = 1024, 32, 8, 2
 SENT, SENT_ROWS = 1_000_000, 200_000  # ids (8 bytes), and rows of two nodes (32 bytes), that are broadcast at most
@@ -74,14 +75,21 @@ def signature(s: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def n_keys(hot_share: float) -> int:
+    """How many of the least cold shingles are keys. A set that links with one of this hot share shares at least
+    1 - 0.25 / (1 - hot_share) of their cold union; the count keeps the chance of a miss under 1e-12."""
+    return max(KEYS, math.ceil(math.log(MISS) / math.log((1 - PERCENT / 100) / (1 - hot_share))))
+
+
 def keys_of(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """The shingles under which a set meets others."""
+    """The shingles under which a set meets others. Of two sets the one of the smaller hot share has the fewer cold keys,
+    which are enough for the pair; the other has as many at least."""
     prefix = len(s) - -(-PERCENT * len(s) // 100) + 1
     if not len(hot):
         return s[: min(KEYS, prefix)]
     at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
     is_hot = hot[at] == s
-    cold = s[~is_hot][:KEYS]
+    cold = s[~is_hot][: n_keys(min(is_hot.mean(), HOT_SHARE))]
     if is_hot.sum() >= HOT_SHARE * len(s):
         return np.union1d(cold, s[: min(KEYS, prefix)])
     return cold
@@ -380,7 +388,7 @@ def row_classes(documents: DataFrame) -> DataFrame:
     label, n_labels = components(links)
 
     crowd = first.where("more").select("key", F.col("y").alias("node"))
-    homes = crowd.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("homes"))  # at most 2 * KEYS
+    homes = crowd.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("homes"))  # at most KEYS + n_keys(HOT_SHARE)
     crowd = materialize(crowd.join(homes, "node").join(under, ["key", "node"]), "crowd")
     tried = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     n_crowd = crowd.count()

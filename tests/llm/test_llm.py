@@ -388,6 +388,23 @@ def test_tree_keeps_all_similar_pairs():
                 assert (j, i) in found
 
 
+def test_templates_gather_no_crowd_and_lose_no_links():
+    """Hot shingles of up to three fifths of a set are no keys, and sets that link still meet under a cold one."""
+    r = np.random.default_rng(5)
+    draw = lambda n: r.integers(0, 1 << 63, int(n)).astype(np.uint64)
+    for share in (0.41, 0.45, 0.5, 0.6, 0.64, 0.66, 0.8):
+        hot = np.sort(draw(1000 * share))
+        for _ in range(200):
+            own = draw(1000 - len(hot))
+            keep = int(np.ceil(0.7501 * 1000)) - len(hot)  # all that differs is cold: the least that still links
+            a, b = (np.unique(np.concatenate([hot, x])) for x in (own, own[: max(keep, 0)]))
+            x, y = ngram_join.keys_of(a, hot), ngram_join.keys_of(b, hot)
+            assert 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+            assert len(np.intersect1d(x, y))
+            if share < 0.65:
+                assert not len(np.intersect1d(x, hot))
+
+
 def test_near_copies_repeated_and_null_rows(spark):
     df = frame(spark, [BASE, BASE, BASE, "", None, "x"], [4, 4, None, 2, 3, None])
     out = sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in ngram_join.classes(df).collect())
