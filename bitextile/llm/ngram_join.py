@@ -365,11 +365,12 @@ def components(edges: DataFrame) -> tuple[DataFrame, int]:
 
 def classes(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of each document row."""
-    return row_classes(documents).drop("row")
+    return row_classes(documents).drop("row", "class")
 
 
 def row_classes(documents: DataFrame) -> DataFrame:
-    """classes() with the row_key() of each row."""
+    """classes() with the row_key() of each row, and `class`: the node that names its class, which no other class has,
+    whereas classes can share a component_id if a doc_id has unlike texts."""
     spark: SparkSession = documents.sparkSession
     docs = texts_of(documents, F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"))
     hot = spark.sparkContext.broadcast(hot_shingles(docs))
@@ -409,8 +410,8 @@ def row_classes(documents: DataFrame) -> DataFrame:
 
     least = nodes.join(sent(label, n_labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = least.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    final = least.join(ids, "label").select("node", "component_id")
-    return all_.select("doc_id", "row", "n", "node").join(final, "node", "left").select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    final = least.join(ids, "label").select("node", "component_id", F.col("label").alias("class"))
+    return all_.select("doc_id", "row", "n", "node").join(final, "node", "left").select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "class")
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
@@ -419,8 +420,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
 
     What goes is few ids: they are broadcast up to a number, so texts are not shuffled; beyond it the join shuffles.
     """
-    judged = materialize(row_classes(documents).where("n_shingles > 0 AND doc_id IS NOT NULL").select("row", "doc_id", "component_id"), "judged")
-    stays = judged.where("doc_id = component_id").groupBy("component_id").agg(F.min("row").alias("row")).select("row")
+    judged = materialize(row_classes(documents).where("n_shingles > 0 AND doc_id IS NOT NULL").select("row", "doc_id", "component_id", "class"), "judged")
+    stays = judged.where("doc_id = component_id").groupBy("class").agg(F.min("row").alias("row")).select("row")
     goes = materialize(judged.select("row").distinct().join(stays, "row", "left_anti"), "goes")
     keyed = documents.withColumn("__row", row_key())
     again = materialize(keyed.where("doc_id IS NOT NULL").groupBy("__row").count().where("count > 1").select("__row"), "again")

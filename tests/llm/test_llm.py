@@ -413,6 +413,12 @@ def test_near_copies_repeated_and_null_rows(spark):
     assert ngram_join.keep_one(df).count() == 5
 
 
+def test_classes_of_one_doc_id_each_keep_a_row(spark):
+    """A doc_id with two unlike texts is the least id of two classes; both keep a row."""
+    df = frame(spark, [BASE, prose(200, 77), BASE, prose(200, 77)], [1, 1, 2, 3])
+    assert sorted(r["text"] for r in ngram_join.keep_one(df).collect()) == sorted([BASE, prose(200, 77)])
+
+
 # -- quality
 
 
