@@ -22,7 +22,8 @@ def cells(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def start(c: DataFrame) -> DataFrame:
     """Uniform t(w | s) over the words that s meets."""
-    return c.groupBy("s", "w").agg(F.count("*").alias("n")).withColumn("t", 1 / F.count("*").over(Window.partitionBy("s"))).select("s", "w", "t")
+    met = c.select("s", "w").distinct()
+    return met.join(met.groupBy("s").agg(F.count("*").alias("n")), "s").select("s", "w", (1 / F.col("n")).alias("t"))
 
 
 def step(c: DataFrame, t: DataFrame) -> DataFrame:
@@ -30,7 +31,8 @@ def step(c: DataFrame, t: DataFrame) -> DataFrame:
     p = c.join(t, ["s", "w"]).withColumn("p", F.col("k") * F.col("t"))
     share = F.col("p") / F.sum("p").over(Window.partitionBy("ref", "place"))
     counts = p.withColumn("c", share).groupBy("s", "w").agg(F.sum("c").alias("c"))
-    return counts.withColumn("t", F.col("c") / F.sum("c").over(Window.partitionBy("s"))).select("s", "w", "t")
+    counts = written(counts, "counts")  # read twice; the null word meets every word, so its sum is an aggregate and no window
+    return counts.join(counts.groupBy("s").agg(F.sum("c").alias("n")), "s").select("s", "w", (F.col("c") / F.col("n")).alias("t"))
 
 
 def train(source: DataFrame, target: DataFrame, rounds: int = 6, cut: bool = True) -> DataFrame:

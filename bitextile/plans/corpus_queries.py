@@ -212,19 +212,38 @@ def link_components(spark: SparkSession, d: str) -> DataFrame:
 t AS (SELECT ref, h_idx AS t_idx, l_partkey % 3 AS strong, 'w' || l_partkey AS text, l_tax < 0.01 AS elided, row_number() OVER (PARTITION BY ref, l_partkey % 3 ORDER BY h_idx) AS n FROM p)
 SELECT count(*) AS taken, count(*) FILTER (elided) AS elided FROM s JOIN t USING (ref, strong, n)""")
 def fifo_queue_join(spark: SparkSession, d: str) -> DataFrame:
-    return fifo_groups(spark, d).where("target_id is not null").agg(F.count("*").alias("taken"), F.count_if(F.col("kind") == "elided").alias("elided"))
+    return _fifo(spark, d).where("target_id is not null").agg(F.count("*").alias("taken"), F.count_if(F.col("kind") == "elided").alias("elided"))
 
 
-@query()
+@query(f"""WITH {PAIRS}, p AS (SELECT ref, h_idx, l_suppkey % 3 AS ss, l_partkey % 3 AS ts, 'w' || l_partkey AS text, l_tax < 0.01 AS elided FROM pairs), s AS (SELECT ref, h_idx, ss AS strong, row_number() OVER (PARTITION BY ref, ss ORDER BY h_idx) AS n FROM p),
+t AS (SELECT ref, h_idx AS t_idx, ts AS strong, text, elided, row_number() OVER (PARTITION BY ref, ts ORDER BY h_idx) AS n FROM p), j AS (SELECT s.ref, s.h_idx, s.strong, t.t_idx, t.text, t.elided FROM s LEFT JOIN t USING (ref, strong, n)),
+k AS (SELECT *, max(CASE WHEN t_idx IS NOT NULL THEN h_idx END) OVER (PARTITION BY ref ORDER BY h_idx) AS head FROM j), b AS (SELECT k.*, k.t_idx IS NULL AND NOT coalesce(h.strong = k.strong AND NOT h.elided AND h.text <> '', false) AS breaks FROM k LEFT JOIN j h ON h.ref = k.ref AND h.h_idx = k.head),
+c AS (SELECT *, max(CASE WHEN breaks OR t_idx IS NOT NULL THEN h_idx END) OVER (PARTITION BY ref ORDER BY h_idx) AS cut FROM b), g AS (SELECT *, CASE WHEN t_idx IS NULL AND NOT breaks AND cut = head THEN head ELSE h_idx END AS grp FROM c)
+SELECT ref, string_agg(h_idx, ',' ORDER BY h_idx) AS source_ids, max(t_idx) AS target_id, max(text) AS gloss, CASE WHEN max(t_idx) IS NULL THEN 'dropped' WHEN bool_or(coalesce(elided, false)) THEN 'elided' WHEN count(*) > 1 THEN 'many:1' ELSE '1:1' END AS kind FROM g GROUP BY ref, grp""")
 def fifo_groups(spark: SparkSession, d: str) -> DataFrame:
     """Occurrence groups by number key with absorption."""
+    return _fifo(spark, d).withColumn("source_ids", F.array_join("source_ids", ","))
+
+
+def _fifo(spark: SparkSession, d: str) -> DataFrame:
     p = pairs(spark, d)
     source = p.select("ref", "h_idx", (F.col("l_suppkey") % 3).alias("strong"))
     target = p.select("ref", F.col("h_idx").alias("t_idx"), (F.col("l_partkey") % 3).alias("strong"), F.concat(F.lit("w"), F.col("l_partkey").cast("string")).alias("text"), (F.col("l_tax") < 0.01).alias("elided"))
     return kernels.queue_groups(source, target)
 
 
-@query()
+@query(f"""WITH {PAIRS}, p AS (SELECT ref, h_idx + 1 AS id, word1 AS text, strong FROM pairs), tg AS (SELECT ref, h_idx AS seq, h_idx + 1 AS anchor, CASE WHEN l_suppkey % 5 = 0 THEN h_idx + 1 + l_suppkey % 3 END AS real, CASE WHEN l_tax > 0.01 THEN word2 END AS gloss FROM pairs WHERE l_partkey % 4 <> 0),
+plain AS (SELECT ref, anchor AS id, gloss, false AS folded FROM tg WHERE real IS NULL), late AS (SELECT * FROM tg WHERE real IS NOT NULL),
+st AS (SELECT l.ref, l.real AS id, l.gloss, true AS folded, row_number() OVER (PARTITION BY l.ref, l.real ORDER BY l.seq) AS r FROM late l JOIN p ON p.ref = l.ref AND p.id = l.real LEFT JOIN plain q ON q.ref = l.ref AND q.id = l.real WHERE q.id IS NULL),
+own AS (SELECT * FROM plain UNION ALL SELECT ref, id, gloss, folded FROM st WHERE r = 1), ext AS (SELECT l.ref, l.anchor AS id, l.seq, l.real, l.gloss FROM late l LEFT JOIN p ON p.ref = l.ref AND p.id = l.real WHERE p.id IS NULL),
+tt AS (SELECT ref, id, -1 AS seq, id AS real, gloss FROM own UNION ALL SELECT ref, id, seq, real, gloss FROM ext SEMI JOIN own USING (ref, id)),
+ta AS (SELECT ref, id, count(*) AS nt, list(gloss ORDER BY seq)[-1] AS last, list(gloss ORDER BY seq)[1] AS first_gloss, string_agg(real, ',' ORDER BY seq) AS ids, string_agg(coalesce(gloss, '-'), ',' ORDER BY seq) AS glosses FROM tt GROUP BY 1, 2),
+x AS (SELECT p.*, own.folded, own.id IS NOT NULL AS hit, max(own.id) OVER (PARTITION BY p.ref ORDER BY p.id) AS head FROM p LEFT JOIN own USING (ref, id)),
+z AS (SELECT x.*, hit OR coalesce(min(CASE WHEN NOT hit THEN x.id END) OVER (PARTITION BY x.ref, head) = head + 1 AND ta.last IS NOT NULL, false) AS joins FROM x LEFT JOIN ta ON ta.ref = x.ref AND ta.id = x.head),
+g AS (SELECT ref, head, joins, count(*) AS ns, string_agg(id, ',' ORDER BY id) AS source_ids, string_agg(text, ',' ORDER BY id) AS source_text, string_agg(strong, ',' ORDER BY id) AS source_strong, bool_or(folded) AS folded FROM z GROUP BY 1, 2, 3)
+SELECT g.ref, source_ids, source_text, source_strong, coalesce(ids, '') AS target_ids, coalesce(glosses, '') AS target_gloss,
+CASE WHEN ids IS NULL THEN 'dropped' WHEN ns = 1 AND nt = 1 AND first_gloss IS NULL THEN CASE WHEN folded THEN 'suffix_pending' ELSE 'unglossed' END ELSE CASE WHEN ns = 1 THEN '1:' ELSE 'many:' END || CASE WHEN nt = 1 THEN '1' ELSE 'many' END END AS kind
+FROM g LEFT JOIN ta ON ta.ref = g.ref AND ta.id = g.head AND g.joins""")
 def suffix_groups(spark: SparkSession, d: str) -> DataFrame:
     """Occurrence groups by ids with suffixes."""
     p = pairs(spark, d)
@@ -232,7 +251,8 @@ def suffix_groups(spark: SparkSession, d: str) -> DataFrame:
     i, k = F.col("h_idx") + 1, (F.col("l_suppkey") % 3).cast("string")
     name = F.when(F.col("l_suppkey") % 5 == 0, F.concat_ws("-", i.cast("string"), k)).otherwise(i.cast("string"))
     target = p.where("l_partkey % 4 <> 0").select("ref", F.col("h_idx").alias("seq"), name.alias("id"), F.when(F.col("l_tax") > 0.01, F.col("word2")).alias("gloss"))
-    return kernels.suffix_groups(source, target)
+    out = kernels.suffix_groups(source, target)
+    return out.select("ref", *(F.array_join(c, ",", "-").alias(c) for c in out.columns if c not in ("ref", "kind")), "kind")
 
 
 @query(f"""WITH {PAIRS}, s AS (SELECT l_suppkey % 7 AS scheme, ref % 100 AS chapter, max(h_idx) AS last FROM pairs GROUP BY 1, 2), o AS (SELECT ref % 100 AS chapter, max(h_idx) AS last FROM pairs WHERE l_suppkey % 2 = 0 GROUP BY 1)
@@ -246,8 +266,8 @@ def versification_detect(spark: SparkSession, d: str) -> DataFrame:
     return scheme_shares(schemes, own, ["chapter"])
 
 
-@query(f"""WITH {PAIRS} SELECT word1, word2, levenshtein(word1, word2) AS full_distance, CASE WHEN levenshtein(word1, word2) > 3 THEN 4 ELSE levenshtein(word1, word2) END::INT AS distance, CASE WHEN word1 = word2 THEN 1.0 WHEN least(len(word1), len(word2)) >= 4 AND (starts_with(word1, word2) OR starts_with(word2, word1) OR (word1[1:4] = word2[1:4] AND abs(len(word1) - len(word2)) <= 3)) THEN 0.7
-WHEN least(len(word1), len(word2)) >= 5 AND levenshtein(word1, word2) <= 1 THEN 0.6 ELSE 0.0 END::DOUBLE AS word_score FROM (SELECT DISTINCT a.word1, b.word1 AS word2 FROM pairs a JOIN pairs b ON a.ref = b.ref)""".replace("levenshtein(word1, word2) AS full_distance, ", ""))
+@query(f"""WITH {PAIRS} SELECT word1, word2, CASE WHEN levenshtein(word1, word2) > 3 THEN 4 ELSE levenshtein(word1, word2) END::INT AS distance, CASE WHEN word1 = word2 THEN 1.0 WHEN least(len(word1), len(word2)) >= 4 AND (starts_with(word1, word2) OR starts_with(word2, word1) OR (word1[1:4] = word2[1:4] AND abs(len(word1) - len(word2)) <= 3)) THEN 0.7
+WHEN least(len(word1), len(word2)) >= 5 AND levenshtein(word1, word2) <= 1 THEN 0.6 ELSE 0.0 END::DOUBLE AS word_score FROM (SELECT DISTINCT a.word1, b.word1 AS word2 FROM pairs a JOIN pairs b ON a.ref = b.ref)""")
 def word_scores(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.similarity import edit_distance, word_score
 

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.keys import BOOKS, padded_strong, try_verse_ref
 from ..functions.text import norm_surface, variants
 
-#: Paragraph and character markers whose text is no verse text.
-SKIP_PARAGRAPHS = frozenset("cl cp d fig h id ide imt imte io iot ip ipr is lit mr ms mt mte qa r rem restore rq s sd sr sts toc toca usfm periph cover intro".split())
-SKIP_CHARACTERS = frozenset("f fe x fig ca va".split())
+#: Paragraph and character markers whose text is no verse text (numbers behind them do not count).
+SKIP_PARAGRAPHS = frozenset("b ca cl cp d h ib ide ie ili im imi imt io iot ip ipi iq is lit mr ms mt periph r rem restore s sd sp sr toc".split())
+SKIP_CHARACTERS = frozenset("ca cp fm fv va vp".split())
 CONTAINERS = frozenset({"para", "char", "book", "table", "table:row", "table:cell", "USJ", "chapter", "verse", "ms"})
 
 PAIR = "struct<h_idx:int,lexeme:string,strong:string,lemma:string,stem:string,surface:string,gloss_en:string,sense:string,target:string,t_idx:array<int>,score:double,method:string,content:boolean,light:boolean,prior:string,coherent:boolean,agree:int,voters:array<string>>"
