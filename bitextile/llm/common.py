@@ -36,6 +36,14 @@ def texts_of(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, made from `name`."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 @dataclass
 class Chunk:
     """Some whole texts of a batch: rows [first, last) of it, their bytes and their offsets into these."""

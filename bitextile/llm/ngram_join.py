@@ -5,16 +5,21 @@ Two texts link when 100 * |A & B| >= 75 * |A | B| for their sets of 5-word shing
 1. Each text becomes a sorted set of 64-bit shingle hashes; equal sets are one node, so copies never meet again.
 2. Nodes that may link must meet under a key, one of their KEYS least shingles. The least KEYS elements of a union of two
    linked sets are each shared with a chance of 0.75, so two linked nodes miss each other with a chance under 0.42 ** 32
-   (about 1e-12), and never where a set has at most KEYS elements. Hot shingles, found on a bounded sample, are no keys for
+   (about 1e-12), and never where a set has at most KEYS elements. Hot shingles, counted over all texts, are no keys for
    a node unless they are 65 in 100 of it: up to there more cold keys, at most 83, keep that bound for what is left, and
    neither a common line nor a template that is the smaller part of its texts gathers a crowd.
 3. Under each key, nodes hold a bitmap of their shingles. A signature tree joins them: inner nodes hold OR-combined
    bitmaps and size ranges, and pairs of tree nodes are dropped when the most overlap they allow is too small. Pairs of
-   leaves left are dropped the same way. Of its possible partners each node is first compared with the least one.
-4. Those pairs are compared on whole sets; true ones are links. Where nodes hang together by possible pairs but not yet by
-   links, each is compared with one more partner outside its class, drawn by hash, TURNS times; what is still apart is
-   then compared in full, so no link between different classes is lost.
-5. Classes come from label propagation with pointer jumping, each round written to the shared folder.
+   leaves left are dropped the same way. Of its possible partners each node is first compared with the least one. A key
+   of more than BLOCK nodes is dealt to several tasks by hash, each a tree of its own, and all its nodes go on.
+4. Those pairs are compared on whole sets; true ones are links, and classes so far are their components. Then each class
+   of more than BIG nodes is cut into blocks, and the strangers that share a key with any of its nodes are sent to each
+   block: the trees of both sides are traversed together and what is left is compared on whole sets. A class's nodes
+   travel once, not once for each key, and no task holds more than a block of them.
+5. What is not in such a class meets again under its keys, heavy keys as pairs of blocks: where nodes hang together by
+   possible pairs but not yet by links, each is compared with one more partner outside its class, drawn by hash, TURNS
+   times; what is still apart is then compared in full, so no link between different classes is lost.
+6. Classes come from label propagation with pointer jumping, each round written to the shared folder.
 
 Defined results: null and empty texts have no shingles and form classes alone; a text of 1 to 4 words has one shingle;
 repeated rows share a class; rows with a null doc_id take the class of their set, or null; an empty table gives no rows;
@@ -31,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, Chunk, Slices, chunks, materialize, mix, texts_of, words
+from .common import NOT_SPACE, Chunk, Slices, chunks, materialize, mix, texts_of, unused, words
 
 N, PERCENT = 5, 75
 KEYS, HOT_DEPTH, HOT_SHARE, MISS = 32, 64, 0.65, 1e-12
-SAMPLE, HOT_COUNT, HOT_MOST = 50_000, 12, 200_000  # documents sampled for hot shingles, least count in it, most hot ones
+HOT_COUNT, HOT_PART = 12, 2.4e-4  # a shingle is hot if so many texts, and this part of all, have it among their least HOT_DEPTH
 WIDTH, LEAF, FAN, TURNS = 1024, 32, 8, 2
+BIG, BLOCK, BLOCK_SHINGLES = 256, 1024, 1_000_000  # nodes of a big class; nodes and shingles of a block
 SENT, SENT_ROWS = 1_000_000, 200_000  # ids (8 bytes), and rows of two nodes (32 bytes), that are broadcast at most
 
 
@@ -95,9 +101,9 @@ def keys_of(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return cold
 
 
-def row_key() -> Column:
-    """A number for each different row of doc_id and text."""
-    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+def row_key(documents: DataFrame) -> Column:
+    """A number for each different row; columns of maps, which have no hash, do not count."""
+    return F.xxhash64(*(F.col(f.name) for f in documents.schema if not f.dataType.typeName() == "map"))
 
 
 def _describe(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch]:
@@ -111,17 +117,18 @@ def _describe(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch
 
 
 def _low(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least shingles of texts and how many texts have them, summed up within a chunk."""
     for c in chunks(batches):
-        low = [s[:HOT_DEPTH] for s in shingle_sets(c)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(low).view(np.int64))], ["key"])
+        key, n = np.unique(np.concatenate([s[:HOT_DEPTH] for s in shingle_sets(c)]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "texts"])
 
 
 def hot_shingles(docs: DataFrame) -> np.ndarray:
-    """Shingles that many documents of a bounded sample have among their least ones; at most HOT_MOST."""
-    share = min(1.0, SAMPLE / max(docs.count(), 1))
-    some = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1_000_000)) < math.ceil(share * 1e6)).select("text").distinct()
-    counts = some.mapInArrow(_low, "key long").groupBy("key").count().where(F.col("count") >= HOT_COUNT)
-    rows = counts.orderBy(F.desc("count"), "key").limit(HOT_MOST).select("key").toPandas()
+    """Shingles that many of all texts have among their least ones: at most HOT_DEPTH / HOT_PART numbers."""
+    texts = docs.select("text").where("text <> ''")
+    least = max(HOT_COUNT, math.ceil(HOT_PART * texts.count()))
+    low = texts.mapInArrow(_low, "key long, texts long")
+    rows = low.groupBy("key").agg(F.sum("texts").alias("n")).where(F.col("n") >= least).select("key").toPandas()
     return np.sort(rows["key"].to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -160,57 +167,59 @@ class Bucket:
                     ok[p] = (100 + PERCENT) * most >= PERCENT * (self.n[i[p]] + self.n[j[p]])
         return ok
 
-    def tree(self, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Levels from leaves to root over nodes sorted by size: bitmaps, least and greatest size, greatest excess of
-        elements over bits, and first node."""
+    def tree(self, own: np.ndarray, depth: int = 1) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """At least `depth` levels from leaves to root over nodes sorted by size: bitmaps, least and greatest size, and
+        greatest excess of elements over bits."""
         bits = np.stack([_fold(self.maps[int(self.width[i])][self.row[i]][None], WIDTH // 64)[0] for i in own])
         n = self.n[own]
-        level = (bits, n, n, n - np.bitwise_count(bits).sum(1, dtype=np.int64), np.arange(len(own)))
-        out, fan = [], LEAF
-        while True:
+        level, out, fan = (bits, n, n, n - np.bitwise_count(bits).sum(1, dtype=np.int64)), [], LEAF
+        while len(level[1]) > 1 or len(out) < depth:
             cut = np.arange(0, len(level[1]), fan)
-            level = (np.bitwise_or.reduceat(level[0], cut), np.minimum.reduceat(level[1], cut), np.maximum.reduceat(level[2], cut), np.maximum.reduceat(level[3], cut), cut)
+            level = (np.bitwise_or.reduceat(level[0], cut), np.minimum.reduceat(level[1], cut), np.maximum.reduceat(level[2], cut), np.maximum.reduceat(level[3], cut))
             out.append(level)
             fan = FAN
-            if len(cut) == 1:
-                return out
+        return out
 
-    def join(self, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Blocks of all possible pairs among the given nodes, by dual traversal from the root."""
+    def join(self, own: np.ndarray, others: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Blocks of all possible pairs among the given nodes, or of one of them and one of the others, by dual traversal
+        from the roots."""
         own = own[np.argsort(self.n[own], kind="stable")]
-        levels = self.tree(own)
+        one = others is None
+        others = own if one else others[np.argsort(self.n[others], kind="stable")]
+        left = self.tree(own)
+        right = left if one else self.tree(others, len(left))
+        left = left if len(left) == len(right) else self.tree(own, len(right))
         a = b = np.zeros(1, np.int64)
-        for depth in range(len(levels) - 1, -1, -1):
-            bits, least, greatest, excess, _ = levels[depth]
+        for depth in range(len(left) - 1, -1, -1):
+            (p_bits, p_least, p_most, p_excess), (q_bits, q_least, q_most, q_excess) = left[depth], right[depth]
             keep = np.zeros(len(a), bool)
             for k in range(0, len(a), 8192):
                 p, q = a[k : k + 8192], b[k : k + 8192]
-                shared = np.bitwise_count(bits[p] & bits[q]).sum(1, dtype=np.int64)
-                most = np.minimum(shared + np.minimum(excess[p], excess[q]), np.minimum(greatest[p], greatest[q]))
-                keep[k : k + 8192] = ((100 + PERCENT) * most >= PERCENT * (least[p] + least[q])) & (100 * greatest[p] >= PERCENT * least[q]) & (100 * greatest[q] >= PERCENT * least[p])
+                shared = np.bitwise_count(p_bits[p] & q_bits[q]).sum(1, dtype=np.int64)
+                most = np.minimum(shared + np.minimum(p_excess[p], q_excess[q]), np.minimum(p_most[p], q_most[q]))
+                keep[k : k + 8192] = ((100 + PERCENT) * most >= PERCENT * (p_least[p] + q_least[q])) & (100 * p_most[p] >= PERCENT * q_least[q]) & (100 * q_most[q] >= PERCENT * p_least[p])
             a, b = a[keep], b[keep]
             if not depth:
                 break
-            below = len(levels[depth - 1][1])
             x = (a[:, None] * FAN + np.arange(FAN))[:, :, None] + np.zeros((1, 1, FAN), np.int64)
             y = (b[:, None] * FAN + np.arange(FAN))[:, None, :] + np.zeros((1, FAN, 1), np.int64)
             x, y = x.ravel(), y.ravel()
-            ok = (x <= y) & (y < below) & (x < below)
+            ok = (x < len(left[depth - 1][1])) & (y < len(right[depth - 1][1])) & ((x <= y) | (not one))
             a, b = x[ok], y[ok]
         step = np.arange(LEAF)
         for k in range(0, len(a), 64):
             x = (a[k : k + 64, None] * LEAF + step)[:, :, None] + np.zeros((1, 1, LEAF), np.int64)
             y = (b[k : k + 64, None] * LEAF + step)[:, None, :] + np.zeros((1, LEAF, 1), np.int64)
             x, y = x.ravel(), y.ravel()
-            ok = (x < y) & (y < len(own))
-            i, j = own[x[ok]], own[y[ok]]
+            ok = (x < len(own)) & (y < len(others)) & ((x < y) | (not one))
+            i, j = own[x[ok]], others[y[ok]]
             ok = self.possible(i, j)
             yield i[ok], j[ok]
 
-    def pairs(self, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Blocks of all possible pairs of equal key; keys are sorted. Small groups side by side, large ones by tree."""
-        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(start, len(key)))
+    def pairs(self, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Blocks of all possible pairs of equal group; groups are sorted. Small ones side by side, large ones by tree."""
+        start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        size = np.diff(np.append(start, len(group)))
         run = np.repeat(np.arange(len(start)), size)
         small = size[run] <= 2 * LEAF
         for k in range(1, int(size[size <= 2 * LEAF].max(initial=0))):
@@ -222,7 +231,7 @@ class Bucket:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables that hold whole runs of equal keys, from batches sorted by key."""
+    """Tables that hold whole runs of equal groups, from batches sorted by their first column."""
     rest: list[pa.RecordBatch] = []
     for batch in batches:
         key = np.asarray(batch.column(0))
@@ -240,26 +249,27 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _bucket(t: pa.Table) -> tuple[np.ndarray, np.ndarray, Bucket]:
-    return t.column("key").to_numpy(), t.column("node").to_numpy(zero_copy_only=False), Bucket(t.column("n").to_numpy(), t.column("sig").to_pylist())
+    return t.column("group").to_numpy(), t.column("node").to_numpy(zero_copy_only=False), Bucket(t.column("n").to_numpy(), t.column("sig").to_pylist())
 
 
 def _first_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Under each key, for each node y its least possible partner x (null if it has none below it), with `more` where
-    three or more nodes hang together. Nodes without partners are left out."""
+    """In each group, for each node y its least possible partner x (null if it has none below it), with `more` where
+    three or more nodes hang together or the key has further groups. Other nodes without partners are left out."""
     for t in _groups(batches):
-        key, nodes, bucket = _bucket(t)
+        group, nodes, bucket = _bucket(t)
+        key, split = t.column("key").to_numpy(), t.column("split").to_numpy(zero_copy_only=False).astype(bool)
         order = np.argsort(nodes, kind="stable")
         rank = np.empty(len(nodes), np.int64)
         rank[order] = np.arange(len(nodes))
         best, some, degree = np.full(len(nodes), len(nodes)), np.arange(len(nodes)), np.zeros(len(nodes), np.int64)
-        for i, j in bucket.pairs(key):
+        for i, j in bucket.pairs(group):
             swap = rank[i] > rank[j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             np.minimum.at(best, j, rank[i])
             some[i], some[j] = j, i
             degree += np.bincount(i, minlength=len(nodes)) + np.bincount(j, minlength=len(nodes))
         has = best < len(nodes)
-        more = (degree > 1) | ((degree == 1) & (degree[some] > 1))
+        more = (degree > 1) | ((degree == 1) & (degree[some] > 1)) | split
         y = np.flatnonzero(has | more)
         if len(y):
             x = [nodes[order[best[k]]] if has[k] else None for k in y.tolist()]
@@ -270,7 +280,8 @@ def _other_partners(batches: Iterator[pa.RecordBatch], turn: int | None) -> Iter
     """Possible pairs of different labels: with a turn, for each node the one of least hash; without, all of them. A pair
     that meets under several keys counts under the least of them alone."""
     for t in _groups(batches):
-        key, nodes, bucket = _bucket(t)
+        group, nodes, bucket = _bucket(t)
+        key = t.column("key").to_numpy()
         _, label = np.unique(t.column("label").to_numpy(zero_copy_only=False), return_inverse=True)
         homes = t.column("homes").to_pylist()
         table = np.full((len(key), max(map(len, homes))), np.iinfo(np.int64).max)
@@ -294,7 +305,7 @@ def _other_partners(batches: Iterator[pa.RecordBatch], turn: int | None) -> Iter
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             return pa.RecordBatch.from_arrays([pa.array(nodes[i], pa.binary()), pa.array(nodes[j], pa.binary())], ["x", "y"])
 
-        for i, j in bucket.pairs(key):
+        for i, j in bucket.pairs(group):
             differ = label[i] != label[j]
             i, j = i[differ], j[differ]
             if not len(i):
@@ -318,28 +329,89 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    shared = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+
+
+def _read(shingles: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in shingles]
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ok = np.zeros(batch.num_rows, bool)
-        for k, (a, b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-            a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-            shared = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-            ok[k] = 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+        ok = np.array([similar(a, b) for a, b in zip(_read(batch.column(2)), _read(batch.column(3)), strict=True)], bool)
         yield batch.select(["x", "y"]).filter(pa.array(ok))
 
 
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each stranger that comes to a block of a class, one link to a node of the block, if it has any. Rows are sorted
+    by group, the block's own nodes first; strangers pass by in batches."""
+    at, block = None, []
+    for batch in batches:
+        group, stranger = np.asarray(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        rows = list(zip(batch.column(2).to_pylist(), _read(batch.column(3)), strict=True))
+        cut = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (stranger[1:] != stranger[:-1]))) if len(rows) else []
+        for lo, hi in zip(cut, np.append(cut[1:], len(rows)), strict=True):
+            if not stranger[lo]:
+                block = (block if group[lo] == at else []) + rows[lo:hi]
+                at = group[lo]
+            elif group[lo] == at:
+                for k in range(lo, hi, BLOCK):
+                    found = _first_links(block, rows[k : min(k + BLOCK, hi)])
+                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["x", "y"])
+
+
+def _first_links(block: list[tuple[bytes, np.ndarray]], others: list[tuple[bytes, np.ndarray]]) -> list[tuple[bytes, bytes]]:
+    both, m = block + others, len(block)
+    bucket, found = Bucket(np.array([len(s) for _, s in both]), [signature(s) for _, s in both]), {}
+    for i, j in bucket.join(np.arange(m), np.arange(m, len(both))):
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            if b not in found and similar(both[a][1], both[b][1]):
+                found[b] = a
+    return [(both[a][0], both[b][0]) for b, a in found.items()]
+
+
+def _whole_sets(docs: DataFrame, nodes: DataFrame, ends: DataFrame) -> DataFrame:
+    """node and shingles of the distinct nodes in `ends`, from one text of each."""
+    ids = materialize(ends.join(nodes, "node").select("doc_id").distinct(), "ids")
+    own = docs.join(F.broadcast(ids) if ids.count() <= SENT else ids, "doc_id", "left_semi").select("text")
+    return materialize(own.mapInArrow(_sets, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+
+
 def _true_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (x, y) whose whole sets are similar enough."""
-    ends = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    ids = ends.join(nodes, "node").select("doc_id").distinct()
-    ids = materialize(ids, "ids")
-    n = ids.count()
-    own = docs.join(F.broadcast(ids) if n <= SENT else ids, "doc_id", "left_semi").select("text")
-    sets = materialize(own.mapInArrow(_sets, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+    sets = _whole_sets(docs, nodes, pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct())
     both = pairs.join(sets.withColumnsRenamed({"node": "x", "shingles": "a"}), "x").join(sets.withColumnsRenamed({"node": "y", "shingles": "b"}), "y")
     return both.select("x", "y", "a", "b").mapInArrow(_verify, "x binary, y binary")
 
 
+def _big_classes(docs: DataFrame, nodes: DataFrame, crowd: DataFrame, label: DataFrame, n_labels: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links between nodes of big classes and the strangers under their keys, and those nodes; None if no class is big.
+
+    crowd: key and node. What travels is each such node once, and each stranger once to each block of a class.
+    """
+    parts = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    big = materialize(label.groupBy("label").count().where(F.col("count") > BIG).select(F.col("label").alias("big")), "big")
+    n_big = big.count()
+    if not n_big:
+        return None, None
+    own = crowd.select("node").distinct().join(sent(label.withColumnRenamed("label", "big"), n_labels), "node").join(sent(big, n_big), "big", "left_semi")
+    own = materialize(own.join(nodes, "node").select("big", "node", "n"), "own")
+    n_own = own.count()
+    under = crowd.join(sent(own.select("node", "big"), n_own), "node").select("key", "big").distinct()
+    here = crowd.join(sent(label, n_labels), "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    strangers = materialize(here.join(under, (here["key"] == under["key"]) & (here["label"] != under["big"])).select("big", "node").distinct(), "strangers")
+    blocks = own.groupBy("big").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    sets = _whole_sets(docs, nodes, own.select("node").union(strangers.select("node")).distinct())
+    group = F.xxhash64("big", "block").alias("group")
+    mine = own.join(blocks, "big").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).select("node", group, F.lit(False).alias("stranger"))
+    theirs = strangers.join(blocks, "big").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("node", group, F.lit(True).alias("stranger"))
+    dealt = mine.union(theirs).join(sets, "node").select("group", "stranger", "node", "shingles")
+    found = dealt.repartition(parts, "group").sortWithinPartitions("group", "stranger").mapInArrow(_block_links, "x binary, y binary")
+    return materialize(found, "links"), own.select("node")
+
+
 def sent(df: DataFrame, rows: int) -> DataFrame:
     """df with a broadcast hint if it has few rows; else the join shuffles."""
     return F.broadcast(df) if rows <= SENT_ROWS else df
@@ -363,6 +435,28 @@ def components(edges: DataFrame) -> tuple[DataFrame, int]:
         labels = new.select("node", "label")
 
 
+def joined(label: DataFrame, n: int, links: DataFrame) -> tuple[DataFrame, int]:
+    """The labels after further links: components of the labels that they connect, so that old links are not read again."""
+    name = F.coalesce("label", "node").alias("label")
+    ends = links.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(sent(label, n), "node", "left_anti").select("node", F.col("node").alias("label"))
+    both = links
+    for end in ("x", "y"):
+        both = both.withColumnRenamed(end, "node").join(sent(label, n), "node", "left").withColumn("label", name).drop("node").withColumnRenamed("label", end)
+    merged, m = components(both.where("x <> y").distinct())
+    new = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    out = materialize(label.union(ends).join(sent(new, m), "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+    return out, out.count()
+
+
+def _block_pairs() -> Column:
+    """The groups that a node under `key` goes to: the key itself, or where that is cut into `blocks`, one for each other
+    block, so that any two nodes of the key meet."""
+    own = F.pmod(F.xxhash64("node", "key"), "blocks")
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: x != own)
+    pair = F.transform(others, lambda x: F.xxhash64("key", F.least(own, x), F.greatest(own, x)))
+    return F.when(F.col("blocks") > 1, pair).otherwise(F.array("key"))
+
+
 def classes(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of each document row."""
     return row_classes(documents).drop("row", "class")
@@ -372,40 +466,45 @@ def row_classes(documents: DataFrame) -> DataFrame:
     """classes() with the row_key() of each row, and `class`: the node that names its class, which no other class has,
     whereas classes can share a component_id if a doc_id has unlike texts."""
     spark: SparkSession = documents.sparkSession
-    docs = texts_of(documents, F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"))
+    docs = texts_of(documents, F.col("doc_id").cast("long").alias("doc_id"), row_key(documents).alias("row"))
     hot = spark.sparkContext.broadcast(hot_shingles(docs))
     all_ = materialize(docs.mapInArrow(lambda b: _describe(b, hot), "doc_id long, row long, n long, node binary, keys array<long>, sig binary"), "shingles")
     real = all_.where("n > 0")
-    nodes = materialize(real.groupBy("node").agg(F.min("doc_id").alias("doc_id")).where("doc_id is not null"), "nodes")
+    nodes = materialize(real.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")).where("doc_id is not null"), "nodes")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    once = real.join(nodes, ["node", "doc_id"], "left_semi").dropDuplicates(["node"])
+    once = real.join(nodes.drop("n"), ["node", "doc_id"], "left_semi").dropDuplicates(["node"])
     keyed = once.select("node", "n", F.explode("keys").alias("key"))
-    shared = keyed.withColumn("k", F.count("*").over(Window.partitionBy("key"))).where("k > 1").drop("k")
+    shared = keyed.join(keyed.groupBy("key").count().where("count > 1"), "key")
     under = materialize(shared.join(once.select("node", "sig"), "node"), "under")
-    dealt = under.select("key", "node", "n", "sig").repartition(parts, "key").sortWithinPartitions("key")
-    first = materialize(dealt.mapInArrow(_first_partners, "key long, x binary, y binary, more boolean"), "pairs")
+    blocks = F.ceil(F.col("count") / BLOCK)
+    own_group = F.when(blocks > 1, F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), blocks))).otherwise(F.col("key"))
+    alone = under.select(own_group.alias("group"), "key", "node", "n", "sig", (blocks > 1).alias("split"))
+    first = materialize(alone.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_first_partners, "key long, x binary, y binary, more boolean"), "pairs")
     pairs = first.where("x is not null").select("x", "y").distinct()
-    links = materialize(_true_links(docs, nodes, pairs), "links")
-    label, n_labels = components(links)
+    label, n_labels = components(materialize(_true_links(docs, nodes, pairs), "links"))
 
     crowd = first.where("more").select("key", F.col("y").alias("node"))
+    more, done = _big_classes(docs, nodes, crowd, label, n_labels)
+    if done is not None:
+        crowd = crowd.join(sent(done, done.count()), "node", "left_anti")
+        if more.limit(1).count():
+            label, n_labels = joined(label, n_labels, more)
     homes = crowd.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("homes"))  # at most KEYS + n_keys(HOT_SHARE)
-    crowd = materialize(crowd.join(homes, "node").join(under, ["key", "node"]), "crowd")
+    crowd = materialize(crowd.join(homes, "node").join(under.drop("count"), ["key", "node"]), "crowd")
     tried = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     n_crowd = crowd.count()
-    for turn in [*range(1, TURNS + 1), None]:
+    for turn in [*range(1, TURNS + 1), None] if n_crowd else []:
         labelled = crowd.join(sent(label, n_labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        split = labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
-        rest = labelled.join(sent(split, n_crowd), "key", "left_semi").select("key", "node", "n", "sig", "label", "homes")
-        dealt = rest.repartition(parts, "key").sortWithinPartitions("key")
+        split = labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("count")).where("a <> b").select("key", F.ceil(F.col("count") / BLOCK).alias("blocks"))
+        rest = labelled.join(sent(split, n_crowd), "key").withColumn("group", F.explode(_block_pairs())).select("group", "key", "node", "n", "sig", "label", "homes")
+        dealt = rest.repartition(parts, "group").sortWithinPartitions("group")
         again = dealt.mapInArrow(lambda b, turn=turn: _other_partners(b, turn), "x binary, y binary").distinct()
         again = materialize(again.join(tried, ["x", "y"], "left_anti"), "again")
         if not again.limit(1).count():
             continue
         more = materialize(_true_links(docs, nodes, again), "links")
         if more.limit(1).count():
-            links = links.union(more)
-            label, n_labels = components(links)
+            label, n_labels = joined(label, n_labels, more)
         tried = tried.union(again)
 
     least = nodes.join(sent(label, n_labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -416,18 +515,19 @@ def row_classes(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """One row of each class, one with the least doc_id, with all columns; texts without words and rows with a null
-    doc_id all stay, but exact repeats of a row once.
+    doc_id all stay, but rows that are equal in every column once.
 
     What goes is few ids: they are broadcast up to a number, so texts are not shuffled; beyond it the join shuffles.
     """
-    judged = materialize(row_classes(documents).where("n_shingles > 0 AND doc_id IS NOT NULL").select("row", "doc_id", "component_id", "class"), "judged")
-    stays = judged.where("doc_id = component_id").groupBy("class").agg(F.min("row").alias("row")).select("row")
-    goes = materialize(judged.select("row").distinct().join(stays, "row", "left_anti"), "goes")
-    keyed = documents.withColumn("__row", row_key())
-    again = materialize(keyed.where("doc_id IS NOT NULL").groupBy("__row").count().where("count > 1").select("__row"), "again")
+    key = unused(documents, "row")
+    judged = materialize(row_classes(documents).where("n_shingles > 0 AND doc_id IS NOT NULL").select(F.col("row").alias(key), "doc_id", "component_id", "class"), "judged")
+    stays = judged.where("doc_id = component_id").groupBy("class").agg(F.min(key).alias(key)).select(key)
+    goes = materialize(judged.select(key).distinct().join(stays, key, "left_anti"), "goes")
+    keyed = documents.withColumn(key, row_key(documents))
+    again = materialize(keyed.where("doc_id IS NOT NULL").groupBy(key).count().where("count > 1").select(key), "again")
     hint = lambda d: F.broadcast(d) if d.count() <= SENT else d
-    kept = keyed.join(hint(goes.withColumnRenamed("row", "__row")), "__row", "left_anti")
+    kept = keyed.join(hint(goes), key, "left_anti")
     again = hint(again)
-    single = kept.join(again, "__row", "left_anti")
-    repeats = kept.join(again, "__row", "left_semi").dropDuplicates(["__row"])
-    return single.unionByName(repeats).drop("__row")
+    single = kept.join(again, key, "left_anti")
+    repeats = kept.join(again, key, "left_semi").dropDuplicates([key])
+    return single.unionByName(repeats).drop(key)
