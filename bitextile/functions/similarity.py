@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,15 +25,29 @@ def word_score(a: Column, b: Column) -> Column:
 
 def name_score(gloss: Column, token: Column) -> Column:
     """.98 equal, .92 one edit, .82 two edits (four letters at least), .75 the same first four, else 0."""
-    g, t = F.lower(F.regexp_replace(gloss, "[.,]", "")), F.lower(token)
+    g, t = F.lower(F.regexp_replace(gloss, "^[.,]+|[.,]+$", "")), F.lower(token)
     d, least = edit_distance(g, t, 3), F.least(F.length(g), F.length(t))
     return F.when((g == "") | (t == ""), 0.0).when(g == t, 0.98).when(d <= 1, 0.92).when((d <= 2) & (least >= 4), 0.82).when((least >= 4) & (F.left(g, F.lit(4)) == F.left(t, F.lit(4))), 0.75).otherwise(0.0)
 
 
-def lexical_agree(a: Column, b: Column, prefix: int = 4) -> Column:
-    """Whether any words of two arrays are equal or share `prefix` letters in front."""
-    alike = lambda x, y: (x == y) | ((F.least(F.length(x), F.length(y)) >= prefix) & (F.left(x, F.lit(prefix)) == F.left(y, F.lit(prefix))))
-    return F.exists(a, lambda x: F.exists(b, lambda y: alike(x, y)))
+def stem(word: Column, suffixes: Sequence[str]) -> Column:
+    """The word without the first of the suffixes that it ends with and that leaves three letters or more."""
+    out = F.when(F.lit(False), word)
+    for x in suffixes:
+        out = out.when(word.endswith(x) & (F.length(word) > len(x) + 2), F.left(word, F.length(word) - len(x)))
+    return out.otherwise(word)
+
+
+def lexical_agree(a: Column, b: Column, prefix: int = 4, suffixes: Sequence[str] = (), stem_prefix: int = 3) -> Column:
+    """Whether any words of two arrays are equal, share `prefix` letters in front, or the stem of one, of `stem_prefix`
+    letters or more, begins the stem of the other."""
+    starts = lambda x, y, n: (F.least(F.length(x), F.length(y)) >= n) & (x.startswith(y) | y.startswith(x))
+    front = lambda x, y: (F.least(F.length(x), F.length(y)) >= prefix) & (F.left(x, F.lit(prefix)) == F.left(y, F.lit(prefix)))
+    stems = F.lit(False)
+    if suffixes:
+        of = lambda words: F.transform(words, lambda w: stem(w, suffixes))
+        stems = F.exists(of(a), lambda x: F.exists(of(b), lambda y: starts(x, y, stem_prefix)))
+    return F.exists(a, lambda x: F.exists(b, lambda y: (x == y) | front(x, y))) | stems
 
 
 def wilson(correct: Column, n: Column, z: float = 1.96) -> Column:

@@ -27,6 +27,7 @@ class Weights:
     phrase_place: float = 0.6
     fill: float = 0.9
     phrase_fill: float = 0.75
+    wide: float = 0.6
 
 
 def gaps(source: DataFrame, covered: DataFrame) -> DataFrame:
@@ -81,44 +82,65 @@ def morph_surfaces(pairs: DataFrame, features: list[str], k: int = 3, least: int
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def scored(source: DataFrame, target: DataFrame, covered: DataFrame, known: DataFrame, vocab: DataFrame, priors: DataFrame, target_pos: DataFrame, weights: Weights = Weights(), expected: DataFrame | None = None) -> DataFrame:
+def scored(source: DataFrame, target: DataFrame, covered: DataFrame, known: DataFrame, vocab: DataFrame, priors: DataFrame, target_pos: DataFrame, weights: Weights = Weights(), expected: DataFrame | None = None, morph: DataFrame | None = None, wide: DataFrame | None = None) -> DataFrame:
     """Scored fills of a verse: a gap and a free place that a prior speaks for.
 
-    covered: ref, h_idx, anchor (its first target place); known: strong, word; vocab: lexeme, word; priors: lexeme, pos,
-    translit; target_pos: word, pos; expected: ref, h_idx, p_exp, p_prior where phrases tell a place.
+    covered: ref, h_idx, anchor (its first target place) and places (array, all of them; without it the anchor alone);
+    known: strong, word; vocab: lexeme, word; priors: lexeme, pos, translit; target_pos: word, pos; expected: ref, h_idx,
+    p_exp, p_prior where phrases tell a place; morph: strong, feature, value, word, for features that are columns of source;
+    wide: lexeme, multiword_rate over languages. Places that are taken or blocked (function words) are not filled; all
+    tokens of both sides count for the order. `grows`: a fill may take the next place too, as its lexeme is often wide.
     """
     n_t = target.groupBy("ref").agg(F.count("*").alias("n_t"))
-    own = source.where("content").withColumn("p", F.row_number().over(Window.partitionBy("ref").orderBy("h_idx")) - 1).withColumn("n_s", F.count("*").over(Window.partitionBy("ref")))
+    own = source.withColumn("p", F.row_number().over(Window.partitionBy("ref").orderBy("h_idx")) - 1).withColumn("n_s", F.count("*").over(Window.partitionBy("ref")))
     at = own.join(covered.select("ref", "h_idx", "anchor"), ["ref", "h_idx"], "left").join(n_t, "ref")
-    placed = interpolate(at, ["ref"], "p", "anchor", "n_s", "n_t").where("anchor is null").drop("anchor")
-    taken = covered.select("ref", F.col("anchor").alias("place")).distinct()
-    free = target.join(taken, ["ref", "place"], "left_anti").select("ref", "place", F.lower("token").alias("word"))
+    placed = interpolate(at, ["ref"], "p", "anchor", "n_s", "n_t").where("anchor is null AND content").drop("anchor")
+    places = F.explode("places") if "places" in covered.columns else F.col("anchor")
+    taken = covered.select("ref", places.alias("place")).distinct()
+    open_ = target.where(~F.coalesce("blocked", F.lit(False))) if "blocked" in target.columns else target
+    free = open_.join(taken, ["ref", "place"], "left_anti").select("ref", "place", F.lower("token").alias("word"))
+    after = free.select("ref", (F.col("place") - 1).alias("place"), F.lit(True).alias("next_free"))
     j = placed.join(free, "ref").join(known.select("strong", "word", F.lit(True).alias("is_known")).distinct(), ["strong", "word"], "left").join(vocab.select("lexeme", "word", F.lit(True).alias("is_vocab")).distinct(), ["lexeme", "word"], "left")
     j = j.join(priors.select("lexeme", "pos", "translit"), "lexeme", "left").join(target_pos.select("word", F.col("pos").alias("t_pos")), "word", "left")
     j = j.join(expected, ["ref", "h_idx"], "left") if expected is not None else j.withColumn("p_exp", F.lit(None).cast("double")).withColumn("p_prior", F.lit(None).cast("string"))
+    j = j.join(after, ["ref", "place"], "left").withColumn("agrees", F.lit(False))
+    for i, feature in enumerate([r["feature"] for r in morph.select("feature").distinct().collect()] if morph is not None else []):  # a row for each feature
+        own = morph.where(F.col("feature") == feature).select("strong", F.col("value").alias(feature), "word", F.lit(True).alias(f"morph{i}"))
+        j = j.join(own, ["strong", feature, "word"], "left").withColumn("agrees", F.col("agrees") | F.coalesce(f"morph{i}", F.lit(False))).drop(f"morph{i}")
+    j = j.join(wide.select("lexeme", "multiword_rate"), "lexeme", "left") if wide is not None else j.withColumn("multiword_rate", F.lit(None).cast("double"))
     yes = lambda c: F.coalesce(c, F.lit(False))
     strong = yes(F.col("is_known"))
-    name = yes((F.col("pos") == "name") & (name_score(F.col("translit"), F.col("word")) >= 0.8))
+    name = yes((F.col("pos") == "name") & (name_score(F.regexp_replace("translit", "[.·]", ""), F.col("word")) >= 0.8))
     cross = yes(F.col("is_vocab")) & ~strong
     phrase = yes(F.abs(F.col("place") - F.col("p_exp")) <= 1)
     away = F.when(F.col("p_exp").isNotNull(), weights.phrase_place * F.abs(F.col("place") - F.col("p_exp"))).otherwise(weights.place * F.abs(F.col("place") - F.col("expected"))) / F.col("n_t")
     gain = lambda c, w: F.when(c, w).otherwise(0.0)
-    score = gain(strong, weights.strong) + gain(name, weights.name) + gain(cross, weights.cross) + gain(phrase, weights.phrase) + gain(yes(F.col("pos") == F.col("t_pos")), weights.pos) - away
+    score = gain(strong, weights.strong) + gain(name, weights.name) + gain(cross, weights.cross) + gain(phrase, weights.phrase) + gain(yes(F.col("pos") == F.col("t_pos")), weights.pos) + gain(strong & F.col("agrees"), weights.morph) - away
     prior = F.when(strong, "strong").when(name, "name").when(cross, "cross_edition").otherwise(F.col("p_prior"))
-    return j.where(strong | name | cross | phrase).select("ref", "h_idx", F.col("place").cast("long").alias("place"), F.round(score, 9).alias("score"), prior.alias("prior"), (strong | name | cross).alias("vocab"))
+    return j.where(strong | name | cross | phrase).select("ref", "h_idx", F.col("place").cast("long").alias("place"), F.round(score, 9).alias("score"), prior.alias("prior"), (strong | name | cross).alias("vocab"), (yes(F.col("next_free")) & yes(F.col("multiword_rate") >= weights.wide)).alias("grows"))
 
 
 def fill(candidates: DataFrame, weights: Weights = Weights()) -> DataFrame:
-    """Two greedy passes for each verse: fills that a vocabulary speaks for, then those by phrase alone in what is left."""
+    """Two greedy passes for each verse: fills that a vocabulary speaks for, then those by phrase alone in what is left.
+    Then fills that grow take the place behind theirs, in the same order, while no other has it. `places` has them all."""
 
     def one(rows: list[tuple]) -> Iterator[tuple]:
-        sources, places = set(), set()
+        sources, places, out = set(), set(), []
         for vocab in (True, False):
-            for ref, h, t, score, prior in sorted(((r[0], r[1], r[2], r[3], r[4]) for r in rows if r[5] == vocab), key=lambda r: (-r[3], r[1], r[2])):
+            for ref, h, t, score, prior, grows in sorted(((r[0], r[1], r[2], r[3], r[4], r[6]) for r in rows if r[5] == vocab), key=lambda r: (-r[3], r[1], r[2])):
                 if h not in sources and t not in places:
                     sources.add(h)
                     places.add(t)
-                    yield ref, h, t, weights.fill if vocab else weights.phrase_fill, prior
+                    out.append((ref, h, t, weights.fill if vocab else weights.phrase_fill, prior, grows))
+        for ref, h, t, score, prior, grows in out:
+            more = [t + 1] if grows and t + 1 not in places else []
+            places.update(more)
+            yield ref, h, t, score, prior, [t, *more]
 
-    own = candidates.select("ref", "h_idx", "place", "score", "prior", "vocab")
-    return by_group(own, "ref", one, "ref long, h_idx long, place long, score double, prior string")
+    own = candidates.select("ref", "h_idx", "place", "score", "prior", "vocab", F.col("grows") if "grows" in candidates.columns else F.lit(False).alias("grows"))
+    return by_group(own, "ref", one, "ref long, h_idx long, place long, score double, prior string, places array<long>")
+
+
+def self_trained(earlier: DataFrame, fills: DataFrame) -> DataFrame:
+    """The fills of an earlier pass and those of this one for tokens that it left open; ref, h_idx and what both have."""
+    return earlier.unionByName(fills.join(earlier.select("ref", "h_idx"), ["ref", "h_idx"], "left_anti"))

@@ -96,16 +96,31 @@ def top1_accuracy(lex: DataFrame, gold: DataFrame, fallback: DataFrame | None =
 
 
 def lexicon_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Keys on both sides and on one only."""
+    """Keys on both sides and on one only; precision is the share of a's keys that b has, recall that of b's that a has."""
     x, y = a.select(key).distinct().withColumn("l", F.lit(True)), b.select(key).distinct().withColumn("r", F.lit(True))
     j = x.join(y, key, "full_outer")
-    return j.agg(F.count_if(F.col("l") & F.col("r")).alias("both"), F.count_if(F.col("r").isNull()).alias("left_only"), F.count_if(F.col("l").isNull()).alias("right_only"))
+    out = j.agg(F.count_if(F.col("l") & F.col("r")).alias("both"), F.count_if(F.col("r").isNull()).alias("left_only"), F.count_if(F.col("l").isNull()).alias("right_only"))
+    share = lambda rest: F.round(F.coalesce(F.try_divide("both", F.col("both") + F.col(rest)), F.lit(0.0)), 6)
+    return out.withColumn("precision", share("left_only")).withColumn("recall", share("right_only"))
+
+
+def ids_in_ranges(rows: DataFrame, ranges: DataFrame, unit: str = "ref", width: int = 1000) -> DataFrame:
+    """Rows whose number lies in a range (range_id, first, last), once for each such range.
+
+    Both sides are dealt by cells of `width` numbers, so that the range condition is tested within an equi-join.
+    """
+    cells = ranges.withColumn("cell", F.explode(F.sequence(F.floor(F.col("first") / width), F.floor(F.col("last") / width))))
+    own = rows.withColumn("cell", F.floor(F.col(unit) / width))
+    return own.join(cells, (own["cell"] == cells["cell"]) & F.col(unit).between(F.col("first"), F.col("last"))).drop("cell")
 
 
 def vocabulary_hits(rows: DataFrame, vocab: DataFrame) -> DataFrame:
     """rows with `tokens` and lexeme; `hits`: its tokens that are known surfaces of the lexeme, repeats kept."""
-    known = vocab.groupBy("lexeme").agg(F.collect_set("surface").alias("known"))
-    return rows.join(known, "lexeme", "left").withColumn("hits", F.filter("tokens", lambda t: F.coalesce(F.array_contains("known", t), F.lit(False)))).drop("known")
+    keyed = rows.withColumn("__id", F.struct(*(c for c in rows.columns)))
+    each = keyed.select("__id", "lexeme", F.posexplode("tokens").alias("__n", "__t")).join(vocab.select("lexeme", F.col("surface").alias("__t")).distinct(), ["lexeme", "__t"])
+    hits = each.groupBy("__id").agg(F.array_sort(F.collect_set(F.struct("__n", "__t"))).alias("__h"))
+    none = F.array().cast("array<string>")
+    return keyed.join(hits, "__id", "left").select(*rows.columns, F.coalesce(F.transform("__h", lambda x: x["__t"]), none).alias("hits"))
 
 
 def state_diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:

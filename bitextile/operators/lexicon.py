@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,13 +85,17 @@ def senses(pairs: DataFrame) -> DataFrame:
 
 
 def exclude(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Drop rows that meet any rule; a rule holds where each of its non-null fields is equal (surfaces in lower case)."""
+    """Drop rows that meet any rule; a rule holds where each of its non-null fields is equal (surfaces in lower case).
+
+    Rules with the same fields set are one equi-join, so there are as many joins as such sets, at most 2 ** fields.
+    """
     fields = rules.columns
-    named = rules.select(*((F.lower(f) if f == "surface" else F.col(f)).alias(f"__{f}") for f in fields))
-    meets = F.lit(True)
-    for f in fields:
-        meets = meets & (F.col(f"__{f}").isNull() | (F.col(f"__{f}") == F.col(f)))
-    return rows.join(named, meets, "left_anti")
+    named = rules.select(*((F.lower(f) if f == "surface" else F.col(f)).alias(f) for f in fields))
+    for mask in sorted(named.select(*(F.col(f).isNotNull().alias(f) for f in fields)).distinct().collect()):
+        held = [f for f, used in zip(fields, mask, strict=True) if used]
+        own = named.where(" AND ".join(f"`{f}` IS {'NOT ' if f in held else ''}NULL" for f in fields))
+        rows = rows.join(own.select(*held).distinct(), held, "left_anti") if held else rows.join(own.limit(1), F.lit(True), "left_anti")
+    return rows
 
 
 def attested_senses(pairs: DataFrame, rules: DataFrame | None = None) -> DataFrame:
@@ -105,10 +112,16 @@ def rollup_view(lex: DataFrame, method: str, base_text: str, min_count: int = 1,
     return with_share(sums, ["strong"], digits=6).where(F.col("share") >= min_share)
 
 
-def coverage(pairs: DataFrame, book: str) -> DataFrame:
-    """For each book: verses, content tokens, and how many are aligned and highly so."""
+def coverage(pairs: DataFrame, book: str, targets: DataFrame | None = None) -> DataFrame:
+    """For each book: verses, content tokens, and how many are aligned and highly so. With targets (book, ref, n_tokens):
+    also target tokens, how many of them pairs cover, and the share."""
     high = F.col("content") & is_high(F.col("score"), F.col("coherent"))
-    return pairs.groupBy(book).agg(F.countDistinct("ref").alias("verses"), F.count_if("content").alias("content"), F.count_if(high).alias("high"), F.round(F.count_if(high) / F.count_if("content"), 6).alias("high_rate"))
+    own = [F.countDistinct("ref").alias("verses"), F.count_if("content").alias("content"), F.count_if(high).alias("high"), F.round(F.count_if(high) / F.count_if("content"), 6).alias("high_rate")]
+    if targets is None:
+        return pairs.groupBy(book).agg(*own)
+    out = pairs.groupBy(book).agg(*own, F.sum(F.size("t_idx")).alias("target_covered"))
+    out = out.join(targets.groupBy(book).agg(F.sum("n_tokens").alias("target_tokens")), book)
+    return out.withColumn("target_rate", F.round(F.col("target_covered") / F.col("target_tokens"), 6))
 
 
 def language_stats(pairs: DataFrame) -> DataFrame:
@@ -164,12 +177,22 @@ def known_surfaces(pairs: DataFrame, k: int = 5, share: float = 0.1) -> DataFram
     return top_k(with_share(words, ["strong"], digits=6).where(F.col("share") >= share), ["strong"], [F.desc("count"), F.asc("word")], k)
 
 
-def majority(rows: DataFrame, key: list[str], value: str, least: int = 10, purity: float = 0.9) -> DataFrame:
-    """The most frequent value of each key where the key is frequent and the value holds most of it."""
+def anomaly_scope(rows: DataFrame, key: str, lexeme: str = "lexeme") -> DataFrame:
+    """Keys whose Hebrew lexemes have more than one base number, with these lexemes: variants of one number are none."""
+    own = rows.select(key, lexeme, F.regexp_extract(lexeme, "^hbo:([0-9]+)", 1).alias("base")).where("base <> ''").distinct()
+    odd = own.groupBy(key).agg(F.countDistinct("base").alias("bases")).where("bases > 1")
+    return own.join(odd, key).select(key, lexeme, "bases")
+
+
+def majority(rows: DataFrame, key: list[str], value: str, least: int = 10, purity: float = 0.9, other_than: str | None = None, like: str | None = None) -> DataFrame:
+    """The most frequent value of each key where the key is frequent and the value holds most of it; with `other_than`
+    only values that differ from that part of the key, with `like` only values of that pattern."""
     counts = rows.groupBy(*key, value).agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy(*key))
     counts = counts.withColumn("total", total).where((F.col("total") >= least) & (F.col("n") / F.col("total") >= purity))
-    return top_k(counts, key, [F.desc("n"), F.asc(value)], 1).drop("rank")
+    best = top_k(counts, key, [F.desc("n"), F.asc(value)], 1).drop("rank")
+    best = best if other_than is None else best.where(F.col(value) != F.col(other_than))
+    return best if like is None else best.where(F.col(value).rlike(like))
 
 
 def entropy(counts: DataFrame, key: list[str], n: str = "n") -> DataFrame:
@@ -179,9 +202,14 @@ def entropy(counts: DataFrame, key: list[str], n: str = "n") -> DataFrame:
     return out.select(*key, "total", "partners", F.round(F.when(F.col("total") <= 1, 0.0).otherwise(F.abs("h")), 6).alias("entropy"))
 
 
-def manifest(lex: DataFrame, key: str = "iso") -> DataFrame:
+def base_text_counts(lex: DataFrame, key: str = "iso") -> DataFrame:
+    """Rows, and the sum of counts, of each language and base text, for the manifest."""
+    return lex.groupBy(key, "base_text").agg(F.count("*").alias("rows"), F.sum("count").alias("count"))
+
+
+def manifest(lex: DataFrame, key: str = "iso", methods: Sequence[str] = ("eflomal", "gloss", "gapfill")) -> DataFrame:
     """For each language: rows, distinct surfaces, lexemes and keys, rows of high confidence, rows by method, testament."""
-    by_method = [F.count_if(F.col("method") == m).alias(f"rows_{m}") for m in ("eflomal", "gloss", "gapfill")]
+    by_method = [F.count_if(F.col("method") == m).alias(f"rows_{m}") for m in methods]
     parts = F.array_join(F.array_sort(F.collect_set(F.when(F.col("strong").startswith("G"), "NT").otherwise("OT"))), "+")
     return lex.groupBy(key).agg(F.count("*").alias("rows"), *(F.countDistinct(c).alias(f"n_{c}") for c in ("surface", "lexeme", "strong")), F.count_if(F.col("hi_conf") >= 0.9).alias("hi_rows"), *by_method, parts.alias("testament"))
 
@@ -197,12 +225,16 @@ def canonical_hash(rows: DataFrame, group: str, columns: list[Column], order: li
     return rows.groupBy(group).agg(F.count("*").alias("rows"), F.sha2(F.array_join(lines, "\n").cast("binary"), 256).alias("sha256"))
 
 
-def content_hash(rows: DataFrame, group: str, columns: list[Column], digits: int = 2) -> DataFrame:
+def content_hash(rows: DataFrame, group: str, columns: list[Column], digits: int | None = None, block: int = 100_000) -> DataFrame:
     """A digest of each group's rows that does not depend on their order, for groups of any size.
 
     Rows, tab-joined, are dealt into 16 ** digits blocks by their own MD5; each block's sorted lines have a SHA-256, and
-    the group's is that of the blocks' digests in order. No group is sorted or held as a whole.
+    the group's is that of the blocks' digests in order. No group is sorted or held as a whole. Without `digits`, there are
+    as many as keep a block of the largest group at about `block` rows, two at least.
     """
+    if digits is None:
+        most = rows.groupBy(group).count().agg(F.max("count")).first()[0] or 1
+        digits = max(2, math.ceil(math.log(max(most / block, 1), 16)))
     lines = rows.select(group, F.concat_ws("\t", *columns).alias("line")).withColumn("b", F.left(F.md5(F.col("line").cast("binary")), F.lit(digits)))
     blocks = lines.groupBy(group, "b").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("line")), "\n").cast("binary"), 256).alias("d"))
     return blocks.groupBy(group).agg(F.sum("n").alias("rows"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "d"))), lambda s: s["d"]), "\n").cast("binary"), 256).alias("sha256"))

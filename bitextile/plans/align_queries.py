@@ -35,16 +35,47 @@ def covered(p: DataFrame) -> DataFrame:
     return p.where("content AND l_discount >= 0.03").select("ref", "h_idx", (2 * F.col("h_idx")).cast("long").alias("anchor"))
 
 
-@query()
-def gapfill_fill(spark: SparkSession, d: str) -> DataFrame:
+def scored(spark: SparkSession, d: str) -> DataFrame:
+    """The scored fills of all gaps, with every prior."""
     p, source, target = verses(spark, d)
-    own = covered(p)
+    source = source.join(p.select("ref", "h_idx", F.col("sense").alias("number")), ["ref", "h_idx"])
+    own = covered(p).withColumn("places", F.array("anchor", F.col("anchor") + 1))
     known = L.known_surfaces(p.where("l_discount >= 0.03"), share=0.05).select("strong", "word")
     vocab = p.where("content AND score >= 0.9").select("lexeme", F.col("word1").alias("word")).distinct()
     priors = p.groupBy("lexeme").agg(F.max("stem").alias("pos"), F.max("word2").alias("translit"))
     target_pos = L.majority(p.select("word1", "stem"), ["word1"], "stem", 1, 0.0).select(F.col("word1").alias("word"), F.col("stem").alias("pos"))
-    expected = G.phrase_expected(source, own)
-    return G.fill(G.scored(source, target, own, known, vocab, priors, target_pos, expected=expected))
+    morph = G.morph_surfaces(p.withColumnRenamed("sense", "number"), ["number"])
+    wide = p.groupBy("lexeme").agg(F.avg((F.col("l_tax") < 0.05).cast("double")).alias("multiword_rate"))
+    return G.scored(source, target, own, known, vocab, priors, target_pos, expected=G.phrase_expected(source, own.drop("places")), morph=morph, wide=wide)
+
+
+@query(f"""WITH {PAIRS}, c AS (SELECT ref, h_idx, 2 * h_idx AS anchor FROM pairs WHERE content AND l_discount >= 0.03), tg AS (SELECT ref, 2 * h_idx AS place, word1 AS word FROM pairs UNION ALL SELECT ref, 2 * h_idx + 1, word2 FROM pairs),
+taken AS (SELECT ref, anchor AS place FROM c UNION SELECT ref, anchor + 1 FROM c), free AS (SELECT * FROM tg ANTI JOIN taken USING (ref, place) WHERE word <> 'large'),
+s AS (SELECT ref, h_idx, h_idx AS p, count(*) OVER (PARTITION BY ref) AS n_s, strong, lexeme, content, phrase_id, l_partkey % 2 = 0 AS na, sense AS number FROM pairs),
+a AS (SELECT s.*, anchor, max(CASE WHEN anchor IS NOT NULL THEN p END) OVER (PARTITION BY ref ORDER BY p) AS bp, min(CASE WHEN anchor IS NOT NULL THEN p END) OVER (PARTITION BY ref ORDER BY p ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ap FROM s LEFT JOIN c USING (ref, h_idx)),
+g AS (SELECT *, CASE WHEN bp IS NOT NULL AND ap IS NOT NULL THEN 2 * bp + (p - bp) / (ap - bp) * (2 * ap - 2 * bp) WHEN bp IS NOT NULL THEN 2 * bp WHEN ap IS NOT NULL THEN 2 * ap ELSE p / n_s * (2 * n_s) END AS expected FROM a WHERE anchor IS NULL AND content),
+m AS (SELECT s.ref, s.phrase_id, s.h_idx AS m, s.na AS m_na, c.anchor FROM s JOIN c USING (ref, h_idx)), mj AS (SELECT s.ref, s.h_idx, m, anchor, NOT s.na AND m_na AS dep, s.na AND NOT m_na AS head FROM s JOIN m USING (ref, phrase_id) WHERE s.h_idx <> m),
+ph AS (SELECT ref, h_idx, anchor + CASE WHEN dep THEN 1 WHEN head THEN -1 WHEN h_idx > m THEN 1 ELSE -1 END AS p_exp FROM (SELECT *, row_number() OVER (PARTITION BY ref, h_idx ORDER BY dep OR head DESC, abs(m - h_idx), m) AS r FROM mj) WHERE r = 1),
+kw AS (SELECT strong, w AS word, count(*) AS n FROM (SELECT strong, unnest(string_split(surface, ' ')) AS w FROM pairs WHERE content AND l_discount >= 0.03) GROUP BY 1, 2),
+known AS (SELECT strong, word FROM (SELECT *, row_number() OVER (PARTITION BY strong ORDER BY n DESC, word) AS r FROM (SELECT *, n / sum(n) OVER (PARTITION BY strong) AS share FROM kw) WHERE round(share, 6) >= 0.05) WHERE r <= 5),
+vocab AS (SELECT DISTINCT lexeme, word1 AS word FROM pairs WHERE content AND score >= 0.9), pr AS (SELECT lexeme, max(stem) AS pos, max(word2) AS translit FROM pairs GROUP BY 1),
+tp AS (SELECT word, arg_min(pos, r) AS t_pos FROM (SELECT word1 AS word, stem AS pos, row_number() OVER (PARTITION BY word1 ORDER BY count(*) DESC, stem) AS r FROM pairs GROUP BY word1, stem) WHERE r = 1 GROUP BY 1),
+mo AS (SELECT strong, number, word FROM (SELECT strong, sense AS number, word1 AS word, row_number() OVER (PARTITION BY strong, sense ORDER BY count(*) DESC, word1) AS r FROM pairs GROUP BY 1, 2, 3 HAVING count(*) >= 3) WHERE r <= 3),
+wide AS (SELECT lexeme, avg(CASE WHEN l_tax < 0.05 THEN 1.0 ELSE 0.0 END) AS rate FROM pairs GROUP BY 1),
+j AS (SELECT g.ref, g.h_idx, f.place, k.word IS NOT NULL AS strong, k.word IS NULL AND v.word IS NOT NULL AS crossed, coalesce(abs(f.place - p_exp) <= 1, false) AS phrase, coalesce(pos = t_pos, false) AS pos_ok, mo.word IS NOT NULL AND k.word IS NOT NULL AS morph_ok,
+CASE WHEN p_exp IS NOT NULL THEN 0.6 * abs(f.place - p_exp) ELSE 0.2 * abs(f.place - expected) END / (2 * n_s) AS away, p_exp, coalesce(rate >= 0.6, false) AND nx.place IS NOT NULL AS grows
+FROM g JOIN free f USING (ref) LEFT JOIN known k ON k.strong = g.strong AND k.word = f.word LEFT JOIN vocab v ON v.lexeme = g.lexeme AND v.word = f.word LEFT JOIN pr ON pr.lexeme = g.lexeme LEFT JOIN tp ON tp.word = f.word LEFT JOIN ph ON ph.ref = g.ref AND ph.h_idx = g.h_idx
+LEFT JOIN mo ON mo.strong = g.strong AND mo.number = g.number AND mo.word = f.word LEFT JOIN wide ON wide.lexeme = g.lexeme LEFT JOIN free nx ON nx.ref = f.ref AND nx.place = f.place + 1)
+SELECT ref, h_idx, place::BIGINT AS place, round(CASE WHEN strong THEN 0.6 ELSE 0 END + CASE WHEN crossed THEN 0.5 ELSE 0 END + CASE WHEN phrase THEN 0.4 ELSE 0 END + CASE WHEN pos_ok THEN 0.15 ELSE 0 END + CASE WHEN morph_ok THEN 0.1 ELSE 0 END - away, 6)::DOUBLE + 0.0 AS score,
+CASE WHEN strong THEN 'strong' WHEN crossed THEN 'cross_edition' ELSE 'phrase' END AS prior, strong OR crossed AS vocab, grows FROM j WHERE strong OR crossed OR phrase""")
+def gapfill_scored(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates before the greedy passes."""
+    return scored(spark, d).withColumn("score", F.round("score", 6) + 0.0)  # no negative zero
+
+
+@query()
+def gapfill_fill(spark: SparkSession, d: str) -> DataFrame:
+    return G.fill(scored(spark, d)).withColumn("places", F.array_join("places", ","))
 
 
 @query(f"""WITH {PAIRS}, s AS (SELECT *, CASE WHEN l_partkey % 2 = 0 THEN 'NA' ELSE 'rec' END AS rela FROM pairs), c AS (SELECT ref, h_idx, 2 * h_idx AS anchor FROM pairs WHERE content AND l_discount >= 0.03),

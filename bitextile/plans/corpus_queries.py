@@ -10,6 +10,7 @@ from ..functions.text import tokens
 from ..operators import em, induction, kernels
 from ..operators import lexicon as L
 from ..operators import sequence as Q
+from ..sources.scratch import written
 from .proxy import PAIRS, pairs, table
 from .registry import query
 
@@ -119,7 +120,8 @@ def stopwords(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {WORDS}, {STOPS}, b AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+')) AS word FROM benchmark), s AS (SELECT word, sum(freq)::BIGINT AS freq FROM stops GROUP BY 1)
-SELECT count(*) FILTER (s.word IS NOT NULL AND b.word IS NOT NULL) AS shared, count(*) FILTER (b.word IS NULL) AS left_only, count(*) FILTER (s.word IS NULL) AS right_only FROM s FULL JOIN b ON s.word = b.word""")
+SELECT count(*) FILTER (s.word IS NOT NULL AND b.word IS NOT NULL) AS shared, count(*) FILTER (b.word IS NULL) AS left_only, count(*) FILTER (s.word IS NULL) AS right_only,
+coalesce(round(count(*) FILTER (s.word IS NOT NULL AND b.word IS NOT NULL) / count(s.word), 6), 0)::DOUBLE AS precision, coalesce(round(count(*) FILTER (s.word IS NOT NULL AND b.word IS NOT NULL) / count(b.word), 6), 0)::DOUBLE AS recall FROM s FULL JOIN b ON s.word = b.word""")
 def stopword_overlap(spark: SparkSession, d: str) -> DataFrame:
     from ..operators.joins import lexicon_overlap
 
@@ -128,12 +130,17 @@ def stopword_overlap(spark: SparkSession, d: str) -> DataFrame:
     return lexicon_overlap(own, other, "word").withColumnRenamed("both", "shared")
 
 
-@query(f"""WITH {WORDS}, {STOPS}, {PAIRS}, c AS (SELECT word1 AS word, lexeme, count(*) AS n FROM pairs GROUP BY 1, 2), dom AS (SELECT word, arg_max(lexeme, n) AS lexeme FROM c GROUP BY 1), held AS (SELECT word FROM (SELECT lang, word FROM stops WHERE rank % 3 = 0 GROUP BY ALL))
-SELECT lang, word, rank FROM stops WHERE word NOT IN (SELECT word FROM held)""")
+@query(f"""WITH {WORDS}, {STOPS}, c AS (SELECT word, lang AS lexeme, sum(n) AS n FROM words GROUP BY 1, 2), sh AS (SELECT *, n / sum(n) OVER (PARTITION BY word) AS share, row_number() OVER (PARTITION BY word ORDER BY n DESC, lexeme) AS r FROM c),
+content AS (SELECT lang AS lexeme FROM documents GROUP BY 1 HAVING avg(n_chars) > (SELECT avg(n_chars) FROM documents)), held AS (SELECT word FROM sh SEMI JOIN content USING (lexeme) WHERE r = 1 AND round(share, 6) >= 0.4)
+SELECT lang, word, rank FROM stops ANTI JOIN held USING (word)""")
 def stopword_rescue(spark: SparkSession, d: str) -> DataFrame:
-    own = stopwords(spark, d)
-    dominant = own.where("rank % 3 = 0").select(F.col("word").alias("surface"), F.concat(F.lit("lex:"), "word").alias("lexeme")).distinct()
-    return induction.rescue(own, dominant, dominant.select("lexeme")).select("lang", "word", "rank")
+    """Stopwords but those whose dominant class (here a language, for a lexeme) is one of content (of long texts)."""
+    docs = table(spark, d, "documents")
+    counts = written(induction.word_counts(docs, ["lang", "source"]), "words")
+    lex = counts.groupBy(F.col("word").alias("surface"), F.col("lang").alias("lexeme")).agg(F.sum("n").alias("count"))
+    mean = docs.agg(F.avg("n_chars").alias("mean"))
+    content = docs.groupBy(F.col("lang").alias("lexeme")).agg(F.avg("n_chars").alias("own")).join(mean, F.col("own") > F.col("mean"))
+    return induction.rescue(induction.stopword_candidates(counts), L.dominant_lexeme(lex), content).select("lang", "word", "rank")
 
 
 def _affix_sql(side: str) -> str:

@@ -121,7 +121,8 @@ def top1_accuracy(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {PAIRS}, a AS (SELECT DISTINCT lexeme FROM pairs WHERE l_quantity > 49.5), b AS (SELECT DISTINCT lexeme FROM pairs WHERE l_discount > 0.09 AND l_tax > 0.07)
-SELECT count(*) FILTER (a.lexeme IS NOT NULL AND b.lexeme IS NOT NULL) AS "both", count(*) FILTER (b.lexeme IS NULL) AS left_only, count(*) FILTER (a.lexeme IS NULL) AS right_only FROM a FULL JOIN b ON a.lexeme = b.lexeme""")
+SELECT count(*) FILTER (a.lexeme IS NOT NULL AND b.lexeme IS NOT NULL) AS "both", count(*) FILTER (b.lexeme IS NULL) AS left_only, count(*) FILTER (a.lexeme IS NULL) AS right_only,
+coalesce(round(count(*) FILTER (a.lexeme IS NOT NULL AND b.lexeme IS NOT NULL) / count(a.lexeme), 6), 0)::DOUBLE AS precision, coalesce(round(count(*) FILTER (a.lexeme IS NOT NULL AND b.lexeme IS NOT NULL) / count(b.lexeme), 6), 0)::DOUBLE AS recall FROM a FULL JOIN b ON a.lexeme = b.lexeme""")
 def lexicon_overlap(spark: SparkSession, d: str) -> DataFrame:
     p = pairs(spark, d)
     return J.lexicon_overlap(p.where("l_quantity > 49.5"), p.where("l_discount > 0.09 AND l_tax > 0.07"), "lexeme")
@@ -287,11 +288,19 @@ def key_algebra(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("lexeme", "strong", K.strong_of(x).alias("strong_of"), K.norm_strong(x).alias("norm"), K.testament(F.col("strong")).alias("testament"), bare_lexeme(x).alias("bare"), "n")
 
 
-@query(f"""WITH {PAIRS}, s AS (SELECT strong, count(DISTINCT left(lexeme, 8)) AS bases, count(DISTINCT lexeme) AS lexemes FROM pairs GROUP BY 1), p AS (SELECT DISTINCT strong, lexeme FROM pairs) SELECT p.strong, p.lexeme, lexemes FROM p JOIN s USING (strong) WHERE lexemes > 4""")
+@query(f"""WITH {PAIRS}, p AS (SELECT DISTINCT stem, lexeme, regexp_extract(lexeme, '^hbo:([0-9]+)', 1) AS base FROM pairs WHERE lexeme LIKE 'hbo:%'), s AS (SELECT stem, count(DISTINCT base) AS bases FROM p GROUP BY 1 HAVING count(DISTINCT base) > 1) SELECT stem, lexeme, bases FROM p JOIN s USING (stem)""")
 def anomaly_scope(spark: SparkSession, d: str) -> DataFrame:
-    p = pairs(spark, d).select("strong", "lexeme").distinct()
-    n = p.groupBy("strong").agg(F.countDistinct("lexeme").alias("lexemes")).where("lexemes > 4")
-    return p.join(n, "strong")
+    from ..operators.lexicon import anomaly_scope as scope
+
+    return scope(pairs(spark, d), "stem")
+
+
+@query(f"""WITH {PAIRS}, r AS (SELECT n_nationkey AS range_id, n_nationkey * 1500 + 7 AS first, n_nationkey * 1500 + 2507 AS last FROM nation) SELECT range_id, lexeme, count(*) AS n, count(DISTINCT ref) AS verses FROM pairs JOIN r ON ref BETWEEN first AND last GROUP BY 1, 2""")
+def range_listing(spark: SparkSession, d: str) -> DataFrame:
+    """The lexemes of overlapping ranges of verses, with their counts."""
+    key = F.col("n_nationkey")
+    ranges = table(spark, d, "nation").select(key.alias("range_id"), (key * 1500 + 7).alias("first"), (key * 1500 + 2507).alias("last"))
+    return J.ids_in_ranges(pairs(spark, d), ranges).groupBy("range_id", "lexeme").agg(F.count("*").alias("n"), F.countDistinct("ref").alias("verses"))
 
 
 @query(f"""WITH {IPAIRS}, f AS (SELECT iso, count(*) AS n, count(*) FILTER (score >= 0.9) AS hi, count(*) FILTER (l_discount >= 0.02 AND l_tax >= 0.02 AND l_suppkey % 2 <> 0 AND word1 <> word2) AS contested FROM ipairs GROUP BY 1)

@@ -144,9 +144,25 @@ def light_lexemes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {IPAIRS} SELECT iso, count(DISTINCT ref) AS verses, count(*) FILTER (content) AS content, count(*) FILTER (content AND score >= 0.9 AND coalesce(coherent, true)) AS high,
-round(count(*) FILTER (content AND score >= 0.9 AND coalesce(coherent, true)) / count(*) FILTER (content), 6) AS high_rate FROM ipairs GROUP BY 1""")
+round(count(*) FILTER (content AND score >= 0.9 AND coalesce(coherent, true)) / count(*) FILTER (content), 6) AS high_rate, sum(len(t_idx))::BIGINT AS target_covered, any_value(target_tokens)::BIGINT AS target_tokens, round(sum(len(t_idx)) / any_value(target_tokens), 6) AS target_rate
+FROM ipairs JOIN (SELECT iso, sum(l_quantity::INT % 5 + 2) AS target_tokens FROM ipairs GROUP BY 1) USING (iso) GROUP BY 1""")
 def coverage_stats(spark: SparkSession, d: str) -> DataFrame:
-    return L.coverage(with_iso(spark, d, pairs(spark, d)), "iso")
+    p = with_iso(spark, d, pairs(spark, d))
+    tokens = p.groupBy("iso", "ref").agg(F.sum(F.col("l_quantity").cast("int") % 5 + 2).alias("n_tokens"))
+    return L.coverage(p, "iso", tokens)
+
+
+@query(f"""WITH {IPAIRS} SELECT iso, base_text, count(*) AS rows, sum(n)::BIGINT AS count FROM (SELECT iso, base_text, surface, lexeme, strong, method, count(*) AS n FROM ipairs WHERE content GROUP BY ALL) GROUP BY 1, 2""")
+def manifest_base_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the lexicon by language and base text."""
+    return L.base_text_counts(L.additive_union(with_iso(spark, d, pairs(spark, d)), ["iso"]))
+
+
+@query(f"""WITH {PAIRS}, c AS (SELECT base_text, sense, strong, count(*) AS n FROM pairs GROUP BY ALL), t AS (SELECT *, sum(n) OVER (PARTITION BY base_text, sense) AS total, row_number() OVER (PARTITION BY base_text, sense ORDER BY n DESC, strong) AS r FROM c)
+SELECT base_text, sense, strong, n, total::BIGINT AS total FROM t WHERE r = 1 AND total >= 10 AND n / total >= 0.01 AND strong <> base_text AND regexp_matches(strong, '^H')""")
+def guarded_majority(spark: SparkSession, d: str) -> DataFrame:
+    """The Hebrew key that most rows of a cell have, where it is another than the cell's own."""
+    return L.majority(pairs(spark, d), ["base_text", "sense"], "strong", 10, 0.01, other_than="base_text", like="^H")
 
 
 @query(f"""WITH {PAIRS}, n AS (SELECT surface, lexeme, count(*) AS n FROM pairs WHERE content GROUP BY 1, 2), p AS (SELECT *, n / sum(n) OVER (PARTITION BY surface) AS p FROM n)

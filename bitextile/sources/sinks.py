@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def parquet(df: DataFrame, root: str, by: str = "iso", digits: dict[str, int] | None = None) -> None:
-    """A dataset partitioned by a column; only the partitions in df are replaced, so a job may be run again."""
+def parquet(df: DataFrame, root: str, by: str = "iso", digits: dict[str, int] | None = None, tasks: int = 8, rows: int = 5_000_000) -> None:
+    """A dataset partitioned by a column; only the partitions in df are replaced, so a job may be run again.
+
+    A large partition is dealt to `tasks` tasks by a hash of its rows, and a file has at most `rows` rows.
+    """
     for c, n in (digits or {}).items():
         df = df.withColumn(c, F.round(c, n).cast("float"))
-    df.repartition(by).write.partitionBy(by).mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(root)
+    spread = F.pmod(F.xxhash64(*(c for c, kind in df.dtypes if not kind.startswith("map"))), F.lit(tasks))
+    df.repartition(F.col(by), spread).write.option("maxRecordsPerFile", rows).partitionBy(by).mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(root)
 
 
 def tsv(df: DataFrame, path: str) -> None:

@@ -1,5 +1,6 @@
 """Lookups, phrases, editions and small statistics on small tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from bitextile.operators import editions, gapfill, gloss, joins, lexicon, scoring
@@ -108,3 +109,93 @@ def test_jsonl_round_trip(spark, tmp_path):
     back = spark.read.json(str(tmp_path / "out")).select("book", "tag", F.explode("pairs").alias("p")).select("book", "tag", "p.h_idx", "p.target").collect()
     assert [tuple(r) for r in back] == [("GEN", "ind", 0, "t0"), ("GEN", "ind", 1, "t1")]
     assert readers.pos_and_translit(spark.createDataFrame([("L",)], "lexeme string")).first()["pos"] == "?"
+
+
+def test_markers_that_hold_no_verse_text():
+    """Fixed values of the marker lists, each met once."""
+
+
+    part = lambda kind, marker, text: {"type": kind, "marker": marker, "content": [text]}
+    for marker in "b ca cl cp d h ib ide ie ili im imi imt io iot ip ipi iq is lit mr ms mt periph r rem restore s sd sp sr toc s2 mt1".split():
+        tree = {"type": "USJ", "content": [{"type": "chapter", "number": "1"}, {"type": "verse", "number": "1"}, part("para", marker, "no"), part("para", "q1", "yes")]}
+        assert [x[3] for x in readers.walk_usj(tree)] == ["yes"], marker
+    for marker in "ca cp fm fv va vp".split():
+        tree = {"type": "USJ", "content": [{"type": "chapter", "number": "1"}, {"type": "verse", "number": "1"}, part("char", marker, "no"), part("char", "wj", "yes")]}
+        assert [x[3] for x in readers.walk_usj(tree)] == ["yes"], marker
+    tree = {"type": "USJ", "content": [{"type": "chapter", "number": "1"}, {"type": "verse", "number": "1"}, part("para", "qa", "Aleph")]}
+    assert [x[3] for x in readers.walk_usj(tree)] == ["Aleph"]
+
+
+def test_exclusion_rules_by_the_fields_they_set(spark):
+    rows = spark.createDataFrame([("a", "X", 1), ("a", "Y", 1), ("b", "x", 2), ("c", "z", 3)], "lexeme string, surface string, sense int")
+    rules = spark.createDataFrame([("a", "Y", None), (None, "X", 2), (None, None, 3)], "lexeme string, surface string, sense int")
+    low = rows.selectExpr("lexeme", "lower(surface) AS surface", "sense")
+    assert sorted(tuple(r) for r in lexicon.exclude(low, rules).collect()) == [("a", "x", 1)]
+    assert lexicon.exclude(low, rules.limit(0)).count() == 4
+
+
+def test_majority_that_differs(spark):
+    rows = spark.createDataFrame([("H1", "H2")] * 9 + [("H1", "H1")] + [("H3", "H3")] * 10 + [("H4", "G4")] * 10, "own string, to string")
+    out = lexicon.majority(rows, ["own"], "to", 10, 0.9, other_than="own", like="^H")
+    assert [(r["own"], r["to"]) for r in out.collect()] == [("H1", "H2")]
+
+
+def test_overlap_has_precision_and_recall(spark):
+    a, b = (spark.createDataFrame([(x,) for x in v], "w string") for v in ("abcd", "cde"))
+    r = joins.lexicon_overlap(a, b, "w").first()
+    assert (r["both"], r["precision"], r["recall"]) == (2, 0.5, 0.666667)
+    assert joins.lexicon_overlap(a.limit(0), b, "w").first()["precision"] == 0
+
+
+def test_ids_in_overlapping_ranges(spark):
+    rows = spark.createDataFrame([(5,), (999,), (1000,), (2500,)], "ref long")
+    ranges = spark.createDataFrame([(1, 5, 1000), (2, 999, 3000)], "range_id int, first long, last long")
+    assert sorted((r["range_id"], r["ref"]) for r in joins.ids_in_ranges(rows, ranges).collect()) == [(1, 5), (1, 999), (1, 1000), (2, 999), (2, 1000), (2, 2500)]
+
+
+def test_stems_agree(spark):
+    from bitextile.functions import similarity as S
+
+    words = lambda *w: F.array(*map(F.lit, w))
+    ok = lambda a, b, **k: spark.range(1).select(S.lexical_agree(a, b, **k)).first()[0]
+    assert not ok(words("judar"), words("juda"), prefix=5) and ok(words("judar"), words("juda"), prefix=5, suffixes=("ar", "a"))
+    assert not ok(words("en"), words("et"), suffixes=("n", "t"))
+    assert spark.range(1).select(S.name_score(F.lit("a.b."), F.lit("a.b"))).first()[0] == 0.98
+
+
+def test_gap_filling_priors(spark):
+    """Blocked and taken places stay, morphology raises the score, and wide lexemes take the place behind."""
+    source = spark.createDataFrame([(1, 0, "S1", "L1", True, "sg"), (1, 1, "S2", "L2", True, "pl"), (1, 2, "S3", "L3", False, None)], "ref long, h_idx long, strong string, lexeme string, content boolean, number string")
+    target = spark.createDataFrame([(1, k, w, b) for k, (w, b) in enumerate([("the", True), ("man", False), ("men", False), ("big", False), ("the", True)])], "ref long, place long, token string, blocked boolean")
+    covered = spark.createDataFrame([(1, 0, 1, [1, 3])], "ref long, h_idx long, anchor long, places array<long>")
+    known = spark.createDataFrame([("S2", w) for w in ("the", "man", "men", "big")], "strong string, word string")
+    vocab, priors, pos = (spark.createDataFrame([], x) for x in ("lexeme string, word string", "lexeme string, pos string, translit string", "word string, pos string"))
+    morph = spark.createDataFrame([("S2", "number", "pl", "men")], "strong string, feature string, value string, word string")
+    plain = gapfill.scored(source, target, covered, known, vocab, priors, pos).collect()
+    better = gapfill.scored(source, target, covered, known, vocab, priors, pos, morph=morph).collect()
+    assert [(r["h_idx"], r["place"]) for r in plain] == [(1, 2)] and abs(better[0]["score"] - plain[0]["score"] - 0.1) < 1e-9
+    wide = spark.createDataFrame([("L2", 0.7)], "lexeme string, multiword_rate double")
+    grown = gapfill.scored(source, target, spark.createDataFrame([(1, 0, 0)], "ref long, h_idx long, anchor long"), known, vocab, priors, pos, morph=morph, wide=wide)
+    assert [(r["place"], r["places"]) for r in gapfill.fill(grown).collect()] == [(2, [2, 3])]
+    one = gapfill.fill(grown)
+    assert gapfill.self_trained(one, one).count() == 1
+
+
+def test_suffix_groups_carry_their_words(spark):
+    from bitextile.operators import kernels
+
+    source = spark.createDataFrame([(1, i, f"w{i}", f"L{i}") for i in (1, 2, 4)], "ref long, id long, text string, lemma string")
+    target = spark.createDataFrame([(1, 0, "1", None), (1, 1, "4", "d")], "ref long, seq int, id string, gloss string")
+    out = sorted((r["source_ids"], r["source_text"], r["source_strong"], r["target_ids"], r["target_gloss"], r["kind"]) for r in kernels.suffix_groups(source, target).collect())
+    assert out == [([1], ["w1"], ["L1"], [1], [None], "unglossed"), ([2], ["w2"], ["L2"], [], [], "dropped"), ([4], ["w4"], ["L4"], [4], ["d"], "1:1")]
+
+
+def test_scratch_of_a_cluster_must_be_shared(monkeypatch):
+    from types import SimpleNamespace
+
+    from bitextile.sources import scratch
+
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.folder(session, "x")
