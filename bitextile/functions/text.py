@@ -12,28 +12,29 @@ from pyspark.sql.types import StringType
 WORD = r"[\p{L}\p{M}]+"
 
 
-@F.pandas_udf(StringType())
-def composed(s: pd.Series) -> pd.Series:
-    """NFC without combining marks that stay by themselves. Spark has no built-in normal form."""
+#: Characters below U+0300 neither combine nor change in NFC, so texts of these alone need no Python.
+STABLE = r"[^\x00-\u02FF]"
+
 
-    def one(x: str | None) -> str | None:
-        if x is None or x.isascii():
-            return x
-        return "".join(c for c in unicodedata.normalize("NFC", x) if not unicodedata.combining(c))
+def _nfc(x: str) -> str:
+    return x if x.isascii() else "".join(c for c in unicodedata.normalize("NFC", x) if not unicodedata.combining(c))
 
-    return s.map(one)
+
+@F.pandas_udf(StringType())
+def _composed(s: pd.Series) -> pd.Series:
+    return s.map(_nfc, na_action="ignore")
 
 
 @F.pandas_udf(StringType())
 def folded(s: pd.Series) -> pd.Series:
     """composed() in folded case."""
+    return s.map(lambda x: _nfc(x).casefold(), na_action="ignore")
 
-    def one(x: str | None) -> str | None:
-        if x is None:
-            return x
-        return "".join(c for c in unicodedata.normalize("NFC", x) if not unicodedata.combining(c)).casefold()
 
-    return s.map(one)
+def composed(text: Column) -> Column:
+    """NFC without combining marks that stay by themselves. Spark has no built-in normal form, so the texts that can
+    change go through Python, the others as nulls."""
+    return F.coalesce(_composed(F.when(text.rlike(STABLE), text)), text)
 
 
 def tokens(text: Column, normalize: bool = True) -> Column:
@@ -41,11 +42,12 @@ def tokens(text: Column, normalize: bool = True) -> Column:
     return F.regexp_extract_all(composed(text) if normalize else text, F.lit(f"({WORD})"), F.lit(1))
 
 
-def strip_notes(text: Column, depth: int = 8) -> Column:
-    """Bracketed notes replaced by a space from the inside out, `depth` levels; unbalanced brackets stay."""
-    for _ in range(depth):
-        text = F.regexp_replace(text, r"\[[^\[\]]*\]", " ")
-    return text
+def strip_notes(text: Column) -> Column:
+    """Bracketed notes replaced by a space from the inside out; unbalanced brackets stay. No text is nested deeper than
+    it has opening brackets."""
+    note = r"\[[^\[\]]*\]"
+    depth = F.length(text) - F.length(F.replace(text, F.lit("["), F.lit("")))
+    return F.when(depth > 0, F.aggregate(F.sequence(F.lit(1), depth), text, lambda acc, _: F.when(acc.rlike(note), F.regexp_replace(acc, note, " ")).otherwise(acc))).otherwise(text)
 
 
 def base_marker(marker: Column) -> Column:
