@@ -1,23 +1,28 @@
 """Format-preserving pseudonyms by keyed Feistel networks.
 
 Found values are replaced by values of the same form: equal values get equal pseudonyms in every document, different ones
-different ones, and who has the key can go back.
-
-- card numbers (13 to 19 digits, single spaces or hyphens allowed, Luhn check): all digits but the last are permuted and
-  the check digit is set anew;
-- digit runs of card length that fail the check, North American phone numbers, and social security numbers: digits are
-  permuted in place (social security numbers within the valid ranges);
-- IPv4 addresses: permuted among all addresses; dates 1900 to 2099, as YYYY-MM-DD or DD/MM/YYYY or MM/DD/YYYY: permuted
-  among the days of these years, written in the same order;
-- e-mail addresses: letters and digits before the @ are permuted within their class.
-
-Digits and letters go through a Feistel network on two halves of the string: in each round the characters of one half are
-shifted within their class by amounts that SHA-256 makes from the key, the kind, the round and the other half. Days and
-social security numbers use halves of a mixed radix whose product is exactly the number of valid values.
-
-Built-in functions only. Defined results: a null text stays null; a text without such values stays as it is; repeated
-rows get equal results; other columns are kept. Places are found on the whole text; where kinds overlap the one listed
-first in KINDS holds.
+different ones, and who has the key can go back. The key is an argument without a default.
+
+- card numbers (13 to 19 digits, single spaces or hyphens allowed): all digits but the last are permuted, and the last
+  keeps its distance from the check digit, so valid numbers stay valid and other runs stay invalid;
+- North American phone numbers: their ten digits are permuted in place, however the number is written;
+- social security numbers: permuted within the valid ranges; IPv4 addresses: among all addresses;
+- dates 1900 to 2099, as YYYY-MM-DD, DD/MM/YYYY or MM/DD/YYYY: permuted among the days of these years, written in the same
+  order, those with the day first among days over the 12th; dates that no calendar has stay;
+- e-mail addresses (domain labels of up to 63 characters, 127 of them): letters and digits before the @ are permuted
+  within their class.
+
+There are two networks of ROUNDS rounds. Strings go through one on their halves: in each round the characters of one half
+are shifted within their class by amounts that SHA-512 makes from the key, the kind, the round and the other half. Numbers
+go through one of a mixed radix whose product is exactly the number of valid values.
+
+One pattern finds all kinds from left to right: of values that overlap the one that begins first holds, and of those that
+begin together the kind listed first. Its repetitions are bounded or possessive, so long texts neither exhaust the stack
+nor are read more than a fixed number of times.
+
+Built-in functions only. Defined results: a null text stays null; a text without such values, an empty or very long one
+too, is treated like any other; repeated rows get equal results; other columns are kept, also where their names are those
+used here (pseudonymize() adds n_found, or n_found_ if there is one already); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,228 +32,204 @@ import calendar
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .native import let, matches
+from .common import unused
+from .native import let
 
 ROUNDS = 8
 EDGE, TAIL = r"(?<![\w.+-])", r"(?![\w-]|\.\d)"
 #: What is looked for, most specific first.
 KINDS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9_.%+-])[A-Za-z0-9_.%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,63}",
     "date": EDGE + r"(?:(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])/(?:0[1-9]|[12]\d|3[01])/(?:19|20)\d\d)" + TAIL,
     "ip": EDGE + r"(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)" + TAIL,
     "ssn": EDGE + r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}" + TAIL,
     "phone": r"(?<![\w.])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}" + TAIL,
     "card": EDGE + r"\d(?:[ -]?\d){12,18}" + TAIL,
 }
+ANY = "|".join(KINDS.values())
 LOWER, UPPER, DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 DAY_HALVES = (319, 229)  # their product: days from 1900-01-01 to 2099-12-31
 LATE_HALVES = (323, 137)  # their product: days over the 12th of a month in these years
 SSN_HALVES = (898, 99 * 9999)
+IP_HALVES = (65536, 65536)
 
 
-def digest(key: str, kind: str, i: int, half: Column) -> Column:
-    return F.sha2(F.concat(F.lit(f"{key}|{kind}|{i}|"), half.cast("string")).cast("binary"), 256)
+def kind_of(value: Column) -> Column:
+    """The kind of a found value, read from its form."""
+    forms = {"date": r"^(\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4})$", "ip": r"^\d+\.\d+\.\d+\.\d+$", "ssn": r"^\d{3}-\d\d-\d{4}$", "phone": r"^(\+1[ .-]?)?(\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}$"}
+    out = F.when(value.contains("@"), "email")
+    for kind, form in forms.items():
+        out = out.when(value.rlike(form), kind)
+    return out.otherwise("card")
 
 
-def number(hexed: Column, at: Column | int, width: int = 8) -> Column:
-    """The `at`-th run (from 0) of `width` hex digits as a number; runs repeat after the end."""
-    places = 64 // width
-    start = (at % places) * width + 1
-    return F.conv(F.substring(hexed, start, F.lit(width)) if isinstance(start, Column) else F.substring(hexed, start, width), 16, 10).cast("long")
+def digest(key: str, kind: Column, i: Column, half: Column, block: Column | str = "0") -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key), kind, i.cast("string"), half.cast("string"), F.lit(block) if isinstance(block, str) else block.cast("string")).cast("binary"), 512)
 
 
-def shifted(s: Column, hexed: Column, sign: int) -> Column:
-    """Each letter and digit of s moved within its class by an amount from the digest."""
+def number(hexed: Column, at: Column | int, width: int) -> Column:
+    """The `at`-th run (from 0) of `width` hex digits as a number."""
+    return F.conv(F.substring(hexed, at * width + 1, F.lit(width)) if isinstance(at, Column) else F.substring(hexed, at * width + 1, width), 16, 10).cast("long")
+
+
+def shifted(s: Column, pad: Column, sign: int) -> Column:
+    """Each letter and digit of s moved within its class by amounts from the digests in `pad`, 32 of them each."""
 
     def move(c: Column, i: Column) -> Column:
-        by = number(F.sha2(F.concat(hexed, F.floor(i / 8).cast("string")).cast("binary"), 256), i)
+        by = number(F.get(pad, F.floor(i / 32).cast("int")), i % 32, 4)
         out = c
         for members in (LOWER, UPPER, DIGIT):
-            n = len(members)
             at = F.position(c, F.lit(members))
-            out = F.when(at > 0, F.substring(F.lit(members), (F.pmod(at - 1 + sign * by, F.lit(n)) + 1).cast("int"), F.lit(1))).otherwise(out)
+            out = F.when(at > 0, F.substring(F.lit(members), (F.pmod(at - 1 + sign * by, F.lit(len(members))) + 1).cast("int"), F.lit(1))).otherwise(out)
         return out
 
-    chars = F.filter(F.split(s, ""), lambda c: c != "")
-    return F.array_join(F.transform(chars, move), "")
+    return F.array_join(F.transform(F.filter(F.split(s, ""), lambda c: c != ""), move), "")
+
+
+def rounds(back: bool) -> Column:
+    return F.sequence(F.lit(ROUNDS - 1), F.lit(0)) if back else F.sequence(F.lit(0), F.lit(ROUNDS - 1))
 
 
-def feistel(s: Column, key: str, kind: str, back: bool = False) -> Column:
-    """A string with its letters and digits permuted within their classes."""
+def feistel(s: Column, key: str, kind: Column, back: bool = False) -> Column:
+    """A string with its letters and digits permuted within their classes. A round shifts one half by the other and
+    swaps them; ROUNDS is even, so they end in their places."""
+
+    def shift(half: Column, by: Column, i: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor(F.length(half) / 32).cast("int"))
+        return shifted(half, F.transform(blocks, lambda b: digest(key, kind, i, by, b)), -1 if back else 1)
+
+    def step(p: Column, i: Column) -> Column:
+        if back:
+            return F.struct(shift(p["b"], p["a"], i).alias("a"), p["a"].alias("b"))
+        return F.struct(p["b"].alias("a"), shift(p["a"], p["b"], i).alias("b"))
+
     half = lambda x: F.floor(F.length(x) / 2).cast("int")
     pair = let(s, lambda x: F.struct(F.substring(x, F.lit(1), half(x)).alias("a"), F.substring(x, half(x) + 1, F.length(x)).alias("b")))
-    for i in reversed(range(ROUNDS)) if back else range(ROUNDS):
-        move = (lambda i: lambda p: F.struct(shifted(p["a"], digest(key, kind, i, p["b"]), -1 if back else 1).alias("a"), p["b"].alias("b")) if i % 2 == 0 else F.struct(p["a"].alias("a"), shifted(p["b"], digest(key, kind, i, p["a"]), -1 if back else 1).alias("b")))(i)
-        pair = let(pair, move)
-    return let(pair, lambda p: F.concat(p["a"], p["b"]))
+    return F.aggregate(rounds(back), pair, step, lambda p: F.concat(p["a"], p["b"]))
+
 
+def feistel_number(x: Column, m: Column, n: Column, key: str, kind: Column, back: bool = False) -> Column:
+    """A number below m * n, permuted among these numbers."""
 
-def feistel_number(x: Column, halves: tuple[int, int], key: str, kind: str, back: bool = False) -> Column:
-    """A number below the product of the halves, permuted among these numbers."""
-    m, n = halves
-    pair = let(x.cast("long"), lambda v: F.struct(F.floor(v / n).cast("long").alias("a"), F.pmod(v, F.lit(n)).cast("long").alias("b")))
-    sign = -1 if back else 1
-    for i in reversed(range(ROUNDS)) if back else range(ROUNDS):
-        move = (lambda i: lambda p: F.struct(F.pmod(p["a"] + sign * number(digest(key, kind, i, p["b"]), 0), F.lit(m)).cast("long").alias("a"), p["b"].alias("b")) if i % 2 == 0 else F.struct(p["a"].alias("a"), F.pmod(p["b"] + sign * number(digest(key, kind, i, p["a"]), 0), F.lit(n)).cast("long").alias("b")))(i)
-        pair = let(pair, move)
-    return let(pair, lambda p: p["a"] * n + p["b"])
+    def shift(half: Column, by: Column, i: Column) -> Column:
+        return F.pmod(half + (-1 if back else 1) * number(digest(key, kind, i, by), 0, 8), F.when(i % 2 == 0, m).otherwise(n)).cast("long")
 
+    def step(p: Column, i: Column) -> Column:
+        if back:
+            return F.struct(shift(p["b"], p["a"], i).alias("a"), p["a"].alias("b"))
+        return F.struct(p["b"].alias("a"), shift(p["a"], p["b"], i).alias("b"))
 
-def digits_of(s: Column) -> Column:
-    return F.regexp_replace(s, r"\D", "")
+    pair = let(x.cast("long"), lambda v: F.struct(F.floor(v / n).cast("long").alias("a"), F.pmod(v, n).cast("long").alias("b")))
+    return F.aggregate(rounds(back), pair, step, lambda p: p["a"] * n + p["b"])
 
 
 def put_back(form: Column, digits: Column) -> Column:
-    """`form` with its digits replaced in order."""
+    """`form`, of a bounded length, with its digits replaced in order."""
     start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, c: Column) -> Column:
-        is_digit = c.rlike("^[0-9]$")
+        is_digit = c.between("0", "9")
         return F.struct((acc["at"] + is_digit.cast("int")).alias("at"), F.concat(acc["out"], F.when(is_digit, F.substring(digits, acc["at"], F.lit(1))).otherwise(c)).alias("out"))
 
     return F.aggregate(F.filter(F.split(form, ""), lambda c: c != ""), start, step, lambda acc: acc["out"])
 
 
-def luhn_sum(digits: Column, doubled: int) -> Column:
-    """The Luhn sum of a digit string; doubled: 0 if its last digit is doubled, 1 if the last but one is."""
+def check_digit(body: Column) -> Column:
+    """The digit that makes body and it pass the Luhn check."""
 
     def add(acc: Column, i: Column) -> Column:
-        d = F.substring(digits, F.length(digits) - i, F.lit(1)).cast("int")
+        d = F.substring(body, F.length(body) - i, F.lit(1)).cast("int")
         twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
-        return acc + F.when(i % 2 == doubled, twice).otherwise(d)
-
-    return F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), add)
-
-
-def is_card(digits: Column) -> Column:
-    return luhn_sum(digits, 1) % 10 == 0
-
-
-def card(value: Column, key: str, back: bool = False) -> Column:
-    def of(d: Column) -> Column:
-        valid = let(feistel(F.substring(d, F.lit(1), F.length(d) - 1), key, "card", back), lambda b: F.concat(b, ((10 - luhn_sum(b, 0) % 10) % 10).cast("string")))
-        return put_back(value, F.when(is_card(d), valid).otherwise(_invalid(d, key, back)))
-
-    return let(digits_of(value), of)
+        return acc + F.when(i % 2 == 0, twice).otherwise(d)
 
+    return F.aggregate(F.sequence(F.lit(0), F.length(body) - 1), F.lit(0), add, lambda acc: (10 - acc % 10) % 10)
 
-def _invalid(d: Column, key: str, back: bool) -> Column:
-    """Digit runs that fail the check stay in that set: all digits but the last are permuted, and the last keeps its
-    distance from the check digit."""
-    check = lambda x: (10 - luhn_sum(x, 0) % 10) % 10
-    body = F.substring(d, F.lit(1), F.length(d) - 1)
-    off = F.substring(d, -1, 1).cast("int") - check(body)
-    return let(off, lambda o: let(feistel(body, key, "run", back), lambda b: F.concat(b, F.pmod(check(b) + o, F.lit(10)).cast("string"))))
 
-
-def phone(value: Column, key: str, back: bool = False) -> Column:
-    """The ten digits without the country code are permuted, so one number has one pseudonym however it is written."""
+def renewed_string(value: Column, kind: Column, key: str, back: bool) -> Column:
+    """The pseudonym of an e-mail address, phone number or card number."""
+    is_card = kind == "card"
 
     def of(d: Column) -> Column:
-        new = feistel(F.substring(d, -10, 10), key, "phone", back)
-        return put_back(value, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), new))
-
-    return let(digits_of(value), of)
-
-
-def ssn(value: Column, key: str, back: bool = False) -> Column:
-    area, group, serial = (F.substring(value, *x).cast("long") for x in ((1, 3), (5, 2), (8, 4)))
-    place = (area - 1 - (area > 666).cast("long")) * SSN_HALVES[1] + (group - 1) * 9999 + serial - 1
+        body = F.when(kind == "email", F.substring_index(value, "@", 1)).when(kind == "phone", F.substring(d, -10, 10)).otherwise(F.substring(d, F.lit(1), F.length(d) - 1))
+        return let(body, lambda b: let(F.when(is_card, F.pmod(F.substring(d, -1, 1).cast("int") - check_digit(b), F.lit(10))), lambda off: put(d, b, off)))
 
-    def of(v: Column) -> Column:
-        a = F.floor(v / SSN_HALVES[1]) + 1
-        a = a + (a >= 666).cast("long")
-        rest = F.pmod(v, F.lit(SSN_HALVES[1]))
-        return F.format_string("%03d-%02d-%04d", a.cast("long"), (F.floor(rest / 9999) + 1).cast("long"), (rest % 9999 + 1).cast("long"))
+    def put(d: Column, body: Column, off: Column) -> Column:
+        name = F.when(is_card & (off > 0), "run").otherwise(kind)
+        new = feistel(body, key, name, back)
+        digits = lambda x: F.when(kind == "phone", F.concat(F.substring(d, F.lit(1), F.length(d) - 10), x)).otherwise(F.concat(x, F.pmod(check_digit(x) + off, F.lit(10)).cast("string")))
+        return let(new, lambda x: F.when(kind == "email", F.concat(x, F.substring(value, F.length(body) + 1, F.length(value)))).otherwise(put_back(value, digits(x))))
 
-    return let(feistel_number(place, SSN_HALVES, key, "ssn", back), of)
+    return let(F.regexp_replace(value, r"\D", ""), of)
 
 
-def ip(value: Column, key: str, back: bool = False) -> Column:
-    parts = F.split(value, r"\.")
-    place = sum(F.element_at(parts, k + 1).cast("long") * 256 ** (3 - k) for k in range(4))
-    return let(feistel_number(place, (65536, 65536), key, "ip", back), lambda v: F.concat_ws(".", *(F.pmod(F.floor(v / 256 ** (3 - k)), F.lit(256)).cast("long").cast("string") for k in range(4))))
-
-
-def date(value: Column, key: str, back: bool = False) -> Column:
-    """Dates that no calendar has stay as they are. With slashes, a first part over 12 is a day, else a month.
-
-    Dates with the day first are permuted among the days over the 12th, so that the pseudonym reads the same way.
-    """
+def renewed_number(value: Column, kind: Column, key: str, back: bool) -> Column:
+    """The pseudonym of a date, IPv4 address or social security number; impossible dates stay."""
     first, second, year = (F.substring(value, *x).cast("int") for x in ((1, 2), (4, 2), (7, 4)))
     iso = value.contains("-")
     day_first = ~iso & (first > 12)
-    parsed = F.try_to_date(F.when(iso, value).when(day_first, F.format_string("%04d-%02d-%02d", year, second, first)).otherwise(F.format_string("%04d-%02d-%02d", year, first, second)), "yyyy-MM-dd")
+    text = F.when(iso, value).when(day_first, F.format_string("%04d-%02d-%02d", year, second, first)).otherwise(F.format_string("%04d-%02d-%02d", year, first, second))
+    day = F.when(kind == "date", F.try_to_date(text, "yyyy-MM-dd"))
     origin = F.lit("1900-01-01").cast("date")
-    months = lambda d: (F.year(d) - 1900) * 12 + F.month(d)
+    name = F.when((kind == "date") & day_first, "late").otherwise(kind)
+    area, group, serial = (F.try_element_at(F.split(value, "-"), F.lit(k)).try_cast("long") for k in (1, 2, 3))
+    quads = F.split(value, r"\.")
+    place = (
+        F.when(kind == "ip", F.aggregate(quads, F.lit(0).cast("long"), lambda acc, x: acc * 256 + x.try_cast("long")))
+        .when(kind == "ssn", (area - 1 - (area > 666).cast("long")) * SSN_HALVES[1] + (group - 1) * 9999 + serial - 1)
+        .otherwise(let(day, lambda d: F.datediff(d, origin) - F.when(day_first, 12 * ((F.year(d) - 1900) * 12 + F.month(d))).otherwise(0)))
+    )
+    radix = lambda k: F.when(name == "ip", IP_HALVES[k]).when(name == "ssn", SSN_HALVES[k]).when(name == "late", LATE_HALVES[k]).otherwise(DAY_HALVES[k]).cast("long")
     before = F.split(F.lit(",".join(map(str, _late_days()))), ",").cast("array<int>")  # late days before each month; folded
 
-    def late(d: Column) -> Column:
-        place = F.datediff(d, origin) - 12 * months(d)
-        new = feistel_number(place, LATE_HALVES, key, "late", back).cast("int")
-        day = let(new, lambda v: let(F.size(F.filter(before, lambda x: x <= v)), lambda k: F.date_add(origin, v + 12 * k)))
-        return F.date_format(day, "dd/MM/yyyy")
+    def written(v: Column) -> Column:
+        byte = lambda k: F.pmod(F.floor(v / 256 ** (3 - k)), F.lit(256)).cast("long").cast("string")
+        a, rest = F.floor(v / SSN_HALVES[1]) + 1, F.pmod(v, F.lit(SSN_HALVES[1]))
+        ssn = F.format_string("%03d-%02d-%04d", (a + (a >= 666).cast("long")).cast("long"), (F.floor(rest / 9999) + 1).cast("long"), (rest % 9999 + 1).cast("long"))
+        late = F.date_add(origin, (v + 12 * F.size(F.filter(before, lambda x: x <= v))).cast("int"))
+        early = F.date_add(origin, v.cast("int"))
+        date = F.when(day_first, F.date_format(late, "dd/MM/yyyy")).when(iso, F.date_format(early, "yyyy-MM-dd")).otherwise(F.date_format(early, "MM/dd/yyyy"))
+        return F.when(name == "ip", F.concat_ws(".", *map(byte, range(4)))).when(name == "ssn", ssn).otherwise(date)
+
+    return let(place, lambda x: F.when(x.isNull(), value).otherwise(let(feistel_number(x, radix(0), radix(1), key, name, back), written)))
 
-    def early(d: Column) -> Column:
-        new = F.date_add(origin, feistel_number(F.datediff(d, origin), DAY_HALVES, key, "date", back).cast("int"))
-        return let(new, lambda x: F.when(iso, F.date_format(x, "yyyy-MM-dd")).otherwise(F.date_format(x, "MM/dd/yyyy")))
 
-    return let(parsed, lambda d: F.when(d.isNull(), value).when(day_first, late(d)).otherwise(early(d)))
+def renewed(value: Column, key: str, back: bool = False, kind: Column | None = None) -> Column:
+    """The pseudonym of a found value; with `back`, the value of a pseudonym."""
+    of = lambda k: F.when(k.isin("email", "phone", "card"), renewed_string(value, k, key, back)).otherwise(renewed_number(value, k, key, back))
+    return of(kind) if kind is not None else let(kind_of(value), of)
 
 
 def _late_days() -> list[int]:
     """For each month from January 1900 to December 2099: days over the 12th in the months before it."""
     out = [0]
     for year in range(1900, 2100):
-        out += [out[-1] + calendar.monthrange(year, 1)[1] - 12]
-        for month in range(2, 13):
+        for month in range(1, 13):
             out.append(out[-1] + calendar.monthrange(year, month)[1] - 12)
     return out[:-1]
 
 
-def email(value: Column, key: str, back: bool = False) -> Column:
-    at = F.position(F.lit("@"), value)
-    return F.concat(feistel(F.substring(value, F.lit(1), at - 1), key, "email", back), F.substring(value, at, F.length(value)))
+def replaced(text: Column, key: str) -> Column:
+    """(kinds, text): the kinds of the values found, in order, and the text with their pseudonyms."""
 
+    def of(values: Column) -> Column:
+        kinds = F.transform(values, kind_of)
+        new = lambda ks: F.zip_with(values, ks, lambda v, k: renewed(v, key, kind=k))
+        parts = lambda ks: F.zip_with(F.split(text, ANY, -1), new(ks), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+        done = let(kinds, lambda ks: F.struct(ks.alias("kinds"), F.array_join(parts(ks), "").alias("text")))
+        return F.when(F.size(values) > 0, done).otherwise(F.struct(F.array().cast("array<string>").alias("kinds"), text.alias("text")))
 
-MAKE = {"email": email, "date": date, "ip": ip, "ssn": ssn, "phone": phone, "card": card}
+    return let(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), of)
 
 
-def found(text: Column, key: str) -> Column:
-    """Array of (start, rank, end, kind, new) of all values that are replaced, in order and without overlaps."""
-    kind = "array<struct<start:int,rank:int,end:int,kind:string,new:string>>"
-    each = []
-    for rank, (name, pattern) in enumerate(KINDS.items()):
-        r, k = F.lit(rank).alias("rank"), F.lit(name).alias("kind")
-        each.append(F.transform(matches(text, pattern), lambda x: F.struct(x["start"].alias("start"), r, x["end"].alias("end"), k, x["value"].alias("new"))).cast(kind))  # noqa: B023
-
-    def clear(all_: Column) -> Column:
-        free = lambda x: ~F.exists(all_, lambda y: (y["rank"] < x["rank"]) & (y["start"] < x["end"]) & (x["start"] < y["end"]))
-        return F.array_sort(F.filter(all_, free))
-
-    def renew(x: Column) -> Column:
-        new = F.coalesce(*(F.when(x["kind"] == k, MAKE[k](x["new"], key)) for k in KINDS))
-        return F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind"), new.alias("new"))
-
-    return F.transform(let(F.concat(*each), lambda a: F.when(F.size(a) > 0, clear(a)).otherwise(a)), renew)
-
-
-def pseudonymize(documents: DataFrame, key: str = "key 1") -> DataFrame:
+def pseudonymize(documents: DataFrame, key: str) -> DataFrame:
     """The documents with every value replaced, and n_found: how many there were of each kind, in order of KINDS."""
-
-    def swap(acc: Column, x: Column) -> Column:
-        before = F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"])
-        return F.struct(x["end"].alias("at"), F.concat(acc["out"], before, x["new"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate("__found", start, swap, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length(F.col("text")) + 1)))
-    count = lambda k: F.size(F.filter("__found", lambda x: x["kind"] == k)).cast("long").alias(k)
-    counts = F.struct(*map(count, KINDS))
-    out = documents.withColumn("__found", found(F.coalesce(F.col("text").cast("string"), F.lit("")), key)).withColumn("n_found", counts)
-    return out.withColumn("text", F.when(F.size("__found") > 0, done).otherwise(F.col("text"))).drop("__found")
+    made, n_found = unused(documents, "made"), unused(documents, "n_found")
+    count = lambda k: F.size(F.filter(f"{made}.kinds", lambda x: x == k)).cast("long").alias(k)
+    out = documents.withColumn(made, replaced(F.coalesce(F.col("text").cast("string"), F.lit("")), key)).withColumn(n_found, F.struct(*map(count, KINDS)))
+    return out.withColumn("text", F.when(F.col("text").isNotNull(), F.col(f"{made}.text"))).drop(made)
 
 
-def report(documents: DataFrame, key: str = "key 1") -> DataFrame:
+def report(documents: DataFrame, key: str) -> DataFrame:
     """doc_id, counts by kind, the pseudonymous text and its digest."""
-    p = pseudonymize(documents, key)
+    p = pseudonymize(documents.select("doc_id", "text"), key)
     return p.select("doc_id", *(F.col(f"n_found.{k}").alias(f"n_{k}") for k in KINDS), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), "text")
