@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from secrets import token_hex
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The setting spark.bitextile.pseudonym.key; where it is missing, a random one for this session."""
+    name = "spark.bitextile.pseudonym.key"
+    if not spark.conf.get(name, None):
+        spark.conf.set(name, token_hex(32))
+    return spark.conf.get(name)
+
+
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -67,7 +76,7 @@ def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.report(table(spark, sf_dir, "documents"))
+    return pii.report(table(spark, sf_dir, "documents"), pseudonym_key(spark))
 
 
 @query
@@ -109,9 +118,10 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
 
 ORACLES["op6_preference_format"] = r"""
 WITH own AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-last AS (SELECT conv_id, turn AS last, text AS answer FROM own WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1),
-t AS (SELECT o.conv_id AS pair_id, o.turn, o.role, o.text, CASE WHEN o.turn = l.last AND o.role = 'assistant' THEN n.answer ELSE o.text END AS other
-      FROM own o JOIN last l ON o.conv_id = l.conv_id JOIN last n ON n.conv_id = l.conv_id + 1 WHERE o.turn <= l.last),
+said AS (SELECT conv_id, turn AS last, text AS answer FROM own WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1),
+last AS (SELECT conv_id, last, coalesce(lead(answer) OVER (ORDER BY conv_id), first_value(answer) OVER (ORDER BY conv_id)) AS other, count(*) OVER () AS n FROM said),
+t AS (SELECT o.conv_id AS pair_id, o.turn, o.role, o.text, CASE WHEN o.turn = l.last AND o.role = 'assistant' THEN l.other ELSE o.text END AS other
+      FROM own o JOIN last l ON o.conv_id = l.conv_id WHERE o.turn <= l.last AND l.n > 1),
 m AS (SELECT *, bool_and(text = other) OVER (PARTITION BY pair_id ORDER BY turn) AS shared FROM t),
 r AS (SELECT pair_id, turn, role, shared, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS c, '<|im_start|>' || role || chr(10) || other || '<|im_end|>' || chr(10) AS j FROM m),
 s AS (SELECT *, sum(CASE WHEN shared THEN 0 ELSE length(c) END) OVER (PARTITION BY pair_id ORDER BY turn) - length(c) AS cs, sum(CASE WHEN shared THEN 0 ELSE length(j) END) OVER (PARTITION BY pair_id ORDER BY turn) - length(j) AS js FROM r)
