@@ -32,6 +32,13 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _made: dict[str, Encoder] = {}
 
 
+def in_merge_order(model: dict) -> bool:
+    """Whether ids follow the order of merges, so that they can serve as merge ranks."""
+    pairs = (m.split(" ") if isinstance(m, str) else m for m in model.get("merges", []))
+    ids = [model["vocab"].get("".join(p), -1) for p in pairs]
+    return all(a < b for a, b in zip(ids, ids[1:], strict=False)) and not model.get("ignore_merges")
+
+
 class Encoder:
     """Texts to ids; made from the bytes of a tokenizer file."""
 
@@ -47,7 +54,7 @@ class Encoder:
         self.special = [x["content"] for x in data.get("added_tokens", [])]
         pre = data.get("pre_tokenizer") or {}
         self.fast = None
-        if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not data.get("normalizer"):
+        if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not data.get("normalizer") and in_merge_order(data["model"]):
             ranks = {bytes(byte[c] for c in t): i for t, i in data["model"]["vocab"].items() if t not in self.special}
             self.fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe
 

@@ -11,11 +11,13 @@ segment's count depends on nothing else, so a worker keeps the counts of segment
 No file of a unigram model is at hand; the pieces and scores of a SentencePiece file are read as one. Scores of that file
 are whole numbers, so sums are exact and ties are common.
 
-Defined results: null and empty texts count 0; repeated rows are counted each; an empty table gives no rows.
+Defined results: null and empty texts count 0; repeated rows are counted each; an empty table gives no rows; other columns
+are ignored; a very long text is counted by segments, so memory grows with its longest segment alone. Ties: see above.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import texts_of
 
 SPACE, PENALTY, KEPT = "▁", 10.0, 400_000
-_made: dict[int, Counter] = {}
+_made: dict[str, Counter] = {}
 
 
 def vocabulary(model: str) -> list[tuple[str, float]]:
@@ -108,13 +110,13 @@ def _count(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
 
 
 class _Sent:
-    def __init__(self, vocab, key: int):
+    def __init__(self, vocab, key: str):
         self.vocab, self.id = vocab, key
 
 
 def count(documents: DataFrame, model: str) -> DataFrame:
     """doc_id, n_chars and n_tokens of each document under the vocabulary in the file `model`."""
     vocab = vocabulary(model)
-    sent = _Sent(documents.sparkSession.sparkContext.broadcast(vocab), hash(tuple(vocab[-200:])))
+    sent = _Sent(documents.sparkSession.sparkContext.broadcast(vocab), hashlib.sha256(repr(vocab).encode()).hexdigest())
     docs = texts_of(documents, F.col("doc_id").cast("long").alias("doc_id"))
     return docs.mapInArrow(lambda b: _count(b, sent), "doc_id long, n_chars long, n_tokens long")
