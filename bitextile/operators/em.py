@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import written
+from ..sources.scratch import release, written
 
 NULL = "<null>"
 
@@ -26,23 +26,39 @@ def start(c: DataFrame) -> DataFrame:
     return met.join(met.groupBy("s").agg(F.count("*").alias("n")), "s").select("s", "w", (1 / F.col("n")).alias("t"))
 
 
-def step(c: DataFrame, t: DataFrame) -> DataFrame:
-    """One round: expected counts by the share of each source word in a target place, then normalized by source."""
+def expected(c: DataFrame, t: DataFrame) -> DataFrame:
+    """Expected counts (s, w, c): in a target place each source word counts by its share of the probability."""
     p = c.join(t, ["s", "w"]).withColumn("p", F.col("k") * F.col("t"))
     share = F.col("p") / F.sum("p").over(Window.partitionBy("ref", "place"))
-    counts = p.withColumn("c", share).groupBy("s", "w").agg(F.sum("c").alias("c"))
-    counts = written(counts, "counts")  # read twice; the null word meets every word, so its sum is an aggregate and no window
+    return p.withColumn("c", share).groupBy("s", "w").agg(F.sum("c").alias("c"))
+
+
+def normalized(counts: DataFrame) -> DataFrame:
+    """t(w | s) of counts. The null word meets every word, so its sum is an aggregate and no window."""
     return counts.join(counts.groupBy("s").agg(F.sum("c").alias("n")), "s").select("s", "w", (F.col("c") / F.col("n")).alias("t"))
 
 
+def step(c: DataFrame, t: DataFrame) -> DataFrame:
+    """One round of EM."""
+    return normalized(expected(c, t))
+
+
 def train(source: DataFrame, target: DataFrame, rounds: int = 6, cut: bool = True) -> DataFrame:
-    """t(w | s) after `rounds`; each round is written so that plans stay short."""
+    """t(w | s) after `rounds`; each round is written so that plans stay short, and what it replaces is deleted."""
     c = cells(source, target)
-    c = written(c, "cells") if cut else c
-    t = start(c)
+    if not cut:
+        t = start(c)
+        for _ in range(rounds):
+            t = step(c, t)
+        return t
+    c = written(c, "cells")
+    t = written(start(c), "t")
     for _ in range(rounds):
-        t = step(c, t)
-        t = written(t, "t") if cut else t
+        counts = written(expected(c, t), "counts")
+        release(t)
+        t = written(normalized(counts), "t")
+        release(counts)
+    release(c)
     return t
 
 

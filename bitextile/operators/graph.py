@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import written
+from ..sources.scratch import release, written
 
 
 def roots(links: DataFrame, most: int = 64) -> DataFrame:
@@ -13,9 +13,12 @@ def roots(links: DataFrame, most: int = 64) -> DataFrame:
     their nodes are left out. Pointer doubling: the number of rounds is the logarithm of the longest chain."""
     ids = links.select("id")
     at = written(links.select("id", F.coalesce("parent", "id").alias("to")).join(ids.withColumnRenamed("id", "to"), "to", "left_semi"), "roots")
+    held = at
     for _ in range(most):
         up = at.select(F.col("id").alias("to"), F.col("to").alias("next"))
         new = written(at.join(up, "to").select("id", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")), "roots")
+        release(held)
+        held = new
         if not new.where("moved").limit(1).count():
             return new.select("id", F.col("to").alias("root"))
         at = new.select("id", "to")
@@ -26,11 +29,15 @@ def components(edges: DataFrame) -> DataFrame:
     """node and component (its least node) of an undirected graph with edges a, b."""
     two = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = written(two.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
+    held = labels
     while True:
         near = two.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
         least = labels.join(near, "node").select("node", F.least("component", "m").alias("c"), F.col("component").alias("old"))
         jump = labels.select(F.col("node").alias("c"), F.col("component").alias("next"))
         new = written(least.join(jump, "c", "left").select("node", "old", F.least("c", "next").alias("component")), "labels")
+        release(held)
+        held = new
         if not new.where("component <> old").limit(1).count():
+            release(two)
             return new.select("node", "component")
         labels = new.select("node", "component")
