@@ -21,7 +21,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .native import let, matches
+from .common import unused
+from .native import let, matches, merged, outside, touches
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS, HEX = r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}"
@@ -43,7 +44,7 @@ def base_spans(text: Column) -> Column:
         return F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
 
     assigned = F.filter(matches(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= 12)
-    return F.array_sort(F.concat(of(0, assigned), of(1, matches(text, ACCESS)), of(2, matches(text, HEX))))
+    return F.sort_array(F.concat(of(0, assigned), of(1, matches(text, ACCESS)), of(2, matches(text, HEX))))
 
 
 def labelled(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -97,42 +98,37 @@ def ratio(word: Column, table: list[float]) -> Column:
 
 def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
     """Array of (start, kind number, end) of runs that the models hold for random and that touch no base span."""
-    runs = F.filter(matches(text, RUN), lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]") & ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    likely = F.filter(runs, lambda x: let(ratio(x["value"], table), lambda r: (r >= LEAST_SUM) & (r >= LEAST_MEAN * F.length(x["value"]))))
+    free = lambda runs: F.filter(F.zip_with(runs, touches(runs, base), lambda x, hit: F.when(~hit, x)), lambda x: x.isNotNull())
+    likely = F.filter(let(matches(text, RUN), free), lambda x: let(ratio(x["value"], table), lambda r: (r >= LEAST_SUM) & (r >= LEAST_MEAN * F.length(x["value"]))))
     return F.transform(likely, lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")))
 
 
-def spans(documents: DataFrame, table: list[float] | None = None) -> DataFrame:
-    """The documents with __base and __spans: arrays of (start, kind number, end)."""
-    table = table or train(labelled(documents))
+def found(table: list[float]) -> Column:
+    """(base, spans) of the column text: arrays of (start, kind number, end)."""
     kind = "array<struct<start:int,kind:int,end:int>>"
-    both = let(_text(), lambda t: let(base_spans(t), lambda b: F.struct(b.cast(kind).alias("base"), F.array_sort(F.concat(b.cast(kind), markov_spans(t, b, table).cast(kind))).alias("spans"))))
-    return documents.withColumn("__found", both)
+    return let(_text(), lambda t: let(base_spans(t), lambda b: F.struct(b.cast(kind).alias("base"), F.sort_array(F.concat(b.cast(kind), markov_spans(t, b, table).cast(kind))).alias("spans"))))
 
 
-def written(found: Column) -> Column:
+def written(spans: Column) -> Column:
     """Spans as kind:start:end, joined by commas."""
     name = lambda k: F.element_at(F.array(*map(F.lit, KINDS)), k + 1)
-    return F.array_join(F.transform(found, lambda x: F.concat_ws(":", name(x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", name(x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
 def report(documents: DataFrame) -> DataFrame:
     """Counts of base matches, the digest of base spans, and all spans of each document."""
-    n = lambda k: F.size(F.filter("__found.base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-    return spans(documents).select("doc_id", n(0), n(1), n(2), F.sha2(written(F.col("__found.base")).cast("binary"), 256).alias("base_sha256"), written(F.col("__found.spans")).alias("spans"))
+    judged = documents.select("doc_id", found(train(labelled(documents))).alias("x"))
+    n = lambda k: F.size(F.filter("x.base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+    return judged.select("doc_id", n(0), n(1), n(2), F.sha2(written(F.col("x.base")).cast("binary"), 256).alias("base_sha256"), written(F.col("x.spans")).alias("spans"))
 
 
 def redact(documents: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every found span replaced by `mark`; n_chars, if there, is set anew for changed texts."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        before = F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], before, F.lit(mark))).alias("out"))
-
-    done = F.aggregate("__found.spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length(F.col("text")) + 1)))
-    out = spans(documents).withColumn("text", F.when(F.size("__found.spans") > 0, done).otherwise(F.col("text")))
+    name = unused(documents, "found")
+    some = F.size(f"{name}.spans") > 0
+    new = let(merged(F.col(f"{name}.spans")), lambda m: F.array_join(outside(F.col("text"), m["starts"], m["ends"]), mark))
+    out = documents.withColumn(name, found(train(labelled(documents)))).withColumn("text", F.when(some, new).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("__found.spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(some, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*documents.columns)
