@@ -3,15 +3,14 @@
 Trusted positives are documents labelled good; the web text, labelled or not, is the unlabelled set. An additive model
 over binned statistics of a text minimises the non-negative unbiased risk: with class prior p,
 p * R+(positives) + max(0, R-(unlabelled) - p * R-(positives)) under the logistic loss; where the second part is negative
-its gradient is turned round. The prior is estimated from the label table as the share of good among its training rows,
-and where that holds no bad row, from the scores of a first fit (the least ratio of unlabelled to positive documents above
-a score). The logistic loss makes the score an estimate of the chance of label 1.
+its gradient is turned round. The prior is estimated from the scores of the two sets alone, as the least ratio of unlabelled to
+positive documents above a score; documents labelled bad are not used. The logistic loss makes the score an estimate of the chance of label 1.
 
 The model is fitted on hash samples of about `SAMPLE` positives and as many unlabelled documents, whose 17 numbers each
 reach the driver; every document is scored from its whole text.
 
 Defined results: null and empty texts are scored as texts with no words; labels of null quality or null doc_id are left
-out; repeated label rows count once (the least quality holds); with no positives every score is the prior, at least 0.5;
+out; repeated label rows count once (the least quality holds); with no positives every score is 0.5;
 repeated document rows get equal scores; other columns are ignored.
 """
 
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, Chunk, byte_class, chunks, mix, texts_of, words
+from .common import NOT_SPACE, Chunk, byte_class, chunks, mix, texts_of, unused, words
 
 SAMPLE, BINS, STEPS, RATE, DECAY = 20_000, 12, 300, 0.05, 1e-4
 THRESHOLD = 0.7
@@ -104,9 +103,20 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
 
 
 def prior_from_scores(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The least share of unlabelled to positive documents above a score that a fifth of the positives reach."""
-    at = np.quantile(positive, np.linspace(0, 0.8, 17))
-    return float(np.clip(min((unlabelled >= t).mean() / (positive >= t).mean() for t in at), 0.05, 0.95))
+    """The least share of unlabelled to positive documents above a score that half of the positives reach."""
+    at = np.quantile(positive, np.linspace(0, 0.5, 26))
+    return float(min((unlabelled >= t).mean() / (positive >= t).mean() for t in at))
+
+
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives in the unlabelled set, from those two alone: each half is scored by a model of the other, so
+    that no model scores what it has learned, and the two estimates are averaged."""
+    p, u = (x[np.lexsort(x.T)] for x in (positive, unlabelled))
+    (p0, p1), (u0, u1) = ([x[k::2] for k in (0, 1)] for x in (p, u))
+    if min(map(len, (p0, u0, p1, u1))) < 1:
+        return 0.5
+    found = [prior_from_scores(m.score(p), m.score(u)) for m, p, u in ((fit(p0, u0, 0.5), p1, u1), (fit(p1, u1, 0.5), p0, u0))]
+    return float(np.clip(np.mean(found), 0.05, 0.95))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -136,7 +146,6 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     """Fit on bounded samples; of labels, rows that are held out are never read."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    share, bad = known.agg(F.avg("quality"), F.sum(F.when(F.col("quality") == 0, 1).otherwise(0))).first()
     docs = texts_of(documents, F.col("doc_id").cast("long").alias("doc_id"))
     schema = ", ".join(f"{x} double" for x in NAMES)
 
@@ -147,13 +156,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     positive = matrix(sampled(known.where("quality = 1").select("doc_id"), "doc_id", sample, 1))
     unlabelled = matrix(sampled(docs.select("doc_id"), "doc_id", sample, 2))
     if not len(positive) or not len(unlabelled):
-        p = min(max(float(share or 0.5), 0.5), 0.99)
-        return Model([np.zeros(0)] * len(NAMES), np.zeros(len(NAMES) * (BINS + 1)), math.log(p / (1 - p)))
-    prior = float(share)
-    if not bad:
-        m = fit(positive, unlabelled, 0.5)
-        prior = prior_from_scores(m.score(positive), m.score(unlabelled))
-    return fit(positive, unlabelled, min(max(prior, 0.01), 0.99))
+        return Model([np.zeros(0)] * len(NAMES), np.zeros(len(NAMES) * (BINS + 1)), 0.0)
+    return fit(positive, unlabelled, estimated_prior(positive, unlabelled))
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
@@ -167,10 +171,11 @@ def keep_good(documents: DataFrame, model: Model) -> DataFrame:
     """The documents that the model does not reject, with all their columns."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
     names = documents.columns
-    kept = documents.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    text = unused(documents, "text")
+    kept = documents.withColumn(text, F.coalesce(F.col("text").cast("string"), F.lit("")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in chunks(batches, "__text"):
+        for c in chunks(batches, text):
             good = sent.value.score(features(c)) >= THRESHOLD
             own = c.batch.slice(c.first, c.n).filter(pa.array(good))
             yield own.select(names)
