@@ -28,7 +28,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back: cuts the lineage and outlives lost executors."""
     path = folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
 def texts_of(df: DataFrame, *keep: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALPHANUMERIC, Slices, Words, chunks, lists, materialize, texts_of, window_min, words
+from .common import ALPHANUMERIC, Slices, Words, chunks, lists, materialize, texts_of, unused, window_min, words
 
 WINDOW, K = 13, 5
 SENT = 1_000_000  # keys of contaminated texts that are broadcast at most; beyond it their join shuffles
@@ -229,8 +229,9 @@ def report(documents: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
 
 def clean(documents: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
     """The documents that are not contaminated, with all their columns. Rows with a null doc_id are judged too."""
-    keyed = documents.withColumn("__row", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    judged = report(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark, **how)
-    bad = materialize(judged.where("contaminated").select(F.col("doc_id").alias("__row")).distinct(), "contaminated")
+    key = unused(documents, "row")
+    keyed = documents.withColumn(key, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    judged = report(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, **how)
+    bad = materialize(judged.where("contaminated").select(F.col("doc_id").alias(key)).distinct(), "contaminated")
     bad = F.broadcast(bad) if bad.count() <= SENT else bad
-    return keyed.join(bad, "__row", "left_anti").drop("__row")
+    return keyed.join(bad, key, "left_anti").drop(key)

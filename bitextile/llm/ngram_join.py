@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import release
 from .common import NOT_SPACE, Chunk, Slices, chunks, materialize, mix, texts_of, unused, words
 
 N, PERCENT = 5, 75
@@ -424,15 +425,16 @@ def components(edges: DataFrame) -> tuple[DataFrame, int]:
     """
     two = edges.union(edges.select("y", "x").toDF("x", "y"))
     labels = materialize(two.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
-    n = labels.count()
+    held, n = labels, labels.count()
     while True:
         near = two.join(sent(labels.withColumnRenamed("node", "y"), n), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("m"))
         least = near.join(sent(labels, n), "node").select("node", F.least("label", "m").alias("new"), F.col("label").alias("old"))
         jump = labels.select(F.col("node").alias("new"), F.col("label").alias("next"))
         new = materialize(least.join(sent(jump, n), "new", "left").select("node", "old", F.least("new", "next").alias("label")), "labels")
+        release(held)
+        held, labels = new, new.select("node", "label")
         if not new.where("label <> old").limit(1).count():
-            return new.select("node", "label"), n
-        labels = new.select("node", "label")
+            return labels, n
 
 
 def joined(label: DataFrame, n: int, links: DataFrame) -> tuple[DataFrame, int]:
