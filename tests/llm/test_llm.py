@@ -1,5 +1,8 @@
 """The text operators against brute force on small tables with odd cases."""
 
+import base64
+import collections
+import datetime
 import hashlib
 import random
 import re
@@ -9,6 +12,8 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from bitextile.llm import chat, decontam, ngram_join, packing, pii, quality, secrets, suffix_dedup, syncmers, token_counts
@@ -54,6 +59,21 @@ def test_token_count_ties():
     assert counter.text("ab") == 2  # ▁ and ab: of equal scores the longest piece holds
 
 
+def test_vocabularies_with_equal_ends_do_not_share_a_counter(spark, monkeypatch):
+    tail = [(f"t{i}", -float(i)) for i in range(300)]
+    for head, n in (([("▁", 0.0), ("a", -1.0), ("ab", -1.0), ("b", -1.0)], 2), ([("▁", 0.0), ("a", -1.0), ("b", -1.0)], 3)):
+        monkeypatch.setattr(token_counts, "vocabulary", lambda _, v=head + tail: v)
+        out = token_counts.count(frame(spark, ["ab", "ab", None]).withColumn("n_tokens", F.lit(7)).coalesce(1), "").collect()
+        assert [(r["doc_id"], r["n_tokens"]) for r in out] == [(0, n), (1, n), (2, 0)]
+    assert token_counts.count(frame(spark, []), "").count() == 0
+
+
+def test_ids_that_do_not_follow_the_merges_are_no_ranks():
+    vocab = {"a": 0, "b": 1, "ab": 2, "abb": 3}
+    assert packing.in_merge_order({"vocab": vocab, "merges": ["a b", ["ab", "b"]]})
+    assert not packing.in_merge_order({"vocab": vocab | {"ab": 4}, "merges": ["a b", "ab b"]})
+
+
 # -- fingerprints
 
 
@@ -92,6 +112,70 @@ def test_likeness_follows_jaccard(spark):
         assert abs(r["x"] - len(s & sets[0]) / len(s | sets[0])) < 0.15
 
 
+MASK = (1 << 64) - 1
+
+
+def spark_hash(*values):
+    """xxhash64 of Spark: each value hashed with the hash so far as seed."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v if isinstance(v, bytes) else v.encode() if isinstance(v, str) else struct.pack("<Q", v & MASK), h)
+    return h
+
+
+def plain_anchors(t):
+    h = [spark_hash(w) for w in regex.findall(syncmers.WORD.replace(r"\s", r" \t\n\x0b\f\r"), t)]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    inner = [signed(spark_hash(*h[i : i + syncmers.S])) for i in range(len(h) - syncmers.S + 1)]
+    out = []
+    for i in range(len(h) - syncmers.K + 1):
+        own = inner[i : i + syncmers.K - syncmers.S + 1]
+        if min(own) in (own[0], own[-1]):
+            out.append((i, spark_hash(*h[i : i + syncmers.K])))
+    return out or ([(0, spark_hash(*h))] if h else [])
+
+
+def plain_packed(t):
+    seen, out = collections.Counter(), []
+    for place, h in plain_anchors(t):
+        h &= syncmers.HASH
+        n, seen[h] = seen[h], seen[h] + 1
+        out.append(((spark_hash(h, struct.pack("<i", n)) & syncmers.HASH if n else h) << 32) | place)
+    return sorted(out)
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    a, b = ({x >> 32: x & syncmers.PLACE for x in v} for v in (a, b))
+    d = collections.Counter(a[h] - b[h] for h in a.keys() & b.keys())
+    good = sum(n for n in d.values() if n >= min(2, len(a), len(b)))
+    return good / (len(a) + len(b) - good)
+
+
+def test_fingerprints_are_those_of_plain_python(spark):
+    long = prose(30_000, 12)
+    texts = [*ODD, BASE + " " + prose(300, 13), prose(200, 14) + " " + BASE + " " + BASE, "one two three", "la " * 90 + BASE, long, "ab " + long[:90_000] + long[97_000:]]
+    out = syncmers.edited_pairs(frame(spark, texts), blocks=4).orderBy("doc_id").collect()
+    for i, r in enumerate(out):
+        t, n = texts[i] or "", texts[i - 1] or ""
+        half = len(t) // 2
+        a, e, b = (plain_packed(x) for x in (t, t[: len(t) - half] + n[:half], n))
+        assert base64.b64decode(r["fingerprint"]) == b"".join(x.to_bytes(8, "big") for x in a)
+        assert abs(r["near_edited"] - plain_likeness(a, e)) < 1e-12 and abs(r["near_next"] - plain_likeness(a, b)) < 1e-12
+    assert out[-1]["near_next"] > 0.8
+
+
+def test_a_shared_passage_of_long_texts_is_matched_by_position(spark):
+    passage = prose(60, 15)
+    texts = [prose(2500, 16) + " " + passage + " " + prose(2500, 17), prose(1000, 18) + " " + passage + " " + prose(4000, 19), prose(5000, 20)]
+    a, b, c = (syncmers.packed(F.col(x)) for x in "abc")
+    r = spark.createDataFrame([texts], "a string, b string, c string").select(syncmers.likeness(a, b).alias("x"), syncmers.likeness(a, c).alias("y")).first()
+    assert 20 / 5200 < r["x"] < 40 / 4800 and r["y"] == 0
+
+
 def test_anchors_do_not_depend_on_context(spark):
     passage = prose(60, 20)
     texts = [prose(17, 21) + " " + passage + " " + prose(9, 22), prose(40, 23) + " " + passage]
@@ -230,6 +314,42 @@ def test_secrets_held_out(spark):
     assert n.get((True, True), 0) >= 190 and n.get((False, True), 0) <= 4
 
 
+def plain_spans(t, table):
+    base = base_spans(t)
+    out = [(a, k, b) for a, k, b in base]
+    n = len(secrets.ALPHABET)
+    for m in re.finditer(secrets.RUN, t):
+        v = [secrets.ALPHABET.index(c) for c in m.group()]
+        x = sum(float(f"{table[a * n + b]:.5f}") for a, b in zip(v, v[1:], strict=False))
+        if x >= secrets.LEAST_SUM and x >= secrets.LEAST_MEAN * len(v) and not any(a < m.end() and m.start() < b for a, _, b in base):
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+def test_all_spans_and_redaction_are_those_of_plain_python(spark):
+    r = random.Random(21)
+    token = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    hexes, mixed = "0123456789abcdef", secrets.ALPHABET
+    texts = [*SECRET_TEXTS, "".join(r.choice([" ", "token=", "é", ".", ""]) + token(r.choice([hexes, mixed, "AKI", "abc"]), r.randint(1, 30)) for _ in range(3000))]
+    texts += [" ".join(token(hexes, r.randint(10, 22)) for _ in range(60_000)), " ".join(token(mixed, 18) for _ in range(3000)), "AKIA" * 9 + "abcdef0123456789" * 3]
+    docs = frame(spark, texts)
+    table = secrets.train(secrets.labelled(docs))
+    out = {x["doc_id"]: x["s"] for x in docs.select("doc_id", secrets.found(table).alias("x")).select("doc_id", F.col("x.spans").alias("s")).collect()}
+    new = {x["doc_id"]: x["text"] for x in secrets.redact(docs).collect()}
+    for i, t in enumerate(texts):
+        want = plain_spans(t or "", table)
+        assert [(x["start"], x["kind"], x["end"]) for x in out[i]] == want
+        kept, at = "", 0
+        for a, _, b in want:
+            if a >= at:
+                kept += t[at:a] + "[SECRET]"
+            at = max(at, b)
+        assert new[i] == (kept + t[at:] if want else t)
+    assert secrets.report(frame(spark, [])).count() == 0
+    clash = frame(spark, texts[:4]).withColumns({"found": F.lit(1), "x": F.lit(2)})
+    assert [x["found"] for x in secrets.redact(clash).collect()] == [1] * 4 and secrets.redact(clash).columns == clash.columns
+
+
 def test_redaction(spark):
     docs = frame(spark, SECRET_TEXTS).withColumn("__x", F.lit(1))
     out = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
@@ -278,7 +398,7 @@ def test_pii(spark):
         None, "", "card 4111 1111 1111 1111 and 4111-1111-1111-1111.", "run 1234567890123456 x", "call +1 (017) 555-7713 or (017) 555-7713", "born 1987-06-15, 31/12/1999, 02/28/2001, 2001-02-30",
         "ip 233.254.104.120 not 1.2.3.4.5 nor 999.1.1.1", "ssn 123-45-6789 not 000-12-3456", "mail und.34@mail7.example.com é", "version 2.0. and 12345",
     ]
-    out = {r["doc_id"]: r for r in pii.pseudonymize(frame(spark, texts)).collect()}
+    out = {r["doc_id"]: r for r in pii.pseudonymize(frame(spark, texts), "key 1").collect()}
     t = {i: out[i]["text"] for i in out}
     assert t[0] is None and t[1] == "" and t[9] == texts[9]
     cards = re.findall(r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}", t[2])
@@ -300,20 +420,114 @@ def test_pii(spark):
     ("date", ["1900-01-01", "2099-12-31", "13/01/1900", "31/12/2099", "29/02/2000", "01/12/1950"]),
     ("card", ["4111111111111111", "1234567890123456", "4000 0000 0000 0002"]),
     ("phone", ["+1 (017) 555-7713", "555-123-4567"]),
-    ("email", ["a.b9@x.org", "ABC@x.org"]),
+    ("email", ["a.b9@x.org", "ABC@x.org", "x" * 70 + "@y.org"]),
 ])
 def test_pseudonyms_go_back(spark, kind, values):
-    df = spark.createDataFrame([(v,) for v in values], "v string").withColumn("n", pii.MAKE[kind](F.col("v"), "key")).withColumn("b", pii.MAKE[kind](F.col("n"), "key", True))
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", pii.kind_of(F.col("v")).alias("kind"), pii.renewed(F.col("v"), "key").alias("n")).withColumn("b", pii.renewed(F.col("n"), "key", True))
     rows = df.collect()
-    assert [r["b"] for r in rows] == values
+    assert [r["b"] for r in rows] == values and {r["kind"] for r in rows} == {kind}
     assert sum(r["n"] != r["v"] for r in rows) >= len(values) - 1
-    other = spark.createDataFrame([(v,) for v in values], "v string").withColumn("n", pii.MAKE[kind](F.col("v"), "other")).collect()
+    other = spark.createDataFrame([(v,) for v in values], "v string").select("v", pii.renewed(F.col("v"), "other").alias("n")).collect()
     assert any(a["n"] != b["n"] for a, b in zip(rows, other, strict=True))
 
 
 def test_small_domains_are_permuted(spark):
-    out = spark.range(323 * 137).select(pii.feistel_number(F.col("id"), pii.LATE_HALVES, "k", "late").alias("x")).distinct()
-    assert out.count() == 323 * 137
+    m, n = pii.LATE_HALVES
+    out = spark.range(m * n).select(pii.feistel_number(F.col("id"), F.lit(m), F.lit(n), "k", F.lit("late")).alias("x")).distinct()
+    assert out.count() == m * n
+
+
+class PlainPii:
+    """The pseudonyms in plain Python."""
+
+    def __init__(self, key):
+        self.key = key
+        self.find = regex.compile(pii.ANY, regex.ASCII)
+
+    def pad(self, *parts):
+        return hashlib.sha512("|".join(map(str, (self.key, *parts))).encode()).hexdigest()
+
+    def text(self, s, kind):
+        a, b = s[: len(s) // 2], s[len(s) // 2 :]
+        for i in range(pii.ROUNDS):
+            pad, out = [self.pad(kind, i, b, k) for k in range(len(a) // 32 + 1)], ""
+            for j, c in enumerate(a):
+                by = int(pad[j // 32][j % 32 * 4 : j % 32 * 4 + 4], 16)
+                own = next((m for m in (pii.LOWER, pii.UPPER, pii.DIGIT) if c in m), None)
+                out += own[(own.index(c) + by) % len(own)] if own else c
+            a, b = b, out
+        return a + b
+
+    def number(self, x, m, n, kind):
+        a, b = divmod(x, n)
+        for i in range(pii.ROUNDS):
+            a, b = b, (a + int(self.pad(kind, i, b, 0)[:8], 16)) % (n if i % 2 else m)
+        return a * n + b
+
+    def one(self, v):
+        digits = re.sub(r"\D", "", v)
+        fill = lambda new: re.sub(r"[0-9]", lambda _, it=iter(new): next(it), v)
+        if "@" in v:
+            local, _, rest = v.partition("@")
+            return "email", self.text(local, "email") + "@" + rest
+        if re.fullmatch(r"\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}", v):
+            return "date", self.date(v)
+        if re.fullmatch(r"\d+\.\d+\.\d+\.\d+", v):
+            x = self.number(int.from_bytes(bytes(map(int, v.split("."))), "big"), 65536, 65536, "ip")
+            return "ip", ".".join(map(str, x.to_bytes(4, "big")))
+        if re.fullmatch(r"\d{3}-\d\d-\d{4}", v):
+            a, g, s = map(int, v.split("-"))
+            x = self.number((a - 1 - (a > 666)) * 99 * 9999 + (g - 1) * 9999 + s - 1, *pii.SSN_HALVES, "ssn")
+            a, rest = divmod(x, 99 * 9999)
+            return "ssn", f"{a + 1 + (a + 1 >= 666):03d}-{rest // 9999 + 1:02d}-{rest % 9999 + 1:04d}"
+        if len(digits) <= 11:
+            return "phone", fill(digits[:-10] + self.text(digits[-10:], "phone"))
+        check = lambda b: next(d for d in range(10) if luhn(b + str(d)))
+        off = (int(digits[-1]) - check(digits[:-1])) % 10
+        body = self.text(digits[:-1], "run" if off else "card")
+        return "card", fill(body + str((check(body) + off) % 10))
+
+    def date(self, v):
+        first = int(v[:2])
+        form = "%Y-%m-%d" if "-" in v else "%d/%m/%Y" if first > 12 else "%m/%d/%Y"
+        try:
+            d = datetime.datetime.strptime(v, form).date()
+        except ValueError:
+            return v
+        origin = datetime.date(1900, 1, 1)
+        if form != "%d/%m/%Y":
+            return (origin + datetime.timedelta(self.number((d - origin).days, *pii.DAY_HALVES, "date"))).strftime(form)
+        late = [x for x in (origin + datetime.timedelta(k) for k in range(73049)) if x.day > 12]
+        return late[self.number(late.index(d), *pii.LATE_HALVES, "late")].strftime(form)
+
+    def __call__(self, t):
+        kinds, out, at = collections.Counter(), "", 0
+        for m in self.find.finditer(t):
+            kind, new = self.one(m.group())
+            kinds[kind] += 1
+            out, at = out + t[at : m.start()] + new, m.end()
+        return out + t[at:], [kinds[k] for k in pii.KINDS]
+
+
+def test_pii_is_that_of_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = ["12/25/1999 25/12/1999 02/30/2001 1999-02-29", "ssn 665-01-0001 667-99-9999", "a@b.co,c.d@e.f.org;-x@y.zz", "card 4111 1111 1111 1111, run 12345678901234567", "555-123-4567 (555) 123-4567 +1.555.123.4567"]
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame(list(enumerate(odd, -9)), "doc_id long, text string"))
+    plain = PlainPii("some key")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    out = {r["doc_id"]: (r["text"], [r[f"n_{k}"] for k in pii.KINDS]) for r in pii.report(docs, "some key").collect()}
+    assert out == {i: plain(t or "") if t is not None else (None, [0] * 6) for i, t in texts.items()}
+    assert sum(sum(n) for _, n in out.values()) > 90
+
+
+def test_pii_of_odd_tables_and_long_texts(spark):
+    docs = frame(spark, ["a@b.org", "a@b.org", None]).withColumns({"made": F.lit(1), "n_found": F.lit("x"), "__found": F.lit(2)})
+    out = pii.pseudonymize(docs, "k")
+    assert out.columns == [*docs.columns, "n_found_"] and {r["n_found"] for r in out.collect()} == {"x"}
+    assert len({r["text"] for r in out.where("text is not null").collect()}) == 1
+    assert pii.report(frame(spark, []), "k").count() == 0
+    long = ["a@" + "b." * 10_000 + "com", "a%" * 500_000, " ".join(f"user{i}@mail{i % 7}.example.com" for i in range(20_000)), prose(1_500_000, 8)]
+    assert [r["n_email"] for r in pii.report(frame(spark, long), "k").orderBy("doc_id").collect()] == [0, 0, 20_000, 0]
 
 
 # -- near copies
@@ -374,6 +588,43 @@ def test_near_copies_with_hot_shingles_and_trees(spark, monkeypatch):
     assert out == dict(enumerate(want))
 
 
+def test_near_copies_in_big_classes_and_heavy_keys(spark, monkeypatch):
+    """The same classes when classes are cut into blocks and heavy keys into groups."""
+    base = prose(150, 200)
+    texts = near_texts() + [edited(base, 12 + k % 12, 700 + k) for k in range(120)]
+    monkeypatch.setattr(ngram_join, "BIG", 20)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    want, _ = classes(texts)
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.classes(frame(spark, texts)).collect()}
+    assert out == dict(enumerate(want))
+
+
+def test_a_group_of_5000_near_copies(spark):
+    base = prose(120, 210)
+    texts = [edited(base, k % 4, 10_000 + k) for k in range(5000)] + [edited(base, 60, 20_000 + k) for k in range(20)] + [prose(80, 21_000 + k) for k in range(30)]
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.classes(frame(spark, texts).repartition(4)).collect()}
+    assert {out[k] for k in range(5000)} == {0}
+    assert all(out[k] == k for k in range(5000, 5050))
+
+
+def test_keep_one_of_rows_that_differ_in_other_columns(spark):
+    """Equal texts are one class whatever else differs; wordless rows stay unless they are equal in every column."""
+    rows = [(1, BASE, "en", "a", 1), (1, BASE, "en", "b", 1), (2, "", "en", "a", 0), (2, "", "en", "b", 0), (2, "", "en", "b", 0), (None, BASE, "en", "a", 1)]
+    out = ngram_join.keep_one(spark.createDataFrame(rows, SCHEMA).withColumn("row", F.lit(5))).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] == "", r["row"]) for r in out) == [(0, False, 5), (1, False, 5), (2, True, 5), (2, True, 5)]
+
+
+def test_tree_join_of_two_sides():
+    r = np.random.default_rng(4)
+    base = r.integers(0, 1 << 63, 200).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[r.random(200) > e], r.integers(0, 1 << 63, int(200 * e)).astype(np.uint64)])) for e in r.random(900) * 0.4]
+    b = ngram_join.Bucket(np.array([len(s) for s in sets]), [ngram_join.signature(s) for s in sets])
+    for cut in (3, 850):
+        found = {(x, y) for i, j in b.join(np.arange(cut), np.arange(cut, 900)) for x, y in zip(i.tolist(), j.tolist(), strict=True)}
+        assert all((i, j) in found for i in range(0, cut, 7) for j in range(cut, 900, 5) if ngram_join.similar(sets[i], sets[j]))
+        assert all(i < cut <= j for i, j in found)
+
+
 def test_tree_keeps_all_similar_pairs():
     r = np.random.default_rng(3)
     base = r.integers(0, 1 << 63, 400).astype(np.uint64)
@@ -440,6 +691,34 @@ def test_quality_learns_and_holds_out(spark):
     assert set(quality.keep_good(docs, quality.train(docs, labels)).columns) == set(docs.columns)
 
 
+def plain_statistics(t):
+    b = t.encode()
+    low = bytes(c + 32 if 65 <= c < 91 else c for c in b)
+    ws, ls = re.findall(rb"[^\x20\x09-\x0D]+", low), re.findall(rb"[^\n]+", low)
+    n = lambda members: sum(c in members for c in b)
+    letters, upper, digits = n(range(97, 123)) + n(range(65, 91)) + n(range(128, 256)), n(range(65, 91)), n(range(48, 58))
+    marked = [n(x) for x in (b"|", b"!?", b",;:", b".", b"'\"()-")]
+    other = len(b) - letters - digits - n(b" \t\n\r\x0b\x0c") - sum(marked)
+    w, size, lines = max(len(ws), 1), max(len(b), 1), max(len(ls), 1)
+    echoes = sum(x == y for x, y in zip(ws, ws[1:], strict=False))
+    return [np.log1p(len(ws)), len(set(ws)) / w, echoes / w, sum(map(len, ws)) / w, sum(len(x) <= 3 for x in ws) / w, sum(len(x) >= 12 for x in ws) / w,
+            letters / size, upper / size, digits / size, other / w, *(m / w for m in marked), np.log1p(len(ws) / lines), 1 - len(set(ls)) / lines]
+
+
+def test_quality_scores_are_those_of_plain_python(spark):
+    texts = [*ODD, "A! b? c, d; e: f. (g) 'h' \"i\" | j\nj\nj", prose(2_000_000, 31)]
+    r = np.random.default_rng(1)
+    x = np.array([plain_statistics(t or "") for t in texts])
+    model = quality.fit(r.permutation(x)[:12], x, 0.6)
+    want = []
+    for row in x:
+        z = model.bias + sum(model.weights[k * (quality.BINS + 1) + sum(c <= v for c in cuts)] for k, (cuts, v) in enumerate(zip(model.cuts, row, strict=True)))
+        want.append(1 / (1 + np.exp(-z)))
+    out = quality.score(frame(spark, texts), model).orderBy("doc_id").collect()
+    assert np.allclose([o["score"] for o in out], want, atol=1e-9)
+    assert [o["predicted"] for o in out] == [int(w >= 0.7) for w in want]
+
+
 def test_quality_without_labels(spark):
     docs = frame(spark, ["a b", None])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -453,6 +732,7 @@ def test_class_prior_from_scores():
     u = np.concatenate([r.normal(1, 1, (2800, 3)), r.normal(-2, 1, (1200, 3))])
     m = quality.fit(p, u, 0.5)
     assert abs(quality.prior_from_scores(m.score(p), m.score(u)) - 0.7) < 0.1
+    assert abs(quality.estimated_prior(p, u) - 0.7) < 0.05
 
 
 # -- decontamination
@@ -529,3 +809,30 @@ def test_pipeline(spark, tmp_path):
     assert seen["packing"] == seen["secrets"]
     ids = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
     assert ids == seen["packing"]
+
+
+def test_pipeline_stages_are_those_of_plain_python(spark):
+    """Each stage after the classifier, on its predecessor's rows, against brute force; the classifier against its scores."""
+    import corpus_pipeline
+
+    item = prose(30, 6999)
+    texts = [prose(60 + k, 6000 + k) for k in range(40)] + [None, "", " ", "x"] + near_texts()[:60] + [prose(50, 6100) + " " + item, item, prose(900, 6101) + " " + item[:90]] + SECRET_TEXTS
+    docs = frame(spark, texts).withColumn("row", F.lit(1)).withColumn("found", F.lit("f"))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels)
+    scores = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    kept = quality.keep_good(docs, model)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, x in scores.items() if x >= 0.7} and kept.columns == docs.columns
+
+    component, sizes = classes(texts)
+    once = ngram_join.keep_one(docs)
+    left = {r["doc_id"]: r["text"] for r in once.collect()}
+    assert set(left) == {i for i in range(len(texts)) if component[i] == i or not sizes[i]} and set(once.columns) == set(docs.columns)
+
+    pure = decontam.clean(docs, bench)
+    judged = ten(texts, [(1, item)])
+    assert {r["doc_id"] for r in pure.collect()} == {i for i, x in enumerate(judged) if not x[4]} and set(pure.columns) == set(docs.columns)
+    for stage, f in corpus_pipeline.STAGES[1:]:
+        if stage != "benchmark":
+            assert f(spark, docs.limit(0), "").count() == 0, stage
