@@ -64,6 +64,11 @@ def cross_phrase_expected(source: DataFrame, phrases: DataFrame, order: DataFram
     return named.join(order.select("fa", "fb", "rate"), ["fa", "fb"]).select("ref", "h_idx", (F.col("tgt") + side).alias("p_exp"), F.lit("phrase_xorder").alias("p_prior"))
 
 
+def sure_order(order: DataFrame, least: int = 100, margin: float = 0.2) -> DataFrame:
+    """Pairs of functions seen often enough, on one side often enough, to tell a place."""
+    return order.where((F.col("total") >= least) & (F.abs(F.col("rate") - 0.5) >= margin))
+
+
 def construct_rate(source: DataFrame, anchors: DataFrame, least: int = 50, margin: float = 0.2) -> DataFrame:
     """How often a dependent stands after its head in the target, and whether that is sure enough to use."""
     own = source.join(anchors, ["ref", "h_idx"])

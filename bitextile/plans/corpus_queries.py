@@ -64,6 +64,21 @@ def adjacent_order(spark: SparkSession, d: str) -> DataFrame:
     return Q.pair_order(phrases(spark, d))
 
 
+@query(f"""WITH {PAIRS}, ph AS (SELECT ref, phrase_id, arg_min(sense, (h_idx, sense)) AS function, min(h_idx) AS src, avg(t_idx[1]) AS tgt FROM pairs WHERE content GROUP BY 1, 2),
+n AS (SELECT function AS fa, tgt, lead(function) OVER w AS fb, lead(tgt) OVER w AS tb FROM ph WINDOW w AS (PARTITION BY ref ORDER BY src, phrase_id)), ord AS (SELECT fa, fb, round(count(*) FILTER (tgt < tb) / count(*), 6) AS rate FROM n WHERE fb IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 100),
+s AS (SELECT ref, h_idx, sense AS function FROM pairs ANTI JOIN ph USING (ref, phrase_id) WHERE NOT content), m AS (SELECT s.*, ph.function AS other, src, tgt, row_number() OVER (PARTITION BY ref, h_idx ORDER BY abs(src - h_idx), src) AS r FROM s JOIN ph USING (ref)),
+j AS (SELECT *, h_idx < src AS ahead FROM m WHERE r = 1 AND src <> h_idx)
+SELECT ref, h_idx, round(tgt + CASE WHEN ahead = (rate >= 0.5) THEN -1 ELSE 1 END, 6)::DOUBLE AS p_exp FROM j JOIN ord ON ord.fa = CASE WHEN ahead THEN function ELSE other END AND ord.fb = CASE WHEN ahead THEN other ELSE function END""")
+def cross_phrase_place(spark: SparkSession, d: str) -> DataFrame:
+    """Places of tokens whose phrase is not aligned, by the order of functions (here senses)."""
+    from ..operators import gapfill as G
+
+    p = pairs(spark, d).withColumn("function", F.col("sense"))
+    own = Q.covered_phrases(p.withColumn("n_src", F.lit(10)).withColumn("n_trg", F.lit(10)))
+    source = p.where("NOT content").join(own.select("ref", "phrase_id"), ["ref", "phrase_id"], "left_anti").select("ref", "h_idx", "function")
+    return G.cross_phrase_expected(source, own, G.sure_order(Q.pair_order(own), margin=0.0)).select("ref", "h_idx", F.round("p_exp", 6).alias("p_exp"))
+
+
 @query(f"WITH {PAIRS}, {PHRASES}, k AS (SELECT *, count(*) OVER (PARTITION BY ref) AS k FROM ph) SELECT function, count(*) AS n, round(avg(tgt / 10 - src / 10), 6) AS mean_drift FROM k WHERE k >= 2 GROUP BY 1 HAVING count(*) >= 30")
 def function_drift(spark: SparkSession, d: str) -> DataFrame:
     return Q.drift(phrases(spark, d))
