@@ -206,7 +206,7 @@ def test_usj_and_files(spark, tmp_path):
         {"type": "chapter", "number": "1"}, "before",
         {"type": "para", "marker": "s1", "content": ["Heading"]},
         {"type": "para", "marker": "p", "content": [{"type": "verse", "number": "1"}, "In the ", {"type": "note", "content": ["note"]}, {"type": "char", "marker": "nd", "content": ["beginning"]}]},
-        {"type": "para", "marker": "q2", "content": [{"type": "verse", "number": "2-3"}, "And", {"type": "char", "marker": "fig", "content": ["picture"]}, "then"]},
+        {"type": "para", "marker": "q2", "content": [{"type": "verse", "number": "2-3"}, "And", {"type": "char", "marker": "vp", "content": ["2b"]}, "then"]},
     ]}
     (tmp_path / "01-GEN.json").write_text(json.dumps(tree))
     out = readers.verse_ranges(readers.usj_pieces(spark, str(tmp_path))).orderBy("verse_start").collect()
