@@ -5,14 +5,17 @@ a k-mer and each run of S words inside it an inner substring. A k-mer is chosen
 is that of the first or the last one. Whether a k-mer is chosen depends on its own words alone, so a passage gives the
 same anchors wherever it stands. About 2 / (K - S + 1) of all k-mers are chosen.
 
-anchors() returns every anchor with its place; fingerprint() keeps the SIZE least distinct anchor hashes of a text, as
-hex. The likeness of two fingerprints is the share of common hashes among the SIZE least of their union, an estimate of
-the Jaccard likeness of the anchor sets, exact while both sets are smaller than SIZE.
+anchors() returns every anchor with its place; a fingerprint holds them all, none is left out: 31 bits of the hash and
+32 of the place in one number, sorted, written as base64. An anchor that its text has had before is hashed together with
+how often, so the i-th one in a text meets the i-th in another. Two fingerprints are matched by position: anchors of equal
+hash are a match if at least one more match has the same distance of places (in a text of one anchor, at once). The
+likeness is the share of such matches in the anchors of both.
 
 Built-in functions only. Defined results: null and empty texts have the empty fingerprint; two empty ones are alike
 (1.0), an empty and another one are not (0.0); a text whose k-mers are none or all unchosen has one anchor, the hash of
-all its words; repeated rows are kept, and count as neighbours of each other in edited_pairs(); a null doc_id is
-ordered as the least id; extra columns are left out.
+all its words; repeated rows are kept, and count as neighbours of each other in edited_pairs(); a null doc_id is ordered as
+the least id, and rows of one id, null included, follow each other in the order of their text, in one block; extra columns
+are left out; an empty table gives no rows; a very long text is read and matched in time n log n.
 """
 
 from __future__ import annotations
@@ -20,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .native import let
+from .native import below, let
 
-K, S, SIZE = 5, 2, 128
+K, S = 5, 2
+HASH, PLACE = 0x7FFFFFFF, 0xFFFFFFFF
 #: Fixed value: scripts written without spaces between words.
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 WORD = rf"[{UNSPACED}]|[^\s{UNSPACED}]+"
@@ -57,37 +61,60 @@ def anchors(text: Column) -> Column:
     return let(word_hashes(text), of)
 
 
-def sketch(text: Column) -> Column:
-    """The SIZE least distinct anchor hashes, 32 bits each, sorted."""
-    low = F.transform(anchors(text), lambda x: x["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.slice(F.sort_array(F.array_distinct(low)), 1, SIZE)
+def packed(text: Column) -> Column:
+    """All anchors as sorted numbers: the hash, different for each of a text, in the high bits, the place in the low ones."""
+    number = lambda h, place: F.shiftleft(h.bitwiseAND(F.lit(HASH)), 32).bitwiseOR(place.cast("long"))
+    plain = F.sort_array(F.transform(anchors(text), lambda x: number(x["hash"], x["place"])))
 
+    def counted(p: Column) -> Column:
+        again = lambda x, i: number(F.xxhash64(F.shiftright(x, 32), i - below(p, F.shiftleft(F.shiftright(x, 32), 32))), x.bitwiseAND(F.lit(PLACE)))
+        return F.sort_array(F.transform(p, lambda x, i: F.when((i > 0) & (F.shiftright(F.get(p, i - 1), 32) == F.shiftright(x, 32)), again(x, i)).otherwise(x)))
 
-def written(s: Column) -> Column:
-    return F.array_join(F.transform(s, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return let(plain, counted)
+
+
+def written(a: Column) -> Column:
+    return F.replace(F.base64(F.unhex(F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), ""))), F.lit("\r\n"), F.lit(""))
 
 
 def read(fingerprint: Column) -> Column:
-    return F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.length(fingerprint), F.lit(1)), F.lit(8)), lambda i: i < F.length(fingerprint)), lambda i: F.conv(F.substring(fingerprint, i, F.lit(8)), 16, 10).cast("long"))
+    digits = F.hex(F.unbase64(fingerprint))
+    n = (F.length(digits) / 16).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.conv(F.substring(digits, i * 16 + 1, F.lit(16)), 16, 10).cast("long"))).otherwise(F.array().cast("array<bigint>"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1 for two sketches (sorted arrays of hashes)."""
+    """0 to 1 for two arrays of packed anchors, matched by hash and by distance of places."""
+    return let(a, lambda x: let(b, lambda y: _likeness(x, y)))
+
+
+def _likeness(a: Column, b: Column) -> Column:
+    """Both arrays are merged by sorting, with one more bit for the side: equal hashes are neighbours then."""
+    tagged = lambda x, side: F.shiftleft(x, 1).bitwiseOR(F.lit(side).cast("long"))
+    merged = F.sort_array(F.concat(F.transform(a, lambda x: tagged(x, 0)), F.transform(b, lambda x: tagged(x, 1))))
+    place = lambda x: F.shiftright(x, 1).bitwiseAND(F.lit(PLACE))
+    distance = lambda x, y: F.when(x.bitwiseAND(F.lit(1)) == 0, place(x) - place(y)).otherwise(place(y) - place(x))
+
+    def matched(m: Column) -> Column:
+        found = F.filter(F.transform(m, lambda x, i: F.when(F.shiftright(x, 33) == F.shiftright(F.get(m, i + 1), 33), distance(x, F.get(m, i + 1)))), lambda x: x.isNotNull())
+        return let(F.sort_array(found), of)
 
-    def of(union: Column) -> Column:
-        both = F.size(F.array_intersect(F.array_intersect(a, b), union))
-        return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
+    def of(d: Column) -> Column:
+        alone = F.least(F.size(a), F.size(b)) < 2
+        good = F.size(F.filter(d, lambda x, i: alone | (F.coalesce(F.get(d, i - 1), x + 1) == x) | (F.coalesce(F.get(d, i + 1), x + 1) == x)))
+        return let(good, lambda n: n / (F.size(a) + F.size(b) - n))
 
-    return let(F.slice(F.sort_array(F.array_union(a, b)), 1, SIZE), of)
+    return F.when(a == b, F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(let(merged, matched))
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
     """doc_id and fingerprint of every document."""
-    return documents.select("doc_id", written(sketch(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("fingerprint"))
+    return documents.select("doc_id", written(packed(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("fingerprint"))
 
 
-def with_next(rows: DataFrame, ids: DataFrame, carried: list[str], blocks: int) -> DataFrame:
+def with_next(rows: DataFrame, ids: DataFrame, carried: list[str], blocks: int, made: dict[str, Column] | None = None) -> DataFrame:
     """Add next_<name> for each carried column: the value in the row that follows in descending doc_id, round the end.
+    Columns `made` are computed once rows are dealt, so they are not shuffled, and are carried too.
 
     Rows are cut into blocks by quantiles of doc_id, which are ids that occur. The row with a block's greatest id is
     also sent to the block above as its last row (the greatest of all to the lowest block), so each block finds its
@@ -97,7 +124,7 @@ def with_next(rows: DataFrame, ids: DataFrame, carried: list[str], blocks: int)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(least))
     cuts = sorted(set(map(int, _quantiles(ids, blocks))))
     if not cuts:
-        return rows.select("*", *(F.col(c).alias(f"next_{c}") for c in carried))
+        return rows.withColumns(made or {}).select("*", *(F.col(c).alias(f"next_{c}") for c in [*carried, *(made or {})]))
     key_of = F.col("__key")
     block = _place(cuts, key_of)
     is_top = F.get(_numbers(cuts), F.col("__block")) == key_of
@@ -105,7 +132,8 @@ def with_next(rows: DataFrame, ids: DataFrame, carried: list[str], blocks: int)
     sent = rows.withColumn("__key", key).withColumn("__block", block).select("*", F.posexplode(over).alias("__ghost", "__to"))
     order = [F.col("__ghost"), F.col("__key").desc(), F.col("text").asc_nulls_first()]
     w = Window.partitionBy("__to").orderBy(*order)
-    out = sent.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in carried))
+    sent = sent.repartition("__to").withColumns(made) if made else sent
+    out = sent.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in [*carried, *(made or {})]))
     return out.where("__ghost = 0").drop("__key", "__block", "__to", "__ghost")
 
 
@@ -139,18 +167,17 @@ def edited_pairs(documents: DataFrame, blocks: int | None = None) -> DataFrame:
     spark = documents.sparkSession
     blocks = blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = documents.select("doc_id", text.alias("text")).withColumn("sketch", sketch(F.col("text")))
-    both = with_next(rows, documents.select("doc_id"), ["text", "sketch"], blocks)
+    both = with_next(documents.select("doc_id", text.alias("text")), documents.select("doc_id"), ["text"], blocks, {"anchors": packed(F.col("text"))})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    both = both.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
-    both = both.withColumn("edited_sketch", sketch(F.col("edited")))
+    both = both.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "anchors", "next_anchors")
+    both = both.withColumn("edited_anchors", packed(F.col("edited")))
     return both.select(
         "doc_id", "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        written(F.col("sketch")).alias("fingerprint"),
-        written(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        written(F.col("anchors")).alias("fingerprint"),
+        written(F.col("edited_anchors")).alias("edited_fingerprint"),
+        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
+        likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
     )
