@@ -9,7 +9,7 @@ from secrets import token_hex
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import chat, decontam, ngram_join, packing, pii, quality, secrets, suffix_dedup, syncmers, token_counts
+from . import chat, decontam, fill_middle, ngram_join, packing, pattern_packing, pii, prefix_trie, quality, secrets, suffix_dedup, syncmers, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,6 +95,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
@@ -143,3 +158,33 @@ r AS (SELECT x, y FROM two UNION SELECT r.x, two.y FROM r JOIN two ON r.y = two.
 c AS (SELECT x, min(y) AS y FROM r GROUP BY 1)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.x = d.doc_id
 """
+
+ORACLES["op11_fill_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]', 0, 's')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+             WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]', 0, 's') AS w, least(a, b) AS lo, greatest(a, b) AS hi FROM k),
+s AS (SELECT *, coalesce(array_to_string(w[1 : lo], ''), '') AS p, coalesce(array_to_string(w[lo + 1 : hi], ''), '') AS m, coalesce(array_to_string(w[hi + 1 : n], ''), '') AS x FROM u)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m ELSE '<S>' || x || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM s
+"""
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH o AS (SELECT conv_id, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS t, length(coalesce(text, '')) AS chars,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS k FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list_reduce(list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii((conv_id::VARCHAR)[i])::BIGINT),
+        lambda a, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(a, b)), 4294967295::BIGINT) AS crc FROM (SELECT DISTINCT conv_id FROM o)),
+h AS (SELECT conv_id, xor(crc, 4294967295::BIGINT) % 6 AS h FROM c),
+r AS (SELECT h.conv_id, 0 AS own, o.k, o.t, o.chars FROM h JOIN o ON o.conv_id = h.conv_id - h.conv_id % 100 AND o.k <= h.h UNION ALL SELECT h.conv_id, 1, o.k, o.t, o.chars FROM h JOIN o ON o.conv_id = h.conv_id AND o.k > h.h),
+q AS (SELECT h.conv_id, coalesce(list(r.t ORDER BY own, k) FILTER (r.t IS NOT NULL), []) AS ts, coalesce(list(r.chars ORDER BY own, k) FILTER (r.t IS NOT NULL), []) AS cs FROM h LEFT JOIN r ON r.conv_id = h.conv_id GROUP BY 1),
+x AS (SELECT conv_id, d, len(ts) AS n, md5(array_to_string(ts[1 : d], '')) AS node, CASE WHEN d > 0 THEN md5(array_to_string(ts[1 : d - 1], '')) END AS up, CASE WHEN d > 0 THEN cs[d] ELSE 0 END AS chars FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM q)),
+nodes AS (SELECT node, d, any_value(up) AS up, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends FROM x GROUP BY 1, 2),
+kids AS (SELECT up AS node, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+leaf AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.node = n.node AND k.d = n.d),
+own AS (SELECT a.node AS top, a.d AS top_d, l.* FROM x a JOIN x b ON b.conv_id = a.conv_id AND b.d >= a.d JOIN leaf l ON l.node = b.node AND l.d = b.d AND l.conv_id = b.conv_id),
+sums AS (SELECT top, top_d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved FROM own GROUP BY 1, 2)
+SELECT l.conv_id, l.d::BIGINT AS depth, p.conv_id AS parent_conv_id, l.n_convs, l.n_children::BIGINT AS n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens, l.ends AS ends_sha256
+FROM leaf l JOIN sums s ON s.top = l.node AND s.top_d = l.d LEFT JOIN leaf p ON p.node = l.up AND p.d = l.d - 1
+"""
