@@ -39,6 +39,12 @@ def in_merge_order(model: dict) -> bool:
     return all(a < b for a, b in zip(ids, ids[1:], strict=False)) and not model.get("ignore_merges")
 
 
+def byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the file
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
 class Encoder:
     """Texts to ids; made from the bytes of a tokenizer file."""
 
@@ -48,9 +54,7 @@ class Encoder:
 
         self.exact = Tokenizer.from_str(spec)
         data = json.loads(spec)
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the file
-        rest = [b for b in range(256) if b not in plain]
-        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+        byte = byte_of()
         self.special = [x["content"] for x in data.get("added_tokens", [])]
         pre = data.get("pre_tokenizer") or {}
         self.fast = None

@@ -31,9 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, texts_of
+from .packing import byte_of, in_merge_order
 
-LENGTH, END, UNITS, KEPT, SENT = 4096, 1, 128, 300_000, 500_000
-GAPS = re.compile(r"[ \n\t\r]+")
+LENGTH, END, UNITS, KEPT, SENT = 4096, 1, 128, 150_000, 500_000
+#: How the files of this kind part words, and mark their ends.
+PARTS, ENDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", "</w>"
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _made: dict[str, WordEncoder] = {}
 
@@ -43,36 +47,55 @@ _made: dict[str, WordEncoder] = {}
 
 class WordEncoder:
     """Ids of texts by a tokenizer file. Where its rules drop white space and never join what it parts, words between it are
-    encoded for themselves and kept, up to KEPT of them."""
+    encoded for themselves and kept: up to KEPT new ones beside the KEPT before them, so frequent words stay.
+
+    Words of Latin-1 letters, digits and ASCII marks are parted and merged here by rank, an end of word standing as byte
+    255, which no text has; all others go to the `tokenizers` library.
+    """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.exact, data = Tokenizer.from_str(spec), json.loads(spec)
         steps = (data.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         split = steps[0].get("pattern", {}).get("Regex", "")
         normal = [x.get("type") for x in (data.get("normalizer") or {}).get("normalizers", [])]
-        parted = steps[0].get("behavior") == "Removed" and steps[0].get("invert") and split.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and " " not in split
+        parted = steps[0].get("behavior") == "Removed" and steps[0].get("invert") and split == PARTS
         specials = [x["content"] for x in data.get("added_tokens", [])]
-        self.by_words = bool(parted) and set(normal) <= {"NFC", "Replace", "Lowercase"} and not any(GAPS.search(s) for s in specials)
+        self.by_words = bool(parted) and normal == ["NFC", "Replace", "Lowercase"] and not any(c.isspace() for s in specials for c in s)
         self.kind = "<u2" if len(data["model"]["vocab"]) + len(specials) < 65_536 else "<u4"
-        self.kept: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.merge = None
+        if self.by_words and data["model"].get("end_of_word_suffix") == ENDS and in_merge_order(data["model"]) and all("<|" in s for s in specials):
+            byte = byte_of()
+            ranks = {bytes(byte[c] for c in t.removesuffix(ENDS)) + b"\xff" * t.endswith(ENDS): i for t, i in data["model"]["vocab"].items() if t not in specials}
+            self.merge = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def word(self, w: str) -> bytes:
+        """The ids of a word without white space, as it is stored."""
+        if self.merge is None or not PLAIN.fullmatch(w) or "<|" in w:
+            ids = self.exact.encode(w, add_special_tokens=False).ids
+        else:
+            ids = [i for p in PLAIN_PARTS.findall(w.lower()) for i in self.merge(p.encode() + b"\xff")]
+        return np.array(ids, self.kind).tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_words:
             return [np.array(self.exact.encode(t, add_special_tokens=False).ids, "<u4") for t in texts]
-        words = [GAPS.split(t) for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.kept})
-        if len(self.kept) + len(new) > KEPT:
-            self.kept.clear()
-            new = list({w for ws in words for w in ws})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, e in zip(some, self.exact.encode_batch(some, add_special_tokens=False), strict=True):
-                self.kept[w] = np.array(e.ids, self.kind).tobytes()
-        kept = self.kept
-        return [np.frombuffer(b"".join([kept[w] for w in ws]), self.kind).astype("<u4") for ws in words]
+        out = []
+        for t in texts:
+            words = t.replace("\n", " ").replace("\t", " ").split(" ")
+            if len(self.new) >= KEPT:
+                self.old, self.new = self.new, {}
+            new, old = self.new, self.old
+            for w in words:
+                if w not in new:
+                    new[w] = old[w] if w in old else self.word(w)
+            out.append(np.frombuffer(b"".join([new[w] for w in words]), self.kind).astype("<u4"))
+        return out
 
 
 def encoder(spec: str) -> WordEncoder:
