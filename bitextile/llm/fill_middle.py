@@ -4,8 +4,8 @@ Each text is cut at unit starts (`[A-Za-z]+|[^A-Za-z]`) into pieces of at most C
 its document's row and its place in the output. Pieces are dealt by row and sorted by place within partitions (the
 DataFrame form of repartitionAndSortWithinPartitions), and stream into the output's text or its incremental digest. For
 restoration the output's bytes, as they stream by, are searched for the three marks, whatever the pieces were; what lies
-between is emitted again under its place in the original, sorted once more, and streams into a second digest. So no task
-holds more than a piece of an output, and both passes are one chain of two shuffles without a join.
+between is emitted again under its place in the original, sorted once more where it lies, and streams into a second digest. So
+no task holds more than a piece of an output, and both passes are one chain with one shuffle and no join.
 
 Defined results: a null text is empty, and so plain; a null doc_id is drawn from as the empty decimal; repeated rows are
 transformed each, alike; texts that hold a mark stay plain, whatever the draws; an empty table gives no rows; other columns
@@ -251,4 +251,4 @@ def transformed(documents: DataFrame, seed: str = SEED, rate: int = RATE, spm: i
 def report(documents: DataFrame, seed: str = SEED, rate: int = RATE, spm: int = SPM) -> DataFrame:
     """The facts of each document with the digests of its output and of the text restored from that output and its form."""
     found = pieces(documents, seed, rate, spm).mapInArrow(_assemble, PIECE)
-    return found.repartition("uid").sortWithinPartitions("uid", "at").mapInArrow(_restore, RESULT)
+    return found.sortWithinPartitions("uid", "at").mapInArrow(_restore, RESULT)  # parts lie where their document was dealt
