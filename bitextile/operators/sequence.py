@@ -72,13 +72,31 @@ def coherence(pairs: DataFrame, near: int = 3) -> DataFrame:
     return own.join(met, ["ref", "h_idx"], "left").withColumn("coherent", F.col("gap") <= near)
 
 
-def verse_groups(ranges: DataFrame, verses: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Pool source tokens by target range: tokens of all verses of a range, numbered anew under its first verse.
-
-    ranges: book, chapter, verse_start, verse_end; verses and tokens: book, chapter, verse (and idx). A verse in no range
-    stands for itself; verses in a range but its first are no anchors.
+def merged_ranges(ranges: DataFrame, group: list[str], start: str = "verse_start", end: str = "verse_end") -> DataFrame:
+    """Overlapping ranges of a group as one: a range opens where it begins beyond the greatest end before it."""
+    w = Window.partitionBy(*group).orderBy(start, end)
+    reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col(start) <= reach, 0).otherwise(1)
+    marked = ranges.where(F.col(start) <= F.col(end)).withColumn("__o", opens).withColumn("__r", F.sum("__o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy(*group, "__r").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__r")
+
+
+def verse_groups(ranges: DataFrame, verses: DataFrame, tokens: DataFrame, moved: DataFrame | None = None) -> DataFrame:
+    """Pool source tokens by target range: tokens of all verses that fall in a range, numbered anew under its anchor.
+
+    ranges: book, chapter, verse_start, verse_end in target coordinates, overlapping ones counting as one; verses and tokens:
+    book, chapter, verse (and idx) of the source. moved: book, chapter, verse, to_chapter, to_verse of the verses that the target
+    numbers otherwise; all others keep their place. Groups never cross source chapters, so a chapter that is split gives groups
+    in each part, and two that are folded give groups of their own. The anchor is the first source verse that falls on the
+    start of the range; without one the range has no group. A verse in no range stands for itself, with any that fall on it.
     """
     key = ["book", "chapter", "verse"]
-    member = ranges.withColumn("verse", F.explode(F.sequence("verse_start", "verse_end"))).groupBy(*key).agg(F.min("verse_start").alias("anchor"))
-    placed = verses.join(member, key, "left").withColumn("anchor", F.coalesce("anchor", "verse"))
-    return renumber(tokens.join(placed, key), ["book", "chapter", "anchor"], ["verse", "idx"], "pooled_idx")
+    to = ["to_chapter", "to_verse"]
+    at = verses.select(*key).distinct()
+    at = at.join(moved.select(*key, *to), key, "left") if moved is not None else at.select("*", F.lit(None).cast("long").alias(to[0]), F.lit(None).cast("long").alias(to[1]))
+    at = at.select(*key, F.coalesce(to[0], "chapter").alias(to[0]), F.coalesce(to[1], "verse").alias(to[1]))
+    member = merged_ranges(ranges, ["book", "chapter"]).select("book", F.col("chapter").alias(to[0]), "verse_start", "verse_end", F.explode(F.sequence("verse_start", "verse_end")).alias(to[1]))
+    at = at.join(member, ["book", *to], "left").withColumns({c: F.coalesce(c, to[1]) for c in ("verse_start", "verse_end")})
+    group = ["book", "chapter", to[0], "verse_start"]
+    anchors = at.where(F.col(to[1]) == F.col("verse_start")).groupBy(*group).agg(F.min("verse").alias("anchor"))
+    return renumber(tokens.join(at.join(anchors, group).drop(to[1]), key), group, ["verse", "idx"], "pooled_idx")
