@@ -103,8 +103,15 @@ def keys_of(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 def row_key(documents: DataFrame) -> Column:
-    """A number for each different row; columns of maps, which have no hash, do not count."""
-    return F.xxhash64(*(F.col(f.name) for f in documents.schema if not f.dataType.typeName() == "map"))
+    """16 bytes for each different row. Maps have no hash: they count as their sorted entries, within other values as JSON."""
+
+    def plain(f) -> Column:
+        if f.dataType.typeName() == "map" and "map<" not in f.dataType.valueType.simpleString() + f.dataType.keyType.simpleString():
+            return F.array_sort(F.map_entries(f.name))
+        return F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name)
+
+    values = [plain(f) for f in documents.schema]
+    return F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *values)), 16, "0") for seed in (1, 2))))
 
 
 def _describe(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch]:
@@ -470,7 +477,7 @@ def row_classes(documents: DataFrame) -> DataFrame:
     spark: SparkSession = documents.sparkSession
     docs = texts_of(documents, F.col("doc_id").cast("long").alias("doc_id"), row_key(documents).alias("row"))
     hot = spark.sparkContext.broadcast(hot_shingles(docs))
-    all_ = materialize(docs.mapInArrow(lambda b: _describe(b, hot), "doc_id long, row long, n long, node binary, keys array<long>, sig binary"), "shingles")
+    all_ = materialize(docs.mapInArrow(lambda b: _describe(b, hot), "doc_id long, row binary, n long, node binary, keys array<long>, sig binary"), "shingles")
     real = all_.where("n > 0")
     nodes = materialize(real.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")).where("doc_id is not null"), "nodes")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)

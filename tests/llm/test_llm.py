@@ -607,6 +607,17 @@ def test_a_group_of_5000_near_copies(spark):
     assert all(out[k] == k for k in range(5000, 5050))
 
 
+def test_keep_one_of_rows_that_differ_in_maps(spark):
+    rows = [(1, "", {"a": 1, "b": 2}, {"k": {"x": 1}}), (1, "", {"a": 1, "b": 3}, {"k": {"x": 1}}), (1, "", {"b": 2, "a": 1}, {"k": {"x": 2}}), (1, "", {"b": 2, "a": 1}, {"k": {"x": 1}})]
+    df = spark.createDataFrame(rows, "doc_id long, text string, facts map<string,int>, deep map<string,map<string,int>>")
+    assert ngram_join.keep_one(df).count() == 3
+
+
+def test_row_keys_have_128_bits(spark):
+    keys = [r[0] for r in frame(spark, ODD).select(ngram_join.row_key(frame(spark, ODD))).collect()]
+    assert all(len(k) == 16 and k[:8] != k[8:] for k in keys) and len(set(keys)) == len(ODD)
+
+
 def test_keep_one_of_rows_that_differ_in_other_columns(spark):
     """Equal texts are one class whatever else differs; wordless rows stay unless they are equal in every column."""
     rows = [(1, BASE, "en", "a", 1), (1, BASE, "en", "b", 1), (2, "", "en", "a", 0), (2, "", "en", "b", 0), (2, "", "en", "b", 0), (None, BASE, "en", "a", 1)]
