@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 WORD = r"[\p{L}\p{M}]+"
+BRACKETS = re.compile(r"[\[\]]")
 
 
 #: Characters below U+0300 neither combine nor change in NFC, so texts of these alone need no Python.
@@ -42,12 +44,33 @@ def tokens(text: Column, normalize: bool = True) -> Column:
     return F.regexp_extract_all(composed(text) if normalize else text, F.lit(f"({WORD})"), F.lit(1))
 
 
+def _without_notes(x: str) -> str:
+    open_, spans = [], []  # places of brackets that wait, and of the outermost pairs so far
+    for m in BRACKETS.finditer(x):
+        i = m.start()
+        if x[i] == "[":
+            open_.append(i)
+        elif open_:
+            first = open_.pop()
+            while spans and spans[-1][0] > first:
+                spans.pop()
+            spans.append((first, i + 1))
+    out, at = [], 0
+    for first, end in spans:
+        out += (x[at:first], " ")
+        at = end
+    return "".join([*out, x[at:]])
+
+
+@F.pandas_udf(StringType())
+def _noteless(s: pd.Series) -> pd.Series:
+    return s.map(_without_notes, na_action="ignore")
+
+
 def strip_notes(text: Column) -> Column:
-    """Bracketed notes replaced by a space from the inside out; unbalanced brackets stay. No text is nested deeper than
-    it has opening brackets."""
-    note = r"\[[^\[\]]*\]"
-    depth = F.length(text) - F.length(F.replace(text, F.lit("["), F.lit("")))
-    return F.when(depth > 0, F.aggregate(F.sequence(F.lit(1), depth), text, lambda acc, _: F.when(acc.rlike(note), F.regexp_replace(acc, note, " ")).otherwise(acc))).otherwise(text)
+    """Bracketed notes of any depth replaced by a space each; unbalanced brackets stay. One pass over the text with a stack,
+    which Spark has no expression for, so texts that have both brackets go through Python, the others as nulls."""
+    return F.coalesce(_noteless(F.when(text.contains("[") & text.contains("]"), text)), text)
 
 
 def base_marker(marker: Column) -> Column:
@@ -88,14 +111,3 @@ def affix_forms(word: Column, suffixes: list[str], prefixes: list[str], least: i
     forms = F.array_distinct(F.filter(F.flatten(F.transform(stems, cut_front)), lambda x: x.isNotNull()))
     rest = F.transform(F.sort_array(F.transform(F.array_except(forms, F.array(low)), lambda x: F.struct((-F.length(x)).alias("l"), x.alias("w")))), lambda s: s["w"])
     return F.concat(F.array(low), rest)
-
-
-def learned_forms(word: Column, suffixes: Column, prefixes: Column, stems: Column) -> Column:
-    """The word and what is left of it without the longest productive suffix whose rest is a known stem, each also
-    without one productive prefix. suffixes, prefixes and stems are array columns."""
-    low = F.lower(word)
-    fits = F.filter(suffixes, lambda s: low.endswith(s) & F.array_contains(stems, F.substring(low, F.lit(1), F.length(low) - F.length(s))))
-    longest = F.array_max(F.transform(fits, lambda s: F.struct(F.length(s).alias("l"), s.alias("s"))))["s"]
-    base = F.filter(F.array(low, F.when(longest.isNotNull(), F.substring(low, F.lit(1), F.length(low) - F.length(longest)))), lambda x: x.isNotNull())
-    bare = F.flatten(F.transform(base, lambda x: F.transform(F.filter(prefixes, lambda p: x.startswith(p) & F.array_contains(stems, F.substring(x, F.length(p) + 1, F.length(x)))), lambda p: F.substring(x, F.length(p) + 1, F.length(x)))))
-    return F.array_distinct(F.concat(base, bare))

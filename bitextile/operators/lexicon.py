@@ -5,15 +5,17 @@ All are grouped sums: counts are combined before the shuffle and add up over edi
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
+import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import contiguous
+from ..sources.scratch import written
 
 LEX_KEYS = ["surface", "lexeme", "method", "base_text"]
 
@@ -214,15 +216,59 @@ def manifest(lex: DataFrame, key: str = "iso", methods: Sequence[str] = ("efloma
     return lex.groupBy(key).agg(F.count("*").alias("rows"), *(F.countDistinct(c).alias(f"n_{c}") for c in ("surface", "lexeme", "strong")), F.count_if(F.col("hi_conf") >= 0.9).alias("hi_rows"), *by_method, parts.alias("testament"))
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (group, line) as runs of lines of one group of about `size` characters, numbered within the partition."""
+    part, n, now, held, length = TaskContext.get().partitionId(), 0, None, [], 0
+
+    def run(schema: pa.Schema) -> pa.RecordBatch:
+        nonlocal n, length
+        out = pa.RecordBatch.from_arrays([pa.array([now], schema.field(0).type), pa.array([part], pa.int32()), pa.array([n]), pa.array([len(held)]), pa.array(["\n".join(held)])], ["group", "part", "n", "rows", "lines"])
+        n, length = n + 1, 0
+        held.clear()
+        return out
+
+    for batch in batches:
+        for group, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and (group != now or length >= size):
+                yield run(batch.schema)
+            now = group
+            held.append(line)
+            length += len(line) + 1
+    if held:
+        yield run(batch.schema)
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of rows and the digest of each group, whose runs arrive in order."""
+    now, rows, digest, first = None, 0, None, True
+    for batch in batches:
+        for group, more, lines in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if digest is None or group != now:
+                if digest is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([now], batch.schema.field(0).type), pa.array([rows]), pa.array([digest.hexdigest()])], ["group", "rows", "sha256"])
+                now, rows, digest, first = group, 0, hashlib.sha256(), True
+            digest.update(b"" if first else b"\n")
+            digest.update(lines.encode())
+            rows, first = rows + more, False
+    if digest is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([now], batch.schema.field(0).type), pa.array([rows]), pa.array([digest.hexdigest()])], ["group", "rows", "sha256"])
+
+
 def canonical_hash(rows: DataFrame, group: str, columns: list[Column], order: list[str]) -> DataFrame:
     """SHA-256 of each group's rows, tab-joined, in order, joined by newlines: the digest of a published file.
 
-    A group is one string here, as the digest is defined so; for groups of any size use content_hash(). `order` are
-    names, with - in front for descending numbers.
+    `order` are names, with - in front for descending numbers. Rows are sorted in ranges that cut groups where they must, and
+    each task makes runs of lines of about a megabyte; the runs of a group then stream in order through one digest, so a
+    group of any size takes the memory of a run, and one task reads but its runs.
     """
     keys = [(-F.col(o[1:]) if o.startswith("-") else F.col(o)).alias(f"k{i}") for i, o in enumerate(order)]
-    lines = F.transform(F.array_sort(F.collect_list(F.struct(*keys, F.concat_ws("\t", *columns).alias("line")))), lambda s: s["line"])
-    return rows.groupBy(group).agg(F.count("*").alias("rows"), F.sha2(F.array_join(lines, "\n").cast("binary"), 256).alias("sha256"))
+    names = [f"k{i}" for i in range(len(order))]
+    lines = rows.select(F.col(group).alias("group"), *keys, F.concat_ws("\t", *columns).alias("line"))
+    kind = lines.schema["group"].dataType.simpleString()
+    ranged = lines.repartitionByRange("group", *names, "line").sortWithinPartitions("group", *names, "line").select("group", "line")
+    runs = ranged.mapInArrow(_chunks, f"group {kind}, part int, n long, rows long, lines string")
+    dealt = runs.repartition("group").sortWithinPartitions("group", "part", "n").select("group", "rows", "lines")
+    return dealt.mapInArrow(_digests, f"group {kind}, rows long, sha256 string").withColumnRenamed("group", group)
 
 
 def content_hash(rows: DataFrame, group: str, columns: list[Column], digits: int | None = None, block: int = 100_000) -> DataFrame:
@@ -230,9 +276,10 @@ def content_hash(rows: DataFrame, group: str, columns: list[Column], digits: int
 
     Rows, tab-joined, are dealt into 16 ** digits blocks by their own MD5; each block's sorted lines have a SHA-256, and
     the group's is that of the blocks' digests in order. No group is sorted or held as a whole. Without `digits`, there are
-    as many as keep a block of the largest group at about `block` rows, two at least.
+    as many as keep a block of the largest group at about `block` rows, two at least; the rows are written once for that.
     """
     if digits is None:
+        rows = written(rows, "hashed")
         most = rows.groupBy(group).count().agg(F.max("count")).first()[0] or 1
         digits = max(2, math.ceil(math.log(max(most / block, 1), 16)))
     lines = rows.select(group, F.concat_ws("\t", *columns).alias("line")).withColumn("b", F.left(F.md5(F.col("line").cast("binary")), F.lit(digits)))

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import editions as E
-from ..operators import hmm, kernels
+from ..operators import hmm, induction, kernels
 from ..operators import sequence as Q
 from ..operators import versification as V
-from .corpus_queries import parallel
+from ..sources.scratch import written
+from .corpus_queries import parallel, vocabulary
 from .proxy import IPAIRS, pairs, table, with_iso
 from .registry import query
 
@@ -161,3 +162,45 @@ def catalog_families(spark: SparkSession, d: str) -> DataFrame:
     found = E.families(catalog_of(spark, d))
     picked = E.preferred(found, ["iso", "root"], "source", ["pkf", "helloao", "dbt"], "key").select("iso", "root", F.col("key").alias("picked"))
     return found.groupBy("iso", "root").agg(F.count(F.lit(1)).alias("members")).join(picked, ["iso", "root"])
+
+
+# -- learned word forms
+
+
+def _learned(side: str) -> str:
+    stem, affix, least = ("word[1:len(word) - k]", "word[len(word) - k + 1:]", 1) if side == "suf" else ("word[k + 1:]", "word[1:k]", 2)
+    return f"""{side}_s AS (SELECT lang, {stem} AS stem, CASE WHEN k = 0 THEN '' ELSE {affix} END AS affix FROM (SELECT lang, word, unnest(range(0, least(5, len(word) - 3) + 1)) AS k FROM v WHERE len(word) >= 3) WHERE k = 0 OR k >= {least}),
+{side}_r AS (SELECT lang, stem FROM {side}_s GROUP BY 1, 2 HAVING count(DISTINCT affix) >= 2), {side}_f AS (SELECT lang, affix, count(DISTINCT stem) AS stems FROM {side}_s JOIN {side}_r USING (lang, stem) WHERE affix <> '' GROUP BY 1, 2 HAVING count(DISTINCT stem) >= 12),
+{side} AS (SELECT lang, affix FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY stems DESC, affix) AS r FROM {side}_f) WHERE r <= 40)"""
+
+
+def _cut(side: str, name: str, bases: str) -> str:
+    stem, affix = ("base[1:len(base) - k]", "base[len(base) - k + 1:]") if side == "suf" else ("base[k + 1:]", "base[1:k]")
+    return f"""{name}_k AS (SELECT lang, base, {stem} AS rest, {affix} AS affix, k FROM (SELECT lang, base, unnest(range(1, least(5, len(base) - 3) + 1)) AS k FROM (SELECT DISTINCT lang, base FROM {bases}) WHERE len(base) >= 4)),
+{name}_b AS (SELECT c.lang, c.base, arg_max(rest, k) AS rest FROM {name}_k c SEMI JOIN {side} a ON a.lang = c.lang AND a.affix = c.affix SEMI JOIN stems s ON s.lang = c.lang AND s.stem = c.rest GROUP BY 1, 2),
+{name} AS (SELECT * FROM {bases} UNION ALL SELECT x.lang, x.word, b.rest FROM {bases} x JOIN {name}_b b ON b.lang = x.lang AND b.base = x.base)"""
+
+
+def word_forms(spark: SparkSession, d: str) -> DataFrame:
+    v = written(vocabulary(spark, d), "vocabulary")
+    return induction.learned_forms(v, "lang", induction.affixes(v, "lang", "suffix"), induction.affixes(v, "lang", "prefix", shortest=2), induction.stem_lexicon(v, "lang"))
+
+
+@query(f"""WITH v AS (SELECT DISTINCT lang, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+')) AS word FROM documents), {_learned("suf")}, {_learned("pre")}, stems AS (SELECT lang, stem FROM suf_r UNION SELECT lang, word FROM v),
+b0 AS (SELECT lang, word, word AS base FROM v), {_cut("suf", "b1", "b0")}, {_cut("pre", "b2", "b1")}, o AS (SELECT DISTINCT lang, word, base FROM b2 WHERE base <> word)
+SELECT v.lang, v.word, concat_ws(',', v.word, string_agg(base, ',' ORDER BY len(base) DESC, base)) AS forms FROM v LEFT JOIN o USING (lang, word) GROUP BY 1, 2""")
+def learned_word_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Each word with what is left of it without its longest productive affixes."""
+    return word_forms(spark, d).withColumn("forms", F.array_join("forms", ","))
+
+
+@query(f"""WITH v AS (SELECT DISTINCT lang, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+')) AS word FROM documents), {_learned("suf")}, stems AS (SELECT lang, stem FROM suf_r UNION SELECT lang, word FROM v)
+SELECT lang, count(*) AS n_stems, count(*) FILTER (stem IN (SELECT word FROM v x WHERE x.lang = stems.lang)) AS n_words, sha256(string_agg(stem, chr(10) ORDER BY stem)) AS sha256 FROM stems GROUP BY 1""")
+def stem_lexicons(spark: SparkSession, d: str) -> DataFrame:
+    """The stem lexicon of each language: its size, the words in it, and the digest of its published form."""
+    from ..operators import lexicon as L
+
+    v = written(vocabulary(spark, d), "vocabulary")
+    stems = induction.stem_lexicon(v, "lang")
+    words = stems.join(v.withColumnRenamed("word", "stem"), ["lang", "stem"], "left_semi").groupBy("lang").agg(F.count(F.lit(1)).alias("n_words"))
+    return L.canonical_hash(stems, "lang", [F.col("stem")], ["stem"]).withColumnRenamed("rows", "n_stems").join(words, "lang")
