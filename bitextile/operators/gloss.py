@@ -19,23 +19,30 @@ def lower_forms(word: Column) -> Column:
 Forms = Callable[[Column], Column] | DataFrame
 
 
+def language(forms: Forms) -> list[str]:
+    """The column of the language, where forms are told by it."""
+    return ["iso"] if isinstance(forms, DataFrame) and "iso" in forms.columns else []
+
+
 def with_forms(rows: DataFrame, word: str, forms: Forms) -> DataFrame:
-    """rows with `forms` of a word: by a function of the column, or by a table (word in lower case, forms), where words that
-    it lacks have themselves alone."""
+    """rows with `forms` of a word: by a function of the column, or by a table (word in lower case, forms, and iso where
+    languages have their own), where words that it lacks have themselves alone."""
     if not isinstance(forms, DataFrame):
         return rows.withColumn("forms", forms(F.col(word)))
-    known = forms.select(F.col("word").alias("__w"), F.col("forms").alias("__f"))
+    own = language(forms)
+    known = forms.select(*own, F.col("word").alias("__w"), F.col("forms").alias("__f"))
     low = F.lower(word)
-    return rows.join(known, low == F.col("__w"), "left").withColumn("forms", F.coalesce("__f", F.array(low))).drop("__w", "__f")
+    return rows.withColumn("__w", low).join(known, [*own, "__w"], "left").withColumn("forms", F.coalesce("__f", F.array("__w"))).drop("__w", "__f")
 
 
 def variant_forms(priors: DataFrame, forms: Forms) -> DataFrame:
-    """strong, v: the forms of each word of each variant, looked up once for each entry and not for each token."""
+    """strong (and iso), v: the forms of each word of each variant, looked up once for each entry and not for each token."""
     if not isinstance(forms, DataFrame):
         return priors.select("strong", F.explode("variants").alias("v")).select("strong", F.transform("v", forms).alias("v"))
-    words = priors.select("strong", F.posexplode("variants").alias("i", "v")).select("strong", "i", F.posexplode("v").alias("j", "w"))
-    rows = with_forms(words, "w", forms).groupBy("strong", "i").agg(F.sort_array(F.collect_list(F.struct("j", "forms"))).alias("v"))  # the words of one variant
-    return rows.select("strong", F.transform("v", lambda x: x["forms"]).alias("v"))
+    keys = ["strong", *language(forms)]
+    words = priors.select(*keys, F.posexplode("variants").alias("i", "v")).select(*keys, "i", F.posexplode("v").alias("j", "w"))
+    rows = with_forms(words, "w", forms).groupBy(*keys, "i").agg(F.sort_array(F.collect_list(F.struct("j", "forms"))).alias("v"))  # the words of one variant
+    return rows.select(*keys, F.transform("v", lambda x: x["forms"]).alias("v"))
 
 
 def candidates(source: DataFrame, target: DataFrame, priors: DataFrame, forms: Forms = lower_forms) -> DataFrame:
@@ -43,12 +50,13 @@ def candidates(source: DataFrame, target: DataFrame, priors: DataFrame, forms: F
 
     source: ref, h_idx, strong, gloss_en, is_name; target: ref, place, token, blocked; priors: strong, variants (arrays of
     words). Kinds: name; exact, stem, prefix and fuzzy for single words; multi for runs of words that all reach .7; head
-    for the first word of such a variant alone. Blocked places take part in runs only.
+    for the first word of such a variant alone. Blocked places take part in runs only. With forms by language, source, target
+    and priors have iso.
     """
-    t = with_forms(target.select("ref", "place", "token", "blocked"), "token", forms)
+    t = with_forms(target.select("ref", "place", "token", "blocked", *language(forms)), "token", forms)
     free = t.where(~F.col("blocked"))
     names = source.where("is_name AND gloss_en IS NOT NULL").join(free, "ref").select("ref", "h_idx", F.array("place").alias("t_idx"), name_score(F.col("gloss_en"), F.col("token")).alias("score"), F.lit("name").alias("method"))
-    looked = source.join(variant_forms(priors, forms), "strong").select("ref", "h_idx", "v")
+    looked = source.join(variant_forms(priors, forms), ["strong", *language(forms)]).select("ref", "h_idx", "v")
     single = looked.where(F.size("v") == 1).join(free, "ref").select("ref", "h_idx", F.array("place").alias("t_idx"), word_score(F.col("v")[0], F.col("forms")).alias("score"))
     s = F.col("score")
     single = single.withColumn("method", F.when(s == 1.0, "exact").when(s == 0.9, "stem").when(s == 0.7, "prefix").otherwise("fuzzy"))

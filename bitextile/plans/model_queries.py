@@ -11,7 +11,7 @@ from ..operators import sequence as Q
 from ..operators import versification as V
 from ..sources.scratch import written
 from .corpus_queries import parallel, vocabulary
-from .proxy import IPAIRS, pairs, table, with_iso
+from .proxy import IPAIRS, PAIRS, pairs, table, with_iso
 from .registry import query
 
 
@@ -204,3 +204,87 @@ def stem_lexicons(spark: SparkSession, d: str) -> DataFrame:
     stems = induction.stem_lexicon(v, "lang")
     words = stems.join(v.withColumnRenamed("word", "stem"), ["lang", "stem"], "left_semi").groupBy("lang").agg(F.count(F.lit(1)).alias("n_words"))
     return L.canonical_hash(stems, "lang", [F.col("stem")], ["stem"]).withColumnRenamed("rows", "n_stems").join(words, "lang")
+
+
+@query(r"""WITH v AS (SELECT DISTINCT lang, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}]+')) AS word FROM documents),
+s AS (SELECT lang, word, word AS base FROM v UNION ALL SELECT lang, word, word[1 : len(word) - len(s)] FROM v, (SELECT unnest(CASE WHEN 1 = 1 THEN ['ed', 'er', 'es', 'en', 'ing', 's'] END) AS s) a WHERE ends_with(word, s) AND len(word) - len(s) >= 3 AND (lang = 'en' AND s IN ('ed', 'ing', 's') OR lang = 'de' AND s IN ('en', 'er', 'es'))),
+p AS (SELECT * FROM s UNION ALL SELECT lang, word, base[len(p) + 1 :] FROM s, (SELECT unnest(['be', 'ge', 'ver']) AS p) WHERE lang = 'de' AND starts_with(base, p) AND len(base) - len(p) >= 3),
+o AS (SELECT DISTINCT lang, word, base FROM p WHERE base <> word)
+SELECT v.lang AS iso, v.word, concat_ws(',', v.word, string_agg(base, ',' ORDER BY len(base) DESC, base)) AS forms FROM v LEFT JOIN o USING (lang, word) GROUP BY 1, 2""")
+def normalizer_forms(spark: SparkSession, d: str) -> DataFrame:
+    """The words of all languages by one table function: two languages have rules of their own, the others none."""
+    from ..functions.normalizers import Affixes, forms_table
+
+    rules = {"en": Affixes(("ed", "ing", "s")), "de": Affixes(("en", "er", "es"), ("be", "ge", "ver"))}
+    return forms_table(vocabulary(spark, d), rules, "lang").withColumn("forms", F.array_join("forms", ","))
+
+
+NEW = "l_suppkey % 5 <> 3 AND (l_suppkey % 5 <> 2 OR l_tax >= 0.03)"
+
+
+@query(f"""WITH {PAIRS}, c AS (SELECT surface, method, base_text, lexeme, count(*) AS count, count(*) FILTER (score >= 0.9 AND coalesce(coherent, true)) AS high FROM pairs WHERE content AND {NEW} GROUP BY ALL)
+SELECT *, round(count / sum(count) OVER (PARTITION BY surface, method, base_text), 6) AS share, round(high / count, 6) AS hi_conf FROM c""")
+def stream_retractions(spark: SparkSession, d: str) -> DataFrame:
+    """The lexicon kept by a stream from one state of the editions to the next, in which one came, one went and one changed."""
+    from ..operators import lexicon as L
+    from ..sources.scratch import folder
+    from ..streaming import retractions as R
+
+    p = L.usable(pairs(spark, d)).withColumn("edition", F.col("l_suppkey") % 5).withColumn("sure", L.is_high(F.col("score"), F.col("coherent")))
+    own = lambda keep: p.where(keep).groupBy("edition", *R.GROUP, "lexeme").agg(F.count(F.lit(1)).alias("count"), F.count_if("sure").alias("high"))
+    sha = lambda keep, s: own(keep).withColumn("sha", F.when(F.col("edition") == 2, s).otherwise("same"))
+    none, old, new = sha("false", "a"), sha("edition <> 4", "a"), sha(NEW, "b")
+    top = folder(spark, "retractions")
+    for before, after in ((none, old), (old, new)):
+        R.signed_counts(before, after).write.mode("append").parquet(f"{top}/signed")
+        R.advance(spark, f"{top}/signed", top)
+    return R.lexicon(spark, top).withColumns({c: F.round(c, 6) for c in ("share", "hi_conf")})
+
+
+# -- published files and kept results
+
+
+@query(f"""WITH {IPAIRS}, r AS (SELECT DISTINCT 'B' || ref % 20 AS book, ref FROM pairs), e AS (SELECT DISTINCT iso, base_text AS edition, 'B' || ref % 20 AS book FROM ipairs), c AS (SELECT iso, base_text AS edition, ref, string_agg(h_idx || ':' || t_idx[1], ' ' ORDER BY h_idx) AS compact FROM ipairs WHERE content GROUP BY 1, 2, 3),
+f AS (SELECT e.iso, e.edition, e.book, '[' || string_agg('"' || coalesce(compact, '') || '"', ', ' ORDER BY r.ref) || ']' || chr(10) AS body, count(*) AS rows FROM e JOIN r USING (book) LEFT JOIN c ON c.iso = e.iso AND c.edition = e.edition AND c.ref = r.ref GROUP BY 1, 2, 3)
+SELECT iso[1] || '/' || iso || '/' || edition || '/' || book || '_' || left(md5(iso || book), 5) || '.json' AS file, rows, strlen(body) AS bytes, sha256(body) AS sha256 FROM f""")
+def compact_files(spark: SparkSession, d: str) -> DataFrame:
+    """The index of compact files, one a language, edition and book, that a data source writes under names of their own."""
+    from ..sources import named
+    from ..sources.scratch import folder
+
+    p = with_iso(spark, d, pairs(spark, d)).withColumn("book", F.concat(F.lit("B"), (F.col("ref") % 20).cast("string")))
+    cells = F.array_sort(F.collect_list(F.when(F.col("content"), F.struct("h_idx", F.concat_ws(":", F.col("h_idx").cast("string"), F.col("t_idx")[0].cast("string")).alias("x")))))
+    verses = p.groupBy("iso", F.col("base_text").alias("edition"), "book", "ref").agg(F.array_join(F.transform(cells, lambda c: c["x"]), " ").alias("compact"))
+    verses = verses.withColumn("book_hash", F.left(F.md5(F.concat("iso", "book").cast("binary")), F.lit(5)))
+    spine = p.groupBy("book", "ref").agg(F.array_sort(F.collect_set("lexeme")).alias("lexemes"))
+    root = folder(spark, "compact")
+    named.publish_compact(verses, spine, f"{root}/files", f"{root}/books")
+    return named.index_of(spark, f"{root}/files")
+
+
+@query(f"""WITH v AS (SELECT DISTINCT lang, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+')) AS word FROM documents), {_learned("suf")}, {_learned("pre")}, stems AS (SELECT lang, stem FROM suf_r UNION SELECT lang, word FROM v),
+a AS (SELECT lang, list(affix ORDER BY stems DESC, affix)[1:40] AS x, 's' AS side FROM suf_f GROUP BY 1 UNION ALL SELECT lang, list(affix ORDER BY stems DESC, affix)[1:40], 'p' FROM pre_f GROUP BY 1),
+l AS (SELECT DISTINCT lang FROM v), m AS (SELECT l.lang, coalesce(p.x, []) AS prefixes, coalesce(s.x, []) AS suffixes FROM l LEFT JOIN a s ON s.lang = l.lang AND s.side = 's' LEFT JOIN a p ON p.lang = l.lang AND p.side = 'p')
+SELECT lang, (SELECT count(*) FROM v WHERE v.lang = m.lang) AS n_types, len(suffixes) AS n_suffixes, len(prefixes) AS n_prefixes, (SELECT count(*) FROM stems s WHERE s.lang = m.lang) AS n_stems,
+sha256('{{"prefixes":' || to_json(prefixes) || ',"suffixes":' || to_json(suffixes) || '}}') AS content_sha256 FROM m""")
+def affix_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest of learned affixes; what was learned is kept by the digest of its input and settings."""
+    from ..sources import artefacts as A
+    from ..sources.scratch import folder
+
+    docs, root, rule = table(spark, d, "documents"), folder(spark, "artefacts"), {"stem": 3, "longest": 5, "productive": 12, "top": 40}
+    v = A.kept(spark, root, "words", [docs], {"by": "lang"}, lambda: vocabulary(spark, d))
+    side = lambda name, least: A.kept(spark, root, name, [docs], rule | {"side": name, "shortest": least}, lambda: induction.affixes(v, "lang", name, shortest=least, **rule))
+    stems = A.kept(spark, root, "stems", [docs], {"real": 2}, lambda: induction.stem_lexicon(v, "lang"))
+    return A.affix_manifest(v, side("suffix", 1), side("prefix", 2), stems, "lang")
+
+
+@query("""WITH w AS (SELECT lang, source, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}]+')) AS word FROM documents), tot AS (SELECT lang, word, count(*) AS freq, count(DISTINCT source) AS in_books FROM w GROUP BY 1, 2),
+rk AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY freq DESC, word) AS rank FROM tot), bk AS (SELECT lang, count(DISTINCT source) AS n_books FROM w GROUP BY 1)
+SELECT lang, count(*) AS n_words, sha256(string_agg(word, chr(10) ORDER BY word)) AS content_sha256 FROM rk JOIN bk USING (lang) WHERE rank <= 150 AND in_books / n_books >= 0.85 GROUP BY 1""")
+def stopword_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest of learned stopwords."""
+    from ..sources import artefacts as A
+    from .corpus_queries import stopwords
+
+    return A.stopword_manifest(stopwords(spark, d), "lang")

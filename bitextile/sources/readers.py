@@ -70,7 +70,7 @@ def walk_usj(tree: dict) -> Iterator[tuple[int, int, int, str]]:
 
 def usj_pieces(spark: SparkSession, path: str) -> DataFrame:
     """path, piece, chapter, verse_start, verse_end, text from USJ books, one JSON file each."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
 
     def run(batches):
         for batch in batches:
@@ -184,5 +184,5 @@ def pos_and_translit(priors: DataFrame) -> DataFrame:
 
 def rules_json(spark: SparkSession, path: str) -> DataFrame:
     """Contest rules {'ef | gl': winner} as rows."""
-    one = spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", "map<string,string>")).alias("k", "rule"))
+    one = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("k", "rule"))
     return one.select(F.trim(F.split("k", r"\|")[0]).alias("ef_tier"), F.trim(F.split("k", r"\|")[1]).alias("gl_tier"), "rule")
