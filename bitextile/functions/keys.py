@@ -59,6 +59,44 @@ def norm_strong(raw: Column, default: str = "H") -> Column:
     return F.when(digits.isNotNull(), F.concat(letter, F.format_string("%04d", digits.cast("int"))))
 
 
+def lemma_skeleton(lemma: Column) -> Column:
+    """A lemma in folded case without marks that stay by themselves in NFC, as vowel points do: what two vocalizations share.
+    Null is empty."""
+    from .text import folded
+
+    return F.trim(folded(F.coalesce(lemma, F.lit(""))))
+
+
+def strong_key(strong: Column, lemma: Column, grain: str = "strong") -> Column:
+    """The key to compare at: the number key, or with 'lexeme' the number key and the lemma's skeleton; null without a number."""
+    own = norm_strong(strong)
+    if grain == "strong":
+        return own
+    if grain != "lexeme":
+        raise ValueError(f"no grain: {grain}")
+    return F.when(own.isNotNull(), F.concat(own, F.lit("|"), lemma_skeleton(lemma)))
+
+
+#: The letters of the presence codes of media and of texts, and the badges they stand for.
+MEDIA = {"a": "audio", "v": "video", "t": "audio_timed", "s": "video_timed"}
+CODEX = {"o": "old", "n": "new", "d": "deuterocanon"}
+
+
+def presence(code: Column, letters: dict[str, str]) -> Column:
+    """The names of the letters that a code has, in their order; letters it does not know are passed over."""
+    return F.filter(F.array(*(F.when(F.coalesce(code, F.lit("")).contains(k), F.lit(n)) for k, n in letters.items())), lambda x: x.isNotNull())
+
+
+def presence_code(parts: dict[str, Column]) -> Column:
+    """A code of the letters whose condition holds, in the order given."""
+    return F.concat(*(F.when(holds, F.lit(k)).otherwise(F.lit("")) for k, holds in parts.items()))
+
+
+def sound_media(code: Column) -> Column:
+    """Whether a media code's timings have what they time: t needs a, s needs v."""
+    return (~code.contains("t") | code.contains("a")) & (~code.contains("s") | code.contains("v"))
+
+
 def strong_of(lexeme: Column) -> Column:
     """The number key of a lexeme 'lang:digits...': H for hbo, else G, and four digits at least."""
     digits = F.nullif(F.regexp_replace(F.substring_index(lexeme, ":", -1), r"\D", ""), F.lit(""))

@@ -18,9 +18,19 @@ def preferred(rows: DataFrame, group: list[str], source: str, order: list[str],
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy(rank, tie))).where("__r = 1").drop("__r")
 
 
-def plan(all_: DataFrame, done: DataFrame, excluded: DataFrame, key: str = "iso") -> DataFrame:
-    """What is neither done nor excluded."""
-    return all_.join(done.select(key), key, "left_anti").join(excluded.select(key), key, "left_anti")
+def plan(all_: DataFrame, done: DataFrame, excluded: DataFrame, key: str = "iso", editions: DataFrame | None = None, without: str | None = None) -> DataFrame:
+    """What is neither done nor excluded; with editions (key, source) also has one, and with `without` none of that source."""
+    out = all_.join(done.select(key), key, "left_anti").join(excluded.select(key), key, "left_anti")
+    if editions is not None:
+        out = out.join(editions.select(key), key, "left_semi")
+        out = out if without is None else out.join(editions.where(F.col("source") == without).select(key), key, "left_anti")
+    return out
+
+
+def tested(rules: DataFrame, testaments: tuple[str, ...] = ("nt", "ot")) -> DataFrame:
+    """iso and the testament that an exclusion rule takes out; 'all' takes out each."""
+    each = F.explode(F.when(F.col("testament") == "all", F.array(*map(F.lit, testaments))).otherwise(F.array("testament"))).alias("testament")
+    return rules.select("iso", each).distinct()
 
 
 def versions(catalog: DataFrame, portions: DataFrame) -> DataFrame:

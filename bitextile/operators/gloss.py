@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.keys import strong_of
 from ..functions.similarity import name_score, word_score
+from ..functions.text import title_words
 from .kernels import greedy
 
 
@@ -118,3 +120,41 @@ def bootstrap_priors(lexicon: DataFrame, k: int = 5, share: float = 0.04) -> Dat
     part = sums.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy("strong")))
     top = part.where(F.col("share") >= share).withColumn("r", F.row_number().over(Window.partitionBy("strong").orderBy(F.desc("count"), F.asc("surface")))).where(F.col("r") <= k)
     return top.groupBy("strong").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "surface"))), lambda x: F.split(x["surface"], " ")).alias("variants"))
+
+
+def _tops(counts: DataFrame, key: str, k: int, share: float) -> DataFrame:
+    """key and variants: the words of its k most frequent surfaces that have the share, without repeats."""
+    order = Window.partitionBy(key).orderBy(F.desc("count"), F.asc("surface"))
+    part = counts.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy(key))).withColumn("r", F.row_number().over(order))
+    top = part.where((F.col("r") <= k) & (F.col("share") >= share)).withColumn("v", title_words(F.col("surface"))).where(F.size("v") > 0)
+    return top.groupBy(key).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("r", "v"))), lambda x: x["v"])).alias("variants"))
+
+
+def bootstrap(lexicon: DataFrame, pack: DataFrame, k: int = 5, share: float = 0.04, bridged: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Variants by lexeme, by number key, and by Greek lexeme over the old translation, from the links of an earlier lexicon.
+
+    lexicon: lexeme, strong, surface, method, count; of it only eflomal rows count. pack: lexeme, strong, testament, keyness,
+    lxx_greek. A lexeme that the pack knows as a function word (no keyness) gets no variants by lexeme. The top surfaces of a
+    Hebrew lexeme go to the content lexemes of the new part whose number key the pack links it with.
+    """
+    rows = lexicon.where(F.coalesce("method", F.lit("eflomal")) == "eflomal")
+    sums = rows.groupBy("lexeme", "surface").agg(F.sum("count").alias("count"))
+    function = pack.where("keyness IS NULL").select("lexeme")
+    by_lexeme = _tops(sums.join(function, "lexeme", "left_anti"), "lexeme", k, share)
+    keyed = rows.withColumn("strong", F.coalesce("strong", strong_of(F.col("lexeme")))).where("strong IS NOT NULL")
+    by_strong = _tops(keyed.groupBy("strong", "surface").agg(F.sum("count").alias("count")), "strong", k, share)
+    linked = pack.select(F.col("lexeme").alias("via"), F.explode("lxx_greek").alias("strong")).where(F.col("via").startswith("hbo")).distinct()
+    greek = pack.where("testament = 'NT' AND keyness IS NOT NULL AND strong IS NOT NULL").select("lexeme", "strong")
+    tops = _tops(sums.where(F.col("lexeme").startswith("hbo")), "lexeme", bridged, share).select(F.col("lexeme").alias("via"), "variants")
+    bridge = linked.join(greek, "strong").join(tops, "via").select("lexeme", "via", "variants").distinct()
+    over = bridge.groupBy("lexeme").agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("via", "variants"))), lambda x: x["variants"]))).alias("variants"))  # as many as the pack links
+    return by_lexeme, by_strong, over
+
+
+def bootstrapped(tokens: DataFrame, by_lexeme: DataFrame, by_strong: DataFrame, bridged: DataFrame) -> DataFrame:
+    """tokens with `variants`: those of the lexeme, of the number key, and of the bridge, in this order, without repeats."""
+    out = tokens
+    for n, (t, key) in enumerate(((by_lexeme, "lexeme"), (by_strong, "strong"), (bridged, "lexeme"))):
+        out = out.join(t.withColumnRenamed("variants", f"__v{n}"), key, "left")
+    none = F.array().cast("array<array<string>>")
+    return out.withColumn("variants", F.array_distinct(F.concat(*(F.coalesce(f"__v{n}", none) for n in range(3))))).drop("__v0", "__v1", "__v2")

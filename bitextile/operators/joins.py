@@ -70,6 +70,28 @@ def interval_expand(ranges: DataFrame, start: str, end: str, name: str = "verse"
     return ranges.withColumn(name, F.explode(F.sequence(start, end)))
 
 
+def occurrence_union(frames: dict[str, DataFrame], order: str = "verse_ref") -> DataFrame:
+    """The occurrence rows of all sources, with their source, columns that one lacks null, in order of verses."""
+    out = None
+    for source, df in frames.items():
+        own = df.withColumn("source", F.lit(source))
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    return out.orderBy(order, "source", *(c for c in out.columns if c not in (order, "source")))
+
+
+def recipe_order(rows: DataFrame, recipe: str) -> DataFrame:
+    """The rows of a recipe as they are published: keyness by lexeme, certainty and count; gap by confidence and frequency;
+    sense by status and share; bridge by what is confirmed least and frequent most."""
+    status = F.array_position(F.array(*map(F.lit, ("confirmed", "missing", "extra"))), F.col("status"))
+    keys = {
+        "keyness": lambda: [F.asc("lexeme"), F.desc("hi_conf"), F.desc("count")],
+        "gap": lambda: [F.asc("rank_confidence"), F.desc("spine_freq"), F.asc("lexeme")],
+        "sense": lambda: [status.asc(), F.coalesce("prior_share", F.lit(0.0)).desc(), F.asc("lexeme")],
+        "bridge": lambda: [F.asc("nt_total"), F.desc("ot_count")],
+    }[recipe]()
+    return rows.orderBy(*keys)
+
+
 def remap(rows: DataFrame, table: DataFrame, key: list[str], to: list[str]) -> DataFrame:
     """Left join on the key with the row's own key where the table has none."""
     t = table.select(*(F.col(k) for k in key), *(F.col(c).alias(f"__{c}") for c in to))

@@ -36,9 +36,10 @@ def method_high(method: Column, score: Column) -> Column:
     return method.isin("exact", "stem", "name", "multi") | ((method == "stat") & (score >= 0.3)) | (method.isin("eflomal", "gapfill") & (score >= 0.9))
 
 
-def tier(method: Column, score: Column, match: Column, prior: Column) -> Column:
-    """The tier of a pair: a link's score, a gloss's kind of match, a fill's prior, else 'all'."""
-    return F.when(method == "eflomal", F.concat(F.lit("score "), score.cast("string"))).when(method == "gloss", match).when(method == "gapfill", F.coalesce(prior, F.lit("?"))).otherwise(F.lit("all"))
+def tier(method: Column, score: Column, match: Column, prior: Column, unknown: str = "?") -> Column:
+    """The tier of a pair: a link's score, a gloss's kind of match, a fill's prior, else 'all'. A fill without a prior is
+    `unknown`: '?' where methods are merged, 'embedding' where they are scored."""
+    return F.when(method == "eflomal", F.concat(F.lit("score "), score.cast("string"))).when(method == "gloss", match).when(method == "gapfill", F.coalesce(prior, F.lit(unknown))).otherwise(F.lit("all"))
 
 
 def operating_point(lexicon: DataFrame, name: str) -> DataFrame:
@@ -197,6 +198,32 @@ def majority(rows: DataFrame, key: list[str], value: str, least: int = 10, purit
     return best if like is None else best.where(F.col(value).rlike(like))
 
 
+def remap_table(pairs: DataFrame, gold: DataFrame, candidates: DataFrame, least: int = 10, purity: float = 0.9, guard: str = "^H") -> DataFrame:
+    """lexeme and to_key: the number key that a lexeme's surfaces mostly stand for in the gold, where it is another than its own.
+
+    pairs: lexeme, strong, surface, content; gold: surface, strong; candidates: lexeme. A surface votes for its dominant key
+    in the gold alone, once for each time we gave it to the lexeme, so a word that is frequent in the gold has no more say.
+    Targets of several words do not vote; keys that `guard` does not match are no target.
+    """
+    top = top_k(gold.where("surface <> ''").groupBy("surface", "strong").agg(F.count("*").alias("n")), ["surface"], [F.desc("n"), F.asc("strong")], 1).select("surface", F.col("strong").alias("key"))
+    own = pairs.where(F.col("content") & single_token(F.col("surface"))).join(candidates.select("lexeme").distinct(), "lexeme", "left_semi")
+    votes = own.join(top, "surface").groupBy("lexeme", "key").agg(F.count("*").alias("n"), F.max("strong").alias("own"))
+    w = Window.partitionBy("lexeme")
+    first = F.row_number().over(w.orderBy(F.desc("n"), F.asc("key")))
+    best = votes.withColumns({"total": F.sum("n").over(w), "own": F.max("own").over(w), "r": first}).where("r = 1")
+    sure = (F.col("total") >= least) & (F.col("n") / F.col("total") >= purity)
+    return best.where(sure & (F.col("key") != F.col("own")) & F.col("key").rlike(guard)).select("lexeme", F.col("key").alias("to_key"), "n", "total")
+
+
+def vocabulary(lexicon: DataFrame, sure: bool = False) -> DataFrame:
+    """lexeme and surface: the words of its surfaces, each word of a multiword one by itself; `sure` takes rows alone of
+    which some are of high confidence."""
+    from ..functions.text import tokens
+
+    rows = lexicon.where("hi_conf > 0") if sure else lexicon
+    return rows.select("lexeme", F.explode(tokens(F.col("surface"))).alias("surface")).distinct()
+
+
 def entropy(counts: DataFrame, key: list[str], n: str = "n") -> DataFrame:
     """Shannon entropy in bits of each key's counts; 0 for a single observation."""
     p = F.col(n) / F.sum(n).over(Window.partitionBy(*key))

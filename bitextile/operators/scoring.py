@@ -50,6 +50,37 @@ def contest_leave_one_out(pairs: DataFrame, least: int = 15) -> DataFrame:
     return ruled.groupBy("iso").agg(F.sum("n").alias("n"), F.sum(ok).alias("correct"), F.sum("best").alias("oracle"), F.round(F.sum(ok) / F.sum("n"), 6).alias("accuracy"))
 
 
+def gold_free(ef: DataFrame, gl: DataFrame, judged: DataFrame) -> DataFrame:
+    """By language, of the source tokens that both methods have: how many agree, are links of both directions, and are
+    contested where the gold could judge.
+
+    ef: iso, ref, h_idx, target, score, strong; gl: ref, h_idx, target; judged: the ref and strong that the gold has.
+    """
+    both = ef.select("iso", "ref", "h_idx", "strong", "score", F.col("target").alias("e")).join(gl.select("ref", "h_idx", F.col("target").alias("g")), ["ref", "h_idx"])
+    both = both.join(judged.select("ref", "strong").distinct().withColumn("seen", F.lit(True)), ["ref", "strong"], "left")
+    same = F.col("e") == F.col("g")
+    share = lambda c, n: F.round(F.count_if(c) / F.count("*"), 6).alias(n)
+    return both.groupBy("iso").agg(F.count("*").alias("both"), share(same, "agree_rate"), share(F.col("score") == 0.9, "ef09_share"), share(~same & F.coalesce("seen", F.lit(False)), "contested_share"))
+
+
+def tilt(contests: DataFrame, least: int = 15) -> DataFrame:
+    """By language: the share of contests that a rule fitted on that language alone gives to the glosses, and its accuracy
+    beside that of the rule of all languages, of links alone, and of the better one of each contest. contests as of contested()."""
+    by = contests.groupBy("iso", "ef_tier", "gl_tier").agg(
+        F.count_if(F.col("ef_hit") & ~F.col("gl_hit")).alias("ew"), F.count_if(F.col("gl_hit") & ~F.col("ef_hit")).alias("gw"), F.count("*").alias("n"),
+        F.count_if("ef_hit").alias("ef"), F.count_if("gl_hit").alias("gl"), F.count_if(F.col("ef_hit") | F.col("gl_hit")).alias("best"),
+    )
+    w = Window.partitionBy("ef_tier", "gl_tier")
+    every = F.when((F.sum("gw").over(w) > F.sum("ew").over(w)) & (F.sum("ew").over(w) + F.sum("gw").over(w) >= least), "gl").otherwise("ef")
+    ruled = by.withColumn("own", F.when((F.col("gw") > F.col("ew")) & (F.col("ew") + F.col("gw") >= least), "gl").otherwise("ef")).withColumn("all", every)
+    right = lambda rule: F.sum(F.when(F.col(rule) == "gl", F.col("gl")).otherwise(F.col("ef")))
+    share = lambda c, n: F.round(c / F.sum("n"), 6).alias(n)
+    return ruled.groupBy("iso").agg(
+        F.sum("n").alias("contested"), share(F.sum(F.when(F.col("own") == "gl", F.col("n")).otherwise(0)), "gl_share"), share(right("own"), "tailored"), share(right("all"), "universal"),
+        share(F.sum("ef"), "always_ef"), share(F.sum("best"), "oracle"),
+    )
+
+
 def gold_health(pairs: DataFrame, gold: DataFrame) -> DataFrame:
     """For each language: hits at the same verse and hits anywhere in the gold lexicon; a wide gap marks shifted gold."""
     here = gold.select("ref", "strong", "word1").distinct().withColumn("here", F.lit(True))
@@ -74,11 +105,14 @@ def reverse_check(spine: DataFrame, pairs: DataFrame, target_count: str = "n_trg
 
 
 def stopword_check(words: DataFrame, truth: DataFrame, partners: int, freq: int) -> DataFrame:
-    """Candidates against words that have many partners at a frequency: true and false positives, misses, F1."""
+    """Candidates against words that have many partners at a frequency: true and false positives, misses, precision, recall
+    and F1; shares of nothing are null."""
     gold = truth.where((F.col("partners") >= partners) & (F.col("freq") >= freq)).select("word", F.lit(True).alias("g"))
     j = words.select("word", F.lit(True).alias("w")).join(gold, "word", "full_outer")
     out = j.agg(F.count_if(F.col("w") & F.col("g")).alias("tp"), F.count_if(F.col("g").isNull()).alias("fp"), F.count_if(F.col("w").isNull()).alias("fn"))
-    return out.select("*", F.round(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), 6).alias("f1"))
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    share = lambda a, b, n: F.round(F.try_divide(a, b), 6).alias(n)
+    return out.select("*", share(tp, tp + fp, "precision"), share(tp, tp + fn, "recall"), share(2 * tp, 2 * tp + fp + fn, "f1"))
 
 
 METHOD_RANK = {"eflomal": 3, "gloss": 2, "gapfill": 1}

@@ -33,5 +33,5 @@ def query(sql: str | None = None) -> Callable:
 
 def load() -> None:
     """Import the modules that register queries."""
-    for name in ("lexicon_queries", "join_queries", "corpus_queries", "align_queries", "quality_queries", "model_queries"):
+    for name in ("lexicon_queries", "join_queries", "corpus_queries", "align_queries", "quality_queries", "model_queries", "evidence_queries"):
         import_module(f"{__package__}.{name}")

@@ -186,3 +186,36 @@ def rules_json(spark: SparkSession, path: str) -> DataFrame:
     """Contest rules {'ef | gl': winner} as rows."""
     one = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("k", "rule"))
     return one.select(F.trim(F.split("k", r"\|")[0]).alias("ef_tier"), F.trim(F.split("k", r"\|")[1]).alias("gl_tier"), "rule")
+
+
+def titles_of(spark: SparkSession, articles: str) -> DataFrame:
+    """article and title from a JSON object {article: {title: ...}}."""
+    one = spark.read.text(articles, wholetext=True).select(F.explode(F.from_json("value", "map<string,struct<title:string>>")).alias("article", "a"))
+    return one.select("article", F.col("a.title").alias("title")).where("title <> ''")
+
+
+def title_variants(spark: SparkSession, links: str, articles: str) -> DataFrame:
+    """strong and variants: the titles of the articles that a table (strong, article) links it with, in its order."""
+    rows = spark.read.csv(links, sep="\t", schema="strong string, article string").where("strong <> 'strong' AND article IS NOT NULL")
+    placed = rows.select(F.monotonically_increasing_id().alias("n"), "strong", "article")
+    joined = placed.join(titles_of(spark, articles), "article").select("strong", F.struct("n", variants(F.col("title")).alias("v")).alias("x")).where(F.size("x.v") > 0)
+    return joined.groupBy("strong").agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["v"]))).alias("variants"))
+
+
+def table_json(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
+    """A table written as one JSON object, as rows."""
+    return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias(key, value))
+
+
+#: The fields that an exclusion rule may state.
+EXCLUSION = ("lexeme", "stem", "sense", "surface", "base_text")
+
+
+def exclusions_json(spark: SparkSession, path: str) -> DataFrame:
+    """Exclusion rules, a row each: the fields that a rule states, others null; surfaces trimmed in lower case; rules that
+    state none are left out. The file is an object with `exclude`, or the list itself."""
+    fields = ", ".join(f"{c}:string" for c in EXCLUSION)
+    text = spark.read.text(path, wholetext=True)
+    rules = F.coalesce(F.from_json("value", f"struct<exclude:array<struct<{fields}>>>")["exclude"], F.from_json("value", f"array<struct<{fields}>>"))
+    rows = text.select(F.explode(rules).alias("r")).select("r.*").withColumn("surface", F.lower(F.trim("surface")))
+    return rows.where(F.coalesce(*EXCLUSION).isNotNull())
