@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import release, written
+from ..sources.scratch import written
+from . import hmm
 
-NULL = "<null>"
+NULL = hmm.NULL
 
 
 def cells(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -44,22 +45,22 @@ def step(c: DataFrame, t: DataFrame) -> DataFrame:
 
 
 def train(source: DataFrame, target: DataFrame, rounds: int = 6, cut: bool = True) -> DataFrame:
-    """t(w | s) after `rounds`; each round is written so that plans stay short, and what it replaces is deleted."""
-    c = cells(source, target)
+    """t(w | s) after `rounds`, over blocks of verses, each round written; with cut=False in one plan of joins."""
     if not cut:
+        c = cells(source, target)
         t = start(c)
         for _ in range(rounds):
             t = step(c, t)
         return t
-    c = written(c, "cells")
-    t = written(start(c), "t")
-    for _ in range(rounds):
-        counts = written(expected(c, t), "counts")
-        release(t)
-        t = written(normalized(counts), "t")
-        release(counts)
-    release(c)
-    return t
+    v = written(hmm.verses(source, target).where("side = 0"), "sides")
+    return hmm.model_1(v, hmm.word_pairs(v), rounds).select("s", "w", "t")
+
+
+def train_both(source: DataFrame, target: DataFrame, rounds: int = 6) -> tuple[DataFrame, DataFrame]:
+    """t(w | s) and t(s | w), in the same jobs: the columns s and w are those of what is given and what is made of it."""
+    v = written(hmm.verses(source, target), "sides")
+    t = hmm.model_1(v, hmm.word_pairs(v), rounds)
+    return tuple(t.where(f"side = {k}").select("s", "w", "t") for k in (0, 1))
 
 
 def log_likelihood(source: DataFrame, target: DataFrame, t: DataFrame) -> DataFrame:

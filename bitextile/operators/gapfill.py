@@ -105,24 +105,26 @@ def scored(source: DataFrame, target: DataFrame, covered: DataFrame, known: Data
     open_ = target.where(~F.coalesce("blocked", F.lit(False))) if "blocked" in target.columns else target
     free = open_.join(taken, ["ref", "place"], "left_anti").select("ref", "place", F.lower("token").alias("word"))
     after = free.select("ref", (F.col("place") - 1).alias("place"), F.lit(True).alias("next_free"))
+    # what hangs on one side alone is joined before the verse product, and pairs that no prior speaks for go before the rest
+    free = free.join(target_pos.select("word", F.col("pos").alias("t_pos")), "word", "left").join(after, ["ref", "place"], "left")
+    placed = placed.join(priors.select("lexeme", "pos", "translit"), "lexeme", "left")
+    placed = placed.join(wide.select("lexeme", "multiword_rate"), "lexeme", "left") if wide is not None else placed.withColumn("multiword_rate", F.lit(None).cast("double"))
+    placed = placed.join(expected, ["ref", "h_idx"], "left") if expected is not None else placed.withColumn("p_exp", F.lit(None).cast("double")).withColumn("p_prior", F.lit(None).cast("string"))
     j = placed.join(free, "ref").join(known.select("strong", "word", F.lit(True).alias("is_known")).distinct(), ["strong", "word"], "left").join(vocab.select("lexeme", "word", F.lit(True).alias("is_vocab")).distinct(), ["lexeme", "word"], "left")
-    j = j.join(priors.select("lexeme", "pos", "translit"), "lexeme", "left").join(target_pos.select("word", F.col("pos").alias("t_pos")), "word", "left")
-    j = j.join(expected, ["ref", "h_idx"], "left") if expected is not None else j.withColumn("p_exp", F.lit(None).cast("double")).withColumn("p_prior", F.lit(None).cast("string"))
-    j = j.join(after, ["ref", "place"], "left").withColumn("agrees", F.lit(False))
-    for i, feature in enumerate([r["feature"] for r in morph.select("feature").distinct().collect()] if morph is not None else []):  # a row for each feature
-        own = morph.where(F.col("feature") == feature).select("strong", F.col("value").alias(feature), "word", F.lit(True).alias(f"morph{i}"))
-        j = j.join(own, ["strong", feature, "word"], "left").withColumn("agrees", F.col("agrees") | F.coalesce(f"morph{i}", F.lit(False))).drop(f"morph{i}")
-    j = j.join(wide.select("lexeme", "multiword_rate"), "lexeme", "left") if wide is not None else j.withColumn("multiword_rate", F.lit(None).cast("double"))
     yes = lambda c: F.coalesce(c, F.lit(False))
     strong = yes(F.col("is_known"))
     name = yes((F.col("pos") == "name") & (name_score(F.regexp_replace("translit", "[.·]", ""), F.col("word")) >= 0.8))
     cross = yes(F.col("is_vocab")) & ~strong
     phrase = yes(F.abs(F.col("place") - F.col("p_exp")) <= 1)
+    j = j.where(strong | name | cross | phrase).withColumn("agrees", F.lit(False))
+    for i, feature in enumerate([r["feature"] for r in morph.select("feature").distinct().collect()] if morph is not None else []):  # a row for each feature
+        own = morph.where(F.col("feature") == feature).select("strong", F.col("value").alias(feature), "word", F.lit(True).alias(f"morph{i}"))
+        j = j.join(own, ["strong", feature, "word"], "left").withColumn("agrees", F.col("agrees") | F.coalesce(f"morph{i}", F.lit(False))).drop(f"morph{i}")
     away = F.when(F.col("p_exp").isNotNull(), weights.phrase_place * F.abs(F.col("place") - F.col("p_exp"))).otherwise(weights.place * F.abs(F.col("place") - F.col("expected"))) / F.col("n_t")
     gain = lambda c, w: F.when(c, w).otherwise(0.0)
     score = gain(strong, weights.strong) + gain(name, weights.name) + gain(cross, weights.cross) + gain(phrase, weights.phrase) + gain(yes(F.col("pos") == F.col("t_pos")), weights.pos) + gain(strong & F.col("agrees"), weights.morph) - away
     prior = F.when(strong, "strong").when(name, "name").when(cross, "cross_edition").otherwise(F.col("p_prior"))
-    return j.where(strong | name | cross | phrase).select("ref", "h_idx", F.col("place").cast("long").alias("place"), F.round(score, 9).alias("score"), prior.alias("prior"), (strong | name | cross).alias("vocab"), (yes(F.col("next_free")) & yes(F.col("multiword_rate") >= weights.wide)).alias("grows"))
+    return j.select("ref", "h_idx", F.col("place").cast("long").alias("place"), F.round(score, 9).alias("score"), prior.alias("prior"), (strong | name | cross).alias("vocab"), (yes(F.col("next_free")) & yes(F.col("multiword_rate") >= weights.wide)).alias("grows"))
 
 
 def fill(candidates: DataFrame, weights: Weights = Weights()) -> DataFrame:

@@ -196,6 +196,17 @@ def updated(counts: DataFrame) -> DataFrame:
     return sums.join(whole, ["side", "s"]).select("side", "s", "w", (F.col("c") / F.col("n")).alias("t"))
 
 
+def model_1(v: DataFrame, pairs: DataFrame, rounds: int) -> DataFrame:
+    """t after `rounds` of model 1; each is written, and what it replaces is deleted."""
+    t = written(uniform(pairs), "t")
+    for _ in range(rounds):
+        counts = written(expected(v, pairs, t, None, {}).where("kind = 't'"), "counts")
+        release(t)
+        t = written(updated(counts), "t")
+        release(counts)
+    return t
+
+
 def fertility_of(counts: DataFrame, weight: float = 1.0) -> DataFrame:
     """side, s and the chances of 0 to FERTILE target words, drawn to those of all words of the side with `weight`."""
     own = counts.where("kind = 'fertility'").groupBy("side", "s", "k").agg(F.sum("c").alias("c"))

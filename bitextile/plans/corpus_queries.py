@@ -206,7 +206,7 @@ def ibm1_em_3(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def ibm1_decode(spark: SparkSession, d: str) -> DataFrame:
-    source, target = parallel(spark, d)
+    source, target = (written(x, "words") for x in parallel(spark, d))
     c = em.candidates(source, target, em.train(source, target, rounds=3), 0.03)
     return kernels.greedy(c.select("ref", "h_idx", F.array("place").alias("t_idx"), F.round("score", 9).alias("score"), F.abs(F.col("h_idx") - F.col("place") / 2).alias("near")))
 
@@ -214,10 +214,11 @@ def ibm1_decode(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def symmetrized_alignment(spark: SparkSession, d: str) -> DataFrame:
     """Links of both directions by model 1, symmetrized: the statistical directional aligner."""
-    source, target = parallel(spark, d)
-    forward = em.links(source, target, em.train(source, target, rounds=3))
+    source, target = (written(x, "words") for x in parallel(spark, d))
+    there, back = em.train_both(source, target, rounds=3)
     back_s, back_t = target.select("ref", F.col("place").alias("h_idx"), F.col("w").alias("s")), source.select("ref", F.col("h_idx").alias("place"), F.col("s").alias("w"))
-    reverse = em.links(back_s, back_t, em.train(back_s, back_t, rounds=3)).select("ref", F.col("place").alias("h_idx"), F.col("h_idx").alias("place"))
+    forward = em.links(source, target, there)
+    reverse = em.links(back_s, back_t, back).select("ref", F.col("place").alias("h_idx"), F.col("h_idx").alias("place"))
     return kernels.symmetrize(forward, reverse)
 
 
