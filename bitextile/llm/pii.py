@@ -3,8 +3,9 @@
 Found values are replaced by values of the same form: equal values get equal pseudonyms in every document, different ones
 different ones, and who has the key can go back. The key is an argument without a default.
 
-- card numbers (13 to 19 digits, single spaces or hyphens allowed): all digits but the last are permuted, and the last
-  keeps its distance from the check digit, so valid numbers stay valid and other runs stay invalid;
+- card numbers (13 to 19 digits that pass the Luhn check; in one run, in groups of 4, of 4, 6 and 5, or with any single
+  spaces or hyphens, the first of these that fits): all digits but the last are permuted, and the last is the check digit
+  again; runs that fail the check, as times and serial numbers do, stay as they are and are not counted;
 - North American phone numbers: their ten digits are permuted in place, however the number is written;
 - social security numbers: permuted within the valid ranges; IPv4 addresses: among all addresses;
 - dates 1900 to 2099, as YYYY-MM-DD, DD/MM/YYYY or MM/DD/YYYY: permuted among the days of these years, written in the same
@@ -44,7 +45,7 @@ KINDS = {
     "ip": EDGE + r"(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)" + TAIL,
     "ssn": EDGE + r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}" + TAIL,
     "phone": r"(?<![\w.])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}" + TAIL,
-    "card": EDGE + r"\d(?:[ -]?\d){12,18}" + TAIL,
+    "card": EDGE + r"(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}|\d(?:[ -]?\d){12,18})" + TAIL,
 }
 ANY = "|".join(KINDS.values())
 LOWER, UPPER, DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -55,12 +56,13 @@ IP_HALVES = (65536, 65536)
 
 
 def kind_of(value: Column) -> Column:
-    """The kind of a found value, read from its form."""
+    """The kind of a found value, read from its form; `run` for digits that are no card number."""
     forms = {"date": r"^(\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4})$", "ip": r"^\d+\.\d+\.\d+\.\d+$", "ssn": r"^\d{3}-\d\d-\d{4}$", "phone": r"^(\+1[ .-]?)?(\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}$"}
     out = F.when(value.contains("@"), "email")
     for kind, form in forms.items():
         out = out.when(value.rlike(form), kind)
-    return out.otherwise("card")
+    passes = lambda d: F.substring(d, -1, 1).cast("int") == check_digit(F.substring(d, F.lit(1), F.length(d) - 1))
+    return out.when(let(F.regexp_replace(value, r"\D", ""), passes), "card").otherwise("run")
 
 
 def digest(key: str, kind: Column, i: Column, half: Column, block: Column | str = "0") -> Column:
@@ -147,17 +149,14 @@ def check_digit(body: Column) -> Column:
 
 def renewed_string(value: Column, kind: Column, key: str, back: bool) -> Column:
     """The pseudonym of an e-mail address, phone number or card number."""
-    is_card = kind == "card"
 
     def of(d: Column) -> Column:
         body = F.when(kind == "email", F.substring_index(value, "@", 1)).when(kind == "phone", F.substring(d, -10, 10)).otherwise(F.substring(d, F.lit(1), F.length(d) - 1))
-        return let(body, lambda b: let(F.when(is_card, F.pmod(F.substring(d, -1, 1).cast("int") - check_digit(b), F.lit(10))), lambda off: put(d, b, off)))
+        return let(body, lambda b: put(d, b))
 
-    def put(d: Column, body: Column, off: Column) -> Column:
-        name = F.when(is_card & (off > 0), "run").otherwise(kind)
-        new = feistel(body, key, name, back)
-        digits = lambda x: F.when(kind == "phone", F.concat(F.substring(d, F.lit(1), F.length(d) - 10), x)).otherwise(F.concat(x, F.pmod(check_digit(x) + off, F.lit(10)).cast("string")))
-        return let(new, lambda x: F.when(kind == "email", F.concat(x, F.substring(value, F.length(body) + 1, F.length(value)))).otherwise(put_back(value, digits(x))))
+    def put(d: Column, body: Column) -> Column:
+        digits = lambda x: F.when(kind == "phone", F.concat(F.substring(d, F.lit(1), F.length(d) - 10), x)).otherwise(F.concat(x, check_digit(x).cast("string")))
+        return let(feistel(body, key, kind, back), lambda x: F.when(kind == "email", F.concat(x, F.substring(value, F.length(body) + 1, F.length(value)))).otherwise(put_back(value, digits(x))))
 
     return let(F.regexp_replace(value, r"\D", ""), of)
 
@@ -195,7 +194,7 @@ def renewed_number(value: Column, kind: Column, key: str, back: bool) -> Column:
 
 def renewed(value: Column, key: str, back: bool = False, kind: Column | None = None) -> Column:
     """The pseudonym of a found value; with `back`, the value of a pseudonym."""
-    of = lambda k: F.when(k.isin("email", "phone", "card"), renewed_string(value, k, key, back)).otherwise(renewed_number(value, k, key, back))
+    of = lambda k: F.when(k == "run", value).when(k.isin("email", "phone", "card"), renewed_string(value, k, key, back)).otherwise(renewed_number(value, k, key, back))
     return of(kind) if kind is not None else let(kind_of(value), of)
 
 
