@@ -5,13 +5,15 @@ with is scored by two first-order character models, one of random strings and on
 log-likelihood ratio passes a threshold, in sum and for each character, is a secret. Runs that touch a base span are left
 to it.
 
-The models are counted by Spark from labelled samples: words of a bounded hash sample of documents, without what the base
-rules find and without runs that are to be judged, are ordinary; what the rules find there, and strings made from SHA-256 digests, are random. Only two tables
-of character pairs, bounded by the alphabet, reach the driver. All else is built-in functions on every whole text.
-
-Defined results: a null or empty text has no spans; repeated rows give repeated results; with no text at all the
-ordinary model is uniform, and a run is a secret only if it has letters and digits and the digests' model likes it; other columns are kept out of report()
-and kept by redact().
+The models are counted by Spark from labelled samples: words under 16 characters of a bounded hash sample of documents, each
+different text once, without what the base rules find, are ordinary (longer runs are judged, and so never taught); what the
+rules find there, and strings made from SHA-256 digests, are random. Only two tables of character pairs, bounded by the
+alphabet, reach the driver. All else is built-in functions on every whole text.
+
+Defined results: a null or empty text has no spans; repeated rows give repeated results; an empty table gives no rows; where
+the sample has no words, the ordinary model is uniform; runs of equal likelihood under both models are no secrets; a very
+long text is scanned like any other, in time linear in its length; other columns are kept out of report() and kept by
+redact(). Both thresholds are arguments.
 """
 
 from __future__ import annotations
@@ -51,9 +53,9 @@ def labelled(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(random, word): the labelled samples of both kinds."""
     rows = documents.count()
     share = min(1.0, sample / max(rows, 1))
-    some = documents.select(_text().alias("text"), F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1_000_000)) < math.ceil(share * 1e6))
+    some = documents.select(_text().alias("text"), F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1_000_000)) < math.ceil(share * 1e6)).dropDuplicates(["text"])
     rest = F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    ordinary = some.select(F.lit(False).alias("random"), F.explode(F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9+/=_-]{4,}"), F.lit(0))).alias("word")).where(~(F.length("word") >= 16) | ~F.col("word").rlike("[0-9]"))
+    ordinary = some.select(F.lit(False).alias("random"), F.explode(F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9+/=_-]{4,}"), F.lit(0))).alias("word")).where(F.length("word") < 16)
     found = some.select(
         F.lit(True).alias("random"),
         F.explode(F.concat(F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda x: F.length(x) >= 12), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))).alias("word"),
@@ -96,17 +98,17 @@ def ratio(word: Column, table: list[float]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), F.lit(0.0), lambda acc, i: acc + F.get(values, place(i) * len(ALPHABET) + place(i + 1)))
 
 
-def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
+def markov_spans(text: Column, base: Column, table: list[float], least_sum: float = LEAST_SUM, least_mean: float = LEAST_MEAN) -> Column:
     """Array of (start, kind number, end) of runs that the models hold for random and that touch no base span."""
     free = lambda runs: F.filter(F.zip_with(runs, touches(runs, base), lambda x, hit: F.when(~hit, x)), lambda x: x.isNotNull())
-    likely = F.filter(let(matches(text, RUN), free), lambda x: let(ratio(x["value"], table), lambda r: (r >= LEAST_SUM) & (r >= LEAST_MEAN * F.length(x["value"]))))
+    likely = F.filter(let(matches(text, RUN), free), lambda x: let(ratio(x["value"], table), lambda r: (r >= least_sum) & (r >= least_mean * F.length(x["value"]))))
     return F.transform(likely, lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")))
 
 
-def found(table: list[float]) -> Column:
+def found(table: list[float], least_sum: float = LEAST_SUM, least_mean: float = LEAST_MEAN) -> Column:
     """(base, spans) of the column text: arrays of (start, kind number, end)."""
     kind = "array<struct<start:int,kind:int,end:int>>"
-    return let(_text(), lambda t: let(base_spans(t), lambda b: F.struct(b.cast(kind).alias("base"), F.sort_array(F.concat(b.cast(kind), markov_spans(t, b, table).cast(kind))).alias("spans"))))
+    return let(_text(), lambda t: let(base_spans(t), lambda b: F.struct(b.cast(kind).alias("base"), F.sort_array(F.concat(b.cast(kind), markov_spans(t, b, table, least_sum, least_mean).cast(kind))).alias("spans"))))
 
 
 def written(spans: Column) -> Column:
@@ -115,19 +117,19 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", name(x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def report(documents: DataFrame) -> DataFrame:
+def report(documents: DataFrame, least_sum: float = LEAST_SUM, least_mean: float = LEAST_MEAN) -> DataFrame:
     """Counts of base matches, the digest of base spans, and all spans of each document."""
-    judged = documents.select("doc_id", found(train(labelled(documents))).alias("x"))
+    judged = documents.select("doc_id", found(train(labelled(documents)), least_sum, least_mean).alias("x"))
     n = lambda k: F.size(F.filter("x.base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     return judged.select("doc_id", n(0), n(1), n(2), F.sha2(written(F.col("x.base")).cast("binary"), 256).alias("base_sha256"), written(F.col("x.spans")).alias("spans"))
 
 
-def redact(documents: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+def redact(documents: DataFrame, mark: str = "[SECRET]", least_sum: float = LEAST_SUM, least_mean: float = LEAST_MEAN) -> DataFrame:
     """The documents with every found span replaced by `mark`; n_chars, if there, is set anew for changed texts."""
     name = unused(documents, "found")
     some = F.size(f"{name}.spans") > 0
     new = let(merged(F.col(f"{name}.spans")), lambda m: F.array_join(outside(F.col("text"), m["starts"], m["ends"]), mark))
-    out = documents.withColumn(name, found(train(labelled(documents)))).withColumn("text", F.when(some, new).otherwise(F.col("text")))
+    out = documents.withColumn(name, found(train(labelled(documents)), least_sum, least_mean)).withColumn("text", F.when(some, new).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(some, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

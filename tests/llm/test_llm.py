@@ -350,6 +350,19 @@ def test_all_spans_and_redaction_are_those_of_plain_python(spark):
     assert [x["found"] for x in secrets.redact(clash).collect()] == [1] * 4 and secrets.redact(clash).columns == clash.columns
 
 
+def test_dense_keys_do_not_teach_that_they_are_ordinary(spark):
+    r = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(r.choice(letters) for _ in range(28)) for _ in range(100)]
+    docs = frame(spark, [f"{prose(12, 900 + i)} {keys[i]} {prose(3, 990 + i)}" if i < 100 else prose(15, 900 + i) for i in range(200)])
+    spans = {x["doc_id"]: x["spans"] for x in secrets.report(docs).collect()}
+    assert sum("markov" in spans[i] for i in range(100)) >= 98 and not any(spans[i] for i in range(100, 200))
+    assert not any("markov" in x["spans"] for x in secrets.report(docs, least_sum=1e9).collect())
+    once = [prose(40, 5)] * 300 + ["other words here"]
+    assert {x["word"] for x in secrets.labelled(frame(spark, once)).where("NOT random").groupBy("word").count().where("count > 20").collect()} == set()
+
+
+
 def test_redaction(spark):
     docs = frame(spark, SECRET_TEXTS).withColumn("__x", F.lit(1))
     out = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
