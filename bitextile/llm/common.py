@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import folder
@@ -33,6 +33,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def key_of(*values: Column) -> Column:
+    """16 bytes for each different row of values: two hashes of different seeds."""
+    return F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *values)), 16, "0") for seed in (1, 2))))
+
+
 def texts_of(df: DataFrame, *keep: str) -> DataFrame:
     """The columns `keep` and text, null read as the empty text."""
     return df.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALPHANUMERIC, Slices, Words, chunks, lists, materialize, texts_of, unused, window_min, words
+from .common import ALPHANUMERIC, Slices, Words, chunks, key_of, lists, materialize, texts_of, unused, window_min, words
 
 WINDOW, K = 13, 5
 SENT = 1_000_000  # keys of contaminated texts that are broadcast at most; beyond it their join shuffles
@@ -146,16 +146,17 @@ def windows(benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame
     return texts.mapInArrow(lambda b: _windows(b, window, k), "item_id long, n int, print long, hash long").distinct()
 
 
-def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_words, n_hit and items (array of item_ids with an occurring window) for each document row."""
+def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, limit: int = LIMIT, kind: str = "long") -> DataFrame:
+    """doc_id, n_words, n_hit and items (array of item_ids with an occurring window) for each document row; doc_id is read
+    as `kind`."""
     own = windows(benchmark, window, k)
-    docs = texts_of(documents, F.col("doc_id").cast("long").alias("doc_id"))
+    docs = texts_of(documents, F.col("doc_id").cast(kind).alias("doc_id"))
     some = own.limit(limit + 1).toPandas()  # at most limit + 1 rows of 28 bytes
     if len(some) <= limit:
         index = Index(window, k, some["n"].to_numpy(), some.loc[some["n"] == window, "print"].to_numpy().astype(np.int64).view(np.uint64), some["hash"].to_numpy().astype(np.int64).view(np.uint64), some["item_id"].to_numpy().astype(np.int64))
         sent = documents.sparkSession.sparkContext.broadcast(index)
-        return docs.mapInArrow(lambda b: _scan(b, sent.value), "doc_id long, n_words long, n_hit long, items array<long>")
-    return _by_join(docs, own, window, k)
+        return docs.mapInArrow(lambda b: _scan(b, sent.value), f"doc_id {kind}, n_words long, n_hit long, items array<long>")
+    return _by_join(docs, own, window, k, kind)
 
 
 def _prints(batches: Iterator[pa.RecordBatch], window: int, k: int, lengths: list[int]) -> Iterator[pa.RecordBatch]:
@@ -168,8 +169,8 @@ def _prints(batches: Iterator[pa.RecordBatch], window: int, k: int, lengths: lis
                 continue
             text = ws.text_of(at)
             new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))  # a run of equal prints ends with its text
-            rows = np.asarray(c.column("row_id"))[text[new]]
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.full(len(rows), n), pa.int32()), pa.array(h[new].view(np.int64))], ["row_id", "n", "print"])
+            rows = c.column("row_id").take(pa.array(text[new]))
+            yield pa.RecordBatch.from_arrays([rows, pa.array(np.full(len(rows), n), pa.int32()), pa.array(h[new].view(np.int64))], ["row_id", "n", "print"])
 
 
 def _extend(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator[pa.RecordBatch]:
@@ -195,17 +196,17 @@ def _extend(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator[
         yield pa.RecordBatch.from_arrays([c.column("row_id"), pa.array(n_hit), pa.array(found, pa.list_(pa.int64()))], ["row_id", "n_hit", "items"])
 
 
-def _by_join(docs: DataFrame, own: DataFrame, window: int, k: int) -> DataFrame:
+def _by_join(docs: DataFrame, own: DataFrame, window: int, k: int, kind: str) -> DataFrame:
     """The same result for test sets of any size: fingerprints meet in a shuffled join."""
-    docs = docs.withColumn("row_id", F.xxhash64("doc_id", "text"))
+    docs = docs.withColumn("row_id", key_of(F.col("doc_id"), F.col("text")))
     once = docs.dropDuplicates(["row_id"])
     lengths = sorted(r["n"] for r in own.select("n").distinct().collect())  # at most `window` rows
-    prints = once.select("row_id", "text").mapInArrow(lambda b: _prints(b, window, k, lengths), "row_id long, n int, print long").distinct()
+    prints = once.select("row_id", "text").mapInArrow(lambda b: _prints(b, window, k, lengths), "row_id binary, n int, print long").distinct()
     own = own.withColumn("print", F.when(F.col("n") == window, F.col("print")).otherwise(F.col("hash")))
     met = prints.join(own, ["n", "print"]).select("row_id", "n", "hash", "item_id").distinct()
     per = met.groupBy("row_id").agg(F.collect_list("n").alias("n"), F.collect_list("hash").alias("hash"), F.collect_list("item_id").alias("item_id"))
-    extended = once.select("row_id", "text").join(per, "row_id").mapInArrow(lambda b: _extend(b, window, k), "row_id long, n_hit long, items array<long>")
-    counts = docs.select("row_id", "doc_id", "text").mapInArrow(_counts, "row_id long, doc_id long, n_words long")
+    extended = once.select("row_id", "text").join(per, "row_id").mapInArrow(lambda b: _extend(b, window, k), "row_id binary, n_hit long, items array<long>")
+    counts = docs.select("row_id", "doc_id", "text").mapInArrow(_counts, f"row_id binary, doc_id {kind}, n_words long")
     out = counts.join(extended, "row_id", "left")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<long>")).alias("items"))
 
@@ -215,7 +216,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c.column("row_id"), c.column("doc_id"), pa.array(np.diff(words(c, ALPHANUMERIC).first), pa.int64())], ["row_id", "doc_id", "n_words"])
 
 
-def report(documents: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
+def report(documents: DataFrame, benchmark: DataFrame, **how: int | str) -> DataFrame:
     """hits() with the contamination rule: at least one word in 20 is hit."""
     h = hits(documents, benchmark, **how)
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
@@ -230,8 +231,8 @@ def report(documents: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
 def clean(documents: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
     """The documents that are not contaminated, with all their columns. Rows with a null doc_id are judged too."""
     key = unused(documents, "row")
-    keyed = documents.withColumn(key, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    judged = report(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, **how)
+    keyed = documents.withColumn(key, key_of(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    judged = report(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, kind="binary", **how)
     bad = materialize(judged.where("contaminated").select(F.col("doc_id").alias(key)).distinct(), "contaminated")
     bad = F.broadcast(bad) if bad.count() <= SENT else bad
     return keyed.join(bad, key, "left_anti").drop(key)

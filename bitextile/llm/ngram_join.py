@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import release
-from .common import NOT_SPACE, Chunk, Slices, chunks, materialize, mix, texts_of, unused, words
+from .common import Chunk, NOT_SPACE, Slices, chunks, key_of, materialize, mix, texts_of, unused, words
 
 N, PERCENT = 5, 75
 KEYS, HOT_DEPTH, HOT_SHARE, MISS = 32, 64, 0.65, 1e-12
@@ -110,8 +110,7 @@ def row_key(documents: DataFrame) -> Column:
             return F.array_sort(F.map_entries(f.name))
         return F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name)
 
-    values = [plain(f) for f in documents.schema]
-    return F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *values)), 16, "0") for seed in (1, 2))))
+    return key_of(*(plain(f) for f in documents.schema))
 
 
 def _describe(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch]:
