@@ -7,7 +7,9 @@ the code point ranges of what assistants say in it, end marker included, which a
 Turns are gathered by conversation, whose size a model's context bounds; everything is built-in functions.
 
 Defined results: null texts and roles are empty; a turn number that repeats keeps all its distinct rows, ordered by role
-and text; exact repeats count once; pairs that lack one side are left out; equal sides give two empty completions.
+and text; exact repeats count once; pairs that lack one side are left out; equal sides give two empty completions; an empty
+table gives no pairs; other columns, whatever their names, are ignored. Very long: a conversation is one row. contrasted()
+goes round the conversations by their numbers: conv_id must be one.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ Ids are those of the `tokenizers` library for the given file. They are made by `
 is some four times faster; where a text holds the special token, or that library fails, `tokenizers` itself is used.
 
 Defined results: a null or empty text is its end id alone; repeated rows are packed once each; an empty table gives no
-pieces; other columns are ignored. A null doc_id is kept as null.
+pieces; other columns are ignored. A null doc_id is kept as null. Very long: the ids of one text are one value of its row.
 """
 
 from __future__ import annotations

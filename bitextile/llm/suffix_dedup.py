@@ -17,7 +17,10 @@ together: Spark groups them, with partial counts before the shuffle. Texts that
 
 The full difference-cover construction is not used: see the README.
 
-Defined results: null and empty texts have no bytes and keep none; texts under LENGTH bytes lose nothing; repeated rows are repeated texts; an empty table gives no rows; other columns are ignored.
+Defined results: null and empty texts have no bytes and keep none; texts under LENGTH bytes lose nothing; repeated rows are
+repeated texts; an empty table gives no rows; other columns, whatever their names, are ignored. Very long: a text is held
+whole by one worker with some 30 to 60 bytes for each of its own; in texts over 2^28 bytes equal hashes of anchors go by the
+low bits of their places, so equal passages there may be told apart and stay.
 """
 
 from __future__ import annotations

@@ -265,3 +265,28 @@ def test_a_conversation_of_many_turns(spark):
     out = prefix_trie.report(rows)
     r = out.agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("d"), F.max("n_leaves").alias("l"), F.max("saved_tokens").alias("s")).collect()[0]
     assert r["n"] == r["d"] + 1 and r["d"] >= 60_000 - 5 and (r["l"], r["s"]) == (1, 0)
+
+
+# -- very long texts
+
+
+def test_texts_of_many_megabytes(spark):
+    """One text of 17 MB through the operators that hold a text at a time, beside short ones."""
+    from bitextile.llm import decontam, ngram_join, packing, suffix_dedup, syncmers, token_counts
+
+    words = prose(4000, 77)
+    long = " ".join(f"{words[i % 20_000 : i % 20_000 + 60]} {i}" for i in range(260_000))
+    assert len(long) > 17_000_000
+    docs = frame(spark, [long, "short text", None, long[:900]]).withColumns({"n": F.lit(1), "ids": F.lit("x"), "row": F.lit(2), "tid": F.lit(3)}).repartition(2)
+    by = lambda df, c: {r["doc_id"]: r[c] for r in df.select("doc_id", c).collect()}
+    assert by(token_counts.count(docs, P.path("piece_bpe_32k.model")), "n_chars") == {0: len(long), 1: 10, 2: 0, 3: 900}
+    pieces = packing.pack(docs, P.path("byte_bpe_50k.json")).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+    assert all(r["n"] == r["t"] for r in pieces) and len(pieces) == 4
+    assert by(pattern_packing.pack(docs, P.path("word_bpe_49k.json")).groupBy("doc_id").agg(F.max(F.col("start") + F.col("length")).alias("n")), "n")[0] > 4_000_000
+    kept = {r["doc_id"]: r for r in suffix_dedup.repeated(docs).collect()}
+    assert kept[3]["n_removed"] == 900 and kept[0]["n_bytes"] == len(long) and kept[0]["n_removed"] >= 900
+    assert by(ngram_join.classes(docs), "component_id") == {0: 0, 1: 1, 2: 2, 3: 3}
+    bench = spark.createDataFrame([(1, long[5_000_000:5_000_200])], "item_id long, text string")
+    assert by(decontam.report(docs, bench), "n_hit")[0] > 0
+    assert by(fill_middle.report(docs), "restored_sha256")[0] == sha(long)
+    assert len(syncmers.edited_pairs(docs).collect()) == 4
