@@ -90,6 +90,12 @@ def gold_health(pairs: DataFrame, gold: DataFrame) -> DataFrame:
     return out.withColumn("gap", F.round((F.col("lexical") - F.col("positional")) / F.col("n"), 6))
 
 
+def usable(health: DataFrame, least: int = 1000, rate: float = 0.05) -> DataFrame:
+    """Languages with enough judged pairs of which enough are hits: iso, n, rate. health: iso, n, positional."""
+    share = F.col("positional") / F.col("n")
+    return health.where((F.col("n") >= least) & (share >= rate)).select("iso", "n", F.round(share, 6).alias("rate"))
+
+
 def status_rollup(rows: DataFrame) -> DataFrame:
     """Tokens by status, over all and over content tokens."""
     return rows.groupBy("status").agg(F.count("*").alias("all_tokens"), F.count_if("content").alias("content_tokens"))

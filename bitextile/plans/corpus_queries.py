@@ -204,6 +204,21 @@ def ibm1_em_3(spark: SparkSession, d: str) -> DataFrame:
     return em.train(*parallel(spark, d), rounds=3).select("s", "w", F.round("t", 6).alias("t"))
 
 
+@query(f"WITH {PAIRS}, {CELLS}, {_round_sql(0)}, {_round_sql(1)}, {_round_sql(2)} SELECT p.ref, p.h_idx, tw.place, round(t, 6) AS score FROM pairs p JOIN tw ON tw.ref = p.ref JOIN t3 ON t3.s = p.strong AND t3.w = tw.w WHERE t >= 0.03")
+def ibm1_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of a verse that model 1 holds for likely, before the greedy pass."""
+    source, target = (written(x, "words") for x in parallel(spark, d))
+    return em.candidates(source, target, em.train(source, target, rounds=3), 0.03).withColumn("score", F.round("score", 6))
+
+
+@query(f"""WITH {PAIRS}, {CELLS}, {_round_sql(0)}, {_round_sql(1)}, {_round_sql(2)}, x AS (SELECT tw.ref, tw.place, p.h_idx, round(t, 9) AS t, round(n.t0, 9) AS t0, row_number() OVER (PARTITION BY tw.ref, tw.place ORDER BY round(t, 9) DESC, p.h_idx) AS r FROM tw JOIN pairs p ON p.ref = tw.ref JOIN t3 ON t3.s = p.strong AND t3.w = tw.w LEFT JOIN (SELECT w, t AS t0 FROM t3 WHERE s = '<null>') n ON n.w = tw.w)
+SELECT ref, h_idx, place FROM x WHERE r = 1 AND t > coalesce(t0, 0)""")
+def ibm1_links(spark: SparkSession, d: str) -> DataFrame:
+    """For each target word its likeliest source word by model 1, where the null word is not as likely."""
+    source, target = (written(x, "words") for x in parallel(spark, d))
+    return em.links(source, target, em.train(source, target, rounds=3).withColumn("t", F.round("t", 9)))
+
+
 @query()
 def ibm1_decode(spark: SparkSession, d: str) -> DataFrame:
     source, target = (written(x, "words") for x in parallel(spark, d))

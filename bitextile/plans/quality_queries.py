@@ -86,8 +86,8 @@ SELECT iso, n, round(hit / n, 6) AS rate FROM j WHERE n >= 1000 AND hit / n >= 0
 def usable_languages(spark: SparkSession, d: str) -> DataFrame:
     p = with_iso(spark, d, pairs(spark, d))
     ok = gold(p).select("ref", "strong", F.col("word1").alias("target")).distinct().withColumn("h", F.lit(True))
-    rows = methods(p)[0].join(ok, ["ref", "strong", "target"], "left").groupBy("iso").agg(F.count("*").alias("n"), F.count("h").alias("hit"))
-    return rows.withColumn("rate", F.round(F.col("hit") / F.col("n"), 6)).where("n >= 1000 AND hit / n >= 0.05").select("iso", "n", "rate")
+    rows = methods(p)[0].join(ok, ["ref", "strong", "target"], "left").groupBy("iso").agg(F.count("*").alias("n"), F.count("h").alias("positional"))
+    return S.usable(rows, 1000, 0.05)
 
 
 @query(f"""WITH {PAIRS}, r AS (SELECT lexeme, arg_max(stem, (n, stem)) AS to_key FROM (SELECT lexeme, stem, count(*) AS n FROM pairs GROUP BY 1, 2) GROUP BY 1), k AS (SELECT word1 AS surface, CASE WHEN p.lexeme LIKE 'hbo:%' THEN to_key ELSE strong END AS key FROM pairs p JOIN r USING (lexeme) WHERE content) SELECT surface, key, count(*) AS n FROM k GROUP BY 1, 2""")
