@@ -8,11 +8,12 @@ hashed without a Python loop.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import folder
@@ -33,6 +34,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of fewer rows for what runs within, where a row may hold a whole set or text."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def key_of(*values: Column) -> Column:
     """16 bytes for each different row of values: two hashes of different seeds."""
     return F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *values)), 16, "0") for seed in (1, 2))))

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import release
-from .common import Chunk, NOT_SPACE, Slices, chunks, key_of, materialize, mix, texts_of, unused, words
+from .common import Chunk, NOT_SPACE, Slices, chunks, key_of, materialize, mix, small_batches, texts_of, unused, words
 
 N, PERCENT = 5, 75
 KEYS, HOT_DEPTH, HOT_SHARE, MISS = 32, 64, 0.65, 1e-12
@@ -474,6 +474,11 @@ def classes(documents: DataFrame) -> DataFrame:
 def row_classes(documents: DataFrame) -> DataFrame:
     """classes() with the row_key() of each row, and `class`: the node that names its class, which no other class has,
     whereas classes can share a component_id if a doc_id has unlike texts."""
+    with small_batches(documents.sparkSession):  # a row may hold two whole sets
+        return _row_classes(documents)
+
+
+def _row_classes(documents: DataFrame) -> DataFrame:
     spark: SparkSession = documents.sparkSession
     docs = texts_of(documents, F.col("doc_id").cast("long").alias("doc_id"), row_key(documents).alias("row"))
     hot = spark.sparkContext.broadcast(hot_shingles(docs))
