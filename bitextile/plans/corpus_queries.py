@@ -131,7 +131,7 @@ bk AS (SELECT lang, count(DISTINCT source) AS n_books FROM words GROUP BY 1), st
 
 @query(f"WITH {WORDS}, {STOPS} SELECT * FROM stops")
 def stopwords(spark: SparkSession, d: str) -> DataFrame:
-    return induction.stopword_candidates(induction.word_counts(table(spark, d, "documents"), ["lang", "source"]))
+    return induction.stopword_candidates(written(induction.word_counts(table(spark, d, "documents"), ["lang", "source"]), "words"))
 
 
 @query(f"""WITH {WORDS}, {STOPS}, b AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+')) AS word FROM benchmark), s AS (SELECT word, sum(freq)::BIGINT AS freq FROM stops GROUP BY 1)
@@ -172,12 +172,12 @@ def vocabulary(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_affix_sql("suffix"))
 def affix_suffixes(spark: SparkSession, d: str) -> DataFrame:
-    return induction.affixes(vocabulary(spark, d), "lang", "suffix")
+    return induction.affixes(written(vocabulary(spark, d), "vocabulary"), "lang", "suffix")
 
 
 @query(_affix_sql("prefix"))
 def affix_prefixes(spark: SparkSession, d: str) -> DataFrame:
-    return induction.affixes(vocabulary(spark, d), "lang", "prefix", shortest=2)
+    return induction.affixes(written(vocabulary(spark, d), "vocabulary"), "lang", "prefix", shortest=2)
 
 
 # -- alignment models

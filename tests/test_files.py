@@ -267,3 +267,35 @@ def test_files_of_many_lines_are_read_whole(spark, tmp_path):
     (tmp_path / "rules").mkdir()
     (tmp_path / "rules" / "r.json").write_text('{\n "a | b": "ef",\n "c | d": "gl"\n}')
     assert sorted(tuple(r) for r in readers.rules_json(spark, str(tmp_path / "rules")).collect()) == [("a", "b", "ef"), ("c", "d", "gl")]
+
+
+# -- readers and writers of plain files
+
+
+def test_gold_chapter_ends_titles_and_tables_of_tabs(spark, tmp_path):
+    from bitextile.functions import text as T
+    from bitextile.sources import sinks
+
+    (tmp_path / "gold.tsv").write_text("# a comment\nref\tsurface\tstrong\tbase_text\n010010010001\tGo,\tH1\tbsb\n010010010002\tgo\tH2\tbsb\n010010020001\tGo\tH1\tweb\n")
+    gold = readers.gold_tsv(spark, str(tmp_path / "gold.tsv"))
+    assert [tuple(r) for r in readers.gold_sets(gold, "strong").collect()] == [("go", ["H1", "H2"], 3)]
+    assert [tuple(r) for r in readers.gold_sets(gold, "strong", "web").collect()] == [("go", ["H1"], 1)]
+    assert sorted((r["ref"], r["strong"], r["surfaces"]) for r in readers.gold_positions(gold).collect()) == [("01001001", "H1", ["go"]), ("01001001", "H2", ["go"]), ("01001002", "H1", ["go"])]
+
+    pieces = spark.createDataFrame([("01-GEN.json", 0, 1, 1, 2, "a"), ("01-GEN.json", 1, 1, 5, 7, "b"), ("02-EXO.json", 0, 3, 4, 4, "c")], "file string, piece int, chapter int, verse_start int, verse_end int, text string")
+    assert sorted(tuple(r) for r in readers.chapter_ends(pieces).collect()) == [("EXO", 3, 4), ("GEN", 1, 7)]
+    assert spark.range(1).select(T.title_words(F.lit("Anak Allah (2), Yesus"))).first()[0] == ["anak", "allah", "yesus"]
+
+    sinks.tsv(spark.createDataFrame([("a", 1), ("b", None)], "k string, n int").coalesce(1), str(tmp_path / "out"))
+    lines = [x for f in sorted((tmp_path / "out").glob("part-*")) for x in f.read_text().splitlines()]
+    assert lines == ["k\tn", "a\t1", 'b\t""'] or lines == ["k\tn", "a\t1", "b\t"]
+
+
+def test_compact_folders_hold_verses_in_order(spark, tmp_path):
+    from bitextile.sources import sinks
+
+    verses = spark.createDataFrame([("eng", "bsb", "GEN", "abcde", r, f"0:{r}") for r in (3, 1, 2)] + [("eng", "bsb", "EXO", "11111", 9, "")], "iso string, edition string, book string, book_hash string, ref long, compact string")
+    sinks.compact(verses, str(tmp_path / "c"))
+    files = sorted((tmp_path / "c").rglob("*.json"))
+    assert [f.parent.relative_to(tmp_path / "c").as_posix() for f in files] == ["iso=eng/edition=bsb/file=EXO-11111", "iso=eng/edition=bsb/file=GEN-abcde"]
+    assert [json.loads(x)["compact"] for x in files[1].read_text().splitlines()] == ["0:1", "0:2", "0:3"]
