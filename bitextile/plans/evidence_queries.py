@@ -176,3 +176,95 @@ def catalog_plan_without(spark: SparkSession, d: str) -> DataFrame:
     editions = c.where("c_acctbal > 9900").select(F.col("c_nationkey").alias("iso"), F.when(F.col("c_mktsegment") == "BUILDING", "dbt").otherwise("pkf").alias("source"))
     done = table(spark, d, "supplier").where("s_acctbal > 8000").select(F.col("s_nationkey").alias("iso"))
     return E.plan(table(spark, d, "nation").select(F.col("n_nationkey").alias("iso")), done, c.where("c_acctbal < -990").select(F.col("c_nationkey").alias("iso")), editions=editions, without="dbt")
+
+
+# -- tags, stale outputs, titles, references
+
+TAGS = "t AS (SELECT CASE WHEN c_custkey % 4 = 3 THEN upper(left(c_mktsegment, 3)) ELSE lower(left(c_mktsegment, 3)) END || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '_' || c_custkey END || CASE WHEN c_custkey % 10 = 4 THEN 'x' ELSE '' END AS tag, c_custkey FROM customer), m AS (SELECT tag, min('m' || c_custkey % 9) AS iso FROM t WHERE c_custkey % 5 = 0 GROUP BY 1), l AS (SELECT tag, min('l' || c_custkey % 7) AS iso FROM t WHERE c_custkey % 2 = 0 GROUP BY 1)"
+RESOLVED = TAGS + ", r AS (SELECT d.tag, coalesce(m.iso, l.iso, nullif(regexp_extract(d.tag, '^([a-z]{3})(?:_|$)', 1), '')) AS iso FROM (SELECT DISTINCT tag FROM t) d LEFT JOIN m ON m.tag = d.tag LEFT JOIN l ON l.tag = d.tag)"
+
+
+def resolved(spark: SparkSession, d: str) -> DataFrame:
+    c, k = table(spark, d, "customer"), F.col("c_custkey")
+    first = F.left("c_mktsegment", F.lit(3))
+    tag = F.concat(F.when(k % 4 == 3, F.upper(first)).otherwise(F.lower(first)), F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("_"), k.cast("string"))), F.when(k % 10 == 4, "x").otherwise(""))
+    t = c.select(tag.alias("tag"), k.alias("k"))
+    named = lambda keep, letter, m: t.where(keep).groupBy("tag").agg(F.min(F.concat(F.lit(letter), (F.col("k") % m).cast("string"))).alias("iso"))
+    return E.resolve_iso(t.select("tag").distinct(), named("k % 5 = 0", "m", 9), named("k % 2 = 0", "l", 7))
+
+
+@query(f"WITH {RESOLVED} SELECT * FROM r")
+def resolved_tags(spark: SparkSession, d: str) -> DataFrame:
+    """The language of a tag: by the manifest, an older map, or how it begins."""
+    return resolved(spark, d)
+
+
+@query(f"WITH {RESOLVED}, p AS (SELECT DISTINCT 'm' || s_nationkey % 9 AS iso FROM supplier WHERE s_acctbal > 3000 UNION SELECT DISTINCT 'l' || s_nationkey % 7 FROM supplier WHERE s_acctbal > 5000), q AS (SELECT DISTINCT CASE WHEN n_nationkey % 2 = 0 THEN 'm' ELSE 'l' END || n_regionkey AS iso FROM nation) SELECT tag, r.iso FROM r WHERE iso IN (SELECT iso FROM p) AND iso IN (SELECT iso FROM q)")
+def cleanable_tags(spark: SparkSession, d: str) -> DataFrame:
+    """Tags whose language is in every published dataset."""
+    s, n = table(spark, d, "supplier"), table(spark, d, "nation")
+    code = lambda letter, number: F.concat(F.lit(letter), number.cast("string")).alias("iso")
+    one = s.where("s_acctbal > 3000").select(code("m", F.col("s_nationkey") % 9)).union(s.where("s_acctbal > 5000").select(code("l", F.col("s_nationkey") % 7)))
+    two = n.select(F.concat(F.when(F.col("n_nationkey") % 2 == 0, "m").otherwise("l"), F.col("n_regionkey").cast("string")).alias("iso"))
+    return E.safe_to_clean(resolved(spark, d), one, two)
+
+
+@query("SELECT o_orderkey, out IS NULL OR out < o_orderdate OR out < o_orderdate + INTERVAL 30 DAY AS stale FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS out FROM lineitem WHERE l_quantity > 20 GROUP BY 1) ON l_orderkey = o_orderkey")
+def stale_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """Outputs that are missing or older than what they were made from."""
+    made = table(spark, d, "lineitem").where("l_quantity > 20").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("out"))
+    both = table(spark, d, "orders").join(made, "o_orderkey", "left")
+    return both.select("o_orderkey", E.is_stale(F.col("o_orderdate"), F.col("out"), F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("stale"))
+
+
+@query(f"WITH {PAIRS}, c AS (SELECT ref, h_idx, max(CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY ref ORDER BY h_idx ROWS UNBOUNDED PRECEDING) = 0 AS lead FROM pairs WHERE content) SELECT p.ref, p.h_idx, coalesce(lead, false) AS is_superscription FROM pairs p LEFT JOIN c ON c.ref = p.ref AND c.h_idx = p.h_idx")
+def superscriptions(spark: SparkSession, d: str) -> DataFrame:
+    """The content tokens from the start of a verse for as long as they are words of a title."""
+    from ..operators.corpus import superscriptions as mark
+
+    return mark(pairs(spark, d), F.col("l_partkey") % 3 != 0).select("ref", "h_idx", "is_superscription")
+
+
+REF = "CASE l_linenumber % 4 WHEN 0 THEN 'GEN ' || l_partkey || ':' || l_suppkey WHEN 1 THEN '  1SA  ' || l_suppkey || ':' || l_linenumber || ' ' WHEN 2 THEN 'MAT ' || l_partkey ELSE 'no ref' END"
+
+
+@query(f"WITH r AS (SELECT l_orderkey, l_linenumber, {REF} AS t FROM lineitem), p AS (SELECT *, regexp_extract(t, '^\\s*(\\w+)\\s+(\\d+):(\\d+)\\s*$', ['b', 'c', 'v']) AS x FROM r) SELECT nullif(x.b, '') AS book, nullif(x.c, '')::INT AS chapter, nullif(x.v, '')::INT AS verse, count(*) AS n FROM p GROUP BY ALL")
+def parsed_references(spark: SparkSession, d: str) -> DataFrame:
+    """References written as text, read into book, chapter and verse; others are null."""
+    n, part, supp = F.col("l_linenumber") % 4, F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
+    text = F.when(n == 0, F.concat(F.lit("GEN "), part, F.lit(":"), supp)).when(n == 1, F.concat(F.lit("  1SA  "), supp, F.lit(":"), F.col("l_linenumber").cast("string"), F.lit(" "))).when(n == 2, F.concat(F.lit("MAT "), part)).otherwise("no ref")
+    return table(spark, d, "lineitem").select(K.parse_ref(text).alias("x")).groupBy("x.book", "x.chapter", "x.verse").agg(F.count("*").alias("n"))
+
+
+CELL = "p_name || CASE p_size % 5 WHEN 0 THEN '; ' WHEN 1 THEN ' atau ' WHEN 2 THEN '/' WHEN 3 THEN ',,' ELSE ' ' END || p_type || CASE WHEN p_size % 3 = 0 THEN ' (' || p_brand || ')' ELSE ';12' END"
+
+
+@query(f"""WITH c AS (SELECT p_partkey, list_filter(list_transform(string_split_regex(lower({CELL}), '[;,/]| atau '), lambda p: regexp_extract_all(p, '\\p{{L}}+')), lambda w: len(w) > 0) AS v, regexp_replace('q' || p_size, '[0-9]+$', '') || regexp_replace('pi' || p_brand, '[0-9]+$', '') AS markers, regexp_extract_all(lower(p_brand || ' ' || p_type), '\\p{{L}}+') AS t FROM part)
+SELECT p_partkey, array_to_string(list_transform(v, lambda w: array_to_string(w, ' ')), '; ') AS variants, len(v)::INT AS n, markers, array_to_string(t, ' ') AS title FROM c""")
+def gloss_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Gloss cells as word lists, titles as words, markers without their numbers."""
+    from ..functions import text as T
+
+    k = F.col("p_size")
+    sep = F.element_at(F.array(*map(F.lit, ("; ", " atau ", "/", ",,", " "))), (k % 5 + 1).cast("int"))
+    cell = F.concat("p_name", sep, "p_type", F.when(k % 3 == 0, F.concat(F.lit(" ("), "p_brand", F.lit(")"))).otherwise(";12"))
+    v = table(spark, d, "part").select("*", T.variants(cell).alias("v"))
+    markers = F.concat(T.base_marker(F.concat(F.lit("q"), k.cast("string"))), T.base_marker(F.concat(F.lit("pi"), "p_brand")))
+    lists = F.array_join(F.transform("v", lambda w: F.array_join(w, " ")), "; ")
+    return v.select("p_partkey", lists.alias("variants"), F.size("v").alias("n"), markers.alias("markers"), F.array_join(T.title_words(F.concat_ws(" ", "p_brand", "p_type")), " ").alias("title"))
+
+
+@query("""WITH w AS (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) || CASE p_size % 3 WHEN 0 THEN 'nya' WHEN 1 THEN 'an' ELSE '' END AS word FROM part UNION SELECT DISTINCT CASE p_size % 2 WHEN 0 THEN 'me' ELSE 'di' END || lower(split_part(p_name, ' ', 2)) || CASE p_size % 3 WHEN 0 THEN 'kan' ELSE 'i' END FROM part),
+s AS (SELECT word, word AS base FROM w UNION SELECT word, word[1 : len(word) - len(a)] FROM w, (SELECT unnest(CASE WHEN 1 = 1 THEN ['an', 'i', 'kah', 'ku', 'lah', 'mu', 'nya', 'pun'] END) AS a) x WHERE ends_with(word, a) AND len(word) - len(a) >= 3),
+p AS (SELECT * FROM s UNION SELECT word, base[len(b) + 1 :] FROM s, (SELECT unnest(CASE WHEN 1 = 1 THEN ['ber', 'di', 'ke', 'me', 'mem', 'men', 'meng', 'meny', 'pe', 'per', 'se', 'ter'] END) AS b) y WHERE starts_with(base, b) AND len(base) - len(b) >= 3)
+SELECT w.word, concat_ws(',', w.word, string_agg(base, ',' ORDER BY len(base) DESC, base) FILTER (base <> w.word)) AS forms FROM w JOIN p ON p.word = w.word GROUP BY 1""")
+def indonesian_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Words by the registered rule of one language."""
+    from ..functions.normalizers import forms_table
+
+    p = table(spark, d, "part")
+    part = lambda k: F.split(F.lower("p_name"), " ")[k]
+    k = F.col("p_size")
+    one = p.select(F.concat(part(0), F.when(k % 3 == 0, "nya").when(k % 3 == 1, "an").otherwise("")).alias("word"))
+    two = p.select(F.concat(F.when(k % 2 == 0, "me").otherwise("di"), part(1), F.when(k % 3 == 0, "kan").otherwise("i")).alias("word"))
+    return forms_table(one.union(two).withColumn("iso", F.lit("ind"))).select("word", F.array_join("forms", ",").alias("forms"))
