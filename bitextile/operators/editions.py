@@ -71,13 +71,13 @@ def families(versions: DataFrame) -> DataFrame:
     """iso, key, source, edition and root of the fetchable editions of catalog_versions().
 
     An edition is of another's text if either testament says so (the first one that does counts); such links are followed to
-    their end, which need not be an edition that is there.
+    their end, which need not be an edition that is there; editions that point at each other in a circle stand for themselves.
     """
     have = versions.where("fetchable")
     link = have.groupBy("iso", "key").agg(F.first("source").alias("source"), F.first("edition").alias("edition"), F.min_by("anchor", F.when(F.col("anchor").isNotNull(), F.struct("testament", "anchor"))).alias("parent"))
     ids = link.select(F.struct("iso", "key").alias("id"), F.when(F.col("parent").isNotNull(), F.struct("iso", F.col("parent").alias("key"))).alias("parent"))
     outer = ids.where("parent IS NOT NULL").select(F.col("parent").alias("id")).distinct().join(ids.select("id"), "id", "left_anti").select("id", F.lit(None).cast(ids.schema["parent"].dataType).alias("parent"))
-    root = roots(ids.union(outer)).select(F.col("id.iso").alias("iso"), F.col("id.key").alias("key"), F.col("root.key").alias("root"))
+    root = roots(ids.union(outer), cut=True).select(F.col("id.iso").alias("iso"), F.col("id.key").alias("key"), F.col("root.key").alias("root"))
     return link.drop("parent").join(root, ["iso", "key"])
 
 

@@ -159,3 +159,32 @@ def test_families_follow_links_to_an_end_that_is_not_there(spark):
     v = editions.catalog_versions(clusters, none, spark.createDataFrame([], "iso string, source string, edition string, canon string"))
     lone = v.where("key <> 'dbt:A'")
     assert {r["key"]: r["root"] for r in editions.families(lone).collect()} == {"dbt:B": "dbt:B", "dbt:C": "dbt:B", "dbt:D": "dbt:A"}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_roots_of_chains_and_circles(spark, seed):
+    from bitextile.operators import graph
+
+    r = random.Random(seed)
+    n = 40
+    parent = {i: r.choice([None, *range(n)]) if seed else i + 1 for i in range(n)}
+    parent[n - 1] = None if seed % 2 else parent[n - 1]
+    if not seed:
+        parent[n - 1] = None
+    parent = {i: None if p == i else p for i, p in parent.items()}
+    links = spark.createDataFrame(sorted(parent.items()), "id long, parent long")
+
+    def walk(x):
+        seen = set()
+        while parent.get(x) is not None and x not in seen:
+            seen.add(x)
+            x = parent[x]
+        return x
+
+    want = {i: walk(i) for i in range(n)}
+    assert {x["id"]: x["root"] for x in graph.roots(links, cut=True).collect()} == want
+    if any(parent[w] is not None for w in want.values()):
+        with pytest.raises(ValueError, match="cycle"):
+            graph.roots(links)
+    else:
+        assert {x["id"]: x["root"] for x in graph.roots(links).collect()} == want
