@@ -50,9 +50,8 @@ class Encoder:
 
     def __init__(self, spec: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_str(spec)
+        self.spec, self._exact = spec, None
         data = json.loads(spec)
         byte = byte_of()
         self.special = [x["content"] for x in data.get("added_tokens", [])]
@@ -71,6 +70,15 @@ class Encoder:
                     raise
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4")
 
+    @property
+    def exact(self):
+        """The library's own tokenizer, made when it is first needed: few texts do."""
+        if self._exact is None:
+            from tokenizers import Tokenizer
+
+            self._exact = Tokenizer.from_str(self.spec)
+        return self._exact
+
 
 def encoder(spec: str) -> Encoder:
     """One encoder for each Python worker."""
