@@ -40,7 +40,7 @@ def scheme_winner(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {PAIRS}, c AS (SELECT word1 AS word, count(*) AS freq, count(DISTINCT lexeme) AS partners FROM pairs WHERE content GROUP BY 1), w AS (SELECT word1 AS word FROM pairs GROUP BY 1 HAVING count(*) >= 3500), g AS (SELECT word FROM c WHERE partners >= 10 AND freq >= 2800)
 SELECT count(*) FILTER (w.word IS NOT NULL AND g.word IS NOT NULL) AS tp, count(*) FILTER (g.word IS NULL) AS fp, count(*) FILTER (w.word IS NULL) AS fn,
 round(count(*) FILTER (w.word IS NOT NULL AND g.word IS NOT NULL) / nullif(count(w.word), 0), 6) AS precision, round(count(*) FILTER (w.word IS NOT NULL AND g.word IS NOT NULL) / nullif(count(g.word), 0), 6) AS recall,
-round(2 * count(*) FILTER (w.word IS NOT NULL AND g.word IS NOT NULL) / (2 * count(*) FILTER (w.word IS NOT NULL AND g.word IS NOT NULL) + count(*) FILTER (g.word IS NULL) + count(*) FILTER (w.word IS NULL)), 6) AS f1 FROM w FULL JOIN g ON w.word = g.word""")
+round(2 * count(*) FILTER (w.word IS NOT NULL AND g.word IS NOT NULL) / nullif(2 * count(*) FILTER (w.word IS NOT NULL AND g.word IS NOT NULL) + count(*) FILTER (g.word IS NULL) + count(*) FILTER (w.word IS NULL), 0), 6) AS f1 FROM w FULL JOIN g ON w.word = g.word""")
 def stopword_verification(spark: SparkSession, d: str) -> DataFrame:
     p = pairs(spark, d)
     truth = p.where("content").groupBy(F.col("word1").alias("word")).agg(F.count("*").alias("freq"), F.countDistinct("lexeme").alias("partners"))

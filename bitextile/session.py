@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import zipfile
 from pathlib import Path
@@ -38,3 +39,11 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(top.parent))
     sc.addPyFile(str(to))
     sc._bitextile_shipped = True
+
+
+def by_value(name: str) -> None:
+    """Send what a module defines as it is, not by name: the Python workers beside the driver that plan streams and data
+    sources do not get what ship() sends."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[name])

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from ..session import by_value
+
 FORMAT = "named_json"
 
 
@@ -125,6 +127,7 @@ def save(rows: DataFrame, root: str, file: Column, piece: Column, order: list[st
 
     Files stream through sorted partitions, so one of any size takes the memory of a batch.
     """
+    by_value(__name__)
     rows.sparkSession.dataSource.register(NamedJson)
     dealt = rows.select(file.alias("file"), piece.alias("piece"), *(F.col(o).alias(f"o{i}") for i, o in enumerate(order)))
     names = [f"o{i}" for i in range(len(order))]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.joins import state_diff
+from ..session import by_value
 
 GROUP = ["surface", "method", "base_text"]
 SIGNED = "surface string, method string, base_text string, lexeme string, count long, high long"
@@ -90,6 +91,7 @@ def advance(spark: SparkSession, signed: str, top: str) -> None:
     def save(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{top}/out/n={number}")
 
+    by_value(__name__)
     with _store(spark):
         stream = spark.readStream.schema(SIGNED).parquet(signed)
         rows = stream.groupBy(*GROUP).transformWithState(Shares(), ROWS, "Update", "None")
