@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import name_score
-from .kernels import by_group
+from .kernels import by_group, in_verse
 from .sequence import interpolate
 
 
@@ -32,7 +32,7 @@ class Weights:
 
 def gaps(source: DataFrame, covered: DataFrame) -> DataFrame:
     """Content tokens that no pair covers."""
-    return source.where("content").join(covered.select("ref", "h_idx").distinct(), ["ref", "h_idx"], "left_anti")
+    return source.where("content").join(in_verse(covered.select("ref", "h_idx").distinct()), ["ref", "h_idx"], "left_anti")
 
 
 def phrase_expected(source: DataFrame, anchors: DataFrame, dependent_after: bool = True) -> DataFrame:
@@ -41,8 +41,8 @@ def phrase_expected(source: DataFrame, anchors: DataFrame, dependent_after: bool
     The mate of a dependent ('rec') is its head ('NA') and the other way round where there is one, else the nearest. A
     dependent stands after its head, or before it where the language says so; other mates keep the source order.
     """
-    mates = source.join(anchors, ["ref", "h_idx"]).select("ref", "phrase_id", F.col("h_idx").alias("m"), F.col("rela").alias("m_rela"), "anchor")
-    met = source.join(mates, ["ref", "phrase_id"]).where("h_idx <> m")
+    mates = source.join(in_verse(anchors), ["ref", "h_idx"]).select("ref", "phrase_id", F.col("h_idx").alias("m"), F.col("rela").alias("m_rela"), "anchor")
+    met = source.join(in_verse(mates), ["ref", "phrase_id"]).where("h_idx <> m")
     dep, head = (F.col("rela") == "rec") & (F.col("m_rela") == "NA"), (F.col("rela") == "NA") & (F.col("m_rela") == "rec")
     matched = F.coalesce(dep | head, F.lit(False))
     best = Window.partitionBy("ref", "h_idx").orderBy(F.desc("matched"), F.abs(F.col("m") - F.col("h_idx")), "m")
@@ -98,19 +98,19 @@ def scored(source: DataFrame, target: DataFrame, covered: DataFrame, known: Data
     """
     n_t = target.groupBy("ref").agg(F.count("*").alias("n_t"))
     own = source.withColumn("p", F.row_number().over(Window.partitionBy("ref").orderBy("h_idx")) - 1).withColumn("n_s", F.count("*").over(Window.partitionBy("ref")))
-    at = own.join(covered.select("ref", "h_idx", "anchor"), ["ref", "h_idx"], "left").join(n_t, "ref")
+    at = own.join(in_verse(covered.select("ref", "h_idx", "anchor")), ["ref", "h_idx"], "left").join(in_verse(n_t), "ref")
     placed = interpolate(at, ["ref"], "p", "anchor", "n_s", "n_t").where("anchor is null AND content").drop("anchor")
     places = F.explode("places") if "places" in covered.columns else F.col("anchor")
     taken = covered.select("ref", places.alias("place")).distinct()
     open_ = target.where(~F.coalesce("blocked", F.lit(False))) if "blocked" in target.columns else target
-    free = open_.join(taken, ["ref", "place"], "left_anti").select("ref", "place", F.lower("token").alias("word"))
+    free = open_.join(in_verse(taken), ["ref", "place"], "left_anti").select("ref", "place", F.lower("token").alias("word"))
     after = free.select("ref", (F.col("place") - 1).alias("place"), F.lit(True).alias("next_free"))
     # what hangs on one side alone is joined before the verse product, and pairs that no prior speaks for go before the rest
-    free = free.join(target_pos.select("word", F.col("pos").alias("t_pos")), "word", "left").join(after, ["ref", "place"], "left")
+    free = free.join(target_pos.select("word", F.col("pos").alias("t_pos")), "word", "left").join(in_verse(after), ["ref", "place"], "left")
     placed = placed.join(priors.select("lexeme", "pos", "translit"), "lexeme", "left")
     placed = placed.join(wide.select("lexeme", "multiword_rate"), "lexeme", "left") if wide is not None else placed.withColumn("multiword_rate", F.lit(None).cast("double"))
-    placed = placed.join(expected, ["ref", "h_idx"], "left") if expected is not None else placed.withColumn("p_exp", F.lit(None).cast("double")).withColumn("p_prior", F.lit(None).cast("string"))
-    j = placed.join(free, "ref").join(known.select("strong", "word", F.lit(True).alias("is_known")).distinct(), ["strong", "word"], "left").join(vocab.select("lexeme", "word", F.lit(True).alias("is_vocab")).distinct(), ["lexeme", "word"], "left")
+    placed = placed.join(in_verse(expected), ["ref", "h_idx"], "left") if expected is not None else placed.withColumn("p_exp", F.lit(None).cast("double")).withColumn("p_prior", F.lit(None).cast("string"))
+    j = placed.join(in_verse(free), "ref").join(known.select("strong", "word", F.lit(True).alias("is_known")).distinct(), ["strong", "word"], "left").join(vocab.select("lexeme", "word", F.lit(True).alias("is_vocab")).distinct(), ["lexeme", "word"], "left")
     yes = lambda c: F.coalesce(c, F.lit(False))
     strong = yes(F.col("is_known"))
     name = yes((F.col("pos") == "name") & (name_score(F.regexp_replace("translit", "[.·]", ""), F.col("word")) >= 0.8))
