@@ -12,11 +12,12 @@ that every verse has is one row in each block, not one in each verse.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,21 +42,67 @@ class Model:
 
 
 def verses(source: DataFrame, target: DataFrame, size: int = VERSES) -> DataFrame:
-    """block, side, ref, s and w with their places hs and ws, for both sides of each verse that has both; written once.
+    """Blocks of the verses that have both sides, one row for each block and side; written once, so that rounds deal out packed
+    numbers and no words.
 
-    source: ref, h_idx, s; target: ref, place, w.
+    source: ref, h_idx, s; target: ref, place, w. A row has the distinct words of each role (sw, the null word included, and ww),
+    the lengths of its verses (sn, wn), their words by number (si, wi), the pairs of words that meet (ps, pw), and for links
+    the verses' ref and the places hs and ws.
     """
     line = lambda df, at, word, name: df.groupBy("ref").agg(F.sort_array(F.collect_list(F.struct(F.col(at).cast("long").alias("p"), F.col(word).alias("x")))).alias(name))
-    both = written(line(source.where("s IS NOT NULL"), "h_idx", "s", "a").join(line(target.where("w IS NOT NULL"), "place", "w", "b"), "ref"), "verses")
+    both = written(line(source.where("s IS NOT NULL"), "h_idx", "s", "a").join(line(target.where("w IS NOT NULL"), "place", "w", "b").hint("merge"), "ref"), "verses")
     blocks = max(1, -(-both.count() // size))
-    side = lambda k, x, y: both.select(F.pmod(F.xxhash64("ref"), F.lit(blocks)).cast("int").alias("block"), F.lit(k).alias("side"), "ref", *(F.col(f"{c}.{f}").alias(n) for c, f, n in ((x, "x", "s"), (x, "p", "hs"), (y, "x", "w"), (y, "p", "ws"))))
-    return side(0, "a", "b").union(side(1, "b", "a"))
+    dealt = both.select(F.pmod(F.xxhash64("ref"), F.lit(blocks)).cast("int").alias("block"), "ref", "a", "b")
+    kind = both.schema["ref"].dataType.simpleString()
+    schema = f"block int, side int, sw array<string>, ww array<string>, sn array<int>, wn array<int>, si array<int>, wi array<int>, ps array<int>, pw array<int>, ref array<{kind}>, hs array<long>, ws array<long>"
+    out = written(dealt.groupBy("block").applyInArrow(_packed, schema), "blocks")
+    release(both)
+    return out
+
+
+def _packed(lines: pa.Table) -> pa.Table:
+    """The two rows of a block."""
+
+    def role(name: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        column = lines.column(name).combine_chunks()
+        flat = column.flatten()
+        words = flat.field("x").dictionary_encode()
+        return words.dictionary.to_pylist(), np.asarray(words.indices, np.int64), np.asarray(pa.compute.list_value_length(column), np.int64), np.asarray(flat.field("p"))
+
+    two, rows = (role("a"), role("b")), []
+    for side, (x, y) in enumerate((two, two[::-1])):
+        sw = x[0] if NULL in x[0] else [*x[0], NULL]
+        keys = [sw.index(NULL) * len(y[0]) + np.unique(y[1])]
+        for at in shapes(x[2], y[2]):
+            s, w = spread(x[1], x[2], at), spread(y[1], y[2], at)
+            keys.append(np.unique(s[:, None, :] * len(y[0]) + w[:, :, None]))
+        met = np.unique(np.concatenate(keys))
+        rows.append([lines.column("block")[0].as_py(), side, sw, y[0], x[2], y[2], x[1], y[1], met // len(y[0]), met % len(y[0]), lines.column("ref").to_pylist(), x[3], y[3]])
+    names = ["block", "side", "sw", "ww", "sn", "wn", "si", "wi", "ps", "pw", "ref", "hs", "ws"]
+    ints = pa.list_(pa.int32())
+    kinds = [pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()), *[ints] * 6, pa.list_(lines.schema.field("ref").type), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    return pa.table({n: pa.array(list(c), k) for n, c, k in zip(names, zip(*rows, strict=True), kinds, strict=True)})
+
+
+def shapes(k: np.ndarray, m: np.ndarray, most: int = 400_000) -> Iterator[np.ndarray]:
+    """The verses of each shape (k source words, m target words), in stacks of `most` cells."""
+    order = np.lexsort((m, k))
+    for same in np.split(order, np.flatnonzero((np.diff(k[order]) != 0) | (np.diff(m[order]) != 0)) + 1) if len(order) else []:
+        step = max(1, most // int(k[same[0]] * m[same[0]]))
+        for at in range(0, len(same), step):
+            yield same[at : at + step]
+
+
+def spread(flat: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What lies flat for verses of n items each, as [verse, item] for verses of one length."""
+    return flat[(np.cumsum(n) - n)[at][:, None] + np.arange(n[at[0]])]
 
 
 def word_pairs(v: DataFrame) -> DataFrame:
-    """The distinct pairs of words that meet in a block, the null word included; written once."""
-    met = v.select("block", "side", F.explode(F.array_distinct(F.concat("s", F.array(F.lit(NULL))))).alias("s"), F.array_distinct("w").alias("w"))
-    return written(met.select("block", "side", "s", F.explode("w").alias("w")).distinct(), "pairs")
+    """The distinct pairs of words that meet in a block, the null word included, i being their number there; written once."""
+    named = lambda ids, words: F.transform(ids, lambda i: F.get(words, i))
+    met = v.select("block", "side", F.posexplode(F.arrays_zip(named("ps", "sw").alias("s"), named("pw", "ww").alias("w"))).alias("i", "x"))
+    return written(met.select("block", "side", "i", "x.s", "x.w"), "pairs")
 
 
 def uniform(pairs: DataFrame) -> DataFrame:
@@ -117,76 +164,89 @@ def fertilities(post: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Stack:
-    """Verses of one shape: their rows, words by number, and chances."""
+    """Verses of one shape: their rows, pairs by number, those of the null word, and chances."""
 
     rows: np.ndarray
     s: np.ndarray
-    w: np.ndarray
+    at: np.ndarray
+    at0: np.ndarray
     e: np.ndarray
     e0: np.ndarray
 
 
 class Block:
-    """The words, chances and verses of one block and side."""
+    """The words, chances and verses of one block and side. known: i, t; lines: one row of verses()."""
 
     def __init__(self, known: pa.Table, lines: pa.Table):
-        self.side = lines.column("side")[0].as_py()
-        s_col, w_col = known.column("s").combine_chunks(), known.column("w").combine_chunks()
-        s_all, w_all = s_col.dictionary_encode(), w_col.dictionary_encode()
-        self.s_words, self.w_words = s_all.dictionary.to_pylist(), w_all.dictionary.to_pylist()
-        self.pair_s, self.pair_w = np.asarray(s_all.indices, np.int64), np.asarray(w_all.indices, np.int64)
-        key = self.pair_s * len(self.w_words) + self.pair_w
-        self.order = np.argsort(key)
-        self.keys, self.t = key[self.order], np.asarray(known.column("t"), float)[self.order]
-        number_s, number_w = ({x: i for i, x in enumerate(d)} for d in (self.s_words, self.w_words))
-        self.null = number_s[NULL]
-        self.lines, shapes = lines, {}
-        for i, (s, w) in enumerate(zip(lines.column("s").to_pylist(), lines.column("w").to_pylist(), strict=True)):
-            shapes.setdefault((len(s), len(w)), []).append((i, [number_s[x] for x in s], [number_w[x] for x in w]))
-        self.shapes = shapes
+        one = lambda c: lines.column(c).combine_chunks().flatten()
+        number = lambda c: np.asarray(one(c), np.int64)
+        self.side, self.s_words, self.w_words = lines.column("side")[0].as_py(), one("sw"), one("ww")
+        self.sn, self.wn, self.si, self.wi, self.pair_s, self.pair_w = (number(c) for c in ("sn", "wn", "si", "wi", "ps", "pw"))
+        self.keys = self.pair_s * len(self.w_words) + self.pair_w
+        self.t = np.zeros(len(self.keys))
+        self.t[np.asarray(known.column("i"), np.int64)] = np.asarray(known.column("t"), float)
+        self.null = self.s_words.index(NULL).as_py()
+        self.lines = lines
 
     def place(self, s: np.ndarray, w: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.keys, s * len(self.w_words) + w)
 
-    def stacks(self, most: int = 400_000) -> Iterator[Stack]:
-        for (k, m), members in sorted(self.shapes.items()):
-            step = max(1, most // (k * m))
-            for at in range(0, len(members), step):
-                rows, s, w = (np.array(x, np.int64) for x in zip(*members[at : at + step], strict=True))
-                e = self.t[self.place(s[:, None, :], w[:, :, None])]
-                yield Stack(rows, s, w, e, self.t[self.place(np.full_like(w, self.null), w)])
+    def stacks(self) -> Iterator[Stack]:
+        for rows in shapes(self.sn, self.wn):
+            s, w = spread(self.si, self.sn, rows), spread(self.wi, self.wn, rows)
+            at, at0 = self.place(s[:, None, :], w[:, :, None]), self.place(np.full_like(w, self.null), w)
+            yield Stack(rows, s, at, at0, self.t[at], self.t[at0])
+
+    def places(self, x: Stack) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the source words and target words of a stack."""
+        own = lambda c, n: spread(np.asarray(self.lines.column(c).combine_chunks().flatten(), np.int64), n, x.rows)
+        return own("hs", self.sn), own("ws", self.wn)
+
+    def refs(self) -> pa.Array:
+        return self.lines.column("ref").combine_chunks().flatten()
 
 
 def _counts(known: pa.Table, lines: pa.Table, jumps: dict[int, np.ndarray] | None, p0: dict[int, float], fertile: bool) -> pa.Table:
-    """The sums of one block."""
+    """The sums of one block. Without jumps a target word's posteriors are its chances over their sum."""
     b = Block(known, lines)
     pairs, fert = np.zeros(len(b.keys)), np.zeros((len(b.s_words), FERTILE + 1))
     moved, nulls, words, score = np.zeros(2 * JUMP + 1), 0.0, 0, 0.0
     for x in b.stacks():
         n, m, k = x.e.shape
-        a = transitions(k, None if jumps is None else jumps[b.side])
-        post, none, moves, ll = passes(x.e, x.e0, a, 1 / (k + 1) if jumps is None else p0[b.side])
-        np.add.at(pairs, b.place(x.s[:, None, :], x.w[:, :, None]), post)
-        np.add.at(pairs, b.place(np.full_like(x.w, b.null), x.w), none)
-        d = np.clip(np.arange(k)[None, :] - np.arange(k)[:, None], -JUMP, JUMP) + JUMP
-        np.add.at(moved, d, moves)
+        if jumps is None:
+            whole = x.e.sum(2) + x.e0 + TINY
+            post, none, ll = x.e / whole[:, :, None], x.e0 / whole, np.log(whole / (k + 1)).sum(1)
+        else:
+            post, none, moves, ll = passes(x.e, x.e0, transitions(k, jumps[b.side]), p0[b.side])
+            d = np.clip(np.arange(k)[None, :] - np.arange(k)[:, None], -JUMP, JUMP) + JUMP
+            np.add.at(moved, d, moves)
+        pairs += np.bincount(x.at.ravel(), post.ravel(), len(pairs)) + np.bincount(x.at0.ravel(), none.ravel(), len(pairs))
         nulls, words, score = nulls + none.sum(), words + n * m, score + ll.sum()
         if fertile:
             np.add.at(fert, x.s, fertilities(post))
-    order = b.order
-    out = [("t", b.s_words[b.pair_s[i]], b.w_words[b.pair_w[i]], None, c) for i, c in zip(order.tolist(), pairs.tolist(), strict=True) if c > 0]
-    out += [("jump", None, None, k - JUMP, c) for k, c in enumerate(moved.tolist())] + [("null", None, None, words, float(nulls)), ("score", None, None, words, float(score))]
+    have = np.flatnonzero(pairs > 0)
+    rows = [("jump", c, k - JUMP) for k, c in enumerate(moved.tolist())] + [("null", float(nulls), words), ("score", float(score), words)]
+    small = pa.table({"kind": [r[0] for r in rows], "s": pa.nulls(len(rows), pa.string()), "w": pa.nulls(len(rows), pa.string()), "k": pa.array([r[2] for r in rows], pa.int32()), "c": [r[1] for r in rows]})
+    parts = [small, pa.table({"kind": ["t"] * len(have), "s": b.s_words.take(pa.array(b.pair_s[have])), "w": b.w_words.take(pa.array(b.pair_w[have])), "k": pa.nulls(len(have), pa.int32()), "c": pairs[have]}, schema=small.schema)]
     if fertile:
-        out += [("fertility", s, None, k, c) for s, cs in zip(b.s_words, fert.tolist(), strict=True) if s != NULL for k, c in enumerate(cs) if c > 0]
-    kind, s, w, k, c = zip(*out, strict=True)
-    return pa.table({"kind": pa.array(kind), "side": pa.array([b.side] * len(out), pa.int32()), "s": pa.array(s, pa.string()), "w": pa.array(w, pa.string()), "k": pa.array(k, pa.int32()), "c": pa.array(c, pa.float64())})
+        fert[b.null] = 0
+        s, k = np.nonzero(fert > 0)
+        parts.append(pa.table({"kind": ["fertility"] * len(s), "s": b.s_words.take(pa.array(s)), "w": pa.nulls(len(s), pa.string()), "k": pa.array(k, pa.int32()), "c": fert[s, k]}, schema=small.schema))
+    out = pa.concat_tables(parts)
+    return out.add_column(1, "side", pa.array([b.side] * len(out), pa.int32()))
+
+
+TRAINED = ["sw", "ww", "sn", "wn", "si", "wi", "ps", "pw"]
 
 
 def expected(v: DataFrame, pairs: DataFrame, t: DataFrame, jumps: dict[int, np.ndarray] | None, p0: dict[int, float], fertile: bool = False) -> DataFrame:
     """The expected counts of a round over all verses; without jumps, those of model 1."""
-    known = pairs.join(t, ["side", "s", "w"]).select("block", "side", "s", "w", "t")
-    blocks = known.groupBy("block", "side").cogroup(v.groupBy("block", "side"))
-    return blocks.applyInArrow(lambda x, y: _counts(x, y, jumps, p0, fertile), COUNTS)
+    known = pairs.join(t, ["side", "s", "w"]).select("block", "side", "i", "t")
+    blocks = known.groupBy("block", "side").cogroup(v.select("block", "side", *TRAINED).groupBy("block", "side"))
+    found = blocks.applyInArrow(lambda x, y: _counts(x, y, jumps, p0, fertile), COUNTS)
+    told = F.col("kind").isin("null", "score")  # their k is a number of words
+    sums = found.groupBy("kind", "side", "s", "w", F.when(~told, F.col("k")).alias("at")).agg(F.sum("c").alias("c"), F.sum(F.when(told, F.col("k"))).alias("n"))
+    return sums.select("kind", "side", "s", "w", F.coalesce("at", "n").alias("k"), "c")
 
 
 def updated(counts: DataFrame) -> DataFrame:
@@ -225,7 +285,7 @@ def train(source: DataFrame, target: DataFrame, first: int = 3, rounds: int = 4,
 
     Each round is written, and what it replaces is deleted.
     """
-    v = written(verses(source, target, size), "sides")
+    v = verses(source, target, size)
     pairs = word_pairs(v)
     model = Model(written(uniform(pairs), "t"), {k: np.ones(2 * JUMP + 1) for k in (0, 1)}, {0: P0, 1: P0})
     for r in range(first + rounds):
@@ -272,29 +332,56 @@ def decoded(post: np.ndarray, none: np.ndarray, fert: np.ndarray) -> np.ndarray:
     return link
 
 
-def _links(known: pa.Table, lines: pa.Table, jumps: dict[int, np.ndarray], p0: dict[int, float], ref: pa.DataType) -> pa.Table:
-    b = Block(known.filter(pa.compute.is_valid(known.column("w"))), lines)
+def _links(known: pa.Table, lines: pa.Table, jumps: dict[int, np.ndarray], p0: dict[int, float]) -> pa.Table:
+    b = Block(known.filter(pa.compute.is_valid(known.column("i"))), lines)
     fert = np.ones((len(b.s_words), FERTILE + 1))
-    own = known.filter(pa.compute.is_null(known.column("w")))
-    number = {x: i for i, x in enumerate(b.s_words)}
+    own = known.filter(pa.compute.is_null(known.column("i")))
+    number = {x: i for i, x in enumerate(b.s_words.to_pylist())}
     for s, f in zip(own.column("s").to_pylist(), own.column("f").to_pylist(), strict=True):
         fert[number[s]] = f
-    out = []
+    found = [np.zeros((3, 0), np.int64)]
     for x in b.stacks():
         k = x.e.shape[2]
         post, none, _, _ = passes(x.e, x.e0, transitions(k, jumps[b.side]), p0[b.side])
-        out += [(r, j, i) for r, row in zip(x.rows.tolist(), decoded(post, none, fert[x.s]).tolist(), strict=True) for j, i in enumerate(row) if i < k]
-    refs, hs, ws = (lines.column(c).to_pylist() for c in ("ref", "hs", "ws"))
-    return pa.table({"side": pa.array([b.side] * len(out), pa.int32()), "ref": pa.array([refs[r] for r, _, _ in out], ref), "a": pa.array([hs[r][i] for r, _, i in out], pa.int64()), "b": pa.array([ws[r][j] for r, j, _ in out], pa.int64())})
+        link, (hs, ws) = decoded(post, none, fert[x.s]), b.places(x)
+        r, j = np.nonzero(link < k)
+        found.append(np.stack([x.rows[r], hs[r, link[r, j]], ws[r, j]]))
+    row, h, w = np.concatenate(found, 1)
+    return pa.table({"side": pa.array(np.full(len(row), b.side), pa.int32()), "ref": b.refs().take(pa.array(row)), "a": h, "b": w})
+
+
+def two_sides(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return found.where("side = 0").select("ref", F.col("a").alias("h_idx"), F.col("b").alias("place")), found.where("side = 1").select("ref", F.col("b").alias("h_idx"), F.col("a").alias("place"))
 
 
 def links(v: DataFrame, pairs: DataFrame, model: Model) -> tuple[DataFrame, DataFrame]:
     """The links ref, h_idx, place of the two sides: posterior places under fertilities."""
-    known = pairs.join(model.t, ["side", "s", "w"]).select("block", "side", "s", "w", "t", F.lit(None).cast("array<double>").alias("f"))
-    of = pairs.select("block", "side", "s").distinct().join(model.fertility, ["side", "s"]).select("block", "side", "s", F.lit(None).cast("string").alias("w"), F.lit(None).cast("double").alias("t"), "f")
+    known = pairs.join(model.t, ["side", "s", "w"]).select("block", "side", "i", "t", F.lit(None).cast("string").alias("s"), F.lit(None).cast("array<double>").alias("f"))
+    of = pairs.select("block", "side", "s").distinct().join(model.fertility, ["side", "s"]).select("block", "side", F.lit(None).cast("int").alias("i"), F.lit(None).cast("double").alias("t"), "s", "f")
     blocks = known.union(of).groupBy("block", "side").cogroup(v.groupBy("block", "side"))
-    from pyspark.sql.pandas.types import to_arrow_type
+    jumps, p0 = model.jumps, model.p0
+    return two_sides(written(blocks.applyInArrow(lambda x, y: _links(x, y, jumps, p0), f"side int, ref {ref_kind(v)}, a long, b long"), "links"))
 
-    kind, jumps, p0 = v.schema["ref"].dataType, model.jumps, model.p0
-    found = written(blocks.applyInArrow(lambda x, y: _links(x, y, jumps, p0, to_arrow_type(kind)), f"side int, ref {kind.simpleString()}, a long, b long"), "links")
-    return found.where("side = 0").select("ref", F.col("a").alias("h_idx"), F.col("b").alias("place")), found.where("side = 1").select("ref", F.col("b").alias("h_idx"), F.col("a").alias("place"))
+
+def ref_kind(v: DataFrame) -> str:
+    return v.schema["ref"].dataType.elementType.simpleString()
+
+
+def within(v: DataFrame, pairs: DataFrame, t: DataFrame, pick: Callable[[Block, Stack], tuple[np.ndarray, ...]], columns: str = "") -> DataFrame:
+    """side, ref, a (source place), b (target place) and more columns of what `pick` takes of the verses of a stack under t: arrays
+    of verses, source words and target words by number in the stack, and of the further columns."""
+    known = pairs.join(t, ["side", "s", "w"]).select("block", "side", "i", "t")
+    names = [c.split()[0] for c in columns.split(",") if c]
+
+    def one(x: pa.Table, y: pa.Table) -> pa.Table:
+        b = Block(x, y)
+        refs = b.refs()
+        parts = []
+        for stack in b.stacks():
+            r, i, j, *more = pick(b, stack)
+            hs, ws = b.places(stack)
+            parts.append(pa.table({"side": pa.array(np.full(len(r), b.side), pa.int32()), "ref": refs.take(pa.array(stack.rows[r])), "a": hs[r, i], "b": ws[r, j]} | dict(zip(names, more, strict=True))))
+        return pa.concat_tables(parts)
+
+    blocks = known.groupBy("block", "side").cogroup(v.groupBy("block", "side"))
+    return blocks.applyInArrow(lambda x, y: one(x, y), f"side int, ref {ref_kind(v)}, a long, b long{', ' + columns if columns else ''}")

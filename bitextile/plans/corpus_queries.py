@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,8 +185,8 @@ def affix_prefixes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parallel(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Source tokens by number key and target words by place."""
-    p = pairs(spark, d)
+    """Source tokens by number key and target words by place; the pairs that they come from are written once."""
+    p = written(pairs(spark, d).select("ref", "h_idx", "strong", "word1", "word2"), "words")
     source = p.select("ref", "h_idx", F.col("strong").alias("s"))
     target = p.select("ref", F.explode(F.array(F.struct((2 * F.col("h_idx")).alias("place"), F.col("word1").alias("w")), F.struct((2 * F.col("h_idx") + 1).alias("place"), F.col("word2").alias("w")))).alias("x")).select("ref", "x.place", "x.w")
     return source, target
@@ -207,33 +208,25 @@ def ibm1_em_3(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {PAIRS}, {CELLS}, {_round_sql(0)}, {_round_sql(1)}, {_round_sql(2)} SELECT p.ref, p.h_idx, tw.place, round(t, 6) AS score FROM pairs p JOIN tw ON tw.ref = p.ref JOIN t3 ON t3.s = p.strong AND t3.w = tw.w WHERE t >= 0.03")
 def ibm1_candidates(spark: SparkSession, d: str) -> DataFrame:
     """The pairs of a verse that model 1 holds for likely, before the greedy pass."""
-    source, target = (written(x, "words") for x in parallel(spark, d))
-    return em.candidates(source, target, em.train(source, target, rounds=3), 0.03).withColumn("score", F.round("score", 6))
+    return em.Trained.of(*parallel(spark, d), 3, (0,)).candidates(0.03).withColumn("score", F.round("score", 6))
 
 
 @query(f"""WITH {PAIRS}, {CELLS}, {_round_sql(0)}, {_round_sql(1)}, {_round_sql(2)}, x AS (SELECT tw.ref, tw.place, p.h_idx, round(t, 9) AS t, round(n.t0, 9) AS t0, row_number() OVER (PARTITION BY tw.ref, tw.place ORDER BY round(t, 9) DESC, p.h_idx) AS r FROM tw JOIN pairs p ON p.ref = tw.ref JOIN t3 ON t3.s = p.strong AND t3.w = tw.w LEFT JOIN (SELECT w, t AS t0 FROM t3 WHERE s = '<null>') n ON n.w = tw.w)
 SELECT ref, h_idx, place FROM x WHERE r = 1 AND t > coalesce(t0, 0)""")
 def ibm1_links(spark: SparkSession, d: str) -> DataFrame:
     """For each target word its likeliest source word by model 1, where the null word is not as likely."""
-    source, target = (written(x, "words") for x in parallel(spark, d))
-    return em.links(source, target, em.train(source, target, rounds=3).withColumn("t", F.round("t", 9)))
+    return em.Trained.of(*parallel(spark, d), 3, (0,)).links()[0]
 
 
 @query()
 def ibm1_decode(spark: SparkSession, d: str) -> DataFrame:
-    source, target = (written(x, "words") for x in parallel(spark, d))
-    c = em.candidates(source, target, em.train(source, target, rounds=3), 0.03)
-    return kernels.greedy(c.select("ref", "h_idx", F.array("place").alias("t_idx"), F.round("score", 9).alias("score"), F.abs(F.col("h_idx") - F.col("place") / 2).alias("near")))
+    return em.Trained.of(*parallel(spark, d), 3, (0,)).one_to_one(0.03, lambda h, place: np.abs(h - place / 2))
 
 
 @query()
 def symmetrized_alignment(spark: SparkSession, d: str) -> DataFrame:
     """Links of both directions by model 1, symmetrized: the statistical directional aligner."""
-    source, target = (written(x, "words") for x in parallel(spark, d))
-    there, back = em.train_both(source, target, rounds=3)
-    back_s, back_t = target.select("ref", F.col("place").alias("h_idx"), F.col("w").alias("s")), source.select("ref", F.col("h_idx").alias("place"), F.col("s").alias("w"))
-    forward = em.links(source, target, there)
-    reverse = em.links(back_s, back_t, back).select("ref", F.col("place").alias("h_idx"), F.col("h_idx").alias("place"))
+    forward, reverse = em.Trained.of(*parallel(spark, d), 3).links()
     return kernels.symmetrize(forward, reverse)
 
 

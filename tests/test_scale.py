@@ -38,3 +38,22 @@ def test_verse_joins_of_gap_filling_are_merges(spark):
 
     text = plan(e.queries()["gapfill_scored"](spark, SF))
     assert not re.search(r"BroadcastHashJoin[^\n]*\n(?:[^\n]+\n)*?Left keys \[\d\]: \[ref", text)
+
+
+def test_links_of_blocks_are_those_of_joins(spark):
+    import numpy as np
+    from bitextile.operators import em, hmm, kernels
+    from bitextile.plans.corpus_queries import parallel
+
+    source, target = parallel(spark, SF)
+    v = hmm.verses(source, target, 100)
+    assert v.groupBy("block", "side").count().where("count > 1").count() == 0 and "s" not in v.columns  # rounds deal out one row of numbers for each block
+    own = em.Trained(v, hmm.word_pairs(v), hmm.model_1(v, hmm.word_pairs(v), 2))
+    t = own.t.where("side = 0")
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    assert rows(own.links()[0]) == rows(em.links(source, target, t.withColumn("t", F.round("t", 9))))
+    found = em.candidates(source, target, t, 0.03)
+    assert rows(own.candidates(0.03)) == rows(found)
+    near = F.abs(F.col("h_idx") - F.col("place") / 2).alias("near")
+    plain = kernels.greedy(found.select("ref", "h_idx", F.array("place").alias("t_idx"), F.round("score", 9).alias("score"), near))
+    assert rows(own.one_to_one(0.03, lambda h, p: np.abs(h - p / 2)).select("ref", "h_idx", "t_idx")) == rows(plain.select("ref", "h_idx", "t_idx"))
