@@ -17,7 +17,7 @@ from .registry import query
 @query(f"""WITH {PAIRS}, {EF}, {VOTES}, b AS (SELECT ref, h_idx, target, count(DISTINCT method) AS agree, max(score) AS best, max(r) AS first FROM votes GROUP BY 1, 2, 3),
 w AS (SELECT *, row_number() OVER (PARTITION BY ref, h_idx ORDER BY agree DESC, best DESC, first DESC, target) AS k FROM b) SELECT agree, count(*) AS n FROM w WHERE k = 1 GROUP BY 1""")
 def vote_histogram(spark: SparkSession, d: str) -> DataFrame:
-    return S.merge_vote(votes(spark, d)).groupBy("agree").agg(F.count("*").alias("n"))
+    return S.merge_vote(votes(pairs(spark, d))).groupBy("agree").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {PAIRS}, {EF}, {GOLD}, g AS (SELECT DISTINCT ref, strong, word1 FROM gold), j AS (SELECT f.ref, f.h_idx, f.stem AS prior, bool_or(g.word1 = f.target) AS hit FROM gap f JOIN g USING (ref, strong) GROUP BY 1, 2, 3)

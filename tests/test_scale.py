@@ -57,3 +57,10 @@ def test_links_of_blocks_are_those_of_joins(spark):
     near = F.abs(F.col("h_idx") - F.col("place") / 2).alias("near")
     plain = kernels.greedy(found.select("ref", "h_idx", F.array("place").alias("t_idx"), F.round("score", 9).alias("score"), near))
     assert rows(own.one_to_one(0.03, lambda h, p: np.abs(h - p / 2)).select("ref", "h_idx", "t_idx")) == rows(plain.select("ref", "h_idx", "t_idx"))
+
+
+def test_votes_read_the_lines_once(spark):
+    import __spark_entry__ as e
+
+    for name in ("merge_vote", "vote_histogram"):
+        assert len(re.findall(r"\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*lineitem", plan(e.queries()[name](spark, SF)))) == 1, name
