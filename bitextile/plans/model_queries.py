@@ -252,13 +252,16 @@ def compact_files(spark: SparkSession, d: str) -> DataFrame:
     from ..sources import named
     from ..sources.scratch import folder
 
-    p = with_iso(spark, d, pairs(spark, d)).withColumn("book", F.concat(F.lit("B"), (F.col("ref") % 20).cast("string")))
-    cells = F.array_sort(F.collect_list(F.when(F.col("content"), F.struct("h_idx", F.concat_ws(":", F.col("h_idx").cast("string"), F.col("t_idx")[0].cast("string")).alias("x")))))
-    verses = p.groupBy("iso", F.col("base_text").alias("edition"), "book", "ref").agg(F.array_join(F.transform(cells, lambda c: c["x"]), " ").alias("compact"))
-    verses = verses.withColumn("book_hash", F.left(F.md5(F.concat("iso", "book").cast("binary")), F.lit(5)))
-    spine = p.groupBy("book", "ref").agg(F.array_sort(F.collect_set("lexeme")).alias("lexemes"))
+    x = F.when(F.col("content"), F.concat_ws(":", F.col("h_idx").cast("string"), F.col("t_idx")[0].cast("string")))
+    tokens = F.array_sort(F.collect_list(F.struct("h_idx", "iso", F.col("base_text").alias("edition"), x.alias("x"))))
+    verses = with_iso(spark, d, pairs(spark, d)).groupBy("ref").agg(tokens.alias("s"), F.array_sort(F.collect_set("lexeme")).alias("lexemes"))
+    own = lambda e: F.transform(F.filter("s", lambda t: (t["iso"] == e["iso"]) & (t["edition"] == e["edition"])), lambda t: t["x"])
+    editions = F.transform(F.array_distinct(F.transform("s", lambda t: F.struct(t["iso"], t["edition"]))), lambda e: F.struct(e["iso"], e["edition"], F.array_join(own(e), " ").alias("compact")))
+    verses = written(verses.select(F.concat(F.lit("B"), (F.col("ref") % 20).cast("string")).alias("book"), "ref", "lexemes", editions.alias("editions")), "verses")
+    books = verses.select("book", F.explode("editions").alias("e")).select("e.iso", "e.edition", "book").distinct()
+    books = books.withColumn("book_hash", F.left(F.md5(F.concat("iso", "book").cast("binary")), F.lit(5)))
     root = folder(spark, "compact")
-    named.publish_compact(verses, spine, f"{root}/files", f"{root}/books")
+    named.publish_verses(verses, books, f"{root}/files", f"{root}/books")
     return named.index_of(spark, f"{root}/files")
 
 

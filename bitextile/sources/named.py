@@ -19,6 +19,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.types import IntegralType
 
 from ..session import by_value
 
@@ -40,7 +41,8 @@ class Made(WriterCommitMessage):
 
 
 class NamedWriter(DataSourceArrowWriter):
-    """Rows (file, piece): pieces are joined by a comma between the brackets of the options."""
+    """Rows (file, piece, and n where a piece is more than one row): pieces are joined by a comma between the brackets of the
+    options."""
 
     def __init__(self, options: dict, overwrite: bool):
         self.root, self.open, self.close = options["path"].rstrip("/"), options.get("open", "["), options.get("close", "]")
@@ -66,7 +68,8 @@ class NamedWriter(DataSourceArrowWriter):
             files.append((now, f"{top}/{now}", rows, size, digest.hexdigest()))
 
         for batch in batches:
-            for name, piece in zip(batch.column("file").to_pylist(), batch.column("piece").to_pylist(), strict=True):
+            counts = batch.column("n").to_pylist() if "n" in batch.schema.names else [1] * batch.num_rows
+            for name, piece, n in zip(batch.column("file").to_pylist(), batch.column("piece").to_pylist(), counts, strict=True):
                 if name != now:
                     if out is not None:
                         finish()
@@ -75,7 +78,7 @@ class NamedWriter(DataSourceArrowWriter):
                     out = system.open_output_stream(f"{top}/{name}")
                     put(self.open)
                 put((", " if rows else "") + piece)
-                rows += 1
+                rows += n
         if out is not None:
             finish()
         return Made(files)
@@ -116,22 +119,23 @@ class NamedJson(DataSource):
         return FORMAT
 
     def schema(self) -> str:
-        return "file string, piece string"
+        return "file string, piece string, n int"
 
     def writer(self, schema, overwrite: bool) -> NamedWriter:
         return NamedWriter(self.options, overwrite)
 
 
-def save(rows: DataFrame, root: str, file: Column, piece: Column, order: list[str], open_: str = "[", close: str = "]", index: str = "index.json", mode: str = "append") -> None:
+def save(rows: DataFrame, root: str, file: Column, piece: Column, order: list[str], open_: str = "[", close: str = "]", index: str = "index.json", mode: str = "append", n: Column | None = None) -> None:
     """A JSON file at root for each value of `file` (a relative path), its pieces in order, and the index of what was written.
 
-    Files stream through sorted partitions, so one of any size takes the memory of a batch.
+    A piece is one row of the file, or `n` rows that are joined already. Files stream through sorted partitions, so one of any
+    size takes the memory of a batch.
     """
     by_value(__name__)
     rows.sparkSession.dataSource.register(NamedJson)
-    dealt = rows.select(file.alias("file"), piece.alias("piece"), *(F.col(o).alias(f"o{i}") for i, o in enumerate(order)))
+    dealt = rows.select(file.alias("file"), piece.alias("piece"), (F.lit(1) if n is None else n).cast("int").alias("n"), *(F.col(o).alias(f"o{i}") for i, o in enumerate(order)))
     names = [f"o{i}" for i in range(len(order))]
-    out = dealt.repartition("file").sortWithinPartitions("file", *names).select("file", "piece")
+    out = dealt.repartition("file").sortWithinPartitions("file", *names).select("file", "piece", "n")
     out.write.format(FORMAT).options(open=open_, close=close, index=index).option("path", root).mode(mode).save()
 
 
@@ -140,19 +144,41 @@ def quoted(text: Column) -> Column:
     return F.substring(F.to_json(F.array(text)), F.lit(2), F.length(F.to_json(F.array(text))) - 2)
 
 
+#: Refs that are integers go into a file in runs: those that agree but for so many of their last bits, 8,192 verses at most.
+RUN = 13
+
+
 def publish_compact(verses: DataFrame, spine: DataFrame, root: str, index_root: str) -> None:
     """The compact files of each edition and book, and once for each book the lexemes of its verses.
 
     verses: iso, edition, book, book_hash, ref, compact; spine: book, ref, lexemes. A file is an array of one string for each verse
     of the book's index, empty where the edition has none, and is named <i>/<iso>/<edition>/<BOOK>_<hash>.json.
     """
-    books = verses.select("iso", "edition", "book", "book_hash").distinct()
-    every = books.join(spine.select("book", "ref"), "book").join(verses.drop("book_hash"), ["iso", "edition", "book", "ref"], "left")
+    known = verses.where("iso IS NOT NULL AND edition IS NOT NULL")
+    own = known.groupBy("book", "ref").agg(F.collect_list(F.struct("iso", "edition", "compact")).alias("editions"))
+    publish_verses(spine.join(own, ["book", "ref"], "left"), verses.select("iso", "edition", "book", "book_hash").distinct(), root, index_root)
+
+
+def publish_verses(verses: DataFrame, books: DataFrame, root: str, index_root: str) -> None:
+    """The files of publish_compact from one row for each verse: book, ref, lexemes, and editions (iso, edition, compact; those
+    that have it). books: iso, edition, book, book_hash.
+
+    What grows with verses times editions are strings of runs of verses, not rows.
+    """
+    kind = verses.schema["ref"].dataType
+    run = F.shiftright("ref", RUN) if isinstance(kind, IntegralType) else F.col("ref")
+    text = lambda e: F.struct(F.struct(e["iso"], e["edition"]).alias("k"), F.when(F.coalesce(e["compact"], F.lit("")) == "", '""').otherwise(quoted(e["compact"])).alias("v"))
+    cells = F.coalesce(F.transform("editions", text), F.array().cast("array<struct<k:struct<iso:string,edition:string>,v:string>>"))
+    runs = verses.select("book", "ref", run.alias("run"), cells.alias("cells")).groupBy("book", "run").agg(F.array_sort(F.collect_list(F.struct("ref", "cells"))).alias("s"))
+    runs = runs.select("book", "run", F.transform("s", lambda v: F.map_from_entries(v["cells"])).alias("s"))
+    every = runs.join(books, "book").withColumn("k", F.struct("iso", "edition"))
+    piece = F.array_join(F.transform("s", lambda v: F.coalesce(F.try_element_at(v, F.col("k")), F.lit('""'))), ", ")
     name = F.concat_ws("/", F.left("iso", F.lit(1)), "iso", "edition", F.concat(F.concat_ws("_", "book", "book_hash"), F.lit(".json")))
-    save(every, root, name, quoted(F.coalesce("compact", F.lit(""))), ["ref"])
+    save(every, root, name, piece, ["run"], n=F.size("s"))
     entry = F.concat(quoted(F.col("ref").cast("string")), F.lit(": "), F.to_json("lexemes"))
-    own = spine.join(books.select("book").distinct(), "book", "left_semi")
-    save(own, index_root, F.concat("book", F.lit("_lexemes.json")), entry, ["ref"], "{", "}")
+    own = verses.join(books.select("book").distinct(), "book", "left_semi").select("book", "ref", run.alias("run"), entry.alias("entry"))
+    own = own.groupBy("book", "run").agg(F.array_sort(F.collect_list(F.struct("ref", "entry"))).alias("s"))
+    save(own, index_root, F.concat("book", F.lit("_lexemes.json")), F.array_join(F.transform("s", lambda v: v["entry"]), ", "), ["run"], "{", "}", n=F.size("s"))
 
 
 def index_of(spark: SparkSession, root: str, index: str = "index.json") -> DataFrame:

@@ -64,3 +64,23 @@ def test_votes_read_the_lines_once(spark):
 
     for name in ("merge_vote", "vote_histogram"):
         assert len(re.findall(r"\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*lineitem", plan(e.queries()[name](spark, SF)))) == 1, name
+
+
+def test_compact_files_are_dealt_in_runs_of_verses(spark, tmp_path, monkeypatch):
+    import json
+
+    import __spark_entry__ as e
+    from bitextile.sources import named
+
+    dealt, save = [], named.save
+    monkeypatch.setattr(named, "save", lambda rows, *a, **k: (dealt.append(rows.count()), save(rows, *a, **k)))
+    out = e.queries()["compact_files"](spark, SF)
+    orders = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey").distinct().count()
+    files = out.count()
+    assert out.agg(F.sum("rows")).first()[0] == files * orders // 20 and dealt[0] <= files * 3  # not one row for each verse and edition
+    spine = spark.createDataFrame([("GEN", r, ["x"]) for r in (-1, 0, 8191, 8192, 20000)], "book string, ref long, lexemes array<string>")
+    verses = spark.createDataFrame([("eng", "b", "GEN", "h", r, f'{r}:"') for r in (20000, -1, 8191)], "iso string, edition string, book string, book_hash string, ref long, compact string")
+    named.publish_compact(verses, spine, f"{tmp_path}/out", f"{tmp_path}/books")
+    assert json.loads((tmp_path / "out/e/eng/b/GEN_h.json").read_text()) == ['-1:"', "", '8191:"', "", '20000:"']
+    assert list(json.loads((tmp_path / "books/GEN_lexemes.json").read_text())) == ["-1", "0", "8191", "8192", "20000"]
+    assert named.index_of(spark, f"{tmp_path}/out").first()["rows"] == 5
