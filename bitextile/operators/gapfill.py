@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import name_score
 from .kernels import by_group, in_verse
-from .sequence import interpolate
+from .sequence import between
 
 
 @dataclass(frozen=True)
@@ -41,15 +41,19 @@ def phrase_expected(source: DataFrame, anchors: DataFrame, dependent_after: bool
     The mate of a dependent ('rec') is its head ('NA') and the other way round where there is one, else the nearest. A
     dependent stands after its head, or before it where the language says so; other mates keep the source order.
     """
-    mates = source.join(in_verse(anchors), ["ref", "h_idx"]).select("ref", "phrase_id", F.col("h_idx").alias("m"), F.col("rela").alias("m_rela"), "anchor")
-    met = source.join(in_verse(mates), ["ref", "phrase_id"]).where("h_idx <> m")
-    dep, head = (F.col("rela") == "rec") & (F.col("m_rela") == "NA"), (F.col("rela") == "NA") & (F.col("m_rela") == "rec")
-    matched = F.coalesce(dep | head, F.lit(False))
-    best = Window.partitionBy("ref", "h_idx").orderBy(F.desc("matched"), F.abs(F.col("m") - F.col("h_idx")), "m")
-    after = 1 if dependent_after else -1
-    side = F.when(F.coalesce(dep, F.lit(False)), after).when(F.coalesce(head, F.lit(False)), -after).otherwise(F.when(F.col("h_idx") > F.col("m"), 1).otherwise(-1))
-    near = met.withColumn("matched", matched).withColumn("side", side).withColumn("r", F.row_number().over(best)).where("r = 1")
-    return near.select("ref", "h_idx", (F.col("anchor") + F.col("side")).cast("double").alias("p_exp"), F.lit("phrase").alias("p_prior"))
+    tokens = source.where("phrase_id IS NOT NULL").groupBy("ref").agg(F.collect_list(F.struct("h_idx", "phrase_id", "rela")).alias("s"))
+    own = anchors.groupBy("ref").agg(F.collect_list(F.struct("h_idx", "anchor")).alias("a"))
+    mate = lambda t: F.transform(F.filter("a", lambda x: x["h_idx"] == t["h_idx"]), lambda x: F.struct(t["h_idx"].alias("m"), t["phrase_id"].alias("phrase_id"), t["rela"].alias("rela"), x["anchor"].alias("anchor")))
+    v = tokens.join(in_verse(own), "ref").select("ref", "s", F.flatten(F.transform("s", mate)).alias("mates")).select("ref", F.explode_outer("s").alias("t"), "mates")
+    h, after = F.col("t")["h_idx"], 1 if dependent_after else -1
+
+    def met(m: Column) -> Column:
+        dep, head = ((F.col("t")["rela"] == a) & (m["rela"] == b) for a, b in (("rec", "NA"), ("NA", "rec")))
+        side = F.when(F.coalesce(dep, F.lit(False)), after).when(F.coalesce(head, F.lit(False)), -after).otherwise(F.when(h > m["m"], 1).otherwise(-1))
+        return F.struct((~F.coalesce(dep | head, F.lit(False))).alias("other"), F.abs(m["m"] - h).alias("far"), m["m"].alias("m"), (m["anchor"] + side).cast("double").alias("p_exp"))
+
+    near = F.array_min(F.transform(F.filter("mates", lambda m: (m["phrase_id"] == F.col("t")["phrase_id"]) & (m["m"] != h)), met))
+    return v.select("ref", h.alias("h_idx"), near.alias("near")).where("near IS NOT NULL").select("ref", "h_idx", F.col("near")["p_exp"].alias("p_exp"), F.lit("phrase").alias("p_prior"))
 
 
 def cross_phrase_expected(source: DataFrame, phrases: DataFrame, order: DataFrame) -> DataFrame:
@@ -96,28 +100,37 @@ def scored(source: DataFrame, target: DataFrame, covered: DataFrame, known: Data
     wide: lexeme, multiword_rate over languages. Places that are taken or blocked (function words) are not filled; all
     tokens of both sides count for the order. `grows`: a fill may take the next place too, as its lexeme is often wide.
     """
-    n_t = target.groupBy("ref").agg(F.count("*").alias("n_t"))
-    own = source.withColumn("p", F.row_number().over(Window.partitionBy("ref").orderBy("h_idx")) - 1).withColumn("n_s", F.count("*").over(Window.partitionBy("ref")))
-    at = own.join(in_verse(covered.select("ref", "h_idx", "anchor")), ["ref", "h_idx"], "left").join(in_verse(n_t), "ref")
-    placed = interpolate(at, ["ref"], "p", "anchor", "n_s", "n_t").where("anchor is null AND content").drop("anchor")
-    places = F.explode("places") if "places" in covered.columns else F.col("anchor")
-    taken = covered.select("ref", places.alias("place")).distinct()
-    open_ = target.where(~F.coalesce("blocked", F.lit(False))) if "blocked" in target.columns else target
-    free = open_.join(in_verse(taken), ["ref", "place"], "left_anti").select("ref", "place", F.lower("token").alias("word"))
-    after = free.select("ref", (F.col("place") - 1).alias("place"), F.lit(True).alias("next_free"))
-    # what hangs on one side alone is joined before the verse product, and pairs that no prior speaks for go before the rest
-    free = free.join(target_pos.select("word", F.col("pos").alias("t_pos")), "word", "left").join(in_verse(after), ["ref", "place"], "left")
-    placed = placed.join(priors.select("lexeme", "pos", "translit"), "lexeme", "left")
-    placed = placed.join(wide.select("lexeme", "multiword_rate"), "lexeme", "left") if wide is not None else placed.withColumn("multiword_rate", F.lit(None).cast("double"))
-    placed = placed.join(in_verse(expected), ["ref", "h_idx"], "left") if expected is not None else placed.withColumn("p_exp", F.lit(None).cast("double")).withColumn("p_prior", F.lit(None).cast("string"))
-    j = placed.join(in_verse(free), "ref").join(known.select("strong", "word", F.lit(True).alias("is_known")).distinct(), ["strong", "word"], "left").join(vocab.select("lexeme", "word", F.lit(True).alias("is_vocab")).distinct(), ["lexeme", "word"], "left")
+    features = [r["feature"] for r in morph.select("feature").distinct().collect()] if morph is not None else []  # a row for each feature
+    # a verse is one row until its gaps are told, so each table is dealt out by verse once
+    blocked = F.coalesce("blocked", F.lit(False)) if "blocked" in target.columns else F.lit(False)
+    verse = source.groupBy("ref").agg(F.array_sort(F.collect_list(F.struct("h_idx", "content", "strong", "lexeme", *features))).alias("s"))
+    words = target.groupBy("ref").agg(F.collect_list(F.struct("place", F.lower("token").alias("word"), blocked.alias("blocked"))).alias("t"))
+    places = F.flatten(F.collect_list("places")) if "places" in covered.columns else F.collect_list("anchor")
+    own = covered.groupBy("ref").agg(F.collect_list(F.struct("h_idx", "anchor")).alias("c"), places.alias("taken"))
+    v = verse.join(in_verse(words), "ref").join(in_verse(own), "ref", "left")
+    v = v.join(in_verse(expected.groupBy("ref").agg(F.collect_list(F.struct("h_idx", "p_exp", "p_prior")).alias("e"))), "ref", "left") if expected is not None else v.withColumn("e", F.array().cast("array<struct<h_idx:bigint,p_exp:double,p_prior:string>>"))
+    here = lambda rows, h: F.coalesce(F.filter(rows, lambda x: x["h_idx"] == h), F.slice(rows, 1, 0))
+    free = F.filter("t", lambda x: ~x["blocked"] & ~F.coalesce(F.exists("taken", lambda y: y == x["place"]), F.lit(False)))
+    v = v.select("ref", "e", F.size("s").alias("n_s"), F.size("t").alias("n_t"), free.alias("free"), F.transform("s", lambda x, i: F.struct(x.alias("x"), i.alias("p"), F.get(here("c", x["h_idx"]), F.lit(0))["anchor"].alias("t"))).alias("s"))
+    gaps = F.filter("s", lambda x: x["t"].isNull() & x["x"]["content"])
+    v = v.select("ref", "e", "n_s", "n_t", F.transform("free", lambda x: F.struct(x["place"], x["word"], F.exists("free", lambda y: y["place"] == x["place"] + 1).alias("next_free"))).alias("free"), F.filter("s", lambda x: x["t"].isNotNull()).alias("at"), gaps.alias("gaps"))
+    below = lambda g: F.filter("at", lambda x: x["p"] <= g["p"])
+    near = lambda g: F.struct(g["x"].alias("x"), g["p"].alias("p"), F.get(F.reverse(below(g)), F.lit(0)).alias("b"), F.get(F.filter("at", lambda x: x["p"] >= g["p"]), F.lit(0)).alias("a"), here("e", g["x"]["h_idx"]).alias("e"))
+    tell = lambda g: F.struct(g["x"].alias("x"), between(g["p"], g["b"], g["a"], F.col("n_s"), F.col("n_t")).alias("expected"), F.when(F.size(g["e"]) > 0, g["e"]).otherwise(F.array(F.lit(None).cast(v.schema["e"].dataType.elementType))).alias("e"))
+    v = v.select("ref", "n_t", "free", F.transform(F.transform("gaps", near), tell).alias("gaps"))
+    # one array of all that a verse's gaps meet: what is computed beside an array would be computed again for each of its rows
+    meet = lambda g: F.flatten(F.transform(g["e"], lambda e: F.transform("free", lambda x: F.struct(*(g["x"][c].alias(c) for c in ("h_idx", "strong", "lexeme", *features)), F.col("n_t").alias("n_t"), g["expected"].alias("expected"), e["p_exp"].alias("p_exp"), e["p_prior"].alias("p_prior"), x["place"].alias("place"), x["word"].alias("word"), x["next_free"].alias("next_free")))))
+    j = v.select("ref", F.explode_outer(F.flatten(F.transform("gaps", meet))).alias("x")).select("ref", "x.*").join(priors.select("lexeme", "pos", "translit"), "lexeme", "left")
+    j = j.join(wide.select("lexeme", "multiword_rate"), "lexeme", "left") if wide is not None else j.withColumn("multiword_rate", F.lit(None).cast("double"))
+    j = j.join(known.select("strong", "word", F.lit(True).alias("is_known")).distinct(), ["strong", "word"], "left").join(vocab.select("lexeme", "word", F.lit(True).alias("is_vocab")).distinct(), ["lexeme", "word"], "left")
     yes = lambda c: F.coalesce(c, F.lit(False))
     strong = yes(F.col("is_known"))
     name = yes((F.col("pos") == "name") & (name_score(F.regexp_replace("translit", "[.·]", ""), F.col("word")) >= 0.8))
     cross = yes(F.col("is_vocab")) & ~strong
     phrase = yes(F.abs(F.col("place") - F.col("p_exp")) <= 1)
-    j = j.where(strong | name | cross | phrase).withColumn("agrees", F.lit(False))
-    for i, feature in enumerate([r["feature"] for r in morph.select("feature").distinct().collect()] if morph is not None else []):  # a row for each feature
+    # pairs that no prior speaks for go before the rest
+    j = j.where(strong | name | cross | phrase).join(target_pos.select("word", F.col("pos").alias("t_pos")), "word", "left").withColumn("agrees", F.lit(False))
+    for i, feature in enumerate(features):
         own = morph.where(F.col("feature") == feature).select("strong", F.col("value").alias(feature), "word", F.lit(True).alias(f"morph{i}"))
         j = j.join(own, ["strong", feature, "word"], "left").withColumn("agrees", F.col("agrees") | F.coalesce(f"morph{i}", F.lit(False))).drop(f"morph{i}")
     away = F.when(F.col("p_exp").isNotNull(), weights.phrase_place * F.abs(F.col("place") - F.col("p_exp"))).otherwise(weights.place * F.abs(F.col("place") - F.col("expected"))) / F.col("n_t")

@@ -51,6 +51,13 @@ def drift(phrases: DataFrame, least: int = 30) -> DataFrame:
     return many.groupBy("function").agg(F.count("*").alias("n"), F.round(F.avg(shift), 6).alias("mean_drift")).where(F.col("n") >= least)
 
 
+def between(p: Column, b: Column, a: Column, n_src: Column, n_trg: Column) -> Column:
+    """The expected target place of p from the anchors (p, t) below and above, null where there is none."""
+    line = b["t"] + (p - b["p"]) / (a["p"] - b["p"]) * (a["t"] - b["t"])
+    both = b.isNotNull() & a.isNotNull() & (b["p"] != a["p"])
+    return F.when(both, line).when(b.isNotNull(), b["t"].cast("double")).when(a.isNotNull(), a["t"].cast("double")).otherwise(p / n_src * n_trg)
+
+
 def interpolate(rows: DataFrame, group: list[str], place: str, anchor: str, n_src: str, n_trg: str) -> DataFrame:
     """The expected target place: between the nearest anchors below and above, else that of the one there is, else on
     the diagonal. `anchor` is null for rows without one."""
@@ -58,10 +65,7 @@ def interpolate(rows: DataFrame, group: list[str], place: str, anchor: str, n_sr
     below, above = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
     point = F.when(F.col(anchor).isNotNull(), F.struct(F.col(place).alias("p"), F.col(anchor).alias("t")))
     out = rows.withColumn("__b", F.last(point, ignorenulls=True).over(below)).withColumn("__a", F.first(point, ignorenulls=True).over(above))
-    b, a, p = F.col("__b"), F.col("__a"), F.col(place)
-    between = b["t"] + (p - b["p"]) / (a["p"] - b["p"]) * (a["t"] - b["t"])
-    both = b.isNotNull() & a.isNotNull() & (b["p"] != a["p"])
-    return out.withColumn("expected", F.when(both, between).when(b.isNotNull(), b["t"].cast("double")).when(a.isNotNull(), a["t"].cast("double")).otherwise(p / F.col(n_src) * F.col(n_trg))).drop("__b", "__a")
+    return out.withColumn("expected", between(F.col(place), F.col("__b"), F.col("__a"), F.col(n_src), F.col(n_trg))).drop("__b", "__a")
 
 
 def coherence(pairs: DataFrame, near: int = 3) -> DataFrame:
