@@ -155,7 +155,12 @@ def merge_contest(ef: DataFrame, gl: DataFrame, gap: DataFrame, rule: DataFrame)
     a = ef.select("ref", "h_idx", F.col("target").alias("e"), F.col("score").alias("es"), F.col("tier").alias("ef_tier"))
     b = gl.where(~F.coalesce(F.col("light"), F.lit(False))).select("ref", "h_idx", F.col("target").alias("g"), F.col("score").alias("gs"), F.col("tier").alias("gl_tier"))
     c = gap.select("ref", "h_idx", F.col("target").alias("f"), F.col("score").alias("fs"))
-    j = a.join(b, ["ref", "h_idx"], "full_outer").join(c, ["ref", "h_idx"], "full_outer").join(rule.select("ef_tier", "gl_tier", "rule"), ["ef_tier", "gl_tier"], "left")
+    return decide(a.join(b, ["ref", "h_idx"], "full_outer").join(c, ["ref", "h_idx"], "full_outer"), rule)
+
+
+def decide(met: DataFrame, rule: DataFrame) -> DataFrame:
+    """merge_contest of rows in which the methods have met: ref, h_idx; e, es, ef_tier; g, gs, gl_tier; f, fs."""
+    j = met.join(rule.select("ef_tier", "gl_tier", "rule"), ["ef_tier", "gl_tier"], "left")
     both = F.col("e").isNotNull() & F.col("g").isNotNull()
     source = F.when(both & (F.col("e") == F.col("g")), "both").when(both, F.when(F.col("rule") == "gl", "gl").otherwise("ef")).when(F.col("e").isNotNull(), "ef").when(F.col("g").isNotNull(), "gl").otherwise("gap")
     pick = lambda e, g, f: F.when(F.col("source") == "gap", F.col(f)).when(F.col("source") == "gl", F.col(g)).otherwise(F.col(e))

@@ -84,3 +84,28 @@ def test_compact_files_are_dealt_in_runs_of_verses(spark, tmp_path, monkeypatch)
     assert json.loads((tmp_path / "out/e/eng/b/GEN_h.json").read_text()) == ['-1:"', "", '8191:"', "", '20000:"']
     assert list(json.loads((tmp_path / "books/GEN_lexemes.json").read_text())) == ["-1", "0", "8191", "8192", "20000"]
     assert named.index_of(spark, f"{tmp_path}/out").first()["rows"] == 5
+
+
+def test_phrase_mates_are_found_with_one_deal_of_each_table(spark):
+    from bitextile.operators import gapfill
+
+    source = spark.createDataFrame([(1, h, p, r) for h, p, r in ((0, 1, "rec"), (1, 1, "NA"), (2, None, "NA"), (3, 1, "rec"))], "ref long, h_idx long, phrase_id long, rela string")
+    anchors = spark.createDataFrame([(1, 1, 4), (1, 3, 9), (1, 2, 0)], "ref long, h_idx long, anchor long")
+    out = gapfill.phrase_expected(source, anchors)
+    assert len(re.findall(r"\n\(\d+\) Exchange", plan(out))) == 2
+    assert sorted((r["h_idx"], r["p_exp"]) for r in out.collect()) == [(0, 5.0), (1, 8.0), (3, 5.0)]
+
+
+def test_columns_of_verses_become_lists():
+    import pyarrow as pa
+    from bitextile.operators.kernels import values
+
+    lists = pa.array([[1, 2], None, [], [3]])
+    for a in (lists, lists.slice(1, 3), lists.slice(0, 1), lists.slice(4), pa.array([1, None]), pa.array([1.5]), pa.array([True, False]), pa.array(["a", None, "b", "a"]).slice(1), pa.array([["a"], ["b", None]]), pa.array([], pa.string())):
+        assert values(a) == a.to_pylist()
+
+
+def test_contests_are_told_from_one_pass_over_the_pairs(spark):
+    import __spark_entry__ as e
+
+    assert len(re.findall(r"\n\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*lineitem", plan(e.queries()["merge_contest"](spark, SF)))) <= 2
