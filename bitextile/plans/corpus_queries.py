@@ -278,11 +278,11 @@ FROM g LEFT JOIN ta ON ta.ref = g.ref AND ta.id = g.head AND g.joins""")
 def suffix_groups(spark: SparkSession, d: str) -> DataFrame:
     """Occurrence groups by ids with suffixes."""
     p = pairs(spark, d)
-    source = p.select("ref", (F.col("h_idx") + 1).alias("id"), F.col("word1").alias("text"), F.col("strong").alias("lemma"))
     i, k = F.col("h_idx") + 1, (F.col("l_suppkey") % 3).cast("string")
     name = F.when(F.col("l_suppkey") % 5 == 0, F.concat_ws("-", i.cast("string"), k)).otherwise(i.cast("string"))
-    target = p.where("l_partkey % 4 <> 0").select("ref", F.col("h_idx").alias("seq"), name.alias("id"), F.when(F.col("l_tax") > 0.01, F.col("word2")).alias("gloss"))
-    out = kernels.suffix_groups(source, target)
+    word = F.struct(i.alias("id"), F.col("word1").alias("text"), F.col("strong").alias("lemma"))
+    target = F.struct(F.col("h_idx").alias("seq"), name.alias("id"), F.when(F.col("l_tax") > 0.01, F.col("word2")).alias("gloss"))
+    out = kernels.suffix_groups_of(p.select("ref", word.alias("word"), F.when(F.col("l_partkey") % 4 != 0, target).alias("target")))
     return out.select("ref", *(F.array_join(c, ",", "-").alias(c) for c in out.columns if c not in ("ref", "kind")), "kind")
 
 

@@ -109,3 +109,11 @@ def test_contests_are_told_from_one_pass_over_the_pairs(spark):
     import __spark_entry__ as e
 
     assert len(re.findall(r"\n\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*lineitem", plan(e.queries()["merge_contest"](spark, SF)))) <= 2
+
+
+def test_suffix_groups_deal_the_verses_once(spark, tmp_path):
+    import __spark_entry__ as e
+
+    text = plan(e.queries()["suffix_groups"](spark, many_parts(spark, tmp_path)))
+    assert len(re.findall(r"\n\(\d+\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*lineitem", text)) == 1
+    assert len(re.findall(r"\n\(\d+\) Exchange", text)) == 3  # lines and parts by part, pairs by verse
