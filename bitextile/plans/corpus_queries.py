@@ -173,12 +173,12 @@ def vocabulary(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_affix_sql("suffix"))
 def affix_suffixes(spark: SparkSession, d: str) -> DataFrame:
-    return induction.affixes(written(vocabulary(spark, d), "vocabulary"), "lang", "suffix")
+    return induction.affixes(written(vocabulary(spark, d), "vocabulary"), "lang", "suffix", once=True)
 
 
 @query(_affix_sql("prefix"))
 def affix_prefixes(spark: SparkSession, d: str) -> DataFrame:
-    return induction.affixes(written(vocabulary(spark, d), "vocabulary"), "lang", "prefix", shortest=2)
+    return induction.affixes(written(vocabulary(spark, d), "vocabulary"), "lang", "prefix", shortest=2, once=True)
 
 
 # -- alignment models

@@ -183,7 +183,9 @@ def _cut(side: str, name: str, bases: str) -> str:
 
 def word_forms(spark: SparkSession, d: str) -> DataFrame:
     v = written(vocabulary(spark, d), "vocabulary")
-    return induction.learned_forms(v, "lang", induction.affixes(v, "lang", "suffix"), induction.affixes(v, "lang", "prefix", shortest=2), induction.stem_lexicon(v, "lang"))
+    suffixes, prefixes = induction.affixes(v, "lang", "suffix", once=True), induction.affixes(v, "lang", "prefix", shortest=2, once=True)
+    suffixes, prefixes = written(suffixes, "suffixes"), written(prefixes, "prefixes")
+    return induction.learned_forms(v, "lang", suffixes, prefixes, written(induction.stem_lexicon(v, "lang", once=True), "stems"))
 
 
 @query(f"""WITH v AS (SELECT DISTINCT lang, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+')) AS word FROM documents), {_learned("suf")}, {_learned("pre")}, stems AS (SELECT lang, stem FROM suf_r UNION SELECT lang, word FROM v),
@@ -201,7 +203,7 @@ def stem_lexicons(spark: SparkSession, d: str) -> DataFrame:
     from ..operators import lexicon as L
 
     v = written(vocabulary(spark, d), "vocabulary")
-    stems = induction.stem_lexicon(v, "lang")
+    stems = induction.stem_lexicon(v, "lang", once=True)
     words = stems.join(v.withColumnRenamed("word", "stem"), ["lang", "stem"], "left_semi").groupBy("lang").agg(F.count(F.lit(1)).alias("n_words"))
     return L.canonical_hash(stems, "lang", [F.col("stem")], ["stem"]).withColumnRenamed("rows", "n_stems").join(words, "lang")
 
@@ -277,8 +279,8 @@ def affix_manifest(spark: SparkSession, d: str) -> DataFrame:
 
     docs, root, rule = table(spark, d, "documents"), folder(spark, "artefacts"), {"stem": 3, "longest": 5, "productive": 12, "top": 40}
     v = A.kept(spark, root, "words", [docs], {"by": "lang"}, lambda: vocabulary(spark, d))
-    side = lambda name, least: A.kept(spark, root, name, [docs], rule | {"side": name, "shortest": least}, lambda: induction.affixes(v, "lang", name, shortest=least, **rule))
-    stems = A.kept(spark, root, "stems", [docs], {"real": 2}, lambda: induction.stem_lexicon(v, "lang"))
+    side = lambda name, least: A.kept(spark, root, name, [docs], rule | {"side": name, "shortest": least}, lambda: induction.affixes(v, "lang", name, shortest=least, once=True, **rule))
+    stems = A.kept(spark, root, "stems", [docs], {"real": 2}, lambda: induction.stem_lexicon(v, "lang", once=True))
     return A.affix_manifest(v, side("suffix", 1), side("prefix", 2), stems, "lang")
 
 
